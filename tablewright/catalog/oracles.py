@@ -159,6 +159,24 @@ ORACLES["string_index"] = over(
     + " FROM slotted GROUP BY p_partkey",
     pairs=PART_PAIRS,
 )
+LINE_PAIRS = " UNION ALL ".join(
+    f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS label FROM lineitem"
+    for c in ("l_orderkey", "l_suppkey")
+)
+ORACLES["fit_vocab_unbounded"] = f"""
+SELECT col AS "column", label,
+       CAST(row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, label) - 1 AS INTEGER)
+         AS slot
+FROM ({LINE_PAIRS}) GROUP BY col, label
+"""
+ORACLES["string_index_unbounded"] = """
+WITH v AS (
+  SELECT o_custkey, row_number() OVER (ORDER BY count(*) DESC, CAST(o_custkey AS VARCHAR)) - 1 AS i
+  FROM orders WHERE o_totalprice > 250000 GROUP BY o_custkey)
+SELECT o.o_orderkey, o.o_custkey,
+       CAST(coalesce(v.i, (SELECT count(*) FROM v)) AS DOUBLE) AS o_custkey_idx
+FROM orders o LEFT JOIN v ON o.o_custkey = v.o_custkey
+"""
 SLOT_ROWS = """
 SELECT {key}, concat(p.col, '_vec') AS "column", CAST(s.i AS INTEGER) AS slot,
        CASE WHEN s.i = p.slot THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS value

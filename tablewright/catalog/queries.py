@@ -277,6 +277,23 @@ def string_index(spark, sf_dir):
     return E.string_index(part, E.fit_vocab(part, cols), cols).drop(*cols)
 
 
+@query
+def fit_vocab_unbounded(spark, sf_dir):
+    """Tens of thousands of labels: every order key, and every supplier."""
+    lines = table(spark, sf_dir, "lineitem")
+    return E.fit_vocab(lines, ["l_orderkey", "l_suppkey"], max_labels=None)
+
+
+@query
+def string_index_unbounded(spark, sf_dir):
+    """A vocabulary that is joined, learned on orders with a price above the
+    middle, so that other customers are unseen."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    known = orders.where("o_totalprice > 250000")
+    vocab = E.fit_vocab(known, ["o_custkey"], max_labels=None)
+    return E.string_index(orders, vocab, ["o_custkey"], max_labels=50).drop("o_totalprice")
+
+
 @query
 def one_hot(spark, sf_dir):
     """With NULLs: they take the extra last slot."""

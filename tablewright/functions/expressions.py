@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tablewright.functions.naming import text
+
 RAISE = "raise"
 NULL = "null"
 
@@ -68,23 +70,23 @@ def bucket_index(col: Column, splits: Sequence[float], on_error: str = RAISE) ->
     )
 
 
-def _label_array(labels: Sequence[str]) -> Column:
-    return F.array(*[F.lit(label) for label in labels]).cast("array<string>")
-
-
 def slot_of(col: Column, labels: Sequence[str]) -> Column:
     """Zero-based slot of the value in ``labels``; NULL and unseen values get
     the extra last slot. Labels are ordered by frequency, so the search of
     the literal list is short for most rows."""
-    position = F.array_position(_label_array(labels), col.cast("string"))
+    known = F.expr(f"CAST(array({', '.join(map(text, labels))}) AS array<string>)")
+    position = F.array_position(known, col.cast("string"))
     return F.coalesce(F.nullif(position, F.lit(0)) - 1, F.lit(len(labels))).cast("int")
 
 
 def one_hot_array(slot: Column, size: int) -> Column:
     """A dense double array of ``size`` with 1.0 at ``slot``."""
     if size <= LITERAL_VECTORS:
-        rows = [F.array(*[F.lit(float(i == j)) for j in range(size)]) for i in range(size)]
-        return F.element_at(F.array(*rows), slot.cast("int") + 1)
+        units = (
+            ", ".join("1D" if i == j else "0D" for j in range(size)) for i in range(size)
+        )
+        table = F.expr("array(" + ", ".join(f"array({u})" for u in units) + ")")
+        return F.element_at(table, slot.cast("int") + 1)
     zero = F.lit(0.0)
     return F.concat(
         F.array_repeat(zero, slot.cast("int")),

@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from tablewright.functions import expressions as X
 from tablewright.functions.naming import quoted
 from tablewright.operators.columns import columns_with_suffix
+from tablewright.session import through_storage
 
-MAX_LABELS = 1000
+# One label more than this is still within the bound up to which Spark turns a
+# rank filter into a limit per task (spark.sql.optimizer.windowGroupLimitThreshold).
+MAX_LABELS = 999
 
 
 def label_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -33,57 +36,120 @@ def label_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def fit_vocab(df: DataFrame, cols: Sequence[str], max_labels: int = MAX_LABELS) -> DataFrame:
+def fit_vocab(
+    df: DataFrame, cols: Sequence[str], max_labels: int | None = MAX_LABELS
+) -> DataFrame:
     """(column, label, slot): slots by falling count, ties by label.
 
-    The rank keeps one label more than ``max_labels`` per column, which Spark
-    turns into a per-task group limit: no task ever sorts an unbounded label
-    set, and :func:`collect_vocab` sees that a column is over the bound.
+    With a bound, a column that has more labels fails the job, and no task
+    ever sorts more than the bound per column: Spark turns the rank filter
+    into a limit per task. With ``max_labels=None`` every label of any number
+    is ranked, by a distributed sort.
     """
+    counts = label_counts(df, cols)
+    if max_labels is None:
+        return _rank_all(counts)
     by_count = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("label"))
+    over = F.raise_error(
+        F.concat(F.lit(f"more than {max_labels} labels in column "), F.col("column"))
+    )
     return (
-        label_counts(df, cols)
-        .withColumn("rank", F.row_number().over(by_count))
+        counts.withColumn("rank", F.row_number().over(by_count))
         .where(F.col("rank") <= max_labels + 1)
-        .select("column", "label", (F.col("rank") - 1).alias("slot"))
+        .select(
+            "column",
+            "label",
+            F.when(F.col("rank") <= max_labels, F.col("rank") - 1)
+            .otherwise(over.cast("int"))
+            .alias("slot"),
+        )
+    )
+
+
+def _rank_all(counts: DataFrame) -> DataFrame:
+    """Rank labels per column without putting a column into one task: sort
+    over all tasks, number the rows within each, and add the number of rows
+    that lie before. The sorted table is stored, since a second sort could
+    cut the tasks elsewhere."""
+    ordered = counts.orderBy("column", F.desc("n"), "label").select(
+        "column", "label", F.monotonically_increasing_id().alias("id")
     )
+    numbered = through_storage(ordered, "labels").withColumn("task", F.shiftright("id", 33))
+    # One row per task and column in it: bounded by the number of partitions.
+    runs = numbered.groupBy("column", "task").agg(
+        F.count(F.lit(1)).alias("size"), F.min("id").alias("start")
+    )
+    before = Window.partitionBy("column").orderBy("task").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    runs = runs.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    return numbered.join(F.broadcast(runs), ["column", "task"]).select(
+        "column",
+        "label",
+        (F.col("id") - F.col("start") + F.col("offset")).cast("int").alias("slot"),
+    )
+
+
+Vocabulary = DataFrame | Mapping[str, Sequence[str]]
+
+
+def _labels(vocab: Vocabulary, cols: Sequence[str], max_labels: int) -> dict[str, list[str]]:
+    """Labels per column in slot order, one more than the bound at most."""
+    if isinstance(vocab, Mapping):
+        return {c: list(vocab[c]) for c in cols}
+    labels: dict[str, list[str]] = {c: [] for c in cols}
+    wanted = vocab.where(
+        F.col("column").isin(list(cols)) & (F.col("slot") <= max_labels)
+    ).select("column", "label", "slot")
+    for row in sorted(wanted.collect(), key=lambda r: r["slot"]):
+        labels[row["column"]].append(row["label"])
+    return labels
 
 
 def collect_vocab(
-    vocab: DataFrame | Mapping[str, Sequence[str]],
-    cols: Sequence[str],
-    max_labels: int = MAX_LABELS,
+    vocab: Vocabulary, cols: Sequence[str], max_labels: int = MAX_LABELS
 ) -> dict[str, list[str]]:
     """Labels per column in slot order, brought to the driver within the
-    bound ``len(cols) * (max_labels + 1)``; a column over it fails."""
-    if isinstance(vocab, Mapping):
-        labels = {c: list(vocab[c]) for c in cols}
-    else:
-        labels = {c: [] for c in cols}
-        wanted = vocab.where(
-            F.col("column").isin(list(cols)) & (F.col("slot") <= max_labels)
-        ).select("column", "label", "slot")
-        for row in sorted(wanted.collect(), key=lambda r: r["slot"]):
-            labels[row["column"]].append(row["label"])
+    bound ``len(cols) * max_labels``; a column over it fails."""
+    labels = _labels(vocab, cols, max_labels)
     wide = [c for c, found in labels.items() if len(found) > max_labels]
     if wide:
-        raise ValueError(f"more than {max_labels} labels in {wide}: not a category")
+        raise ValueError(f"more than {max_labels} labels in {wide}")
     return labels
 
 
 def string_index(
     df: DataFrame,
-    vocab: DataFrame | Mapping[str, Sequence[str]],
+    vocab: Vocabulary,
     cols: Sequence[str],
     suffix: str = "_idx",
     max_labels: int = MAX_LABELS,
 ) -> DataFrame:
     """Add the label index of each column as double; NULL and unseen values
-    get the extra last index."""
-    labels = collect_vocab(vocab, cols, max_labels)
-    return df.withColumns(
-        {c + suffix: X.slot_of(F.col(quoted(c)), labels[c]).cast("double") for c in cols}
-    )
+    get the extra last index. Vocabularies within the bound go into the plan;
+    a larger one is joined by label (one row per label, so skew is on the
+    data side only, where adaptive execution splits it)."""
+    labels = _labels(vocab, cols, max_labels)
+    small = [c for c in cols if len(labels[c]) <= max_labels]
+    large = [c for c in cols if len(labels[c]) > max_labels]
+    if large and isinstance(vocab, Mapping):
+        raise ValueError(f"more than {max_labels} labels in {large}: give the vocabulary as a table")
+    names = [*df.columns, *[c + suffix for c in cols]]
+    if small:
+        df = df.withColumns(
+            {c + suffix: X.slot_of(F.col(quoted(c)), labels[c]).cast("double") for c in small}
+        )
+    for c in large:
+        known = vocab.where(F.col("column") == c).select(
+            F.col("label").alias("__label"), F.col("slot").cast("double").alias("__slot")
+        )
+        size = known.count()
+        df = (
+            df.join(known, F.col(quoted(c)).cast("string") == F.col("__label"), "left")
+            .withColumn(c + suffix, F.coalesce("__slot", F.lit(float(size))))
+            .drop("__label", "__slot")
+        )
+    return df.select(*map(quoted, names))
 
 
 def one_hot(df: DataFrame, sizes: Mapping[str, int], suffix: str = "_vec") -> DataFrame:
@@ -99,7 +165,7 @@ def one_hot(df: DataFrame, sizes: Mapping[str, int], suffix: str = "_vec") -> Da
 
 def encode_many(
     df: DataFrame,
-    vocab: DataFrame | Mapping[str, Sequence[str]],
+    vocab: Vocabulary,
     cols: Sequence[str],
     suffix: str = "_vec",
     keep_raw: bool = False,

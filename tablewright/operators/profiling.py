@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.naming import quoted
+from tablewright.functions.naming import quoted, rows_of, text
 
 
 def distinct_expr(keys: Sequence[str]) -> Column:
@@ -41,22 +41,17 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def null_profile(df: DataFrame) -> DataFrame:
     """One row: the number of NULLs in every column, under its own name."""
-    return df.agg(*[F.count_if(F.col(quoted(c)).isNull()).alias(c) for c in df.columns])
+    return df.agg(*[F.expr(f"count_if({q} IS NULL) AS {q}") for q in map(quoted, df.columns)])
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
     """(position, column, type, non_null): schema and filled rows together."""
-    counts = df.agg(*[F.count(quoted(c)).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    counts = df.agg(*[F.expr(f"count({quoted(c)}) AS c{i}") for i, c in enumerate(df.columns)])
     rows = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(f.name).alias("column"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.col(f"c{i}").alias("non_null"),
-        )
+        (str(i), text(f.name), text(f.dataType.simpleString()), f"c{i}")
         for i, f in enumerate(df.schema.fields)
     ]
-    return counts.select(F.inline(F.array(*rows)))
+    return counts.selectExpr(rows_of(("position", "column", "type", "non_null"), rows))
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -69,28 +64,16 @@ def describe_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     names = numeric_columns(df) if cols is None else list(cols)
     if not names:
         raise ValueError("no numeric columns")
-    aggs = []
-    for i, c in enumerate(names):
-        col = F.col(quoted(c)).cast("double")
-        aggs += [
-            F.count(col).alias(f"n{i}"),
-            F.avg(col).alias(f"mean{i}"),
-            F.stddev_samp(col).alias(f"std{i}"),
-            F.min(col).alias(f"min{i}"),
-            F.max(col).alias(f"max{i}"),
+    parts = ("count", "avg", "stddev_samp", "min", "max")
+    totals = df.agg(
+        *[
+            F.expr(f"{part}(CAST({quoted(c)} AS DOUBLE)) AS {part}{i}")
+            for i, c in enumerate(names)
+            for part in parts
         ]
-    rows = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(f"n{i}").alias("count"),
-            F.col(f"mean{i}").alias("mean"),
-            F.col(f"std{i}").alias("stddev"),
-            F.col(f"min{i}").alias("min"),
-            F.col(f"max{i}").alias("max"),
-        )
-        for i, c in enumerate(names)
-    ]
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    )
+    rows = [(text(c), *[f"{part}{i}" for part in parts]) for i, c in enumerate(names)]
+    return totals.selectExpr(rows_of(("column", "count", "mean", "stddev", "min", "max"), rows))
 
 
 def peek(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFrame:

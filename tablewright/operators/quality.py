@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.naming import quoted
+from tablewright.functions.naming import quoted, rows_of, text
 from tablewright.operators.columns import columns_with_suffix, out_of_range
 from tablewright.operators.profiling import distinct_expr
 
@@ -208,16 +208,16 @@ def run_gate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     ]
     totals = df.agg(*[c.cast("long").alias(f"v{i}") for i, c in enumerate(counted)])
     rows = [
-        F.struct(
-            F.lit(rule.name).alias("rule"),
-            F.lit("schema" if gone else rule.kind).alias("kind"),
-            F.lit(rule.severity).alias("severity"),
-            F.col(f"v{i}").alias("violations"),
-            (F.col(f"v{i}") == 0).alias("passed"),
+        (
+            text(rule.name),
+            text("schema" if gone else rule.kind),
+            text(rule.severity),
+            f"v{i}",
+            f"v{i} = 0",
         )
         for i, (rule, gone) in enumerate(zip(rules, absent))
     ]
-    return totals.select(F.inline(F.array(*rows)))
+    return totals.selectExpr(rows_of(("rule", "kind", "severity", "violations", "passed"), rows))
 
 
 def gate_verdict(report: DataFrame) -> DataFrame:

@@ -124,7 +124,8 @@ class Skew:
     max_slices: int = 1024
 
 
-T_, SIDE, FEATURE, SPINE, SLICE = "__t", "__side", "__f", "__s", "__slice"
+# Columns of the merged time line.
+T_, SIDE, FEATURE, SLICE = "__t", "__side", "__f", "__slice"
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
@@ -176,48 +177,55 @@ def point_in_time_join(
     if clash:
         raise ValueError(f"spine already has columns {clash}")
 
-    usable = F.col(quoted(ts)).isNotNull()
-    for key in keys:
-        usable = usable & F.col(quoted(key)).isNotNull()
-
     parts = [event, *([created] if created else []), *view.features]
     facts = _dated(features, view, None, None).select(
         *map(quoted, keys),
         F.col(quoted(event)).alias(T_),
         F.struct(*map(quoted, parts)).alias(FEATURE),
     )
-    asks = spine.where(usable).select(
-        *map(quoted, keys),
-        F.col(quoted(ts)).alias(T_),
-        F.struct(*map(quoted, spine.columns)).alias(SPINE),
+    # Keys and time travel once; the other spine columns go along as they are,
+    # so those that nobody reads are pruned at the scan.
+    others = [c for c in spine.columns if c not in keys and c != ts]
+    absent = F.lit(False)
+    for c in [*keys, ts]:
+        if spine.schema[c].nullable:
+            absent = absent | F.col(quoted(c)).isNull()
+    asks = spine.where(~absent).select(
+        *map(quoted, keys), F.col(quoted(ts)).alias(T_), *map(quoted, others)
     )
-
     facts, asks = _same_types(facts, asks, [*keys, T_])
 
     hot = hot_keys([facts, asks], keys, skew) if skew else {}
     if hot:
         is_hot = _key_hash(keys).isin(list(hot))
-        answered = _as_of(facts.where(~is_hot), asks.where(~is_hot), keys).unionByName(
-            _as_of_sliced(facts.where(is_hot), asks.where(is_hot), keys, max(hot.values()), skew)
+        answered = _as_of(facts.where(~is_hot), asks.where(~is_hot), keys, others).unionByName(
+            _as_of_sliced(
+                facts.where(is_hot), asks.where(is_hot), keys, others, max(hot.values()), skew
+            )
         )
     else:
-        answered = _as_of(facts, asks, keys)
+        answered = _as_of(facts, asks, keys, others)
 
-    fresh = F.col(f"{FEATURE}.{quoted(event)}").isNotNull()
+    matched_at = F.col(f"{FEATURE}.{quoted(event)}")
+    fresh = matched_at.isNotNull()
     if view.ttl is not None:
-        fresh = F.col(f"{FEATURE}.{quoted(event)}") >= F.col(
-            f"{SPINE}.{quoted(ts)}"
-        ) - F.lit(view.ttl)
+        fresh = matched_at >= F.col(T_) - F.lit(view.ttl)
+    own = {
+        **{c: F.col(quoted(c)).cast(spine.schema[c].dataType) for c in keys},
+        ts: F.col(T_).cast(spine.schema[ts].dataType),
+    }
     picked = [F.when(fresh, F.col(f"{FEATURE}.{quoted(c)}")).alias(c) for c in view.features]
     if event_as:
-        picked.append(F.when(fresh, F.col(f"{FEATURE}.{quoted(event)}")).alias(event_as))
+        picked.append(F.when(fresh, matched_at).alias(event_as))
     matched = answered.select(
-        *[F.col(f"{SPINE}.{quoted(c)}").alias(c) for c in spine.columns], *picked
+        *[own.get(c, F.col(quoted(c))).alias(c) for c in spine.columns], *picked
     )
+    if not any(spine.schema[c].nullable for c in [*keys, ts]):
+        return matched
 
     # Rows without key or time match nothing; they never enter the shuffle.
     types = {c: matched.schema[c].dataType for c in added}
-    rest = spine.where(~usable).select(
+    rest = spine.where(absent).select(
         *map(quoted, spine.columns), *[F.lit(None).cast(types[c]).alias(c) for c in added]
     )
     return matched.unionAll(rest)
@@ -247,19 +255,27 @@ def _running_last(timeline: DataFrame, groups: Sequence[str]) -> DataFrame:
     )
 
 
-def _as_of(facts: DataFrame, asks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(spine struct, feature struct) by one shuffle on the key."""
+def _as_of(
+    facts: DataFrame, asks: DataFrame, keys: Sequence[str], others: Sequence[str]
+) -> DataFrame:
+    """Spine rows with the feature struct, by one shuffle on the key."""
+    types = {c: asks.schema[c].dataType for c in others}
     left = facts.withColumns(
-        {SIDE: F.lit(0), SPINE: F.lit(None).cast(asks.schema[SPINE].dataType)}
+        {SIDE: F.lit(0), **{c: F.lit(None).cast(types[c]) for c in others}}
     )
     right = asks.withColumns(
         {SIDE: F.lit(1), FEATURE: F.lit(None).cast(facts.schema[FEATURE].dataType)}
     )
-    return _running_last(left.unionByName(right), keys).select(SPINE, FEATURE)
+    return _running_last(left.unionByName(right), keys).drop(SIDE)
 
 
 def _as_of_sliced(
-    facts: DataFrame, asks: DataFrame, keys: Sequence[str], most: int, skew: Skew
+    facts: DataFrame,
+    asks: DataFrame,
+    keys: Sequence[str],
+    others: Sequence[str],
+    most: int,
+    skew: Skew,
 ) -> DataFrame:
     """The same for hot keys, in groups of bounded size.
 
@@ -296,7 +312,9 @@ def _as_of_sliced(
         {SIDE: F.lit(1), FEATURE: F.lit(None).cast(facts.schema[FEATURE].dataType)}
     )
     answers = _running_last(left.unionByName(right), [*keys, SLICE]).select(*ks, T_, FEATURE)
-    return asks.join(answers, [*keys, T_], "left").select(SPINE, FEATURE)
+    return asks.join(answers, [*keys, T_], "left").select(
+        *ks, T_, FEATURE, *map(quoted, others)
+    )
 
 
 def _event_of(facts: DataFrame) -> Column:

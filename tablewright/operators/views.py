@@ -6,11 +6,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.naming import quoted
+from tablewright.functions.naming import quoted, rows_of, text
 
 
 @dataclass(frozen=True)
@@ -92,19 +92,20 @@ def conform(df: DataFrame, view: FeatureView) -> DataFrame:
     return df.select(*typed, *map(quoted, view.timestamps))
 
 
-def _is_lost(col: Column, have: T.DataType, want: T.DataType) -> Column:
-    """True for a value that the cast to ``want`` turns into NULL or pushes
-    to infinity."""
+def _is_lost(col: str, have: T.DataType, want: T.DataType) -> str:
+    """SQL test for a value that the cast to ``want`` turns into NULL or
+    pushes to infinity."""
     if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
-        return F.exists(col, lambda x: _is_lost(x, have.elementType, want.elementType))
-    lost = col.isNotNull() & col.try_cast(want).isNull()
-    if isinstance(want, (T.FloatType, T.DoubleType)) and isinstance(have, T.NumericType):
-        infinite = float("inf")
-        lost = lost | (
-            (F.abs(col.cast("double")) < infinite)
-            & (F.abs(col.try_cast(want).cast("double")) == infinite)
-        )
-    return F.coalesce(lost, F.lit(False))
+        return f"exists({col}, x -> {_is_lost('x', have.elementType, want.elementType)})"
+    cast = f"try_cast({col} AS {want.simpleString()})"
+    if isinstance(want, (T.FloatType, T.DoubleType)):
+        if isinstance(have, (T.IntegralType, T.FloatType)):
+            return "false"
+        large = f"abs({cast}) = double('inf') AND abs(try_cast({col} AS DOUBLE)) < double('inf')"
+        if isinstance(have, T.DoubleType):
+            return f"coalesce({large}, false)"
+        return f"coalesce({col} IS NOT NULL AND ({cast} IS NULL OR {large}), false)"
+    return f"({col} IS NOT NULL AND {cast} IS NULL)"
 
 
 def _castable(have: T.DataType, want: T.DataType) -> bool:
@@ -142,26 +143,22 @@ def check_view(df: DataFrame, view: FeatureView) -> DataFrame:
             status = "ok"
         else:
             status = "cast" if not stamp and _castable(have, f.dataType) else "mismatch"
-        col = F.col(quoted(f.name))
-        counts += [
-            (F.lit(0) if have is None else F.count(col)).cast("long").alias(f"n{i}"),
-            (F.count_if(_is_lost(col, have, f.dataType)) if status == "cast" else F.lit(0))
-            .cast("long")
-            .alias(f"lost{i}"),
-        ]
+        col = quoted(f.name)
+        filled = "0L" if have is None else f"count({col})"
+        lost = f"count_if({_is_lost(col, have, f.dataType)})" if status == "cast" else "0L"
+        counts += [F.expr(f"{filled} AS n{i}"), F.expr(f"{lost} AS lost{i}")]
         rows.append(
-            F.struct(
-                F.lit(f.name).alias("field"),
-                F.lit(f.dataType.simpleString()).alias("declared"),
-                F.lit(have.simpleString() if have is not None else None)
-                .cast("string")
-                .alias("actual"),
-                F.lit(status).alias("status"),
-                F.col(f"n{i}").alias("non_null"),
-                F.col(f"lost{i}").alias("lost"),
+            (
+                text(f.name),
+                text(f.dataType.simpleString()),
+                "CAST(NULL AS STRING)" if have is None else text(have.simpleString()),
+                text(status),
+                f"n{i}",
+                f"lost{i}",
             )
         )
-    return df.agg(*counts).select(F.inline(F.array(*rows)))
+    names = ("field", "declared", "actual", "status", "non_null", "lost")
+    return df.agg(*counts).selectExpr(rows_of(names, rows))
 
 
 def view_mismatches(df: DataFrame, view: FeatureView) -> DataFrame:

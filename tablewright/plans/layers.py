@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from tablewright.functions import expressions as X
 from tablewright.operators.cleaning import CleanSpec, clean
 from tablewright.operators.columns import conjunction_flag, stamp_timestamps
-from tablewright.operators.encoding import MAX_LABELS, encode_many, fit_vocab
+from tablewright.operators.encoding import MAX_LABELS, Vocabulary, encode_many, fit_vocab
 from tablewright.operators.features import bucketize, guarded_ratio, plain_ratio
 
 
@@ -59,7 +59,7 @@ def gold(
     silver_df: DataFrame,
     spec: FeatureSpec,
     *,
-    vocab: DataFrame | Mapping[str, Sequence[str]] | None = None,
+    vocab: Vocabulary | None = None,
     as_of: str | datetime | None = None,
 ) -> DataFrame:
     """Features, one-hot vectors and timestamps, without a shuffle. Without a

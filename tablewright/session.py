@@ -6,7 +6,7 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # The planner settings every job here relies on.
 BASE_CONF = {
@@ -96,3 +96,12 @@ def scratch_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{scratch_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def through_storage(df: DataFrame, label: str) -> DataFrame:
+    """The same rows, read back from a table in the shared folder: later uses
+    neither compute them again nor see other values, even if executors are
+    lost in between."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

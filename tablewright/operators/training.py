@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.naming import quoted
+from tablewright.session import scratch_path
 
 
 def holdout(keys: Sequence[str], percent: int) -> Column:
@@ -28,8 +29,13 @@ def train_eval(
     max_iter: int = 50,
 ):
     """Fit a logistic regression and score it on the held-out keys. Returns
-    the fitted model and (n_train, n_test, accuracy)."""
-    from pyspark.ml import Pipeline
+    the model and (n_train, n_test, accuracy).
+
+    The model is stored in the shared folder and loaded from there for
+    scoring: a freshly fitted one still holds its training session, which
+    cannot be sent to tasks once the session has observed a write.
+    """
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import array_to_vector
@@ -48,7 +54,8 @@ def train_eval(
         *map(quoted, inputs),
         holdout(keys, test_percent).alias("__test"),
     )
-    model = Pipeline(
+    path = scratch_path(df.sparkSession, "model")
+    Pipeline(
         stages=[
             VectorAssembler(inputCols=inputs, outputCol="__features", handleInvalid="skip"),
             LogisticRegression(
@@ -59,7 +66,8 @@ def train_eval(
                 maxIter=max_iter,
             ),
         ]
-    ).fit(ready.where(~F.col("__test")))
+    ).fit(ready.where(~F.col("__test"))).write().save(path)
+    model = PipelineModel.load(path)
     hit = (F.col("__prediction") == F.col("__label")).cast("double")
     scored = model.transform(ready).agg(
         F.count_if(~F.col("__test")).alias("n_train"),

@@ -77,6 +77,10 @@ def build_session(
     return builder.getOrCreate()
 
 
+# Temporary folders of local sessions that name none, by application.
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share for checkpoints and written tables.
 
@@ -86,11 +90,12 @@ def scratch_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    named = tempfile.mkdtemp(prefix="tablewright-")
-    spark.conf.set(CHECKPOINT_DIR, named)
-    return named
+    if context.applicationId not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="tablewright-")
+    return _LOCAL_SCRATCH[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

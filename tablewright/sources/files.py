@@ -48,7 +48,8 @@ def raw_file_audit(
     """(path, length, header_hex, is_zip) of every file under ``path``: the
     first four bytes tell a workbook from a mislabelled text file. Files are
     spread over tasks. A file above ``max_bytes`` cannot be one cell of a row:
-    it is listed with a NULL header and never opened."""
+    it is listed with a NULL header and never opened. Empty files do not
+    appear: Spark's file sources skip them."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)

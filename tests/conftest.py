@@ -17,6 +17,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "1000",
         },
         app_name="tests",
         master="local[8]",

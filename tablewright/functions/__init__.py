@@ -1,21 +1 @@
 """Names and column expressions."""
-
-from tablewright.functions.expressions import (
-    blank_to_null,
-    bucket_index,
-    one_hot_array,
-    ratio,
-    slot_of,
-    yes_no_flag,
-)
-from tablewright.functions.naming import snake_case
-
-__all__ = [
-    "blank_to_null",
-    "bucket_index",
-    "one_hot_array",
-    "ratio",
-    "slot_of",
-    "snake_case",
-    "yes_no_flag",
-]

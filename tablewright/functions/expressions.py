@@ -1,14 +1,12 @@
-"""Column expressions. All are built-in Spark expressions, so Catalyst sees
-through them and they stay inside whole-stage code generation."""
+"""Expressions over one column, as SQL text for ``expr``: one call each, all
+built-in functions, so Catalyst sees through them and they stay inside
+whole-stage code generation. ``col`` is any SQL expression."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from tablewright.functions.naming import text
 
 RAISE = "raise"
@@ -24,26 +22,36 @@ def check_on_error(on_error: str) -> None:
         raise ValueError(f"on_error must be {RAISE!r} or {NULL!r}, not {on_error!r}")
 
 
-def yes_no_flag(col: Column, yes: str = "Yes", no: str = "No") -> Column:
+def number(value: float) -> str:
+    """A double literal."""
+    return f"{float(value)!r}D" if math.isfinite(value) else f"double('{float(value)}')"
+
+
+def yes_no_flag(col: str, yes: str = "Yes", no: str = "No") -> str:
     """1 / 0 / NULL for exactly ``yes`` / ``no`` / anything else."""
-    return F.when(col == yes, 1).when(col == no, 0).cast("int")
+    return f"CASE {col} WHEN {text(yes)} THEN 1 WHEN {text(no)} THEN 0 END"
 
 
-def blank_to_null(col: Column, on_error: str = RAISE) -> Column:
+def blank_to_null(col: str, on_error: str = RAISE) -> str:
     """Trimmed text as double, blanks as NULL. Text that is no number fails
     the job, or becomes NULL with ``on_error="null"``."""
     check_on_error(on_error)
-    text = F.nullif(F.trim(col), F.lit(""))
-    return text.try_cast("double") if on_error == NULL else text.cast("double")
+    cast = "try_cast" if on_error == NULL else "cast"
+    return f"{cast}(nullif(trim({col}), '') AS DOUBLE)"
+
 
+def filled(col: str, value: float) -> str:
+    """``value`` in place of NULL and NaN, as ``fillna`` does for doubles."""
+    return f"coalesce(nanvl({col}, NULL), {number(value)})"
 
-def ratio(num: Column, den: Column, on_error: str = RAISE) -> Column:
+
+def ratio(num: str, den: str, on_error: str = RAISE) -> str:
     """``num / den``; a zero divisor fails the job or gives NULL."""
     check_on_error(on_error)
-    return F.try_divide(num, den) if on_error == NULL else num / den
+    return f"try_divide({num}, {den})" if on_error == NULL else f"({num} / {den})"
 
 
-def bucket_index(col: Column, splits: Sequence[float], on_error: str = RAISE) -> Column:
+def bucket_index(col: str, splits: Sequence[float], on_error: str = RAISE) -> str:
     """Index of the half-open bucket ``[a, b)`` as double; the last bucket is
     closed. NULL stays NULL. Values outside all buckets (and NaN) fail the
     job, or become NULL with ``on_error="null"``."""
@@ -51,45 +59,37 @@ def bucket_index(col: Column, splits: Sequence[float], on_error: str = RAISE) ->
     bounds = [float(s) for s in splits]
     if len(bounds) < 3 or any(math.isnan(b) for b in bounds) or sorted(set(bounds)) != bounds:
         raise ValueError(f"splits must be at least three strictly increasing numbers: {splits}")
-    last = len(bounds) - 2
-    # Testing upper bounds in order leaves one comparison per bucket once the
-    # value is known to lie inside the outer bounds. NaN sorts above infinity
-    # in Spark, so it fails the outer test as it should.
-    index = F.lit(float(last))
-    for i in range(last - 1, -1, -1):
-        index = F.when(col < bounds[i + 1], float(i)).otherwise(index)
-    outside = F.lit(None).cast("double")
+    # Inside the outer bounds one upper bound per bucket decides. NaN sorts
+    # above infinity in Spark, so it fails the outer test as it should.
+    steps = " ".join(
+        f"WHEN {col} < {number(upper)} THEN {number(i)}" for i, upper in enumerate(bounds[1:-1])
+    )
+    outside = "NULL"
     if on_error == RAISE:
-        outside = F.raise_error(
-            F.concat(F.lit("value outside the buckets: "), col.cast("string"))
-        ).cast("double")
+        outside = f"raise_error(concat('value outside the buckets: ', CAST({col} AS STRING)))"
     return (
-        F.when(col.isNull(), F.lit(None).cast("double"))
-        .when((col >= bounds[0]) & (col <= bounds[-1]), index)
-        .otherwise(outside)
+        f"CAST(CASE WHEN {col} IS NULL THEN NULL "
+        f"WHEN {col} >= {number(bounds[0])} AND {col} <= {number(bounds[-1])} "
+        f"THEN CASE {steps} ELSE {number(len(bounds) - 2)} END ELSE {outside} END AS DOUBLE)"
     )
 
 
-def slot_of(col: Column, labels: Sequence[str]) -> Column:
+def slot_of(col: str, labels: Sequence[str]) -> str:
     """Zero-based slot of the value in ``labels``; NULL and unseen values get
     the extra last slot. Labels are ordered by frequency, so the search of
     the literal list is short for most rows."""
-    known = F.expr(f"CAST(array({', '.join(map(text, labels))}) AS array<string>)")
-    position = F.array_position(known, col.cast("string"))
-    return F.coalesce(F.nullif(position, F.lit(0)) - 1, F.lit(len(labels))).cast("int")
+    known = f"CAST(array({', '.join(map(text, labels))}) AS array<string>)"
+    position = f"array_position({known}, CAST({col} AS STRING))"
+    return f"CAST(coalesce(nullif({position}, 0) - 1, {len(labels)}) AS INT)"
 
 
-def one_hot_array(slot: Column, size: int) -> Column:
+def one_hot_array(slot: str, size: int) -> str:
     """A dense double array of ``size`` with 1.0 at ``slot``."""
     if size <= LITERAL_VECTORS:
         units = (
             ", ".join("1D" if i == j else "0D" for j in range(size)) for i in range(size)
         )
-        table = F.expr("array(" + ", ".join(f"array({u})" for u in units) + ")")
-        return F.element_at(table, slot.cast("int") + 1)
-    zero = F.lit(0.0)
-    return F.concat(
-        F.array_repeat(zero, slot.cast("int")),
-        F.array(F.lit(1.0)),
-        F.array_repeat(zero, F.lit(size - 1) - slot.cast("int")),
-    )
+        table = ", ".join(f"array({u})" for u in units)
+        return f"element_at(array({table}), CAST({slot} AS INT) + 1)"
+    at = f"CAST({slot} AS INT)"
+    return f"concat(array_repeat(0D, {at}), array(1D), array_repeat(0D, {size - 1} - {at}))"

@@ -29,48 +29,63 @@ def fix_acronym_names(df: DataFrame, fixes: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(fixes))
 
 
-def yes_no_to_int(
-    df: DataFrame, cols: Iterable[str], yes: str = "Yes", no: str = "No"
-) -> DataFrame:
-    """Text flags to 1 / 0 / NULL. Absent columns are skipped; columns that
-    are whole numbers already stay, so a second run changes nothing."""
+def _flag_exprs(schema: T.StructType, cols: Iterable[str], yes: str, no: str) -> dict[str, str]:
     flags = {}
     for name in cols:
-        if name not in df.columns:
+        if name not in schema.names:
             continue
-        dtype, col = df.schema[name].dataType, F.col(quoted(name))
+        dtype, col = schema[name].dataType, quoted(name)
         if isinstance(dtype, (T.IntegralType, T.BooleanType)):
-            flags[name] = col.cast("int")
+            flags[name] = f"CAST({col} AS INT)"
         elif isinstance(dtype, (T.StringType, T.NullType)):
             flags[name] = X.yes_no_flag(col, yes, no)
         else:
             raise TypeError(f"{name} is {dtype.simpleString()}, not a text flag")
-    return df.withColumns(flags) if flags else df
+    return flags
+
+
+def _int_exprs(schema: T.StructType, cols: Iterable[str]) -> dict[str, str]:
+    return {c: f"CAST({quoted(c)} AS INT)" for c in cols if c in schema.names}
+
+
+def _number_exprs(
+    schema: T.StructType, cols: Iterable[str], fill: float | None, on_error: str
+) -> dict[str, str]:
+    names = list(cols)
+    missing = [c for c in names if c not in schema.names]
+    if missing:
+        raise ValueError(f"no such columns: {missing}")
+    exprs = {
+        c: quoted(c)
+        if isinstance(schema[c].dataType, T.DoubleType)
+        else X.blank_to_null(quoted(c), on_error)
+        for c in names
+    }
+    return exprs if fill is None else {c: X.filled(e, fill) for c, e in exprs.items()}
+
+
+def _replace(df: DataFrame, exprs: Mapping[str, str]) -> DataFrame:
+    return df.withColumns({c: F.expr(e) for c, e in exprs.items()}) if exprs else df
+
+
+def yes_no_to_int(
+    df: DataFrame, cols: Iterable[str], yes: str = "Yes", no: str = "No"
+) -> DataFrame:
+    """Text flags to 1 / 0 / NULL. Absent columns are skipped; columns that
+    are whole numbers already stay, so a second run changes nothing."""
+    return _replace(df, _flag_exprs(df.schema, cols, yes, no))
 
 
 def cast_int_flags(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Numeric flags to int; absent columns are skipped."""
-    flags = {c: F.col(quoted(c)).cast("int") for c in cols if c in df.columns}
-    return df.withColumns(flags) if flags else df
+    return _replace(df, _int_exprs(df.schema, cols))
 
 
 def blank_to_null_numeric(
     df: DataFrame, cols: Iterable[str], fill: float | None = None, on_error: str = X.RAISE
 ) -> DataFrame:
     """Text numbers to double: trimmed, blanks as NULL, then ``fill``."""
-    names = list(cols)
-    missing = [c for c in names if c not in df.columns]
-    if missing:
-        raise ValueError(f"no such columns: {missing}")
-    out = df.withColumns(
-        {
-            c: F.col(quoted(c))
-            if isinstance(df.schema[c].dataType, T.DoubleType)
-            else X.blank_to_null(F.col(quoted(c)), on_error)
-            for c in names
-        }
-    )
-    return out if fill is None else fill_null(out, names, fill)
+    return _replace(df, _number_exprs(df.schema, cols, fill, on_error))
 
 
 def fill_null(df: DataFrame, cols: Iterable[str], value: float = 0.0) -> DataFrame:
@@ -85,6 +100,8 @@ class CleanSpec:
     keys: tuple[str, ...]
     fixes: Mapping[str, str] = field(default_factory=dict)
     yes_no: tuple[str, ...] = ()
+    yes: str = "Yes"
+    no: str = "No"
     int_flags: tuple[str, ...] = ()
     numbers: tuple[str, ...] = ()
     fill: float | None = 0.0
@@ -95,9 +112,14 @@ class CleanSpec:
 def standardise(df: DataFrame, spec: CleanSpec) -> DataFrame:
     """All per-row cleaning of ``spec``: one projection, no shuffle."""
     df = snake_case_columns(df, spec.fixes)
-    df = yes_no_to_int(df, spec.yes_no)
-    df = cast_int_flags(df, spec.int_flags)
-    return blank_to_null_numeric(df, spec.numbers, spec.fill, spec.on_error)
+    return _replace(
+        df,
+        {
+            **_flag_exprs(df.schema, spec.yes_no, spec.yes, spec.no),
+            **_int_exprs(df.schema, spec.int_flags),
+            **_number_exprs(df.schema, spec.numbers, spec.fill, spec.on_error),
+        },
+    )
 
 
 def clean(df: DataFrame, spec: CleanSpec) -> DataFrame:

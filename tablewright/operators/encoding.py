@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions import expressions as X
-from tablewright.functions.naming import quoted
+from tablewright.functions.naming import quoted, text
 from tablewright.operators.columns import columns_with_suffix
 from tablewright.session import through_storage
 
@@ -25,14 +25,14 @@ MAX_LABELS = 999
 
 def label_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, label, n) for every non-NULL value of ``cols``."""
-    names = F.array(*[F.lit(c) for c in cols])
-    values = F.array(*[F.col(quoted(c)).cast("string") for c in cols])
+    names = ", ".join(map(text, cols))
+    values = ", ".join(f"CAST({quoted(c)} AS STRING)" for c in cols)
     return (
-        df.select(F.posexplode(values).alias("pos", "label"))
-        .where(F.col("label").isNotNull())
+        df.selectExpr(f"posexplode(array({values})) AS (pos, label)")
+        .where("label IS NOT NULL")
         .groupBy("pos", "label")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.element_at(names, F.col("pos") + 1).alias("column"), "label", "n")
+        .selectExpr(f"element_at(array({names}), pos + 1) AS column", "label", "n")
     )
 
 
@@ -137,7 +137,10 @@ def string_index(
     names = [*df.columns, *[c + suffix for c in cols]]
     if small:
         df = df.withColumns(
-            {c + suffix: X.slot_of(F.col(quoted(c)), labels[c]).cast("double") for c in small}
+            {
+                c + suffix: F.expr(f"CAST({X.slot_of(quoted(c), labels[c])} AS DOUBLE)")
+                for c in small
+            }
         )
     for c in large:
         known = vocab.where(F.col("column") == c).select(
@@ -157,7 +160,7 @@ def one_hot(df: DataFrame, sizes: Mapping[str, int], suffix: str = "_vec") -> Da
     named ``x_idx`` gives ``x_vec``."""
     return df.withColumns(
         {
-            c.removesuffix("_idx") + suffix: X.one_hot_array(F.col(quoted(c)), size)
+            c.removesuffix("_idx") + suffix: F.expr(X.one_hot_array(quoted(c), size))
             for c, size in sizes.items()
         }
     )
@@ -176,8 +179,8 @@ def encode_many(
     labels = collect_vocab(vocab, cols, max_labels)
     out = df.withColumns(
         {
-            c + suffix: X.one_hot_array(
-                X.slot_of(F.col(quoted(c)), labels[c]), len(labels[c]) + 1
+            c + suffix: F.expr(
+                X.one_hot_array(X.slot_of(quoted(c), labels[c]), len(labels[c]) + 1)
             )
             for c in cols
         }

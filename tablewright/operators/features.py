@@ -19,19 +19,20 @@ def bucketize(
     dtype = df.schema[col].dataType
     if not isinstance(dtype, T.NumericType):
         raise TypeError(f"{col} is {dtype.simpleString()}, not a number")
-    return df.withColumn(out, X.bucket_index(F.col(quoted(col)), splits, on_error))
+    return df.withColumn(out, F.expr(X.bucket_index(quoted(col), splits, on_error)))
 
 
 def guarded_ratio(
     df: DataFrame, num: str, den: str, when_zero: str, out: str, on_error: str = X.RAISE
 ) -> DataFrame:
     """``num / den``, or the column ``when_zero`` where ``den`` is 0."""
-    n, d, z = (F.col(quoted(c)) for c in (num, den, when_zero))
-    return df.withColumn(out, F.when(d == 0, z).otherwise(X.ratio(n, d, on_error)))
+    n, d, z = map(quoted, (num, den, when_zero))
+    guarded = f"CASE WHEN {d} = 0 THEN {z} ELSE {X.ratio(n, d, on_error)} END"
+    return df.withColumn(out, F.expr(guarded))
 
 
 def plain_ratio(
     df: DataFrame, num: str, den: str, out: str, on_error: str = X.RAISE
 ) -> DataFrame:
     """``num / den``; a zero divisor fails the job or gives NULL."""
-    return df.withColumn(out, X.ratio(F.col(quoted(num)), F.col(quoted(den)), on_error))
+    return df.withColumn(out, F.expr(X.ratio(quoted(num), quoted(den), on_error)))

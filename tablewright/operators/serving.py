@@ -3,8 +3,8 @@
 Latest-per-key is an aggregate (greatest row per key), so map tasks reduce
 their rows before anything is shuffled and a key with a third of the history
 is no larger on the wire than any other. The as-of join is one shuffle by key
-and a running ``last``; keys that hold a large share of all rows are found
-first and cut into time slices (see :class:`Skew`).
+and a running ``last``; the time lines of keys that hold a large share of all
+rows are cut into slices (see :class:`Skew`).
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.naming import quoted
+from tablewright.functions.naming import quoted, text
 from tablewright.operators.columns import moment
 from tablewright.operators.dedup import orderable, pick_row
 from tablewright.operators.views import FeatureView
+from tablewright.session import through_storage
 
 
 def latest_per_key(
@@ -115,11 +116,12 @@ class Skew:
 
     A key is hot if it holds at least ``share`` of all rows and ``min_rows``
     rows; there are at most ``1 / share`` of them. Its time line is cut into
-    slices of about ``slice_rows`` points, at most ``max_slices``.
+    slices of about ``slice_rows`` rows, at most ``max_slices``. A single
+    instant that is hot by the same measure becomes a slice of its own.
     """
 
     share: float = 0.001
-    min_rows: int = 1_000_000
+    min_rows: int = 5_000_000
     slice_rows: int = 1_000_000
     max_slices: int = 1024
 
@@ -164,10 +166,10 @@ def point_in_time_join(
     a match its features are NULL. ``event_as`` names a column for the event
     time of the match.
 
-    Cold keys: union of both sides, one shuffle by key, running ``last``.
-    Hot keys (see :class:`Skew`): the distinct points are cut into time
-    slices, the last feature before each slice is carried into it, and the
-    answers are joined back to the spine rows by (key, time).
+    Both sides are united, shuffled once by key, and each spine row takes the
+    running ``last`` feature. Hot keys (see :class:`Skew`) are shuffled by key
+    and time slice instead, with the last feature before each slice added to
+    it; how that is done never changes the result.
     """
     keys, event = view.keys, view.source.event_timestamp
     created = view.source.created_timestamp
@@ -197,12 +199,7 @@ def point_in_time_join(
 
     hot = hot_keys([facts, asks], keys, skew) if skew else {}
     if hot:
-        is_hot = _key_hash(keys).isin(list(hot))
-        answered = _as_of(facts.where(~is_hot), asks.where(~is_hot), keys, others).unionByName(
-            _as_of_sliced(
-                facts.where(is_hot), asks.where(is_hot), keys, others, max(hot.values()), skew
-            )
-        )
+        answered = _as_of_sliced(facts, asks, keys, others, hot, skew)
     else:
         answered = _as_of(facts, asks, keys, others)
 
@@ -256,9 +253,9 @@ def _running_last(timeline: DataFrame, groups: Sequence[str]) -> DataFrame:
 
 
 def _as_of(
-    facts: DataFrame, asks: DataFrame, keys: Sequence[str], others: Sequence[str]
+    facts: DataFrame, asks: DataFrame, groups: Sequence[str], others: Sequence[str]
 ) -> DataFrame:
-    """Spine rows with the feature struct, by one shuffle on the key."""
+    """Spine rows with the feature struct, by one shuffle on ``groups``."""
     types = {c: asks.schema[c].dataType for c in others}
     left = facts.withColumns(
         {SIDE: F.lit(0), **{c: F.lit(None).cast(types[c]) for c in others}}
@@ -266,7 +263,7 @@ def _as_of(
     right = asks.withColumns(
         {SIDE: F.lit(1), FEATURE: F.lit(None).cast(facts.schema[FEATURE].dataType)}
     )
-    return _running_last(left.unionByName(right), keys).drop(SIDE)
+    return _running_last(left.unionByName(right), groups).drop(SIDE)
 
 
 def _as_of_sliced(
@@ -274,68 +271,78 @@ def _as_of_sliced(
     asks: DataFrame,
     keys: Sequence[str],
     others: Sequence[str],
-    most: int,
+    hot: dict[int, int],
     skew: Skew,
 ) -> DataFrame:
-    """The same for hot keys, in groups of bounded size.
-
-    Copies of a point are reduced first, on the map side: one feature per
-    (key, event time), one question per (key, spine time). Slices are cut at
-    quantiles of the distinct times, so each holds about the same number of
-    points. The join back has one answer per (key, time), and adaptive
-    execution splits its skewed spine partitions, copies included.
+    """The same, with hot keys in groups of bounded size.
+
+    A hot time line is cut at quantiles of its times, and every cut point is a
+    slice of its own. The last feature of each slice, an aggregate reduced on
+    the map side, gives the state of a key after each slice: at most one row
+    per hot key and slice. The state before a slice joins the rows of that
+    slice as one more feature. Rows at a hot instant, of which there may be
+    any number, skip the shuffle: features there are in the state already,
+    and spine rows take the state after their instant by a plain join.
     """
     ks = list(map(quoted, keys))
-    whole = orderable(facts.schema[FEATURE].dataType)
-    greatest = F.max(FEATURE) if whole else F.max_by(FEATURE, F.xxhash64(F.to_json(FEATURE)))
-    facts = facts.groupBy(*ks, T_).agg(greatest.alias(FEATURE))
-    points = asks.select(*ks, T_).distinct()
-
-    slices = max(1, min(skew.max_slices, math.ceil(most / skew.slice_rows)))
-    at = _slice_of(facts.select(T_).unionAll(points.select(T_)), slices)
-    facts, points = facts.withColumn(SLICE, at), points.withColumn(SLICE, at)
-
-    # Last feature of each slice, carried to the start of the following ones
-    # up to and including the next slice that has features of its own.
-    lasts = facts.groupBy(*ks, SLICE).agg(F.max_by(FEATURE, T_).alias(FEATURE))
-    following = F.lead(SLICE, 1, slices - 1).over(Window.partitionBy(*ks).orderBy(SLICE))
-    carried = (
+    is_hot = _key_hash(keys).isin(list(hot))
+    times = facts.where(is_hot).select(T_).unionAll(asks.where(is_hot).select(T_))
+    slices = max(1, min(skew.max_slices, math.ceil(max(hot.values()) / skew.slice_rows)))
+    cuts, instants = _cut_points(times, slices, skew)
+    dtype = facts.schema[T_].dataType.simpleString()
+
+    def points(texts: Sequence[str]) -> Column:
+        return F.expr(f"CAST(array({', '.join(map(text, texts))}) AS array<{dtype}>)")
+
+    # 2 i between the i-th cut point and the next, 2 i - 1 at the i-th itself.
+    reached = F.size(F.filter(points(cuts), lambda x: x <= F.col(T_)))
+    passed = F.size(F.filter(points(cuts), lambda x: x < F.col(T_)))
+    at = F.when(is_hot, reached + passed).otherwise(0)
+    facts, asks = facts.withColumn(SLICE, at), asks.withColumn(SLICE, at)
+
+    lasts = facts.where(is_hot).groupBy(*ks, SLICE).agg(_greatest(facts).alias(FEATURE))
+    following = F.lead(SLICE, 1, 2 * len(cuts) + 1).over(Window.partitionBy(*ks).orderBy(SLICE))
+    filled = (
         lasts.withColumn("__next", following)
-        .where(F.col(SLICE) < F.col("__next"))
-        .withColumn(SLICE, F.explode(F.sequence(F.col(SLICE) + 1, F.col("__next"))))
-        .withColumn(T_, _event_of(facts))
-        .select(*ks, T_, FEATURE, SLICE)
-    )
-
-    left = facts.select(*ks, T_, FEATURE, SLICE).unionAll(carried).withColumn(SIDE, F.lit(0))
-    right = points.withColumns(
-        {SIDE: F.lit(1), FEATURE: F.lit(None).cast(facts.schema[FEATURE].dataType)}
-    )
-    answers = _running_last(left.unionByName(right), [*keys, SLICE]).select(*ks, T_, FEATURE)
-    return asks.join(answers, [*keys, T_], "left").select(
-        *ks, T_, FEATURE, *map(quoted, others)
-    )
-
-
-def _event_of(facts: DataFrame) -> Column:
-    """The event time is the first part of the feature struct."""
-    return F.col(f"{FEATURE}.{quoted(facts.schema[FEATURE].dataType.names[0])}")
-
-
-def _slice_of(times: DataFrame, slices: int) -> Column:
-    """Slice number of a time: how many of the cut points it has reached. The
-    cut points (fewer than ``slices``) are fixed here once, as constants, so
-    that every branch and every retried task cuts alike."""
-    if slices == 1:
-        return F.lit(0)
-    dtype = times.schema[T_].dataType
-    ranks = [i / slices for i in range(1, slices)]
-    cuts = times.agg(
-        F.transform(
-            F.percentile_approx(T_, ranks, 20 * slices), lambda x: x.cast("string")
-        ).alias("c")
-    ).first()["c"]
-    points = F.array(*[F.lit(c) for c in sorted(set(cuts or []))]).cast(
-        f"array<{dtype.simpleString()}>"
+        .withColumn(SLICE, F.explode(F.sequence(F.col(SLICE), F.col("__next") - 1)))
+        .select(*ks, SLICE, FEATURE)
     )
-    return F.size(F.filter(points, lambda x: x <= F.col(T_)))
+    state = through_storage(filled, "hot-keys")
+    event = F.col(f"{FEATURE}.{quoted(facts.schema[FEATURE].dataType.names[0])}")
+    carried = state.select(*ks, event.alias(T_), FEATURE, (F.col(SLICE) + 1).alias(SLICE))
+
+    pinned = is_hot & F.array_contains(points(instants), F.col(T_)) if instants else F.lit(False)
+    answered = _as_of(
+        facts.where(~pinned).unionByName(carried), asks.where(~pinned), [*keys, SLICE], others
+    ).drop(SLICE)
+    if not instants:
+        return answered
+    there = asks.where(pinned).join(state, [*keys, SLICE], "left")
+    return answered.unionByName(there.drop(SLICE))
+
+
+def _greatest(facts: DataFrame) -> Column:
+    """The latest feature struct of a group, by the order of ``_running_last``."""
+    if orderable(facts.schema[FEATURE].dataType):
+        return F.max(FEATURE)
+    return F.max_by(FEATURE, F.struct(F.col(T_), F.xxhash64(F.to_json(F.struct(FEATURE)))))
+
+
+def _cut_points(times: DataFrame, slices: int, skew: Skew) -> tuple[list[str], list[str]]:
+    """Quantiles and hot instants of ``times`` as text: fewer than ``slices``
+    and at most ``1 / share`` values, found in one pass without a shuffle. They
+    go into the plan as constants, so every branch and every retried task cuts
+    alike; which ones they are does not change any result."""
+    most = math.ceil(1 / skew.share)
+    tracked = min(1_000_000, max(8 * most, 1024))
+    ranks = ", ".join(f"{i / slices}D" for i in range(1, slices)) or "0.5D"
+    row = times.selectExpr(
+        f"transform(percentile_approx({T_}, array({ranks}), {20 * slices}), "
+        "x -> CAST(x AS STRING)) AS cuts",
+        f"transform(approx_top_k({T_}, {most}, {tracked}), "
+        "x -> struct(CAST(x.item AS STRING) AS item, x.count AS count)) AS top",
+        "count(1) AS n",
+    ).first()
+    floor = max(skew.min_rows, row["n"] * skew.share)
+    instants = sorted({x["item"] for x in row["top"] if x["count"] >= floor})
+    return sorted({*(row["cuts"] or []), *instants}), instants

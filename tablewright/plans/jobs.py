@@ -9,8 +9,9 @@ Each step is one command, so any scheduler can run them in order::
     python -m tablewright.plans.jobs apply --gold G
     python -m tablewright.plans.jobs materialize --gold G --online O --until T
 
-A step that fails ends with exit code 1. Every write is one Spark job; row
-counts come from the write itself.
+``all`` runs them in this order under one root folder. A step that fails ends
+with exit code 1. Every write is one Spark job; row counts come from the write
+itself.
 """
 
 from __future__ import annotations
@@ -141,6 +142,22 @@ def materialize(spark: SparkSession, gold: str, online: str, until, view=None) -
     return publish_snapshot(table, online, uuid.uuid4().hex, until)
 
 
+def run_all(
+    spark: SparkSession, raw: str, root: str, until, *, raw_format="csv", min_rows=customer.MIN_ROWS
+) -> str:
+    """All steps in order; the first that fails stops the rest, so nothing
+    that the gate or the contract refuses is ever served."""
+    bronze, silver, gold, vocab, online = (
+        f"{root.rstrip('/')}/{name}" for name in ("bronze", "silver", "gold", "vocab", "online")
+    )
+    ingest(spark, raw, bronze, raw_format=raw_format)
+    clean(spark, bronze, silver)
+    features(spark, silver, gold, vocab=vocab, as_of=until)
+    gate(spark, gold, customer.gold_rules(min_rows))
+    apply(spark, gold)
+    return materialize(spark, gold, online, until)
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tablewright")
     parser.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE")
@@ -153,19 +170,23 @@ def main(argv: list[str] | None = None) -> int:
         "gate": ("gold",),
         "apply": ("gold",),
         "materialize": ("gold", "online"),
+        "all": ("raw", "root"),
     }
     sub = {}
     for step, paths in names.items():
         sub[step] = steps.add_parser(step)
         for path in paths:
             sub[step].add_argument(f"--{path}", required=True)
-    sub["ingest"].add_argument("--raw-format", default="csv")
+    for step in ("ingest", "all"):
+        sub[step].add_argument("--raw-format", default="csv")
+    for step in ("gate", "all"):
+        sub[step].add_argument("--min-rows", type=int, default=customer.MIN_ROWS)
+    for step in ("materialize", "all"):
+        sub[step].add_argument("--until")
     sub["clean"].add_argument("--few-duplicates", action="store_true")
     sub["features"].add_argument("--vocab")
     sub["features"].add_argument("--keep-vocab", action="store_true")
     sub["features"].add_argument("--as-of")
-    sub["gate"].add_argument("--min-rows", type=int, default=customer.MIN_ROWS)
-    sub["materialize"].add_argument("--until")
     args = parser.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(levelname)s %(message)s")
@@ -202,8 +223,18 @@ def main(argv: list[str] | None = None) -> int:
         elif args.step == "apply":
             apply(spark, args.gold)
         else:
-            now = datetime.now(timezone.utc).replace(tzinfo=None)
-            materialize(spark, args.gold, args.online, args.until or now)
+            until = args.until or datetime.now(timezone.utc).replace(tzinfo=None)
+            if args.step == "materialize":
+                materialize(spark, args.gold, args.online, until)
+            else:
+                run_all(
+                    spark,
+                    args.raw,
+                    args.root,
+                    until,
+                    raw_format=args.raw_format,
+                    min_rows=args.min_rows,
+                )
     except GateFailed as failed:
         for reason in failed.reasons:
             log.error(reason)

@@ -69,6 +69,16 @@ def test_materialise_twice(spark, layers):
     assert table.count() == 1500 and until == "2024-07-01 00:00:00"
 
 
+def test_all_steps(spark, layers, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "build_session", lambda conf: spark)
+    root = str(tmp_path / "root")
+    command = ["all", "--raw", layers["raw"], "--root", root, "--until", "2024-06-01 00:00:00"]
+    assert jobs.main([*command, "--min-rows", "2000"]) == 1
+    assert current_snapshot(spark, f"{root}/online") is None
+    assert jobs.main(command) == 0
+    assert current_snapshot(spark, f"{root}/online")[0].count() == 1500
+
+
 def test_exit_codes(spark, layers, tmp_path, monkeypatch):
     monkeypatch.setattr(jobs, "build_session", lambda conf: spark)
     assert jobs.main(["gate", "--gold", layers["gold"]]) == 0

@@ -27,6 +27,8 @@ FEATURES = "k string, event timestamp_ntz, created timestamp_ntz, v int"
 SPINE = "id int, k string, ts timestamp_ntz"
 
 HOT = V.Skew(share=0.05, min_rows=1, slice_rows=7, max_slices=9)
+MANY_CUTS = V.Skew(share=0.2, min_rows=1, slice_rows=1)
+MANY_INSTANTS = V.Skew(share=0.003, min_rows=1, slice_rows=40)
 
 
 def brute_force(spine, features, ttl):
@@ -79,8 +81,8 @@ def random_case(seed, n=300):
     return spine + spine[:20], features
 
 
-@pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("skew", [None, V.Skew(), HOT, V.Skew(share=0.2, min_rows=1, slice_rows=1)])
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("skew", [None, V.Skew(), HOT, MANY_CUTS, MANY_INSTANTS])
 @pytest.mark.parametrize("ttl", [None, timedelta(hours=3)])
 def test_as_of_equals_brute_force(spark, seed, skew, ttl):
     spine, features = random_case(seed)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.naming import quoted
+from tablewright.session import fits_broadcast
 
 ROW = "__row"
 
@@ -89,8 +90,7 @@ def dedup_rare(
         .where("__n > 1")
         .select(*map(quoted, keys))
     )
-    found = repeated.limit(max_broadcast_keys + 1)
-    if found.count() > max_broadcast_keys:
+    if not fits_broadcast(repeated, max_broadcast_keys):
         return dedup_by_key(df, keys, order_by, keep)
     small = F.broadcast(repeated)
     single = df.where(~any_null).join(small, keys, "left_anti")

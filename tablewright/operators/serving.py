@@ -21,7 +21,7 @@ from tablewright.functions.naming import quoted, text
 from tablewright.operators.columns import moment
 from tablewright.operators.dedup import orderable, pick_row
 from tablewright.operators.views import FeatureView
-from tablewright.session import through_storage
+from tablewright.session import fits_broadcast, through_storage
 
 
 def latest_per_key(
@@ -69,12 +69,25 @@ def materialize_latest(
     )
 
 
-def merge_snapshot(snapshot: DataFrame, newer: DataFrame, view: FeatureView) -> DataFrame:
-    """Snapshot and new rows together, latest per key."""
-    both = snapshot.select(*map(quoted, view.columns)).unionByName(
-        newer.select(*map(quoted, view.columns))
-    )
-    return latest_per_key(both, view.keys, view.timestamps, view.features)
+def merge_snapshot(
+    snapshot: DataFrame, newer: DataFrame, view: FeatureView, max_broadcast_keys: int = 500_000
+) -> DataFrame:
+    """Snapshot and new rows together, latest per key.
+
+    If the keys with new rows are measured and few, only their snapshot rows
+    are shuffled; the others pass straight through. Otherwise the whole
+    snapshot is merged by key.
+    """
+    columns = list(map(quoted, view.columns))
+    old, new = snapshot.select(*columns), newer.select(*columns)
+    touched = new.select(*map(quoted, view.keys)).distinct()
+    kept = None
+    if fits_broadcast(touched, max_broadcast_keys):
+        small = F.broadcast(touched)
+        kept = old.join(small, view.keys, "left_anti").select(*columns)
+        old = old.join(small, view.keys, "left_semi").select(*columns)
+    merged = latest_per_key(old.unionByName(new), view.keys, view.timestamps, view.features)
+    return merged if kept is None else merged.unionByName(kept)
 
 
 def materialize_incremental(
@@ -83,12 +96,13 @@ def materialize_incremental(
     view: FeatureView,
     since: str | datetime,
     until: str | datetime,
+    max_broadcast_keys: int = 500_000,
 ) -> DataFrame:
     """The snapshot brought from ``since`` to ``until`` by reading only the
     rows in between. Write it to a new path: the old one is being read. A row
     that arrives later with an event time before ``since`` is not seen; a full
     :func:`materialize_latest` or the streaming form repairs that."""
-    return merge_snapshot(snapshot, _dated(df, view, since, until), view)
+    return merge_snapshot(snapshot, _dated(df, view, since, until), view, max_broadcast_keys)
 
 
 def online_lookup(
@@ -97,14 +111,14 @@ def online_lookup(
     """The features of the given keys; every row of ``keys`` stays, unknown
     keys get NULL.
 
-    If the distinct keys are counted and few, they are broadcast to cut the
+    If the distinct keys are measured and few, they are broadcast to cut the
     snapshot down where it is read, and only its hits are joined. Otherwise
     the join is a plain shuffle, whose skew on the ``keys`` side adaptive
     execution splits (the snapshot has one row per key).
     """
     names = view.keys
     asked = keys.select(*map(quoted, names)).distinct()
-    if asked.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
+    if fits_broadcast(asked, max_broadcast_keys):
         snapshot = snapshot.join(F.broadcast(asked), names, "left_semi")
     hits = snapshot.select(*map(quoted, [*names, *view.features]))
     return keys.join(hits, names, "left")

@@ -7,6 +7,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tablewright.functions.naming import quoted
 
 # The planner settings every job here relies on.
 BASE_CONF = {
@@ -110,3 +113,16 @@ def through_storage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> bool:
+    """Whether a side is small enough to send to every task, by measuring it.
+    The measure stops one row above the bound."""
+    width = " + ".join(f"coalesce(octet_length(CAST({quoted(c)} AS STRING)), 0)" for c in df.columns)
+    size = (
+        df.limit(max_rows + 1)
+        .selectExpr(f"{width} AS width")
+        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("width"), F.lit(0)).alias("bytes"))
+        .first()
+    )
+    return size["n"] <= max_rows and size["bytes"] <= max_bytes

@@ -104,3 +104,11 @@ def test_scratch_follows_the_session(spark):
     local = Session("local[2]", {})
     assert session.scratch_dir(local) == session.scratch_dir(local)
     assert session.through_storage(spark.range(5), "t").count() == 5
+
+
+def test_broadcast_measure(spark):
+    df = spark.range(10).selectExpr("id", "repeat('x', 100) AS t")
+    assert session.fits_broadcast(df, 10)
+    assert not session.fits_broadcast(df, 9)
+    assert not session.fits_broadcast(df, 10, max_bytes=500)
+    assert session.fits_broadcast(df.limit(0), 0)

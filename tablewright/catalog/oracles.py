@@ -458,6 +458,6 @@ ORACLES["src_gold"] = over("SELECT customer_id, tenure_group, billing_ratio FROM
 ORACLES["src_feature"] = f"SELECT user_id, day, created FROM ({HISTORY})"
 ORACLES["sink_table"] = over("SELECT * FROM snake")
 ORACLES["sink_gold"] = "SELECT count(*) AS n FROM customer"
-ORACLES["raw_file_header"] = " UNION ALL ".join(
+ORACLES["raw_file_audit"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '50415231' AS header_hex, FALSE AS is_zip" for t in TABLES
 )

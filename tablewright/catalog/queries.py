@@ -25,11 +25,11 @@ from tablewright.session import scratch_path
 from tablewright.sources import (
     current_snapshot,
     publish_snapshot,
-    raw_file_audit,
     read_table,
     read_tabular,
     write_table,
 )
+from tablewright.sources.files import raw_file_audit as audit_files
 from tablewright.streaming.materialize import read_history, stream_materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -605,9 +605,9 @@ def sink_gold(spark, sf_dir):
 
 
 @query
-def raw_file_header(spark, sf_dir):
+def raw_file_audit(spark, sf_dir):
     """Every table file is Parquet and none is a workbook."""
-    audit = raw_file_audit(spark, sf_dir, "*.parquet")
+    audit = audit_files(spark, sf_dir, "*.parquet")
     name = F.substring_index(F.substring_index("path", "/", -1), ".", 1)
     return audit.select(name.alias("table_name"), "header_hex", "is_zip").where(
         F.col("table_name").isin(TABLES)

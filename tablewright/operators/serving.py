@@ -70,18 +70,18 @@ def materialize_latest(
 
 
 def merge_snapshot(
-    snapshot: DataFrame, newer: DataFrame, view: FeatureView, max_broadcast_keys: int = 500_000
+    snapshot: DataFrame, newest: DataFrame, view: FeatureView, max_broadcast_keys: int = 500_000
 ) -> DataFrame:
-    """Snapshot and new rows together, latest per key.
+    """Two tables of one row per key, latest of both. ``newest`` is read more
+    than once, so it should be stored.
 
-    If the keys with new rows are measured and few, only their snapshot rows
-    are shuffled; the others pass straight through. Otherwise the whole
-    snapshot is merged by key.
+    If its keys are measured and few, only their snapshot rows are shuffled;
+    the others pass straight through. Otherwise the whole snapshot is merged
+    by key.
     """
     columns = list(map(quoted, view.columns))
-    old, new = snapshot.select(*columns), newer.select(*columns)
-    touched = new.select(*map(quoted, view.keys)).distinct()
-    kept = None
+    old, new = snapshot.select(*columns), newest.select(*columns)
+    touched, kept = new.select(*map(quoted, view.keys)), None
     if fits_broadcast(touched, max_broadcast_keys):
         small = F.broadcast(touched)
         kept = old.join(small, view.keys, "left_anti").select(*columns)
@@ -99,10 +99,11 @@ def materialize_incremental(
     max_broadcast_keys: int = 500_000,
 ) -> DataFrame:
     """The snapshot brought from ``since`` to ``until`` by reading only the
-    rows in between. Write it to a new path: the old one is being read. A row
-    that arrives later with an event time before ``since`` is not seen; a full
-    :func:`materialize_latest` or the streaming form repairs that."""
-    return merge_snapshot(snapshot, _dated(df, view, since, until), view, max_broadcast_keys)
+    rows in between, once. Write it to a new path: the old one is being read.
+    A row that arrives later with an event time before ``since`` is not seen;
+    a full :func:`materialize_latest` or the streaming form repairs that."""
+    newest = through_storage(materialize_latest(df, view, until, since), "newest")
+    return merge_snapshot(snapshot, newest, view, max_broadcast_keys)
 
 
 def online_lookup(

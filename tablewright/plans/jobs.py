@@ -47,10 +47,17 @@ log = logging.getLogger("tablewright")
 
 
 def ingest(
-    spark: SparkSession, raw: str, bronze: str, *, raw_format="csv", table_format="parquet"
+    spark: SparkSession,
+    raw: str,
+    bronze: str,
+    *,
+    raw_format="csv",
+    schema: str | None = None,
+    table_format="parquet",
 ) -> int:
-    """Raw file to bronze, names and inferred types as they are."""
-    rows = write_counted(read_tabular(spark, raw, raw_format), bronze, table_format)
+    """Raw file to bronze, names as they are; types are inferred unless a
+    ``schema`` saves that extra read."""
+    rows = write_counted(read_tabular(spark, raw, raw_format, schema), bronze, table_format)
     log.info("bronze: %d rows", rows)
     return rows
 
@@ -179,6 +186,7 @@ def main(argv: list[str] | None = None) -> int:
             sub[step].add_argument(f"--{path}", required=True)
     for step in ("ingest", "all"):
         sub[step].add_argument("--raw-format", default="csv")
+    sub["ingest"].add_argument("--schema")
     for step in ("gate", "all"):
         sub[step].add_argument("--min-rows", type=int, default=customer.MIN_ROWS)
     for step in ("materialize", "all"):
@@ -198,6 +206,7 @@ def main(argv: list[str] | None = None) -> int:
                 args.raw,
                 args.bronze,
                 raw_format=args.raw_format,
+                schema=args.schema,
                 table_format=args.table_format,
             )
         elif args.step == "clean":

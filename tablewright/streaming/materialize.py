@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tablewright.functions.naming import quoted
 from tablewright.operators.serving import materialize_latest, merge_snapshot
 from tablewright.operators.views import FeatureView
+from tablewright.session import through_storage
 from tablewright.sources.tables import current_snapshot, publish_snapshot
 
 
@@ -53,13 +54,15 @@ def stream_materialize(
         last = current_snapshot(spark, root)
         if last is not None and last[2] == version:
             return
-        newest = materialize_latest(batch, view)
-        table = newest if last is None else merge_snapshot(last[0], newest, view)
-        event = view.source.event_timestamp
-        until = batch.agg(F.max(quoted(event)).cast("string")).first()[0]
-        if until is None and last is not None:
+        newest = through_storage(materialize_latest(batch, view), "newest")
+        event = F.max(quoted(view.source.event_timestamp)).cast("string")
+        until = newest.agg(event).first()[0]
+        if last is None:
+            table, until = newest, until or ""
+        elif until is None:
             return
-        until = until if last is None or last[1] == "None" else max(until, last[1])
+        else:
+            table, until = merge_snapshot(last[0], newest, view), max(until, last[1])
         publish_snapshot(table, root, version, until)
 
     return (

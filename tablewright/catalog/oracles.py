@@ -268,6 +268,14 @@ ORACLES["describe_stats"] = " UNION ALL ".join(
 ORACLES["describe_billing_ratio"] = over(_stats("billing_ratio", "derived"))
 
 
+ORACLES["describe_quartiles"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS prob, "
+    f"round(quantile_cont(CAST({c} AS DOUBLE), {p}), 6) AS value FROM lineitem"
+    for c in ("l_quantity", "l_extendedprice", "l_discount", "l_partkey")
+    for p in (0.25, 0.5, 0.75)
+)
+
+
 def _gate(rows: list[tuple[str, str, str, str, str]]) -> str:
     """(rule, kind, severity, violations, source) per line."""
     return " UNION ALL ".join(

@@ -19,6 +19,7 @@ from tablewright.operators import profiling as P
 from tablewright.operators import quality as Q
 from tablewright.operators import serving as V
 from tablewright.operators import views as W
+from tablewright.operators.quantiles import quantiles
 from tablewright.operators.training import train_eval as fit_and_score
 from tablewright.plans import customer, layers
 from tablewright.session import scratch_path
@@ -381,6 +382,15 @@ def describe_billing_ratio(spark, sf_dir):
     return stats.withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})
 
 
+@query
+def describe_quartiles(spark, sf_dir):
+    """Exact, with a small bound so that brackets are narrowed here too."""
+    lines = table(spark, sf_dir, "lineitem")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"]
+    out = quantiles(lines, cols, max_rows=5_000)
+    return out.withColumn("value", F.round("value", 6))
+
+
 # --- quality gate ----------------------------------------------------------
 
 

@@ -3,6 +3,7 @@ import math
 import pytest
 
 from tablewright.operators import profiling as P
+from tablewright.operators.quantiles import quantiles
 
 
 @pytest.fixture(scope="module")
@@ -54,3 +55,29 @@ def test_peek(spark):
     df = spark.range(100).selectExpr("99 - id AS x")
     assert [r["x"] for r in P.peek(df, 3, ["x"]).collect()] == [0, 1, 2]
     assert P.peek(df, 4).count() == 4
+
+
+@pytest.mark.parametrize("max_rows", [1, 50, 10**6])
+def test_quantiles_equal_pandas(spark, max_rows):
+    df = spark.range(4000).selectExpr(
+        "CAST(pmod(hash(id), 1000003) AS DOUBLE) / 7 AS spread",
+        "CASE WHEN id % 3 = 0 THEN 5 ELSE id % 11 END AS ties",
+        "CASE WHEN id < 3990 THEN 1 ELSE id END AS heavy",
+        "CASE WHEN id % 2 = 0 THEN -1.0D / (id + 1) WHEN id % 5 = 0 THEN double('nan') END AS gaps",
+        "CAST(NULL AS INT) AS empty",
+    )
+    probs = (0.0, 0.25, 0.5, 0.75, 0.999, 1.0)
+    want = df.toPandas().quantile(list(probs))
+    for r in quantiles(df, df.columns, probs, max_rows).collect():
+        if r["column"] == "empty":
+            assert r["value"] is None
+        else:
+            assert r["value"] == pytest.approx(want.loc[r["prob"], r["column"]], rel=1e-12)
+
+
+def test_quantiles_of_few_rows(spark):
+    one = spark.createDataFrame([(3.0,)], ["x"])
+    assert {r["value"] for r in quantiles(one, ["x"], max_rows=0).collect()} == {3.0}
+    assert quantiles(one.limit(0), ["x"]).where("value IS NOT NULL").count() == 0
+    ends = spark.createDataFrame([(float("inf"),), (1.0,), (float("-inf"),)], ["x"])
+    assert quantiles(ends, ["x"], [0.5]).first()["value"] == 1.0

@@ -41,28 +41,27 @@ def fit_vocab(
 ) -> DataFrame:
     """(column, label, slot): slots by falling count, ties by label.
 
-    With a bound, a column that has more labels fails the job, and no task
-    ever sorts more than the bound per column: Spark turns the rank filter
-    into a limit per task. With ``max_labels=None`` every label of any number
-    is ranked, by a distributed sort.
+    With a bound, a column that has more labels fails the job. Up to
+    ``MAX_LABELS`` no task ever sorts more than the bound per column, as Spark
+    turns the rank filter into a limit per task. Above it, and with
+    ``max_labels=None``, labels of any number are ranked by a distributed sort.
     """
     counts = label_counts(df, cols)
     if max_labels is None:
         return _rank_all(counts)
-    by_count = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("label"))
-    over = F.raise_error(
-        F.concat(F.lit(f"more than {max_labels} labels in column "), F.col("column"))
-    )
-    return (
-        counts.withColumn("rank", F.row_number().over(by_count))
-        .where(F.col("rank") <= max_labels + 1)
-        .select(
-            "column",
-            "label",
-            F.when(F.col("rank") <= max_labels, F.col("rank") - 1)
-            .otherwise(over.cast("int"))
-            .alias("slot"),
+    if max_labels > MAX_LABELS:
+        ranked = _rank_all(counts)
+    else:
+        by_count = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("label"))
+        ranked = (
+            counts.withColumn("slot", F.row_number().over(by_count))
+            .where(F.col("slot") <= max_labels + 1)
+            .withColumn("slot", F.col("slot") - 1)
         )
+    over = F.concat(F.lit(f"more than {max_labels} labels in column "), F.col("column"))
+    slot = F.when(F.col("slot") < max_labels, F.col("slot"))
+    return ranked.select(
+        "column", "label", slot.otherwise(F.raise_error(over).cast("int")).alias("slot")
     )
 
 

@@ -34,7 +34,9 @@ def write_table(
 
 
 def write_counted(df: DataFrame, path: str, fmt: str = "parquet", **kwargs) -> int:
-    """Write and return the number of rows, counted by the write itself."""
+    """Write and return the number of rows, counted by the write itself. It is
+    meant for the log: a stage that runs again after a lost executor counts
+    its rows again."""
     seen = Observation()
     write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), path, fmt, **kwargs)
     return seen.get["n"]

@@ -55,6 +55,10 @@ def test_too_many_labels_fail(spark):
     df = frame(spark, [f"v{i}" for i in range(20)])
     with pytest.raises(PySparkException, match="more than 10 labels"):
         E.fit_vocab(df, ["c"], max_labels=10).collect()
+    many = spark.range(1200).selectExpr("CAST(id AS STRING) AS c")
+    assert E.fit_vocab(many, ["c"], max_labels=1200).count() == 1200
+    with pytest.raises(PySparkException, match="more than 1100 labels"):
+        E.fit_vocab(many, ["c"], max_labels=1100).collect()
     full = E.fit_vocab(df, ["c"], max_labels=None)
     with pytest.raises(ValueError, match="more than 10 labels"):
         E.encode_many(df, full, ["c"], max_labels=10)

@@ -33,6 +33,7 @@ HEADLINE = (
     "null_profile",
     "schema_profile",
     "describe_stats",
+    "describe_quartiles",
     "duplicate_count",
     "feature_view_apply",
     "materialize_latest",

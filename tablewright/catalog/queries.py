@@ -600,17 +600,17 @@ def src_feature(spark, sf_dir):
 @query
 def sink_table(spark, sf_dir):
     """Two overwrites leave one copy."""
-    path = scratch_path(spark, "sink")
+    path, df = scratch_path(spark, "sink"), snake(spark, sf_dir)
     for _ in range(2):
-        write_table(snake(spark, sf_dir), path)
+        write_table(df, path)
     return read_table(spark, path)
 
 
 @query
 def sink_gold(spark, sf_dir):
-    path = scratch_path(spark, "sink-gold")
+    path, df = scratch_path(spark, "sink-gold"), golden(spark, sf_dir)
     for _ in range(2):
-        write_table(golden(spark, sf_dir), path)
+        write_table(df, path)
     return P.row_count(read_table(spark, path))
 
 

@@ -55,12 +55,11 @@ class _Bracket:
         low, high = number(self.low), number(self.high)
         return f"({self.value} >= {low} AND {self.value} <= {high})"
 
-    def guess(self) -> str:
-        """Sketched values a little outside the two ranks."""
+    def guesses(self) -> tuple[float, float]:
+        """Where in the bracket to look: a little outside the two ranks."""
         slack = 2 / ACCURACY
         first, second = ((r - self.below) / self.inside for r in self.ranks)
-        probs = f"{max(0.0, first - slack)!r}D, {min(1.0, second + slack)!r}D"
-        return f"percentile_approx(IF({self.holds}, {self.value}, NULL), array({probs}), {ACCURACY})"
+        return max(0.0, first - slack), min(1.0, second + slack)
 
     def tighten(self, low: float, high: float, below: int, upto: int) -> None:
         """Take over each bound that the exact counts confirm."""
@@ -92,7 +91,7 @@ def quantiles(
         wide = [b for b in brackets if b.narrowing and b.inside > max_rows and b.low < b.high]
         if not wide:
             break
-        guesses = df.agg(*[F.expr(b.guess()).alias(f"g{i}") for i, b in enumerate(wide)]).first()
+        guesses = _sketch(df, wide)
         counts = []
         for i, b in enumerate(wide):
             low, high = guesses[i]
@@ -107,6 +106,24 @@ def quantiles(
     return _rank(df, brackets, cols, probs)
 
 
+def _sketch(df: DataFrame, brackets: Sequence[_Bracket]) -> list[tuple[float, float]]:
+    """Two sketched values per bracket; equal brackets share a sketch."""
+    groups: dict[tuple, list[int]] = {}
+    for i, b in enumerate(brackets):
+        groups.setdefault((b.column, b.low, b.high), []).append(i)
+    aggs = []
+    for members in groups.values():
+        first = brackets[members[0]]
+        probs = ", ".join(f"{p!r}D" for i in members for p in brackets[i].guesses())
+        inside = f"IF({first.holds}, {first.value}, NULL)"
+        aggs.append(F.expr(f"percentile_approx({inside}, array({probs}), {ACCURACY})"))
+    found: list[tuple[float, float]] = [(-math.inf, math.inf)] * len(brackets)
+    for members, values in zip(groups.values(), df.agg(*aggs).first()):
+        for place, i in enumerate(members):
+            found[i] = (values[2 * place], values[2 * place + 1])
+    return found
+
+
 def _rank(
     df: DataFrame, brackets: Sequence[_Bracket], cols: Sequence[str], probs: Sequence[float]
 ) -> DataFrame:

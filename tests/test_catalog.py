@@ -20,7 +20,7 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == NO_SQL
+    assert set(QUERIES) - set(entry.oracle_sql()) == NO_SQL
     assert not set(entry.oracle_sql()) - set(entry.queries())
 
 

@@ -430,6 +430,9 @@ def _latest(where: str) -> str:
 ORACLES["materialize_latest"] = _latest(f"day <= TIMESTAMP '{UNTIL}'")
 ORACLES["materialize_incremental"] = _latest(f"day <= TIMESTAMP '{UNTIL}'")
 ORACLES["materialize_incremental_stream"] = _latest("TRUE")
+ORACLES["materialize_late"] = _latest(f"day <= TIMESTAMP '{UNTIL}'")
+ORACLES["materialize_repeated"] = _latest(f"day <= TIMESTAMP '{UNTIL}'")
+ORACLES["materialize_stream_restart"] = _latest("TRUE")
 ORACLES["online_lookup"] = f"""
 SELECT c.c_custkey AS user_id, s.event_type, s.value
 FROM customer c LEFT JOIN ({_latest(f"day <= TIMESTAMP '{UNTIL}'")}) s ON c.c_custkey = s.user_id
@@ -469,3 +472,10 @@ ORACLES["sink_gold"] = "SELECT count(*) AS n FROM customer"
 ORACLES["raw_file_audit"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '50415231' AS header_hex, FALSE AS is_zip" for t in TABLES
 )
+
+# No customer lacks a feature, and the model beats a coin on held-out rows.
+ORACLES["train_eval"] = """
+SELECT count(*) FILTER (NOT test) AS n_train, count(*) FILTER (test) AS n_test,
+       0::BIGINT AS n_skipped, TRUE AS above_half
+FROM (SELECT ('0x' || substr(md5(c_name), 1, 8))::BIGINT % 100 < 20 AS test FROM customer)
+"""

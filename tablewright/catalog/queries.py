@@ -21,7 +21,7 @@ from tablewright.operators import serving as V
 from tablewright.operators import views as W
 from tablewright.operators.quantiles import quantiles
 from tablewright.operators.training import train_eval as fit_and_score
-from tablewright.plans import customer, layers
+from tablewright.plans import customer, jobs, layers
 from tablewright.session import scratch_path
 from tablewright.sources import (
     current_snapshot,
@@ -516,6 +516,43 @@ def materialize_incremental_stream(spark, sf_dir):
     return current_snapshot(spark, root)[0]
 
 
+@query
+def materialize_late(spark, sf_dir):
+    """Published from the newer rows, then again, with the same bound, after the
+    rest of the history came in."""
+    view, gold, root = history_view(), scratch_path(spark, "gold"), scratch_path(spark, "snapshot")
+    history = as_history(table(spark, sf_dir, "events"))
+    for rows in (history.where(F.col("day") > F.lit(SINCE).cast("timestamp_ntz")), history):
+        write_table(rows, gold)
+        jobs.materialize(spark, gold, root, UNTIL, view)
+    return current_snapshot(spark, root)[0]
+
+
+@query
+def materialize_repeated(spark, sf_dir):
+    """Published twice with the same bound; values are rewritten in between."""
+    view, gold, root = history_view(), scratch_path(spark, "gold"), scratch_path(spark, "snapshot")
+    history = as_history(table(spark, sf_dir, "events"))
+    for rows in (history.withColumn("value", F.lit(0.0)), history):
+        write_table(rows, gold)
+        jobs.materialize(spark, gold, root, UNTIL, view)
+    return current_snapshot(spark, root)[0]
+
+
+@query
+def materialize_stream_restart(spark, sf_dir):
+    """Two streams with checkpoints of their own on one root; the second brings
+    what the first has not seen."""
+    view, root = history_view(), scratch_path(spark, "snapshot")
+    events = table(spark, sf_dir, "events")
+    source = scratch_path(spark, "events")
+    for part in (events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1")):
+        write_table(part, source)
+        stream = as_history(read_history(spark, source, events.schema))
+        stream_materialize(stream, view, root, scratch_path(spark, "progress")).awaitTermination()
+    return current_snapshot(spark, root)[0]
+
+
 @query
 def online_lookup(spark, sf_dir):
     view = history_view()
@@ -631,4 +668,5 @@ def raw_file_audit(spark, sf_dir):
 def train_eval(spark, sf_dir):
     served = W.conform(golden(spark, sf_dir), customer.feature_view())
     inputs = [c for c, _ in customer.VIEW_FIELDS if c != "churn"]
-    return fit_and_score(served, "churn", [customer.KEY], inputs)[1]
+    score = fit_and_score(served, "churn", [customer.KEY], inputs)[1]
+    return score.select("n_train", "n_test", "n_skipped", (F.col("accuracy") > 0.5).alias("above_half"))

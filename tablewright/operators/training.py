@@ -13,9 +13,10 @@ from tablewright.session import scratch_path
 
 
 def holdout(keys: Sequence[str], percent: int) -> Column:
-    """Whether a row belongs to the test part: by a hash of its key, so the
+    """Whether a row belongs to the test part: by the MD5 of its key, so the
     same entity is on the same side in every run and on every cluster."""
-    return F.pmod(F.xxhash64(*map(quoted, keys)), F.lit(100)) < percent
+    text = F.concat_ws("|", *[F.coalesce(F.col(quoted(k)).cast("string"), F.lit("")) for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 100 < percent
 
 
 def train_eval(
@@ -29,7 +30,8 @@ def train_eval(
     max_iter: int = 50,
 ):
     """Fit a logistic regression and score it on the held-out keys. Returns
-    the model and (n_train, n_test, accuracy).
+    the model and (n_train, n_test, n_skipped, accuracy). Rows without label
+    or with a NULL or NaN feature cannot be used: they are counted as skipped.
 
     The model is stored in the shared folder and loaded from there for
     scoring: a freshly fitted one still holds its training session, which
@@ -40,9 +42,14 @@ def train_eval(
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import array_to_vector
 
-    ready, inputs = df.where(F.col(quoted(label)).isNotNull()), []
+    ready, inputs, usable = df, [], F.col(quoted(label)).isNotNull()
     for name in features:
         col = F.col(quoted(name))
+        if isinstance(df.schema[name].dataType, T.ArrayType):
+            values = F.col(quoted(name)).cast("array<double>")
+            usable &= col.isNotNull() & ~F.exists(values, lambda x: x.isNull() | F.isnan(x))
+        else:
+            usable &= col.isNotNull() & ~F.isnan(col.cast("double"))
         if isinstance(df.schema[name].dataType, T.ArrayType):
             ready = ready.withColumn(f"__{name}", array_to_vector(col.cast("array<double>")))
         else:
@@ -53,11 +60,14 @@ def train_eval(
         F.col(quoted(label)).cast("double").alias("__label"),
         *map(quoted, inputs),
         holdout(keys, test_percent).alias("__test"),
+        F.coalesce(usable, F.lit(False)).alias("__usable"),
     )
+    skipped = ready.agg(F.count_if(~F.col("__usable")).alias("n_skipped")).first()["n_skipped"]
+    ready = ready.where("__usable").drop("__usable")
     path = scratch_path(df.sparkSession, "model")
     Pipeline(
         stages=[
-            VectorAssembler(inputCols=inputs, outputCol="__features", handleInvalid="skip"),
+            VectorAssembler(inputCols=inputs, outputCol="__features", handleInvalid="error"),
             LogisticRegression(
                 featuresCol="__features",
                 labelCol="__label",
@@ -72,6 +82,7 @@ def train_eval(
     scored = model.transform(ready).agg(
         F.count_if(~F.col("__test")).alias("n_train"),
         F.count_if("__test").alias("n_test"),
+        F.lit(skipped).cast("long").alias("n_skipped"),
         F.avg(F.when(F.col("__test"), hit)).alias("accuracy"),
     )
     return model, scored

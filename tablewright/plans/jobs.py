@@ -136,12 +136,16 @@ def apply(spark: SparkSession, gold: str, view=None) -> None:
     log.info("view %s matches", view.name)
 
 
-def materialize(spark: SparkSession, gold: str, online: str, until, view=None) -> str:
-    """Bring the published snapshot up to ``until``: in full the first time,
-    then by reading only what is newer than the last publication."""
+def materialize(
+    spark: SparkSession, gold: str, online: str, until, view=None, *, incremental: bool = False
+) -> str:
+    """Publish the latest row per key up to ``until``. The whole table is read,
+    so rewritten values and rows that came late are served. ``incremental``
+    reads only event times after the last publication: right for a history to
+    which rows are added in the order of their event time, and only there."""
     view = view or customer.feature_view(gold)
     source = conform(read_table(spark, gold), view)
-    last = current_snapshot(spark, online)
+    last = current_snapshot(spark, online) if incremental else None
     if last is None:
         table = materialize_latest(source, view, until)
     else:
@@ -150,14 +154,21 @@ def materialize(spark: SparkSession, gold: str, online: str, until, view=None) -
 
 
 def run_all(
-    spark: SparkSession, raw: str, root: str, until, *, raw_format="csv", min_rows=customer.MIN_ROWS
+    spark: SparkSession,
+    raw: str,
+    root: str,
+    until,
+    *,
+    raw_format="csv",
+    min_rows=customer.MIN_ROWS,
+    schema=None,
 ) -> str:
     """All steps in order; the first that fails stops the rest, so nothing
     that the gate or the contract refuses is ever served."""
     bronze, silver, gold, vocab, online = (
         f"{root.rstrip('/')}/{name}" for name in ("bronze", "silver", "gold", "vocab", "online")
     )
-    ingest(spark, raw, bronze, raw_format=raw_format)
+    ingest(spark, raw, bronze, raw_format=raw_format, schema=schema)
     clean(spark, bronze, silver)
     features(spark, silver, gold, vocab=vocab, as_of=until)
     gate(spark, gold, customer.gold_rules(min_rows))
@@ -191,6 +202,8 @@ def main(argv: list[str] | None = None) -> int:
         sub[step].add_argument("--min-rows", type=int, default=customer.MIN_ROWS)
     for step in ("materialize", "all"):
         sub[step].add_argument("--until")
+    sub["materialize"].add_argument("--incremental", action="store_true")
+    sub["all"].add_argument("--schema")
     sub["clean"].add_argument("--few-duplicates", action="store_true")
     sub["features"].add_argument("--vocab")
     sub["features"].add_argument("--keep-vocab", action="store_true")
@@ -234,7 +247,7 @@ def main(argv: list[str] | None = None) -> int:
         else:
             until = args.until or datetime.now(timezone.utc).replace(tzinfo=None)
             if args.step == "materialize":
-                materialize(spark, args.gold, args.online, until)
+                materialize(spark, args.gold, args.online, until, incremental=args.incremental)
             else:
                 run_all(
                     spark,
@@ -243,6 +256,7 @@ def main(argv: list[str] | None = None) -> int:
                     until,
                     raw_format=args.raw_format,
                     min_rows=args.min_rows,
+                    schema=args.schema,
                 )
     except GateFailed as failed:
         for reason in failed.reasons:

@@ -116,12 +116,11 @@ def through_storage(df: DataFrame, label: str) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> bool:
-    """Whether a side is small enough to send to every task, by measuring it.
-    The measure stops one row above the bound."""
+    """Whether a side is small enough to send to every task, by counting all its
+    rows and bytes; each task sends one row of sums."""
     width = " + ".join(f"coalesce(octet_length(CAST({quoted(c)} AS STRING)), 0)" for c in df.columns)
     size = (
-        df.limit(max_rows + 1)
-        .selectExpr(f"{width} AS width")
+        df.selectExpr(f"{width} AS width")
         .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("width"), F.lit(0)).alias("bytes"))
         .first()
     )

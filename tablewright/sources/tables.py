@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -47,11 +47,13 @@ def publish_snapshot(
 ) -> str:
     """Write ``df`` as a new version under ``root``, then add one line to the
     list of published versions. Readers see a version only when its data is
-    complete, and the version being read is never overwritten."""
+    complete, and a published version is never written again; what a failed
+    attempt left under its name is."""
+    spark, text = df.sparkSession, instant(until)
+    if is_published(spark, root, version):
+        raise ValueError(f"version {version} is published already")
     path = f"{root.rstrip('/')}/v-{version}"
     write_table(df, path, fmt)
-    text = until.isoformat(sep=" ") if isinstance(until, datetime) else str(until)
-    spark = df.sparkSession
     line = spark.range(1).select(
         F.lit(version).alias("version"),
         F.lit(text).alias("until"),
@@ -62,21 +64,37 @@ def publish_snapshot(
     return path
 
 
-def _versions(spark: SparkSession, root: str) -> list:
-    """Published versions, newest first; one row per publication."""
+def instant(value: str | datetime) -> str:
+    """A point in time as text of one form, so that texts sort as times do.
+    Offsets are turned into UTC."""
+    if not isinstance(value, datetime):
+        value = datetime.fromisoformat(value)
+    if value.tzinfo is not None:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
+    return value.isoformat(sep=" ")
+
+
+def _log(spark: SparkSession, root: str) -> DataFrame | None:
+    """One row per publication, or None before the first."""
     lines = spark.read.schema("version string, until string, format string, published timestamp")
     try:
-        log = lines.json(f"{root.rstrip('/')}/{LOG}")
+        return lines.json(f"{root.rstrip('/')}/{LOG}")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return None
         raise
-    return log.orderBy(F.desc("published"), F.desc("version")).collect()
+
+
+def is_published(spark: SparkSession, root: str, version: str) -> bool:
+    log = _log(spark, root)
+    return log is not None and bool(log.where(F.col("version") == version).head(1))
 
 
 def current_snapshot(spark: SparkSession, root: str) -> tuple[DataFrame, str, str] | None:
     """The newest published (table, until, version), or None before the first."""
-    for row in _versions(spark, root)[:1]:
+    log = _log(spark, root)
+    newest = [] if log is None else log.orderBy(F.desc("published"), F.desc("version")).head(1)
+    for row in newest:
         path = f"{root.rstrip('/')}/v-{row['version']}"
         return read_table(spark, path, row["format"]), row["until"], row["version"]
     return None

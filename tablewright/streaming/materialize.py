@@ -9,6 +9,8 @@ it run on.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,7 @@ from tablewright.functions.naming import quoted
 from tablewright.operators.serving import materialize_latest, merge_snapshot
 from tablewright.operators.views import FeatureView
 from tablewright.session import through_storage
-from tablewright.sources.tables import current_snapshot, publish_snapshot
+from tablewright.sources.tables import current_snapshot, instant, is_published, publish_snapshot
 
 
 def read_history(
@@ -46,23 +48,26 @@ def stream_materialize(
 ) -> StreamingQuery:
     """Merge every batch of ``history`` into the snapshot published at
     ``root``. A batch that is run again after a failure finds its version
-    published and is skipped; merging it twice would change nothing either."""
+    published and is skipped; merging it twice would change nothing either.
+    Versions carry the id that the checkpoint gives the query, so a stream with
+    a new checkpoint on the same root has versions of its own."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = f"batch-{batch_id:012d}"
-        last = current_snapshot(spark, root)
-        if last is not None and last[2] == version:
+        query = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+        version = f"batch-{query}-{batch_id:012d}"
+        if is_published(spark, root, version):
             return
+        last = current_snapshot(spark, root)
         newest = through_storage(materialize_latest(batch, view), "newest")
         event = F.max(quoted(view.source.event_timestamp)).cast("string")
         until = newest.agg(event).first()[0]
-        if last is None:
-            table, until = newest, until or ""
-        elif until is None:
+        if until is None:  # no row with a key: nothing to publish
             return
+        if last is None:
+            table = newest
         else:
-            table, until = merge_snapshot(last[0], newest, view), max(until, last[1])
+            table, until = merge_snapshot(last[0], newest, view), max(instant(until), last[1])
         publish_snapshot(table, root, version, until)
 
     return (

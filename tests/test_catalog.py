@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from oracle import connect, difference
 from tablewright.catalog.queries import QUERIES
 
-NO_SQL = {"train_eval"}
+NO_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")

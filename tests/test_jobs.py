@@ -69,6 +69,31 @@ def test_materialise_twice(spark, layers):
     assert table.count() == 1500 and until == "2024-07-01 00:00:00"
 
 
+def test_rewritten_and_late_rows_are_served(spark, tmp_path):
+    from datetime import datetime
+
+    from tablewright.operators.views import Entity, FeatureSource, FeatureView, Field
+
+    view = FeatureView(
+        name="v",
+        entities=(Entity("k", "string"),),
+        fields=(Field("v", "int"),),
+        source=FeatureSource(event_timestamp="event", created_timestamp=None),
+    )
+    gold, online, until = str(tmp_path / "g"), str(tmp_path / "o"), "2024-02-01 00:00:00"
+
+    def refresh(data):
+        table = [(k, datetime(2024, 1, day), v) for k, day, v in data]
+        df = spark.createDataFrame(table, "k string, event timestamp_ntz, v int")
+        df.write.mode("overwrite").parquet(gold)
+        jobs.materialize(spark, gold, online, until, view)
+        return sorted((r.k, r.v) for r in current_snapshot(spark, online)[0].collect())
+
+    assert refresh([("a", 5, 1)]) == [("a", 1)]
+    # the same bound again: a rewritten value, and a new key from before it
+    assert refresh([("a", 5, 2), ("b", 1, 3)]) == [("a", 2), ("b", 3)]
+
+
 def test_all_steps(spark, layers, tmp_path, monkeypatch):
     monkeypatch.setattr(jobs, "build_session", lambda conf: spark)
     root = str(tmp_path / "root")
@@ -99,6 +124,15 @@ def test_model(spark, layers):
     inputs = [c for c, _ in customer.VIEW_FIELDS if c != "churn"]
     model, score = train_eval(served, "churn", [customer.KEY], inputs, max_iter=10)
     row = score.first()
-    assert row["n_train"] + row["n_test"] == 1500 and row["n_test"] > 200
+    assert row["n_train"] + row["n_test"] == 1500 and row["n_test"] > 200 and row["n_skipped"] == 0
     share = served.where("churn = 0").count() / 1500
     assert row["accuracy"] >= share
+
+
+def test_model_counts_what_it_cannot_use(spark):
+    from tablewright.operators.training import train_eval
+
+    rows = [(f"k{i}", i % 2, None if i % 4 == 0 else float(i % 2), float(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, y int, a double, b double")
+    row = train_eval(df, "y", ["k"], ["a", "b"], max_iter=5)[1].first()
+    assert row["n_skipped"] == 100 and row["n_train"] + row["n_test"] == 300

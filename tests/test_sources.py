@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from tablewright import session
 from tablewright.catalog.fixture import raw
+from tablewright.sources.tables import instant
 from tablewright.sources import (
     current_snapshot,
     publish_snapshot,
@@ -71,7 +72,11 @@ def test_snapshots(spark, tmp_path):
     first = current_snapshot(spark, root)
     publish_snapshot(first[0].selectExpr("id + 1 AS id"), root, "2", "2024-02-01")
     table, until, version = current_snapshot(spark, root)
-    assert (until, version) == ("2024-02-01", "2") and rows(table) == [(1,), (2,), (3,)]
+    assert (until, version) == ("2024-02-01 00:00:00", "2") and rows(table) == [(1,), (2,), (3,)]
+    with pytest.raises(ValueError, match="published already"):
+        publish_snapshot(spark.range(1), root, "1", "2024-03-01")
+    assert instant("2024-01-12T10:00:00") < instant("2024-01-12 23:00:00")
+    assert instant("2024-01-12T10:00:00+02:00") == "2024-01-12 08:00:00"
     # Data without its line in the list is not seen.
     write_table(spark.range(9), f"{root}/v-3")
     assert current_snapshot(spark, root)[2] == "2"

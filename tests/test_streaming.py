@@ -45,3 +45,21 @@ def test_new_files_late_rows_and_restart(spark, tmp_path):
 
     # Nothing new: nothing is published.
     assert run()[2] == version
+
+
+def test_new_checkpoint_on_the_same_root(spark, tmp_path):
+    root = str(tmp_path / "online")
+    for turn, data in enumerate(([("a", 5, 1)], [("a", 6, 2), ("b", 5, 3)])):
+        source = str(tmp_path / f"in{turn}")
+        schema = add(spark, source, data)
+        stream = read_history(spark, source, schema)
+        stream_materialize(stream, VIEW, root, str(tmp_path / f"progress{turn}")).awaitTermination()
+    assert rows(current_snapshot(spark, root)[0].select("k", "v")) == [("a", 2), ("b", 3)]
+
+
+def test_batch_without_keys_publishes_nothing(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "online")
+    schema = add(spark, source, [(None, 1, 1)])
+    stream = read_history(spark, source, schema)
+    stream_materialize(stream, VIEW, root, str(tmp_path / "progress")).awaitTermination()
+    assert current_snapshot(spark, root) is None

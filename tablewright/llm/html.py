@@ -261,10 +261,11 @@ def host_paths(pages: DataFrame, per_host: int = 3) -> DataFrame:
             yield pd.DataFrame(tops, columns=["path", "score"], index=htmls.index)
 
     votes = pages.select(host_of(F.coalesce("url", F.lit(""))).alias("host"), best("html").alias("b"))
-    tally = votes.where("b.path IS NOT NULL").groupBy("host", F.col("b.path").alias("path"))
+    tally = votes.groupBy("host", F.col("b.path").alias("path"))
     tally = tally.agg(F.count(F.lit(1)).alias("votes"), F.sum("b.score").alias("score"))
-    rank = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("score"), "path")
-    top = tally.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= per_host)
+    # pages without container sort last; a filter on them further up would score every page twice
+    rank = Window.partitionBy("host").orderBy(F.col("path").isNull(), F.desc("votes"), F.desc("score"), "path")
+    top = tally.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= per_host).where("path IS NOT NULL")
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("rank", "path"))), lambda x: x["path"])
     return staged(top.groupBy("host").agg(ordered.alias("paths")), "host-paths")
 

@@ -148,7 +148,7 @@ ORACLES["label_counts"] = (
     f'SELECT col AS "column", label, count(*) AS n FROM ({PART_PAIRS}) GROUP BY col, label'
 )
 ORACLES["fit_vocab"] = over(
-    'SELECT col AS "column", label, CAST(slot AS INTEGER) AS slot FROM vocab'
+    'SELECT col AS "column", label, slot FROM vocab'
 )
 ORACLES["string_index"] = over(
     "SELECT p_partkey, "
@@ -165,8 +165,7 @@ LINE_PAIRS = " UNION ALL ".join(
 )
 ORACLES["fit_vocab_unbounded"] = f"""
 SELECT col AS "column", label,
-       CAST(row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, label) - 1 AS INTEGER)
-         AS slot
+       row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, label) - 1 AS slot
 FROM ({LINE_PAIRS}) GROUP BY col, label
 """
 ORACLES["string_index_unbounded"] = """
@@ -177,6 +176,14 @@ SELECT o.o_orderkey, o.o_custkey,
        CAST(coalesce(v.i, (SELECT count(*) FROM v)) AS DOUBLE) AS o_custkey_idx
 FROM orders o LEFT JOIN v ON o.o_custkey = v.o_custkey
 """
+ORACLES["encode_many_wide"] = """
+WITH l AS (SELECT o_orderkey, CAST(CAST(floor(o_totalprice / 50) AS BIGINT) AS VARCHAR) AS label FROM orders),
+v AS (SELECT label, row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS slot
+      FROM l WHERE label IS NOT NULL GROUP BY label)
+SELECT o_orderkey, (SELECT count(*) FROM v) + 1 AS length,
+       coalesce(slot, (SELECT count(*) FROM v)) AS slot, CAST(1 AS BIGINT) AS n_nonzero
+FROM l LEFT JOIN v ON l.label = v.label
+"""
 SLOT_ROWS = """
 SELECT {key}, concat(p.col, '_vec') AS "column", CAST(s.i AS INTEGER) AS slot,
        CASE WHEN s.i = p.slot THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS value

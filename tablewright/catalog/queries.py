@@ -282,7 +282,7 @@ def string_index(spark, sf_dir):
 def fit_vocab_unbounded(spark, sf_dir):
     """Tens of thousands of labels: every order key, and every supplier."""
     lines = table(spark, sf_dir, "lineitem")
-    return E.fit_vocab(lines, ["l_orderkey", "l_suppkey"], max_labels=None)
+    return E.fit_vocab(lines, ["l_orderkey", "l_suppkey"], window_labels=1_000)
 
 
 @query
@@ -291,8 +291,8 @@ def string_index_unbounded(spark, sf_dir):
     middle, so that other customers are unseen."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     known = orders.where("o_totalprice > 250000")
-    vocab = E.fit_vocab(known, ["o_custkey"], max_labels=None)
-    return E.string_index(orders, vocab, ["o_custkey"], max_labels=50).drop("o_totalprice")
+    vocab = E.fit_vocab(known, ["o_custkey"], window_labels=50)
+    return E.string_index(orders, vocab, ["o_custkey"], literal_labels=50).drop("o_totalprice")
 
 
 @query
@@ -314,6 +314,20 @@ def encode_many(spark, sf_dir):
     return slots(E.encode_many(source, vocab, customer.CATEGORIES), ["customer_id"])
 
 
+@query
+def encode_many_wide(spark, sf_dir):
+    """Thousands of labels; every vector as its length and its hot slot."""
+    band = F.floor(F.col("o_totalprice") / 50).cast("long").alias("price_band")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", band)
+    out = E.encode_many(orders, E.fit_vocab(orders, ["price_band"]), ["price_band"])
+    return out.select(
+        "o_orderkey",
+        F.size("price_band_vec").cast("long").alias("length"),
+        (F.array_position("price_band_vec", 1.0) - 1).alias("slot"),
+        F.size(F.array_remove("price_band_vec", 0.0)).cast("long").alias("n_nonzero"),
+    )
+
+
 @query
 def vector_to_array(spark, sf_dir):
     """The ML stages, whose vectors become arrays, on the same input."""

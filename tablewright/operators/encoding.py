@@ -18,9 +18,16 @@ from tablewright.functions.naming import quoted, text
 from tablewright.operators.columns import columns_with_suffix
 from tablewright.session import through_storage
 
-# One label more than this is still within the bound up to which Spark turns a
-# rank filter into a limit per task (spark.sql.optimizer.windowGroupLimitThreshold).
-MAX_LABELS = 999
+# A column with up to this many labels is ranked in one window, one with more by
+# a sort over all tasks. The slots are the same.
+WINDOW_LABELS = 100_000
+
+# A vocabulary up to this size goes into the plan as constants, a larger one is
+# joined. The slots are the same; a join for each small column costs planning.
+LITERAL_LABELS = 64
+
+# The most labels of a column that :func:`collect_vocab` brings to the driver.
+COLLECT_LABELS = 1_000
 
 
 def label_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -37,32 +44,28 @@ def label_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def fit_vocab(
-    df: DataFrame, cols: Sequence[str], max_labels: int | None = MAX_LABELS
+    df: DataFrame,
+    cols: Sequence[str],
+    max_labels: int | None = None,
+    *,
+    window_labels: int = WINDOW_LABELS,
 ) -> DataFrame:
-    """(column, label, slot): slots by falling count, ties by label.
-
-    With a bound, a column that has more labels fails the job. Up to
-    ``MAX_LABELS`` no task ever sorts more than the bound per column, as Spark
-    turns the rank filter into a limit per task. Above it, and with
-    ``max_labels=None``, labels of any number are ranked by a distributed sort.
-    """
-    counts = label_counts(df, cols)
-    if max_labels is None:
+    """(column, label, slot): slots by falling count, ties by label, for any
+    number of labels. The counts, one row per distinct label, are stored, so
+    that the data is read once. A caller who wants no column above a number of
+    labels gives ``max_labels``; the job then fails."""
+    counts = through_storage(label_counts(df, cols), "label-counts")
+    # One row per column.
+    sizes = {r["column"]: r["count"] for r in counts.groupBy("column").count().collect()}
+    if max_labels is not None:
+        wide = sorted(c for c, n in sizes.items() if n > max_labels)
+        if wide:
+            raise ValueError(f"more than {max_labels} labels in {wide}")
+    if any(n > window_labels for n in sizes.values()):
         return _rank_all(counts)
-    if max_labels > MAX_LABELS:
-        ranked = _rank_all(counts)
-    else:
-        by_count = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("label"))
-        ranked = (
-            counts.withColumn("slot", F.row_number().over(by_count))
-            .where(F.col("slot") <= max_labels + 1)
-            .withColumn("slot", F.col("slot") - 1)
-        )
-    over = F.concat(F.lit(f"more than {max_labels} labels in column "), F.col("column"))
-    slot = F.when(F.col("slot") < max_labels, F.col("slot"))
-    return ranked.select(
-        "column", "label", slot.otherwise(F.raise_error(over).cast("int")).alias("slot")
-    )
+    by_count = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("label"))
+    slot = (F.row_number().over(by_count) - 1).cast("long")
+    return counts.select("column", "label", slot.alias("slot"))
 
 
 def _rank_all(counts: DataFrame) -> DataFrame:
@@ -82,10 +85,10 @@ def _rank_all(counts: DataFrame) -> DataFrame:
         Window.unboundedPreceding, -1
     )
     runs = runs.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    return numbered.join(F.broadcast(runs), ["column", "task"]).select(
+    return numbered.join(runs, ["column", "task"]).select(
         "column",
         "label",
-        (F.col("id") - F.col("start") + F.col("offset")).cast("int").alias("slot"),
+        (F.col("id") - F.col("start") + F.col("offset")).cast("long").alias("slot"),
     )
 
 
@@ -106,10 +109,11 @@ def _labels(vocab: Vocabulary, cols: Sequence[str], max_labels: int) -> dict[str
 
 
 def collect_vocab(
-    vocab: Vocabulary, cols: Sequence[str], max_labels: int = MAX_LABELS
+    vocab: Vocabulary, cols: Sequence[str], max_labels: int = COLLECT_LABELS
 ) -> dict[str, list[str]]:
     """Labels per column in slot order, brought to the driver within the
-    bound ``len(cols) * max_labels``; a column over it fails."""
+    bound ``len(cols) * max_labels``; a column over it fails. The encoders take
+    the vocabulary as a table of any size and need no such bound."""
     labels = _labels(vocab, cols, max_labels)
     wide = [c for c, found in labels.items() if len(found) > max_labels]
     if wide:
@@ -117,41 +121,48 @@ def collect_vocab(
     return labels
 
 
+def _slotted(
+    df: DataFrame, vocab: Vocabulary, cols: Sequence[str], literal_labels: int
+) -> tuple[DataFrame, dict[str, str], dict[str, int]]:
+    """``df`` with helper columns, and for each of ``cols`` the SQL of its slot
+    and its number of labels. A large vocabulary is joined by label: one row per
+    label, so skew is on the data side only, where adaptive execution splits it."""
+    labels = _labels(vocab, cols, literal_labels)
+    sizes = {c: len(found) for c, found in labels.items()}
+    slots = {c: X.slot_of(quoted(c), labels[c]) for c in cols if sizes[c] <= literal_labels}
+    large = [c for c in cols if c not in slots]
+    if large and not isinstance(vocab, Mapping):
+        counted = vocab.where(F.col("column").isin(large)).groupBy("column").count()
+        sizes |= {r["column"]: r["count"] for r in counted.collect()}
+    for i, c in enumerate(large):
+        if isinstance(vocab, Mapping):
+            known = df.sparkSession.createDataFrame(
+                list(zip(labels[c], range(sizes[c]))), f"__label{i} string, __slot{i} long"
+            )
+        else:
+            known = vocab.where(F.col("column") == c).select(
+                F.col("label").alias(f"__label{i}"), F.col("slot").alias(f"__slot{i}")
+            )
+        same = F.col(quoted(c)).cast("string") == F.col(f"__label{i}")
+        df = df.join(known, same, "left").drop(f"__label{i}")
+        slots[c] = f"coalesce(__slot{i}, {sizes[c]}L)"
+    return df, slots, sizes
+
+
 def string_index(
     df: DataFrame,
     vocab: Vocabulary,
     cols: Sequence[str],
     suffix: str = "_idx",
-    max_labels: int = MAX_LABELS,
+    *,
+    literal_labels: int = LITERAL_LABELS,
 ) -> DataFrame:
     """Add the label index of each column as double; NULL and unseen values
-    get the extra last index. Vocabularies within the bound go into the plan;
-    a larger one is joined by label (one row per label, so skew is on the
-    data side only, where adaptive execution splits it)."""
-    labels = _labels(vocab, cols, max_labels)
-    small = [c for c in cols if len(labels[c]) <= max_labels]
-    large = [c for c in cols if len(labels[c]) > max_labels]
-    if large and isinstance(vocab, Mapping):
-        raise ValueError(f"more than {max_labels} labels in {large}: give the vocabulary as a table")
-    names = [*df.columns, *[c + suffix for c in cols]]
-    if small:
-        df = df.withColumns(
-            {
-                c + suffix: F.expr(f"CAST({X.slot_of(quoted(c), labels[c])} AS DOUBLE)")
-                for c in small
-            }
-        )
-    for c in large:
-        known = vocab.where(F.col("column") == c).select(
-            F.col("label").alias("__label"), F.col("slot").cast("double").alias("__slot")
-        )
-        size = known.count()
-        df = (
-            df.join(known, F.col(quoted(c)).cast("string") == F.col("__label"), "left")
-            .withColumn(c + suffix, F.coalesce("__slot", F.lit(float(size))))
-            .drop("__label", "__slot")
-        )
-    return df.select(*map(quoted, names))
+    get the extra last index. Any number of labels."""
+    joined, slots, _ = _slotted(df, vocab, cols, literal_labels)
+    added = {c + suffix: F.expr(f"CAST({slots[c]} AS DOUBLE)") for c in cols}
+    names = [*[c for c in df.columns if c not in added], *added]
+    return joined.withColumns(added).select(*map(quoted, names))
 
 
 def one_hot(df: DataFrame, sizes: Mapping[str, int], suffix: str = "_vec") -> DataFrame:
@@ -171,20 +182,15 @@ def encode_many(
     cols: Sequence[str],
     suffix: str = "_vec",
     keep_raw: bool = False,
-    max_labels: int = MAX_LABELS,
+    *,
+    literal_labels: int = LITERAL_LABELS,
 ) -> DataFrame:
-    """One-hot encode ``cols``: k labels give k + 1 slots. One projection, as
-    the vocabulary is bounded and goes into the plan."""
-    labels = collect_vocab(vocab, cols, max_labels)
-    out = df.withColumns(
-        {
-            c + suffix: F.expr(
-                X.one_hot_array(X.slot_of(quoted(c), labels[c]), len(labels[c]) + 1)
-            )
-            for c in cols
-        }
-    )
-    return out if keep_raw else out.drop(*cols)
+    """One-hot encode ``cols``: k labels give k + 1 slots, for any k. One
+    projection, and one join for each column with a large vocabulary."""
+    joined, slots, sizes = _slotted(df, vocab, cols, literal_labels)
+    added = {c + suffix: F.expr(X.one_hot_array(slots[c], sizes[c] + 1)) for c in cols}
+    kept = [c for c in df.columns if c not in added and (keep_raw or c not in cols)]
+    return joined.withColumns(added).select(*map(quoted, [*kept, *added]))
 
 
 def vector_to_array(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -107,7 +107,7 @@ def features(
     labels = None
     if vocab is not None:
         if relearn:
-            write_table(fit_vocab(source, spec.categories, spec.max_labels).coalesce(1), vocab)
+            write_table(fit_vocab(source, spec.categories, spec.max_labels), vocab)
         labels = read_table(spark, vocab)
     rows = write_counted(layers.gold(source, spec, vocab=labels, as_of=as_of), gold)
     log.info("gold: %d rows", rows)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from tablewright.functions import expressions as X
 from tablewright.operators.cleaning import CleanSpec, clean
 from tablewright.operators.columns import conjunction_flag, stamp_timestamps
-from tablewright.operators.encoding import MAX_LABELS, Vocabulary, encode_many, fit_vocab
+from tablewright.operators.encoding import Vocabulary, encode_many, fit_vocab
 from tablewright.operators.features import bucketize, guarded_ratio, plain_ratio
 
 
@@ -35,7 +35,7 @@ class FeatureSpec:
     above: Mapping[str, float] = field(default_factory=dict)
     above_out: str = "flag"
     categories: tuple[str, ...] = ()
-    max_labels: int = MAX_LABELS
+    max_labels: int | None = None
     on_error: str = X.RAISE
 
 
@@ -62,11 +62,10 @@ def gold(
     vocab: Vocabulary | None = None,
     as_of: str | datetime | None = None,
 ) -> DataFrame:
-    """Features, one-hot vectors and timestamps, without a shuffle. Without a
-    saved ``vocab`` the labels are learned here, in one narrow pass."""
+    """Features, one-hot vectors and timestamps, without a shuffle unless a
+    vocabulary is too large to broadcast. Without a saved ``vocab`` the labels
+    are learned here, in one narrow pass."""
     if vocab is None:
         vocab = fit_vocab(silver_df, spec.categories, spec.max_labels)
-    df = encode_many(
-        derive(silver_df, spec), vocab, spec.categories, max_labels=spec.max_labels
-    )
+    df = encode_many(derive(silver_df, spec), vocab, spec.categories)
     return stamp_timestamps(df, as_of=as_of)

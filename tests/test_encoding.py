@@ -1,7 +1,6 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.errors import PySparkException
 
 from conftest import rows
 from tablewright.operators import encoding as E
@@ -51,31 +50,44 @@ def test_literal_and_composed_vectors(spark, n):
         assert len(r["c_vec"]) == n + 1 and sum(r["c_vec"]) == 1.0 and r["c_vec"][i] == 1.0
 
 
-def test_too_many_labels_fail(spark):
+def test_a_bound_is_only_what_the_caller_asks_for(spark):
     df = frame(spark, [f"v{i}" for i in range(20)])
-    with pytest.raises(PySparkException, match="more than 10 labels"):
-        E.fit_vocab(df, ["c"], max_labels=10).collect()
-    many = spark.range(1200).selectExpr("CAST(id AS STRING) AS c")
-    assert E.fit_vocab(many, ["c"], max_labels=1200).count() == 1200
-    with pytest.raises(PySparkException, match="more than 1100 labels"):
-        E.fit_vocab(many, ["c"], max_labels=1100).collect()
-    full = E.fit_vocab(df, ["c"], max_labels=None)
     with pytest.raises(ValueError, match="more than 10 labels"):
-        E.encode_many(df, full, ["c"], max_labels=10)
-    with pytest.raises(ValueError):
-        E.string_index(df, {"c": ["a", "b"]}, ["c"], max_labels=1)
-
-
-def test_unbounded_vocabulary_equals_the_bounded_one(spark):
+        E.fit_vocab(df, ["c"], max_labels=10)
+    with pytest.raises(ValueError, match="more than 10 labels"):
+        E.collect_vocab(E.fit_vocab(df, ["c"]), ["c"], max_labels=10)
+    assert E.fit_vocab(df, ["c"], max_labels=20).count() == 20
+
+
+@pytest.mark.parametrize("window_labels", [100_000, 100])
+def test_thousands_of_labels(spark, window_labels):
+    """Every slot and every vector of 6,000 labels, with NULL and unseen values."""
+    known = spark.range(6000).selectExpr("CAST(id AS STRING) AS c")
+    vocab = E.fit_vocab(known, ["c"], window_labels=window_labels)
+    assert dict(vocab.dtypes)["slot"] == "bigint"
+    df = spark.range(6002).selectExpr("id AS i", "nullif(CAST(id AS STRING), '6000') AS c")
+    out = E.encode_many(df, vocab, ["c"], keep_raw=True)
+    assert out.columns == ["i", "c", "c_vec"]
+    want = {label: slot for slot, label in enumerate(sorted(map(str, range(6000))))}
+    got = out.selectExpr(
+        "c", "size(c_vec) AS n", "array_position(c_vec, 1D) - 1 AS slot", "size(array_remove(c_vec, 0D)) AS ones"
+    ).collect()
+    assert len(got) == 6002
+    for r in got:
+        assert (r["n"], r["slot"], r["ones"]) == (6001, want.get(r["c"], 6000), 1)
+
+
+def test_every_form_gives_the_same_slots(spark):
     df = spark.range(3000).selectExpr("id AS i", "CAST(pow(id % 60, 2) AS INT) % 97 AS c")
     df = df.withColumn("d", df["c"] % 5)
     cols = ["c", "d"]
-    bounded = E.fit_vocab(df, cols)
-    unbounded = E.fit_vocab(df, cols, max_labels=None)
-    assert rows(bounded) == rows(unbounded.select(*bounded.columns))
-    plain = E.string_index(df, bounded, cols)
-    joined = E.string_index(df, unbounded, cols, max_labels=10)
-    assert plain.columns == joined.columns and rows(plain) == rows(joined)
+    window, sort = E.fit_vocab(df, cols), E.fit_vocab(df, cols, window_labels=3)
+    assert rows(window) == rows(sort.select(*window.columns))
+    for encode in (E.string_index, E.encode_many):
+        plain = encode(df, window, cols, literal_labels=1000)
+        for vocab in (sort, E.collect_vocab(window, cols)):
+            joined = encode(df, vocab, cols, literal_labels=3)
+            assert plain.columns == joined.columns and rows(plain) == rows(joined)
 
 
 def test_equal_to_ml(spark):

@@ -468,6 +468,10 @@ ORACLES["point_in_time_join_hot"] = _as_of(
     "SELECT event_id, ts, event_type, value, "
     "CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id FROM events"
 )
+ORACLES["point_in_time_join_hot_many"] = _as_of(
+    "SELECT event_id, ts, event_type, value, "
+    "CASE WHEN event_id % 7 < 5 THEN -1 - dayofyear(ts) % 5 ELSE user_id END AS user_id FROM events"
+)
 
 ORACLES["src_tabular"] = fixture.RAW_SQL
 ORACLES["src_bronze"] = fixture.RAW_SQL

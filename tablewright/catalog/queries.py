@@ -605,7 +605,15 @@ def point_in_time_join_hot(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn(
         "user_id", F.expr("CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END")
     )
-    return views_as_of(events, V.Skew(share=0.1, min_rows=100, slice_rows=50))
+    return views_as_of(events, V.Skew(min_rows=100, slice_rows=50))
+
+
+@query
+def point_in_time_join_hot_many(spark, sf_dir):
+    """Five users hold most events, each in days of its own, and are cut there."""
+    day = F.expr("CASE WHEN event_id % 7 < 5 THEN -1 - dayofyear(ts) % 5 ELSE user_id END")
+    events = table(spark, sf_dir, "events").withColumn("user_id", day)
+    return views_as_of(events, V.Skew(min_rows=100, slice_rows=50))
 
 
 # --- sources and sinks -----------------------------------------------------

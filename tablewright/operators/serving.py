@@ -3,13 +3,12 @@
 Latest-per-key is an aggregate (greatest row per key), so map tasks reduce
 their rows before anything is shuffled and a key with a third of the history
 is no larger on the wire than any other. The as-of join is one shuffle by key
-and a running ``last``; the time lines of keys that hold a large share of all
-rows are cut into slices (see :class:`Skew`).
+and a running ``last``; the time lines of keys with more rows than a
+task should take are cut into slices (see :class:`Skew`).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -17,7 +16,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.naming import quoted, text
+from tablewright.functions.naming import quoted
 from tablewright.operators.columns import moment
 from tablewright.operators.dedup import orderable, pick_row
 from tablewright.operators.views import FeatureView
@@ -127,43 +126,39 @@ def online_lookup(
 
 @dataclass(frozen=True)
 class Skew:
-    """When and how finely a hot key is cut up.
+    """How finely long time lines are cut. None of it changes a result.
 
-    A key is hot if it holds at least ``share`` of all rows and ``min_rows``
-    rows; there are at most ``1 / share`` of them. Its time line is cut into
-    slices of about ``slice_rows`` rows, at most ``max_slices``. A single
-    instant that is hot by the same measure becomes a slice of its own.
+    A key with more than ``min_rows`` rows is hot. Its time line is cut into
+    slices of about ``slice_rows`` rows at the places that a sample of
+    ``oversample`` rows a slice gives, however many slices that takes. An
+    instant that fills a slice or more becomes a slice of its own.
     """
 
-    share: float = 0.001
     min_rows: int = 5_000_000
     slice_rows: int = 1_000_000
-    max_slices: int = 1024
+    oversample: int = 32
 
 
 # Columns of the merged time line.
 T_, SIDE, FEATURE, SLICE = "__t", "__side", "__f", "__slice"
+# Columns that place a row in the slices of its key.
+HASH, CUT, CUTS, BLOCK, WIDTH, STARTS, INSIDE = (
+    "__h", "__cut", "__cuts", "__block", "__width", "__starts", "__inside"
+)
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*map(quoted, keys))
 
 
-def hot_keys(frames: Sequence[DataFrame], keys: Sequence[str], skew: Skew) -> dict[int, int]:
-    """Hashes of hot keys with their estimated rows, by a frequent-items
-    sketch: one narrow scan, no shuffle by key, at most ``1 / share`` entries.
-    It only steers the plan; results do not depend on the estimate."""
-    hashes = frames[0].select(_key_hash(keys).alias("h"))
+def hot_keys(frames: Sequence[DataFrame], keys: Sequence[str], skew: Skew) -> DataFrame:
+    """The hash of each key with more than ``min_rows`` rows, by exact counts
+    that are added up in the map tasks; at most one row per ``min_rows`` rows."""
+    hashes = frames[0].select(_key_hash(keys).alias(HASH))
     for frame in frames[1:]:
-        hashes = hashes.unionAll(frame.select(_key_hash(keys).alias("h")))
-    most = math.ceil(1 / skew.share)
-    tracked = min(1_000_000, max(8 * most, 1024))
-    row = hashes.agg(
-        F.expr(f"approx_top_k(h, {most}, {tracked})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    floor = max(skew.min_rows, row["n"] * skew.share)
-    return {x["item"]: x["count"] for x in row["top"] or [] if x["count"] >= floor}
+        hashes = hashes.unionAll(frame.select(_key_hash(keys).alias(HASH)))
+    counts = hashes.groupBy(HASH).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.where(F.col("__n") > skew.min_rows).select(HASH)
 
 
 def point_in_time_join(
@@ -212,8 +207,8 @@ def point_in_time_join(
     )
     facts, asks = _same_types(facts, asks, [*keys, T_])
 
-    hot = hot_keys([facts, asks], keys, skew) if skew else {}
-    if hot:
+    hot = through_storage(hot_keys([facts, asks], keys, skew), "hot-keys") if skew else None
+    if hot is not None and not hot.isEmpty():
         answered = _as_of_sliced(facts, asks, keys, others, hot, skew)
     else:
         answered = _as_of(facts, asks, keys, others)
@@ -286,53 +281,53 @@ def _as_of_sliced(
     asks: DataFrame,
     keys: Sequence[str],
     others: Sequence[str],
-    hot: dict[int, int],
+    hot: DataFrame,
     skew: Skew,
 ) -> DataFrame:
     """The same, with hot keys in groups of bounded size.
 
-    A hot time line is cut at quantiles of its times, and every cut point is a
-    slice of its own. The last feature of each slice, an aggregate reduced on
-    the map side, gives the state of a key after each slice: at most one row
-    per hot key and slice. The state before a slice joins the rows of that
-    slice as one more feature. Rows at a hot instant, of which there may be
-    any number, skip the shuffle: features there are in the state already,
+    Each hot time line is cut at quantiles of its own times, and every cut
+    point is a slice of its own. The last feature of each slice, an aggregate
+    reduced on the map side, gives the state of a key after each slice: at most
+    one row per hot key and slice. The state before a slice joins the rows of
+    that slice as one more feature. Rows at a hot instant, of which there may
+    be any number, skip the shuffle: features there are in the state already,
     and spine rows take the state after their instant by a plain join.
     """
     ks = list(map(quoted, keys))
-    is_hot = _key_hash(keys).isin(list(hot))
-    times = facts.where(is_hot).select(T_).unionAll(asks.where(is_hot).select(T_))
-    slices = max(1, min(skew.max_slices, math.ceil(max(hot.values()) / skew.slice_rows)))
-    cuts, instants = _cut_points(times, slices, skew)
-    dtype = facts.schema[T_].dataType.simpleString()
-
-    def points(texts: Sequence[str]) -> Column:
-        return F.expr(f"CAST(array({', '.join(map(text, texts))}) AS array<{dtype}>)")
-
-    # 2 i between the i-th cut point and the next, 2 i - 1 at the i-th itself.
-    reached = F.size(F.filter(points(cuts), lambda x: x <= F.col(T_)))
-    passed = F.size(F.filter(points(cuts), lambda x: x < F.col(T_)))
-    at = F.when(is_hot, reached + passed).otherwise(0)
-    facts, asks = facts.withColumn(SLICE, at), asks.withColumn(SLICE, at)
-
-    lasts = facts.where(is_hot).groupBy(*ks, SLICE).agg(_greatest(facts).alias(FEATURE))
-    following = F.lead(SLICE, 1, 2 * len(cuts) + 1).over(Window.partitionBy(*ks).orderBy(SLICE))
-    filled = (
-        lasts.withColumn("__next", following)
-        .withColumn(SLICE, F.explode(F.sequence(F.col(SLICE), F.col("__next") - 1)))
-        .select(*ks, SLICE, FEATURE)
+    facts = facts.withColumn(HASH, _key_hash(keys))
+    asks = asks.withColumn(HASH, _key_hash(keys))
+    times = facts.select(HASH, T_).unionAll(asks.select(HASH, T_))
+    cuts = through_storage(cut_points(times.join(hot, HASH, "left_semi"), skew), "cut-points")
+    facts, asks = in_slices(facts, cuts), in_slices(asks, cuts)
+
+    lasts = facts.where(F.col(CUTS).isNotNull()).groupBy(*ks, CUTS, SLICE)
+    lasts = lasts.agg(_greatest(facts).alias(FEATURE))
+    following = F.lead(SLICE).over(Window.partitionBy(*ks).orderBy(SLICE))
+    # 2 CUTS is the slice after the last cut point
+    filled = lasts.withColumn("__upto", F.coalesce(following - 1, 2 * F.col(CUTS))).select(
+        *ks, F.explode(F.sequence(F.col(SLICE), F.col("__upto"))).alias(SLICE), FEATURE
     )
-    state = through_storage(filled, "hot-keys")
+    state = through_storage(filled, "hot-states")
     event = F.col(f"{FEATURE}.{quoted(facts.schema[FEATURE].dataType.names[0])}")
     carried = state.select(*ks, event.alias(T_), FEATURE, (F.col(SLICE) + 1).alias(SLICE))
 
-    pinned = is_hot & F.array_contains(points(instants), F.col(T_)) if instants else F.lit(False)
+    pins = cuts.where("__pinned").select(HASH, (2 * F.col(CUT) - 1).alias(SLICE))
+    pinned, rest = None, asks
+    if not pins.isEmpty():
+        facts = facts.join(pins, [HASH, SLICE], "left_anti")
+        pinned = asks.join(pins, [HASH, SLICE], "left_semi")
+        rest = asks.join(pins, [HASH, SLICE], "left_anti")
+    asked = [*ks, T_, *map(quoted, others), SLICE]
     answered = _as_of(
-        facts.where(~pinned).unionByName(carried), asks.where(~pinned), [*keys, SLICE], others
+        facts.select(*ks, T_, FEATURE, SLICE).unionByName(carried),
+        rest.select(*asked),
+        [*keys, SLICE],
+        others,
     ).drop(SLICE)
-    if not instants:
+    if pinned is None:
         return answered
-    there = asks.where(pinned).join(state, [*keys, SLICE], "left")
+    there = pinned.select(*asked).join(state, [*keys, SLICE], "left")
     return answered.unionByName(there.drop(SLICE))
 
 
@@ -343,21 +338,48 @@ def _greatest(facts: DataFrame) -> Column:
     return F.max_by(FEATURE, F.struct(F.col(T_), F.xxhash64(F.to_json(F.struct(FEATURE)))))
 
 
-def _cut_points(times: DataFrame, slices: int, skew: Skew) -> tuple[list[str], list[str]]:
-    """Quantiles and hot instants of ``times`` as text: fewer than ``slices``
-    and at most ``1 / share`` values, found in one pass without a shuffle. They
-    go into the plan as constants, so every branch and every retried task cuts
-    alike; which ones they are does not change any result."""
-    most = math.ceil(1 / skew.share)
-    tracked = min(1_000_000, max(8 * most, 1024))
-    ranks = ", ".join(f"{i / slices}D" for i in range(1, slices)) or "0.5D"
-    row = times.selectExpr(
-        f"transform(percentile_approx({T_}, array({ranks}), {20 * slices}), "
-        "x -> CAST(x AS STRING)) AS cuts",
-        f"transform(approx_top_k({T_}, {most}, {tracked}), "
-        "x -> struct(CAST(x.item AS STRING) AS item, x.count AS count)) AS top",
-        "count(1) AS n",
-    ).first()
-    floor = max(skew.min_rows, row["n"] * skew.share)
-    instants = sorted({x["item"] for x in row["top"] if x["count"] >= floor})
-    return sorted({*(row["cuts"] or []), *instants}), instants
+def cut_points(times: DataFrame, skew: Skew) -> DataFrame:
+    """One row per cut point of each hot key: its time, its number from 1 up,
+    the number of cut points of the key, and whether its instant alone fills a
+    slice. A window sees a sample only, ``oversample`` rows of a key a slice."""
+    step = min(skew.oversample, skew.slice_rows)
+    by_time = Window.partitionBy(HASH).orderBy(T_)
+    sample = times.where(F.rand(17) < step / skew.slice_rows)
+    every = sample.withColumn("__r", F.row_number().over(by_time)).where(F.col("__r") % step == 0)
+    cuts = every.groupBy(HASH, T_).agg((F.count(F.lit(1)) > 1).alias("__pinned"))
+    width = F.ceil(F.sqrt(CUTS)).cast("long")
+    return (
+        cuts.withColumn(CUT, F.row_number().over(by_time).cast("long"))
+        .withColumn(CUTS, F.count(F.lit(1)).over(Window.partitionBy(HASH)))
+        .withColumn(WIDTH, width)
+        .withColumn(BLOCK, F.expr(f"({CUT} - 1) div {WIDTH}"))
+    )
+
+
+def in_slices(df: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Add the slice of each row: 2 i between the i-th cut point of its key and
+    the next, 2 i - 1 at the i-th itself, 0 for keys without cut points. They
+    are searched in two levels, so that a row only ever carries about the root
+    of their number; both tables hold one time per slice and are joined by hash."""
+    inside = F.array_sort(F.collect_list(T_))
+    starts = cuts.where(f"({CUT} - 1) % {WIDTH} = 0").groupBy(HASH, CUTS, WIDTH)
+    df = df.join(starts.agg(inside.alias(STARTS)), HASH, "left")
+    df = df.withColumn(BLOCK, (_passed(STARTS) - 1).cast("long"))
+    df = df.join(cuts.groupBy(HASH, BLOCK).agg(inside.alias(INSIDE)), [HASH, BLOCK], "left")
+    df = df.withColumn(CUT, _passed(INSIDE))
+    at_it = F.coalesce(F.get(INSIDE, F.col(CUT) - 1) == F.col(T_), F.lit(False)).cast("long")
+    before = F.greatest(F.col(BLOCK), F.lit(0)) * F.col(WIDTH) + F.col(CUT)
+    slice_ = F.coalesce(2 * before - at_it, F.lit(0)).cast("long")
+    return df.withColumn(SLICE, slice_).drop(BLOCK, WIDTH, STARTS, INSIDE, CUT)
+
+
+def _passed(cuts: str) -> Column:
+    """How many of the sorted ``cuts`` are at or before the row's time, by bisection."""
+
+    def move(at: Column, step: Column) -> Column:
+        ahead = at + step
+        fits = (ahead <= F.size(cuts)) & (F.get(cuts, ahead - 1) <= F.col(T_))
+        return F.when(fits, ahead).otherwise(at)
+
+    steps = F.array(*[F.lit(1 << i) for i in range(20, -1, -1)])
+    return F.aggregate(steps, F.lit(0), move)

@@ -113,7 +113,7 @@ def test_as_of_join_is_one_shuffle_of_the_columns_in_use(spark, sf_dir):
 def test_hot_keys_are_joined_back_by_key_and_time(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("user_id", events_key())
     spine = events.drop("value").where("event_type = 'purchase'")
-    skew = V.Skew(share=0.1, min_rows=10, slice_rows=20)
+    skew = V.Skew(min_rows=10, slice_rows=20)
     text = plan(V.point_in_time_join(spine, events, history(), "ts", skew=skew))
     assert "__slice" in text and "CartesianProduct" not in text and "NestedLoop" not in text
     assert "Python" not in text

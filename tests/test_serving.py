@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from tablewright.operators import serving as V
@@ -26,9 +27,9 @@ def view(ttl=None, created="created", keys=(("k", "string"),)):
 FEATURES = "k string, event timestamp_ntz, created timestamp_ntz, v int"
 SPINE = "id int, k string, ts timestamp_ntz"
 
-HOT = V.Skew(share=0.05, min_rows=1, slice_rows=7, max_slices=9)
-MANY_CUTS = V.Skew(share=0.2, min_rows=1, slice_rows=1)
-MANY_INSTANTS = V.Skew(share=0.003, min_rows=1, slice_rows=40)
+HOT = V.Skew(min_rows=1, slice_rows=70)
+MANY_CUTS = V.Skew(min_rows=1, slice_rows=1)
+FEW_SAMPLES = V.Skew(min_rows=100, slice_rows=40, oversample=2)
 
 
 def brute_force(spine, features, ttl):
@@ -82,7 +83,7 @@ def random_case(seed, n=300):
 
 
 @pytest.mark.parametrize("seed", range(2))
-@pytest.mark.parametrize("skew", [None, V.Skew(), HOT, MANY_CUTS, MANY_INSTANTS])
+@pytest.mark.parametrize("skew", [None, V.Skew(), HOT, MANY_CUTS, FEW_SAMPLES])
 @pytest.mark.parametrize("ttl", [None, timedelta(hours=3)])
 def test_as_of_equals_brute_force(spark, seed, skew, ttl):
     spine, features = random_case(seed)
@@ -111,12 +112,25 @@ def test_as_of_with_one_time_for_a_third_of_all_rows(spark):
     assert rows(out) == brute_force(spine, features, None)
 
 
-def test_hot_keys_are_found_and_bounded(spark):
+def test_hot_keys_are_exact(spark):
     df = spark.range(1000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k")
-    found = V.hot_keys([df], ["k"], V.Skew(share=0.1, min_rows=10))
-    assert len(found) == 1 and 300 <= max(found.values()) <= 400
-    assert V.hot_keys([df], ["k"], V.Skew(share=0.1, min_rows=10_000)) == {}
-    assert V.hot_keys([df.limit(0)], ["k"], V.Skew()) == {}
+    found = lambda n, df=df: V.hot_keys([df, df], ["k"], V.Skew(min_rows=n)).count()
+    assert (found(667), found(668), found(1), found(1, df.limit(0))) == (1, 0, 667, 0)
+
+
+def test_every_hot_key_is_cut_at_its_own_times(spark):
+    """Keys of 4,000 rows, each in a month of its own: no group of a key and
+    slice holds more than twice ``slice_rows``, save single instants."""
+    skew = V.Skew(min_rows=1000, slice_rows=200)
+    df = spark.range(40_000).selectExpr(
+        "id % 10 AS k",
+        "CAST('2024-01-01' AS TIMESTAMP_NTZ) + make_dt_interval(30 * (id % 10), 0, id div 10) AS event",
+    )
+    df = df.select("k", F.col("event").alias(V.T_)).withColumn(V.HASH, F.xxhash64("k"))
+    cuts = V.through_storage(V.cut_points(df.select(V.HASH, V.T_), skew), "cuts")
+    sizes = V.in_slices(df, cuts).groupBy("k", V.SLICE).count()
+    most = sizes.agg(F.max("count"), F.countDistinct("k"), F.count("*")).first()
+    assert most[0] <= 2 * skew.slice_rows and most[1] == 10 and most[2] > 10 * 20
 
 
 def test_key_types_may_differ(spark):

@@ -362,18 +362,19 @@ def in_slices(df: DataFrame, cuts: DataFrame) -> DataFrame:
     are searched in two levels, so that a row only ever carries about the root
     of their number; both tables hold one time per slice and are joined by hash."""
     inside = F.array_sort(F.collect_list(T_))
+    widest = cuts.agg(F.max(WIDTH)).first()[0] or 1  # no list of either level is longer
     starts = cuts.where(f"({CUT} - 1) % {WIDTH} = 0").groupBy(HASH, CUTS, WIDTH)
     df = df.join(starts.agg(inside.alias(STARTS)), HASH, "left")
-    df = df.withColumn(BLOCK, (_passed(STARTS) - 1).cast("long"))
+    df = df.withColumn(BLOCK, (_passed(STARTS, widest) - 1).cast("long"))
     df = df.join(cuts.groupBy(HASH, BLOCK).agg(inside.alias(INSIDE)), [HASH, BLOCK], "left")
-    df = df.withColumn(CUT, _passed(INSIDE))
+    df = df.withColumn(CUT, _passed(INSIDE, widest))
     at_it = F.coalesce(F.get(INSIDE, F.col(CUT) - 1) == F.col(T_), F.lit(False)).cast("long")
     before = F.greatest(F.col(BLOCK), F.lit(0)) * F.col(WIDTH) + F.col(CUT)
     slice_ = F.coalesce(2 * before - at_it, F.lit(0)).cast("long")
     return df.withColumn(SLICE, slice_).drop(BLOCK, WIDTH, STARTS, INSIDE, CUT)
 
 
-def _passed(cuts: str) -> Column:
+def _passed(cuts: str, longest: int) -> Column:
     """How many of the sorted ``cuts`` are at or before the row's time, by bisection."""
 
     def move(at: Column, step: Column) -> Column:
@@ -381,5 +382,5 @@ def _passed(cuts: str) -> Column:
         fits = (ahead <= F.size(cuts)) & (F.get(cuts, ahead - 1) <= F.col(T_))
         return F.when(fits, ahead).otherwise(at)
 
-    steps = F.array(*[F.lit(1 << i) for i in range(20, -1, -1)])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(longest.bit_length()))])
     return F.aggregate(steps, F.lit(0), move)

@@ -29,6 +29,12 @@ BETWEEN = "(?s)(?<=.)(?=.)"
 KINDS = ("email", "iban", "date", "ip", "social", "card", "phone")
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used.
+    Inside lambdas the engine shares no common parts by itself."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def prf(key: str, kind: str, turn: Column, value: Column) -> Column:
     """60 bits of SHA-256 of key, kind, round and value."""
     digest = F.sha2(F.concat_ws(":", F.lit(key), F.lit(kind), turn.cast("string"), value.cast("string")), 256)
@@ -54,7 +60,7 @@ def feistel(value: Column, a: int, b: int, key: str, kind: str) -> Column:
     """Permutes 0 to ``a * b - 1``."""
     b_ = F.lit(b).cast("long")
     moved = halves(F.floor(value / b_).cast("long"), F.pmod(value, b_), F.lit(a).cast("long"), b_, key, kind)
-    return moved["l"] * b_ + moved["r"]
+    return let(moved, lambda pair: pair["l"] * b_ + pair["r"])
 
 
 def power(n: Column) -> Column:
@@ -70,8 +76,10 @@ def permuted_digits(digits: Column, key: str, kind: str) -> Column:
     a, b = power(n - low), power(low)
     zero = lambda part: F.coalesce(F.when(part != "", part).cast("long"), F.lit(0).cast("long"))
     left, right = F.substring(digits, F.lit(1), n - low), F.substring(digits, n - low + 1, low)
-    moved = halves(zero(left), zero(right), a, b, key, kind)
-    return F.concat(F.lpad(moved["l"].cast("string"), n - low, "0"), F.lpad(moved["r"].cast("string"), low, "0"))
+    return let(
+        halves(zero(left), zero(right), a, b, key, kind),
+        lambda pair: F.concat(F.lpad(pair["l"].cast("string"), n - low, "0"), F.lpad(pair["r"].cast("string"), low, "0")),
+    )
 
 
 def permuted_text(text: Column, key: str, kind: str) -> Column:
@@ -79,11 +87,8 @@ def permuted_text(text: Column, key: str, kind: str) -> Column:
     halves in turn by a keyed function of the other; all else stays."""
 
     def shifted(part: Column, other: Column, i: Column) -> Column:
-        def char(at: Column) -> Column:
+        def char(at: Column, digest: Column) -> Column:
             c = F.substring(part, at, F.lit(1))
-            # one digest gives 32 shifts; longer parts take one digest for each 32 places
-            block = F.floor((at - 1) / 32).cast("string")
-            digest = F.sha2(F.concat_ws(":", F.lit(key), F.lit(kind), i.cast("string"), block, other), 256)
             shift = F.conv(F.substring(digest, ((at - 1) % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
             def within(first: str, size: int) -> Column:
@@ -98,7 +103,17 @@ def permuted_text(text: Column, key: str, kind: str) -> Column:
             )
 
         n = F.char_length(part)
-        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), n), char), "")).otherwise(part)
+
+        def block(number: Column) -> Column:
+            # one digest gives 32 shifts; longer parts take one digest for each 32 places
+            digest = F.sha2(
+                F.concat_ws(":", F.lit(key), F.lit(kind), i.cast("string"), number.cast("string"), other), 256
+            )
+            places = F.sequence(number * 32 + 1, F.least(number * 32 + 32, n))
+            return let(digest, lambda d: F.array_join(F.transform(places, lambda at: char(at, d)), ""))
+
+        blocks = F.sequence(F.lit(0), F.floor((n - 1) / 32).cast("int"))
+        return F.when(n > 0, F.array_join(F.transform(blocks, block), "")).otherwise(part)
 
     def turn(state: Column, i: Column) -> Column:
         odd = i % 2 == 1
@@ -117,27 +132,33 @@ def permuted_text(text: Column, key: str, kind: str) -> Column:
 def refilled(pattern: Column, chars: Column, slot: str) -> Column:
     """``pattern`` with its characters of class ``slot`` replaced, in order, by ``chars``."""
 
-    def put(state: Column, c: Column) -> Column:
-        hit = c.rlike(slot)
-        nxt = F.substring(chars, state["k"] + 1, F.lit(1))
-        return F.struct(
-            F.concat(state["out"], F.when(hit, nxt).otherwise(c)).alias("out"),
-            (state["k"] + F.when(hit, 1).otherwise(0)).alias("k"),
-        )
+    def filled(new: Column) -> Column:
+        def put(state: Column, c: Column) -> Column:
+            hit = c.rlike(slot)
+            nxt = F.substring(new, state["k"] + 1, F.lit(1))
+            return F.struct(
+                F.concat(state["out"], F.when(hit, nxt).otherwise(c)).alias("out"),
+                (state["k"] + F.when(hit, 1).otherwise(0)).alias("k"),
+            )
+
+        start = F.struct(F.lit("").alias("out"), F.lit(0).alias("k"))
+        return F.aggregate(F.split(pattern, BETWEEN), start, put, lambda s: s["out"])
 
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("k"))
-    return F.aggregate(F.split(pattern, BETWEEN), start, put, lambda s: s["out"])
+    return let(chars, filled)
 
 
 def luhn_sum(digits: Column, shift: int) -> Column:
     """Luhn sum; ``shift`` 0 with the check digit in place, 1 before it is added."""
 
-    def add(total: Column, i: Column) -> Column:
-        d = F.substring(digits, F.char_length(digits) - i, F.lit(1)).cast("int")
-        twice = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
-        return total + F.when((i + shift) % 2 == 1, twice).otherwise(d)
+    def summed(number: Column) -> Column:
+        def add(total: Column, i: Column) -> Column:
+            d = F.substring(number, F.char_length(number) - i, F.lit(1)).cast("int")
+            twice = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
+            return total + F.when((i + shift) % 2 == 1, twice).otherwise(d)
 
-    return F.aggregate(F.sequence(F.lit(0), F.char_length(digits) - 1), F.lit(0), add)
+        return F.aggregate(F.sequence(F.lit(0), F.char_length(number) - 1), F.lit(0), add)
+
+    return let(digits, summed)
 
 
 def mod97(text: Column) -> Column:
@@ -187,8 +208,8 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
 
     bare = F.replace(m, F.lit(" "), F.lit(""))
     account = permuted_text(F.substring(bare, F.lit(5), F.char_length(bare)), key, "iban")
-    check = F.lpad((98 - mod97(F.concat(F.substring(bare, 1, 2), F.lit("00"), account))).cast("string"), 2, "0")
-    iban = refilled(m, F.concat(F.substring(bare, 1, 2), check, account), "[A-Z0-9]")
+    check = lambda a: F.lpad((98 - mod97(F.concat(F.substring(bare, 1, 2), F.lit("00"), a))).cast("string"), 2, "0")
+    iban = refilled(m, let(account, lambda a: F.concat(F.substring(bare, 1, 2), check(a), a)), "[A-Z0-9]")
 
     # 1800-01-01 to 2199-12-31: one full cycle of the calendar, 146,097 days
     first = F.lit("1800-01-01").cast("date")
@@ -199,36 +220,44 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
 
     octets = F.transform(F.split(m, r"\."), lambda o: o.cast("long"))
     word = lambda i: F.get(octets, i) * 256 + F.get(octets, i + 1)
-    moved = feistel(word(0) * 65536 + word(2), 65536, 65536, key, "ip")
-    ip = F.concat_ws(".", *[F.shiftright(moved, s).bitwiseAND(F.lit(255)).cast("string") for s in (24, 16, 8, 0)])
+    ip = let(
+        feistel(word(0) * 65536 + word(2), 65536, 65536, key, "ip"),
+        lambda x: F.concat_ws(".", *[F.shiftright(x, s).bitwiseAND(F.lit(255)).cast("string") for s in (24, 16, 8, 0)]),
+    )
 
     # area 001 to 899 without 666, group 01 to 99, serial 0001 to 9999
     area = F.substring(digits, 1, 3).cast("long")
     rank = area - F.when(area > 666, 2).otherwise(1)
     rest = (F.substring(digits, 4, 2).cast("long") - 1) * 9999 + F.substring(digits, 6, 4).cast("long") - 1
     low = F.lit(99 * 9999).cast("long")
-    number = feistel(rank * low + rest, 898, 99 * 9999, key, "social")
-    new_rank, new_rest = F.floor(number / low).cast("long"), F.pmod(number, low)
-    social = F.concat_ws(
-        "-",
-        F.lpad((new_rank + F.when(new_rank >= 665, 2).otherwise(1)).cast("string"), 3, "0"),
-        F.lpad((F.floor(new_rest / 9999).cast("long") + 1).cast("string"), 2, "0"),
-        F.lpad((F.pmod(new_rest, F.lit(9999)) + 1).cast("string"), 4, "0"),
-    )
+
+    def spelt_social(number: Column) -> Column:
+        new_rank, new_rest = F.floor(number / low).cast("long"), F.pmod(number, low)
+        return F.concat_ws(
+            "-",
+            F.lpad((new_rank + F.when(new_rank >= 665, 2).otherwise(1)).cast("string"), 3, "0"),
+            F.lpad((F.floor(new_rest / 9999).cast("long") + 1).cast("string"), 2, "0"),
+            F.lpad((F.pmod(new_rest, F.lit(9999)) + 1).cast("string"), 4, "0"),
+        )
+
+    social = let(feistel(rank * low + rest, 898, 99 * 9999, key, "social"), spelt_social)
 
     inner = F.concat(F.substring(digits, 1, 1), permuted_digits(F.substring(digits, F.lit(2), n - 2), key, "card"))
-    card = refilled(m, F.concat(inner, F.pmod(10 - luhn_sum(inner, 1) % 10, F.lit(10)).cast("string")), "[0-9]")
+    checked = lambda x: F.concat(x, F.pmod(10 - luhn_sum(x, 1) % 10, F.lit(10)).cast("string"))
+    card = refilled(m, let(inner, checked), "[0-9]")
 
     # ten digits of the numbering plan: area and exchange start with 2 to 9
     code = F.when((n == 11) & digits.startswith("1"), F.lit("1")).otherwise(F.lit(""))
     ten = F.substring(digits, F.char_length(code) + 1, F.lit(10))
     local = F.substring(ten, 4, 7).cast("long") - 2_000_000
     size = F.lit(8_000_000).cast("long")
-    shifted = feistel((F.substring(ten, 1, 3).cast("long") - 200) * size + local, 800, 8_000_000, key, "phone")
-    plan = F.concat(
-        code,
-        (F.floor(shifted / size).cast("long") + 200).cast("string"),
-        (F.pmod(shifted, size) + 2_000_000).cast("string"),
+    plan = let(
+        feistel((F.substring(ten, 1, 3).cast("long") - 200) * size + local, 800, 8_000_000, key, "phone"),
+        lambda x: F.concat(
+            code,
+            (F.floor(x / size).cast("long") + 200).cast("string"),
+            (F.pmod(x, size) + 2_000_000).cast("string"),
+        ),
     )
     abroad = F.concat(F.substring(digits, 1, 2), permuted_digits(F.substring(digits, F.lit(3), n - 2), key, "abroad"))
     in_plan = (F.char_length(ten) == 10) & ((n == 10) & ~m.startswith("+") | (n == 11) & (code == "1")) & ten.rlike(

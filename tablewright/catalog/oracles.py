@@ -4,13 +4,84 @@ from __future__ import annotations
 
 from tablewright.catalog import fixture
 from tablewright.catalog.queries import AS_OF, SINCE, TABLES, UNTIL
-from tablewright.functions.naming import snake_case
 from tablewright.plans import customer
 
 ORACLES: dict[str, str] = {}
 
-FIXED = {**{n: snake_case(n) for n in fixture.columns("VARCHAR")}}
-FIXED = {n: customer.NAME_FIXES.get(s, s) for n, s in FIXED.items()}
+# Raw column, its name in snake case, its name in silver. Written
+# out here, so that a wrong rule in the library shows.
+EXPECTED = (
+    ("customerID", "customer_i_d", "customer_id"),
+    ("gender", "gender", "gender"),
+    ("SeniorCitizen", "senior_citizen", "senior_citizen"),
+    ("Partner", "partner", "partner"),
+    ("Dependents", "dependents", "dependents"),
+    ("tenure", "tenure", "tenure"),
+    ("PhoneService", "phone_service", "phone_service"),
+    ("MultipleLines", "multiple_lines", "multiple_lines"),
+    ("InternetService", "internet_service", "internet_service"),
+    ("OnlineSecurity", "online_security", "online_security"),
+    ("OnlineBackup", "online_backup", "online_backup"),
+    ("DeviceProtection", "device_protection", "device_protection"),
+    ("TechSupport", "tech_support", "tech_support"),
+    ("StreamingTV", "streaming_t_v", "streaming_tv"),
+    ("StreamingMovies", "streaming_movies", "streaming_movies"),
+    ("Contract", "contract", "contract"),
+    ("PaperlessBilling", "paperless_billing", "paperless_billing"),
+    ("PaymentMethod", "payment_method", "payment_method"),
+    ("MonthlyCharges", "monthly_charges", "monthly_charges"),
+    ("TotalCharges", "total_charges", "total_charges"),
+    ("Churn", "churn", "churn"),
+)
+YES_NO = (
+    "partner",
+    "dependents",
+    "phone_service",
+    "paperless_billing",
+    "churn",
+)
+CATEGORIES = (
+    "gender",
+    "multiple_lines",
+    "internet_service",
+    "online_security",
+    "online_backup",
+    "device_protection",
+    "tech_support",
+    "streaming_tv",
+    "streaming_movies",
+    "contract",
+    "payment_method",
+)
+VIEW_FIELDS = (
+    ("tenure_group", "float"),
+    ("billing_ratio", "float"),
+    ("is_high_value", "bigint"),
+    ("avg_historical_charge", "float"),
+    ("monthly_charges", "float"),
+    ("total_charges", "float"),
+    ("tenure", "float"),
+    ("senior_citizen", "bigint"),
+    ("partner", "bigint"),
+    ("dependents", "bigint"),
+    ("phone_service", "bigint"),
+    ("paperless_billing", "bigint"),
+    ("churn", "bigint"),
+    ("gender_vec", "array<float>"),
+    ("internet_service_vec", "array<float>"),
+    ("contract_vec", "array<float>"),
+    ("payment_method_vec", "array<float>"),
+    ("multiple_lines_vec", "array<float>"),
+    ("online_security_vec", "array<float>"),
+    ("online_backup_vec", "array<float>"),
+    ("device_protection_vec", "array<float>"),
+    ("tech_support_vec", "array<float>"),
+    ("streaming_tv_vec", "array<float>"),
+    ("streaming_movies_vec", "array<float>"),
+)
+# End of fixed values.
+
+FIXED = {name: silver for name, _, silver in EXPECTED}
 NAMES = list(FIXED.values())
 
 SNAKE = "SELECT " + ", ".join(f'"{n}" AS {s}' for n, s in FIXED.items()) + " FROM raw"
@@ -23,7 +94,7 @@ def _flag(c: str) -> str:
 
 
 def _clean(c: str) -> str:
-    if c in customer.YES_NO:
+    if c in YES_NO:
         return _flag(c)
     return f"coalesce({NUMBER}, 0.0) AS total_charges" if c == "total_charges" else c
 
@@ -43,7 +114,7 @@ FROM (SELECT *,
 """
 
 PAIRS = " UNION ALL ".join(
-    f"SELECT customer_id, '{c}' AS col, {c} AS label FROM snake" for c in customer.CATEGORIES
+    f"SELECT customer_id, '{c}' AS col, {c} AS label FROM snake" for c in CATEGORIES
 )
 
 VOCAB = """
@@ -67,7 +138,7 @@ STEPS = {
     "vocab": VOCAB,
     "slotted": SLOTTED,
 }
-SCALARS = [n for n in NAMES if n not in customer.CATEGORIES] + [
+SCALARS = [n for n in NAMES if n not in CATEGORIES] + [
     "tenure_group",
     "avg_historical_charge",
     "billing_ratio",
@@ -82,11 +153,11 @@ def over(body: str, **steps: str) -> str:
 
 
 ORACLES["snake_case_columns"] = (
-    "SELECT " + ", ".join(f'"{n}" AS {snake_case(n)}' for n in FIXED) + f" FROM ({fixture.RAW_SQL})"
+    "SELECT " + ", ".join(f'"{n}" AS {snake}' for n, snake, _ in EXPECTED) + f" FROM ({fixture.RAW_SQL})"
 )
 ORACLES["fix_acronym_names"] = over("SELECT * FROM snake")
 ORACLES["yes_no_to_int"] = over(
-    "SELECT customer_id, " + ", ".join(map(_flag, customer.YES_NO)) + " FROM snake"
+    "SELECT customer_id, " + ", ".join(map(_flag, YES_NO)) + " FROM snake"
 )
 ORACLES["cast_int_flags"] = over(
     "SELECT customer_id, CAST(senior_citizen AS INTEGER) AS senior_citizen FROM snake"
@@ -96,7 +167,7 @@ ORACLES["blank_to_null_numeric"] = over(
 )
 ORACLES["fill_null"] = over("SELECT customer_id, total_charges FROM silver")
 ORACLES["drop_columns"] = over(
-    "SELECT " + ", ".join(n for n in NAMES if n not in customer.CATEGORIES) + " FROM snake"
+    "SELECT " + ", ".join(n for n in NAMES if n not in CATEGORIES) + " FROM snake"
 )
 ORACLES["select_existing"] = over("SELECT customer_id, tenure, monthly_charges FROM snake")
 ORACLES["select_by_suffix"] = over(
@@ -206,7 +277,7 @@ ORACLES["vector_to_array"] = over(
 def _hot(shift: int) -> str:
     return ", ".join(
         f"CAST(max(CASE WHEN col = '{c}' THEN slot END) + {shift} AS BIGINT) AS {c}_vec"
-        for c in customer.CATEGORIES
+        for c in CATEGORIES
     )
 
 
@@ -219,7 +290,12 @@ def _wide(scalars: str, shift: int) -> str:
     )
 
 
-ORACLES["gold"] = _wide(", ".join(f"d.{c}" for c in SCALARS), 0)
+LENGTHS = (
+    "(SELECT string_agg(CAST(k + 1 AS VARCHAR), ',' ORDER BY col) "
+    "FROM (SELECT col, count(*) AS k FROM vocab GROUP BY col)) AS lengths"
+)
+FILLED = f"'{','.join('1' for _ in CATEGORIES)}' AS filled"
+ORACLES["gold"] = _wide(", ".join([*(f"d.{c}" for c in SCALARS), LENGTHS, FILLED]), 0)
 ORACLES["stamp_timestamps"] = over(
     f"SELECT customer_id, TIMESTAMP '{AS_OF}' AS event_timestamp, "
     f"TIMESTAMP '{AS_OF}' AS created_timestamp FROM snake"
@@ -363,11 +439,36 @@ ORACLES["bronze_silver_checks"] = over(
     )
 )
 
+ORACLES["bronze_silver_checks_faulty"] = over(
+    _gate(
+        [
+            ("no_column_containing_PK", "schema", "error", "count(*) * 0 + 1", "raw"),
+            ("has_column_customerID", "schema", "warn", "count(*) * 0 + 1", "raw"),
+            (
+                "not_null_total_charges",
+                "completeness",
+                "error",
+                "count(*) FILTER (WHERE tenure IN (0, 7))",
+                "silver",
+            ),
+            (
+                "at_least_11_total_charges",
+                "logic",
+                "warn",
+                "greatest(11 - count(*) FILTER (WHERE total_charges = 0.0 AND tenure NOT IN (0, 7)), 0)",
+                "silver",
+            ),
+            ("has_type_senior_citizen", "schema", "warn", "count(*) * 0 + 1", "silver"),
+            ("has_type_churn", "schema", "warn", "count(*) * 0 + 1", "silver"),
+        ]
+    )
+)
+
 SQL_TYPES = {"float": "FLOAT", "bigint": "BIGINT"}
 ORACLES["feature_view_project"] = _wide(
     "d.customer_id, "
     + ", ".join(
-        f"CAST(d.{c} AS {SQL_TYPES[t]}) AS {c}" for c, t in customer.VIEW_FIELDS if t in SQL_TYPES
+        f"CAST(d.{c} AS {SQL_TYPES[t]}) AS {c}" for c, t in VIEW_FIELDS if t in SQL_TYPES
     ),
     1,
 )
@@ -399,7 +500,7 @@ ORACLES["feature_view_apply"] = over(
         _contract(c, t)
         for c, t in [
             ("customer_id", "string"),
-            *customer.VIEW_FIELDS,
+            *VIEW_FIELDS,
             ("event_timestamp", "timestamp"),
             ("created_timestamp", "timestamp"),
         ]
@@ -445,6 +546,14 @@ SELECT c.c_custkey AS user_id, s.event_type, s.value
 FROM customer c LEFT JOIN ({_latest(f"day <= TIMESTAMP '{UNTIL}'")}) s ON c.c_custkey = s.user_id
 """
 
+ORACLES["online_lookup_ttl"] = f"""
+SELECT c.c_custkey AS user_id, s.event_type, s.value, s.day
+FROM customer c LEFT JOIN (
+    SELECT * FROM ({_latest(f"day <= TIMESTAMP '{UNTIL}'")})
+    WHERE day >= TIMESTAMP '{UNTIL}' - INTERVAL 2 DAY
+) s ON c.c_custkey = s.user_id
+"""
+
 
 def _as_of(events: str) -> str:
     return f"""
@@ -476,10 +585,10 @@ ORACLES["point_in_time_join_hot_many"] = _as_of(
 ORACLES["src_tabular"] = fixture.RAW_SQL
 ORACLES["src_bronze"] = fixture.RAW_SQL
 ORACLES["src_silver"] = over("SELECT * FROM silver")
-ORACLES["src_gold"] = over("SELECT customer_id, tenure_group, billing_ratio FROM derived")
-ORACLES["src_feature"] = f"SELECT user_id, day, created FROM ({HISTORY})"
+ORACLES["src_gold"] = ORACLES["gold"]
+ORACLES["src_feature"] = HISTORY
 ORACLES["sink_table"] = over("SELECT * FROM snake")
-ORACLES["sink_gold"] = "SELECT count(*) AS n FROM customer"
+ORACLES["sink_gold"] = ORACLES["gold"]
 ORACLES["raw_file_audit"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '50415231' AS header_hex, FALSE AS is_zip" for t in TABLES
 )

@@ -336,13 +336,27 @@ def vector_to_array(spark, sf_dir):
     return slots(E.encode_many_ml(part, cols), ["p_partkey"])
 
 
+def in_full(full: DataFrame) -> DataFrame:
+    """Gold in full: scalars, every vector as its hot slot, and the lengths and
+    numbers of entries other than zero of all vectors in the order of names."""
+    vectors = S.columns_with_suffix(full)
+    hot = [(F.array_position(c, 1.0) - 1).alias(c) for c in vectors]
+    rest = [c for c in full.columns if not c.endswith(("_vec", "_timestamp"))]
+    lengths = [F.size(c).cast("string") for c in sorted(vectors)]
+    filled = [F.size(F.array_remove(c, 0.0)).cast("string") for c in sorted(vectors)]
+    return full.select(
+        *rest,
+        *hot,
+        F.concat_ws(",", *lengths).alias("lengths"),
+        F.concat_ws(",", *filled).alias("filled"),
+        ntz("event_timestamp"),
+        ntz("created_timestamp"),
+    )
+
+
 @query
 def gold(spark, sf_dir):
-    """Gold in full: scalars with every vector as its hot slot."""
-    full = golden(spark, sf_dir)
-    hot = [(F.array_position(c, 1.0) - 1).alias(c) for c in S.columns_with_suffix(full)]
-    rest = [c for c in full.columns if not c.endswith(("_vec", "_timestamp"))]
-    return full.select(*rest, *hot, ntz("event_timestamp"), ntz("created_timestamp"))
+    return in_full(golden(spark, sf_dir))
 
 
 @query
@@ -447,6 +461,22 @@ def bronze_silver_checks(spark, sf_dir):
     return bronze.unionByName(Q.run_gate(cleaned(spark, sf_dir), customer.silver_rules()))
 
 
+@query
+def bronze_silver_checks_faulty(spark, sf_dir):
+    """A key named like an archive header, empty charges, no zero charges and
+    two columns of a wrong type: every rule fails."""
+    bronze = raw(spark, sf_dir).withColumnRenamed("customerID", "PKcustomer")
+    silver = cleaned(spark, sf_dir).withColumns(
+        {
+            "total_charges": F.expr("CASE WHEN tenure <> 0 AND tenure <> 7 THEN total_charges END"),
+            "senior_citizen": F.col("senior_citizen").cast("string"),
+            "churn": F.col("churn").cast("double"),
+        }
+    )
+    report = Q.run_gate(bronze, customer.bronze_rules())
+    return report.unionByName(Q.run_gate(silver, customer.silver_rules()))
+
+
 # --- feature view ----------------------------------------------------------
 
 
@@ -575,6 +605,16 @@ def online_lookup(spark, sf_dir):
     return V.online_lookup(keys, V.materialize_latest(history, view, UNTIL), view)
 
 
+@query
+def online_lookup_ttl(spark, sf_dir):
+    """Features that are older than two days are not served."""
+    view = history_view(ttl=timedelta(days=2))
+    history = as_history(table(spark, sf_dir, "events"))
+    keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
+    snapshot = V.materialize_latest(history, view, UNTIL)
+    return V.online_lookup(keys, snapshot, view, as_of=UNTIL, event_as="day")
+
+
 def views_as_of(events: DataFrame, skew: V.Skew) -> DataFrame:
     """For each purchase the user's last view in the seven days before."""
     view = W.FeatureView(
@@ -645,7 +685,7 @@ def src_silver(spark, sf_dir):
 def src_gold(spark, sf_dir):
     path = scratch_path(spark, "gold")
     write_table(golden(spark, sf_dir), path)
-    return read_table(spark, path).select("customer_id", "tenure_group", "billing_ratio")
+    return in_full(read_table(spark, path))
 
 
 @query
@@ -653,7 +693,7 @@ def src_feature(spark, sf_dir):
     path = scratch_path(spark, "feature")
     write_table(as_history(table(spark, sf_dir, "events")), path)
     source = W.FeatureSource(path=path, event_timestamp="day", created_timestamp="created")
-    return source.read(spark).select("user_id", source.event_timestamp, source.created_timestamp)
+    return source.read(spark)
 
 
 @query
@@ -667,10 +707,11 @@ def sink_table(spark, sf_dir):
 
 @query
 def sink_gold(spark, sf_dir):
+    """Two overwrites leave one copy."""
     path, df = scratch_path(spark, "sink-gold"), golden(spark, sf_dir)
     for _ in range(2):
         write_table(df, path)
-    return P.row_count(read_table(spark, path))
+    return in_full(read_table(spark, path))
 
 
 @query

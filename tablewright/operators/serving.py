@@ -106,10 +106,18 @@ def materialize_incremental(
 
 
 def online_lookup(
-    keys: DataFrame, snapshot: DataFrame, view: FeatureView, max_broadcast_keys: int = 100_000
+    keys: DataFrame,
+    snapshot: DataFrame,
+    view: FeatureView,
+    max_broadcast_keys: int = 100_000,
+    *,
+    as_of: str | datetime | None = None,
+    event_as: str | None = None,
 ) -> DataFrame:
     """The features of the given keys; every row of ``keys`` stays, unknown
-    keys get NULL.
+    keys get NULL. With ``as_of`` and a view that has a ``ttl``, so do keys
+    whose event time is more than the ``ttl`` before ``as_of``. ``event_as``
+    names a column for the event time of the features served.
 
     If the distinct keys are measured and few, they are broadcast to cut the
     snapshot down where it is read, and only its hits are joined. Otherwise
@@ -120,7 +128,12 @@ def online_lookup(
     asked = keys.select(*map(quoted, names)).distinct()
     if fits_broadcast(asked, max_broadcast_keys):
         snapshot = snapshot.join(F.broadcast(asked), names, "left_semi")
-    hits = snapshot.select(*map(quoted, [*names, *view.features]))
+    event = view.source.event_timestamp
+    if as_of is not None and view.ttl is not None:
+        oldest = moment(as_of, snapshot.schema[event].dataType) - F.lit(view.ttl)
+        snapshot = snapshot.where(F.col(quoted(event)) >= oldest)
+    served = [F.col(quoted(event)).alias(event_as)] if event_as else []
+    hits = snapshot.select(*map(quoted, [*names, *view.features]), *served)
     return keys.join(hits, names, "left")
 
 

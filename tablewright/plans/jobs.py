@@ -8,10 +8,11 @@ Each step is one command, so any scheduler can run them in order::
     python -m tablewright.plans.jobs gate --gold G
     python -m tablewright.plans.jobs apply --gold G
     python -m tablewright.plans.jobs materialize --gold G --online O --until T
+    python -m tablewright.plans.jobs train --gold G --labels L --label churn --time T --model M
 
 ``all`` runs them in this order under one root folder. A step that fails ends
 with exit code 1. Every write is one Spark job; row counts come from the write
-itself.
+itself. ``--input-bytes`` sizes shuffles and scans for an input of that size.
 """
 
 from __future__ import annotations
@@ -20,20 +21,27 @@ import argparse
 import logging
 import sys
 import uuid
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.functions.naming import quoted
 from tablewright.operators.cleaning import standardise
 from tablewright.operators.dedup import dedup_by_key, dedup_rare
 from tablewright.operators.encoding import fit_vocab
 from tablewright.operators.quality import GateFailed, enforce_gate, run_gate
-from tablewright.operators.serving import materialize_incremental, materialize_latest
+from tablewright.operators.serving import (
+    materialize_incremental,
+    materialize_latest,
+    point_in_time_join,
+)
+from tablewright.operators.training import train_eval
 from tablewright.operators.views import conform, view_mismatches
 from tablewright.plans import customer, layers
-from tablewright.session import build_session
+from tablewright.session import build_session, sizing_conf, through_storage
 from tablewright.sources import (
     current_snapshot,
     publish_snapshot,
@@ -144,6 +152,8 @@ def materialize(
     reads only event times after the last publication: right for a history to
     which rows are added in the order of their event time, and only there."""
     view = view or customer.feature_view(gold)
+    if not view.online:
+        raise ValueError(f"view {view.name} is not served online")
     source = conform(read_table(spark, gold), view)
     last = current_snapshot(spark, online) if incremental else None
     if last is None:
@@ -153,6 +163,33 @@ def materialize(
     return publish_snapshot(table, online, uuid.uuid4().hex, until)
 
 
+def retrieve(spark: SparkSession, gold: str, spine: DataFrame, ts: str, view=None) -> DataFrame:
+    """``spine`` (keys, a time and labels) with the features of the view as of
+    that time. A feature that the spine brings itself, such as the label, is
+    the spine's."""
+    view = view or customer.feature_view(gold)
+    own = {c.lower() for c in spine.columns}
+    fields = tuple(f for f in view.fields if f.name.lower() not in own)
+    view = replace(view, fields=fields)
+    return point_in_time_join(spine, conform(read_table(spark, gold), view), view, ts)
+
+
+def train(
+    spark: SparkSession, gold: str, labels: str, label: str, ts: str, model: str, view=None
+) -> dict:
+    """Join the stored labels with the features as of their time, fit on part
+    of the keys, score on the others and save the model."""
+    view = view or customer.feature_view(gold)
+    spine = read_table(spark, labels).select(*map(quoted, [*view.keys, ts, label]))
+    rows = through_storage(retrieve(spark, gold, spine, ts, view), "training-rows")
+    inputs = [f for f in view.features if f != label]
+    fitted, scored = train_eval(rows, label, view.keys, inputs)
+    fitted.write().overwrite().save(model)
+    result = scored.first().asDict()
+    log.info("model: %s", result)
+    return result
+
+
 def run_all(
     spark: SparkSession,
     raw: str,
@@ -179,6 +216,7 @@ def run_all(
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tablewright")
     parser.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE")
+    parser.add_argument("--input-bytes", type=int)
     parser.add_argument("--table-format", default="parquet")
     steps = parser.add_subparsers(dest="step", required=True)
     names = {
@@ -188,6 +226,7 @@ def main(argv: list[str] | None = None) -> int:
         "gate": ("gold",),
         "apply": ("gold",),
         "materialize": ("gold", "online"),
+        "train": ("gold", "labels", "label", "time", "model"),
         "all": ("raw", "root"),
     }
     sub = {}
@@ -211,7 +250,8 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(levelname)s %(message)s")
-    spark = build_session(dict(c.split("=", 1) for c in args.conf))
+    sizes = sizing_conf(args.input_bytes) if args.input_bytes else {}
+    spark = build_session({**sizes, **dict(c.split("=", 1) for c in args.conf)})
     try:
         if args.step == "ingest":
             ingest(
@@ -244,6 +284,8 @@ def main(argv: list[str] | None = None) -> int:
             gate(spark, args.gold, customer.gold_rules(args.min_rows))
         elif args.step == "apply":
             apply(spark, args.gold)
+        elif args.step == "train":
+            train(spark, args.gold, args.labels, args.label, args.time, args.model)
         else:
             until = args.until or datetime.now(timezone.utc).replace(tzinfo=None)
             if args.step == "materialize":

@@ -42,24 +42,37 @@ def read_tabular(
     return reader.options(**settings).load(path)
 
 
+def first_bytes(spark: SparkSession, path: str, n: int) -> str:
+    """The first ``n`` bytes of a file in any store that Spark reads, as
+    upper-case hex digits."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(at)
+    try:
+        return "".join(f"{b:02X}" for b in (stream.read() for _ in range(n)) if b >= 0)
+    finally:
+        stream.close()
+
+
 def raw_file_audit(
     spark: SparkSession, path: str, glob: str | None = None, max_bytes: int = 2_000_000_000
 ) -> DataFrame:
     """(path, length, header_hex, is_zip) of every file under ``path``: the
     first four bytes tell a workbook from a mislabelled text file. Files are
     spread over tasks. A file above ``max_bytes`` cannot be one cell of a row:
-    it is listed with a NULL header and never opened. Empty files do not
-    appear: Spark's file sources skip them."""
+    the driver opens it and reads those four bytes, so it does that at most
+    once for each ``max_bytes`` of data. Empty files do not appear: Spark's
+    file sources skip them."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path)
     header = F.hex(F.substring("content", 1, 4))
-    small = files.where(F.col("length") <= max_bytes).select("path", "length", header.alias("h"))
-    large = files.where(F.col("length") > max_bytes).select(
-        "path", "length", F.lit(None).cast("string").alias("h")
-    )
-    return small.unionAll(large).select(
+    found = files.where(F.col("length") <= max_bytes).select("path", "length", header.alias("h"))
+    large = files.where(F.col("length") > max_bytes).select("path", "length").collect()
+    if large:
+        opened = [(r["path"], r["length"], first_bytes(spark, r["path"], 4)) for r in large]
+        found = found.unionAll(spark.createDataFrame(opened, found.schema))
+    return found.select(
         "path",
         "length",
         F.col("h").alias("header_hex"),

@@ -116,6 +116,30 @@ def test_exit_codes(spark, layers, tmp_path, monkeypatch):
         jobs.main(["unknown"])
 
 
+def test_labels_are_joined_as_of_their_time_and_trained_on(spark, layers, tmp_path, monkeypatch):
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(jobs, "build_session", lambda conf: spark)
+    gold, labels = read_table(spark, layers["gold"]), str(tmp_path / "labels")
+    early = F.col("tenure") < 24  # asked before their features were known
+    at = F.when(early, F.lit("2024-05-01")).otherwise(F.lit("2024-06-02")).cast("timestamp")
+    gold.select("customer_id", "churn", at.alias("asked")).write.parquet(labels)
+    spine = read_table(spark, labels)
+    got = jobs.retrieve(spark, layers["gold"], spine, "asked")
+    n_early = gold.where(early).count()
+    assert got.count() == 1500 and got.where("tenure IS NULL").count() == n_early
+    command = ["train", "--gold", layers["gold"], "--labels", labels, "--label", "churn"]
+    assert jobs.main([*command, "--time", "asked", "--model", str(tmp_path / "model")]) == 0
+    result = jobs.train(spark, layers["gold"], labels, "churn", "asked", str(tmp_path / "model"))
+    assert result["n_skipped"] == n_early
+    assert result["n_train"] + result["n_test"] == 1500 - n_early
+    offline = replace(customer.feature_view(layers["gold"]), online=False)
+    with pytest.raises(ValueError, match="not served online"):
+        jobs.materialize(spark, layers["gold"], str(tmp_path / "o"), "2024-06-02", offline)
+
+
 def test_model(spark, layers):
     from tablewright.operators.training import train_eval
     from tablewright.operators.views import conform

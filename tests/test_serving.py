@@ -194,3 +194,20 @@ def test_lookup_keeps_all_asked_rows(spark, bound):
     asked = spark.createDataFrame([("a",), ("a",), ("x",), (None,)], "k string")
     out = V.online_lookup(asked, snapshot, view(), max_broadcast_keys=bound)
     assert rows(out) == sorted([("a", 1), ("a", 1), ("x", None), (None, None)], key=repr)
+
+
+def test_lookup_serves_nothing_beyond_the_ttl(spark):
+    from dataclasses import replace
+    from datetime import timedelta
+
+    snapshot = spark.createDataFrame(
+        [("a", 1, START, START), ("b", 2, START + timedelta(days=2), START)],
+        "k string, v int, event timestamp_ntz, created timestamp_ntz",
+    )
+    asked = spark.createDataFrame([("a",), ("b",)], "k string")
+    short = replace(view(), ttl=timedelta(days=1))
+    at = START + timedelta(days=3)
+    out = V.online_lookup(asked, snapshot, short, as_of=at, event_as="seen")
+    assert rows(out) == sorted([("a", None, None), ("b", 2, START + timedelta(days=2))], key=repr)
+    endless = replace(view(), ttl=None)
+    assert rows(V.online_lookup(asked, snapshot, endless, as_of=at)) == [("a", 1), ("b", 2)]

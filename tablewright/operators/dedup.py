@@ -3,7 +3,8 @@
 The choice is an aggregate (least or greatest row per key) rather than a
 ranked window: every map task first reduces its rows to one per key, so a key
 that holds a third of the table still reaches the reducer as one row per map
-task, and copies of a row never meet in a sort.
+task. Whole rows in a buffer need a sort aggregate, so each map task sorts its
+own rows by key before that; only the rows that are left are shuffled.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.naming import quoted
-from tablewright.session import fits_broadcast
+from tablewright.session import fits_broadcast, through_storage
 
-ROW = "__row"
+ROW, AGAIN = "__row", "__again"
 
 
 def orderable(dtype: T.DataType) -> bool:
@@ -77,7 +78,8 @@ def dedup_rare(
     A first pass over the key columns alone finds the keys that occur twice.
     If they are few, only their rows are shuffled and all others pass straight
     through the scan; if they are many, the plain form is used. ``df`` is read
-    again, so it must be a stored table. NULL keys take the shuffled side.
+    three times, once for its keys only, so it must be a stored table. NULL
+    keys take the shuffled side.
     """
     keys = list(keys)
     any_null = F.lit(False)
@@ -90,11 +92,12 @@ def dedup_rare(
         .where("__n > 1")
         .select(*map(quoted, keys))
     )
+    repeated = through_storage(repeated, "repeated-keys")
     if not fits_broadcast(repeated, max_broadcast_keys):
         return dedup_by_key(df, keys, order_by, keep)
-    small = F.broadcast(repeated)
-    single = df.where(~any_null).join(small, keys, "left_anti")
-    several = df.where(~any_null).join(small, keys, "left_semi").unionByName(df.where(any_null))
+    marked = df.join(F.broadcast(repeated.withColumn(AGAIN, F.lit(True))), keys, "left")
+    again, columns = any_null | F.col(AGAIN).isNotNull(), list(map(quoted, df.columns))
+    single, several = marked.where(~again).select(*columns), marked.where(again).select(*columns)
     return single.unionByName(dedup_by_key(several, keys, order_by, keep))
 
 

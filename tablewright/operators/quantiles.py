@@ -9,6 +9,7 @@ with a result of fixed size, and the sketch never decides a value.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -19,7 +20,9 @@ from pyspark.sql import functions as F
 from tablewright.functions.expressions import number
 from tablewright.functions.naming import quoted, rows_of, text
 
-ACCURACY = 10_000
+# Relative error of one sketch, points read from it, and how many sketches are
+# kept apart in the first level.
+ACCURACY, GRID, BUCKETS = 10_000, 2_000, 256
 
 
 @dataclass
@@ -57,7 +60,7 @@ class _Bracket:
 
     def guesses(self) -> tuple[float, float]:
         """Where in the bracket to look: a little outside the two ranks."""
-        slack = 2 / ACCURACY
+        slack = 2 / ACCURACY + 3 / GRID
         first, second = ((r - self.below) / self.inside for r in self.ranks)
         return max(0.0, first - slack), min(1.0, second + slack)
 
@@ -107,20 +110,36 @@ def quantiles(
 
 
 def _sketch(df: DataFrame, brackets: Sequence[_Bracket]) -> list[tuple[float, float]]:
-    """Two sketched values per bracket; equal brackets share a sketch."""
+    """Two sketched values per bracket; equal brackets share a sketch.
+
+    Sketches of the map tasks meet in two levels, so no task takes them all:
+    first those of each bucket of partitions, then a grid of points from each
+    bucket, weighted by its rows."""
     groups: dict[tuple, list[int]] = {}
     for i, b in enumerate(brackets):
         groups.setdefault((b.column, b.low, b.high), []).append(i)
-    aggs = []
-    for members in groups.values():
+    # one constant, however many points
+    grid = f"from_json('{json.dumps([i / GRID for i in range(GRID + 1)])}', 'array<double>')"
+    sketched, guesses = [], []
+    for g, members in enumerate(groups.values()):
         first = brackets[members[0]]
-        probs = ", ".join(f"{p!r}D" for i in members for p in brackets[i].guesses())
         inside = f"IF({first.holds}, {first.value}, NULL)"
-        aggs.append(F.expr(f"percentile_approx({inside}, array({probs}), {ACCURACY})"))
+        points = f"percentile_approx({inside}, {grid}, {ACCURACY})"
+        sketched.append(F.expr(f"struct({g} AS g, {points} AS points, count({inside}) AS n) AS s{g}"))
+        for prob in (p for i in members for p in brackets[i].guesses()):
+            guesses.append(F.min(F.expr(f"IF(g = {g} AND upto >= {prob!r}D * total, v, NULL)")))
+    buckets = df.withColumn("__bucket", F.spark_partition_id() % BUCKETS).groupBy("__bucket").agg(*sketched)
+    points = buckets.select(F.explode(F.array(*[f"s{g}" for g in range(len(groups))])).alias("s"))
+    points = points.select("s.g", "s.n", F.explode("s.points").alias("v"))
+    weights = points.groupBy("g", "v").agg(F.sum("n").cast("double").alias("w"))
+    whole = Window.partitionBy("g")
+    upto = whole.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = weights.select("g", "v", F.sum("w").over(upto).alias("upto"), F.sum("w").over(whole).alias("total"))
+    values = iter(placed.agg(*[guess.alias(f"v{n}") for n, guess in enumerate(guesses)]).first())
     found: list[tuple[float, float]] = [(-math.inf, math.inf)] * len(brackets)
-    for members, values in zip(groups.values(), df.agg(*aggs).first()):
-        for place, i in enumerate(members):
-            found[i] = (values[2 * place], values[2 * place + 1])
+    for members in groups.values():
+        for i in members:
+            found[i] = (next(values), next(values))
     return found
 
 

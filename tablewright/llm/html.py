@@ -1,8 +1,9 @@
 """Main text of web pages by consensus host paths.
 
 Each page's containers are scored by the text they hold themselves, less their
-links; every page votes for the generalised tag-class path of its best one, and
-Spark adds up the votes per host. Pages are then read again with their host's
+links; from the best one the page climbs to the container of the whole article,
+votes for the generalised tag-class path of that, and Spark adds up the votes
+per host. Pages are then read again with their host's
 winning paths, so a page whose own best container is a stray one still yields
 the article.
 """
@@ -66,11 +67,11 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"
 
 
 class Node:
-    __slots__ = ("tag", "name", "dropped", "parent", "path", "own", "linked", "score", "at")
+    __slots__ = ("tag", "name", "dropped", "parent", "path", "own", "linked", "held", "held_links", "score", "at")
 
     def __init__(self, tag: str, name: str, dropped: bool, parent: Node | None, path: str, at: int):
         self.tag, self.name, self.dropped, self.parent, self.path, self.at = tag, name, dropped, parent, path, at
-        self.own = self.linked = 0
+        self.own = self.linked = self.held = self.held_links = 0
         self.score = 0.0
 
 
@@ -186,36 +187,97 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
 CONTAINERS = {"article", "main", "section", "div", "body", "td", "center", "blockquote", "html", ""}
 
 
+def above(node: Node) -> Node | None:
+    """The nearest container around ``node``."""
+    up = node.parent
+    while up is not None and up.tag not in CONTAINERS:
+        up = up.parent
+    return up
+
+
+def climbed(node: Node, headed: dict[int, int], parts: dict[int, list[Node]]) -> Node:
+    """The container of the whole article of which ``node`` holds the most text.
+
+    All that is kept in an article, or else in a main element, belongs to it.
+    Elsewhere a quotation gives way to what surrounds it, and a container to the
+    next one up if that holds a heading before it, or itself a tenth (the body: a
+    quarter) as much text, or further parts with few links and a fifth as much.
+    Cells beside a cell are no parts of it, and right below the body only
+    sections beside a section are.
+    """
+    named, up = {}, node
+    while up is not None:
+        if up.tag in ("article", "main") and not up.dropped:
+            named[up.tag] = up
+        up = up.parent
+    if named:
+        return named.get("article") or named["main"]
+    while (up := above(node)) is not None and up.parent is not None and not up.dropped:
+        page = up.tag in ("body", "html")
+        alike = [x for x in parts[id(up)] if x.path == node.path]
+        covered = sum(x.held for x in alike)
+        others = [x for x in parts[id(up)] if x.path != node.path and not x.tag == node.tag == "td"]
+        more = sum(x.held for x in others if x.held >= 2 * x.held_links and (not page or x.tag == node.tag == "section"))
+        wide = (4 if page else 10) * up.own >= covered and up.own >= up.linked
+        joined = 5 * more >= covered or (len(alike) > 1 and node.tag == "section")
+        if not (node.tag == "blockquote" or wide or joined or (not page and headed.get(id(up), node.at) < node.at)):
+            break
+        node = up
+    return node
+
+
 def scored(html: str) -> list[tuple[str, float]]:
-    """Paths and scores of a page's containers: the characters outside links
-    that lie in the container with no container between, half of what its
-    direct children hold, and a bonus for elements that name an article."""
+    """Paths and scores of a page's containers, the best first.
+
+    The characters outside links that lie in a container with no container
+    between, half of what its direct children hold, and a bonus for elements
+    that name an article find where the text is densest; from there ``climbed``
+    leads to the container of the whole article. The others follow by score.
+    """
     nodes, events = parse(html)
-    for node, piece in events:
+    headed: dict[int, int] = {}
+    for at, (node, piece) in enumerate(events):
         if piece is None or node.dropped or not piece.strip():
             continue
-        size, linked, up = len(piece.strip()), False, node
+        size, linked, heading, up = len(piece.strip()), False, False, node
         while up.parent is not None and up.tag not in CONTAINERS:
             linked |= up.tag == "a"
+            heading |= up.tag in ("h1", "h2")
             up = up.parent
         if linked:
             up.linked += size
         else:
             up.own += size
-    for node in nodes:
-        if node.tag in CONTAINERS and not node.dropped and node.own:
+        if heading:
+            headed.setdefault(id(up), at)
+    parts: dict[int, list[Node]] = {}
+    for node in reversed(nodes):  # children come after their parents
+        if node.tag not in CONTAINERS or node.dropped:
+            continue
+        node.held += node.own
+        node.held_links += node.linked
+        up = above(node)
+        if up is not None and not up.dropped and (node.held or node.held_links):
+            up.held += node.held
+            up.held_links += node.held_links
+            parts.setdefault(id(up), []).append(node)
+        if node.own:
             value = node.own * node.own / (node.own + node.linked)
             node.score += value * (1.5 if node.tag in ("article", "main") else 1.0)
-            up = node.parent
-            while up is not None and up.tag not in CONTAINERS:
-                up = up.parent
             if up is not None and not up.dropped:
                 up.score += value / 2
     found: dict[str, float] = {}
+    first: dict[str, Node] = {}
     for node in nodes:
         if node.score > 0:
             found[node.path] = found.get(node.path, 0.0) + node.score
-    return sorted(found.items(), key=lambda x: (-x[1], x[0]))
+            if node.path not in first or node.score > first[node.path].score:
+                first[node.path] = node
+    order = sorted(found.items(), key=lambda x: (-x[1], x[0]))
+    if order:
+        top = climbed(first[order[0][0]], headed, parts).path
+        order = [(top, max(found.get(top, 0.0), order[0][1])), *[x for x in order if x[0] != top]]
+    return order
 
 
 def extracted(html: str, paths: list[str]) -> str:

@@ -114,6 +114,25 @@ def test_html_markup(page, text):
     assert html.extracted(page, [">article", ">main"]) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "path"),
+    [
+        ("<article><section id=a><p>{a}{a}{a}</p></section><section id=b><p>{a}</p></section></article>", ">body>article"),
+        ("<article><h1>T</h1><p>{a}</p>" + "<section><p>{a}b</p></section>" * 5 + "</article>", ">body>article"),
+        ("<div class=post><h1>T</h1><div class=text><p>{a}</p></div></div><div class=x><p>{b}</p></div>", ">body>div.post"),
+        ("<div class=post><p>{b}</p><blockquote><p>{a}{a}</p></blockquote></div>", ">body>div.post"),
+        ("<div class=post><p>{b}</p><table>" + "<tr><td>{b}<td>{b}" * 5 + "</table></div>", ">body>div.post"),
+        ("<table><tr><td class=l><a href=x>{b}</a><td class=m><p>{a}</p><td class=r>{b}</table>", ">body>table>tr>td.m"),
+        ("<div class=post><div id=a><p>{a}</p></div><div id=b><p>{b}{b}</p></div></div><div><a href=x>{a}</a></div>", ">body>div.post"),
+        ("<div class=post><p>{a}</p></div><div class=more><p>{b}</p></div>", ">body>div.post"),
+    ],
+)
+def test_html_whole_article(page, path):
+    """The vote goes to the container of the whole article, not to its longest part."""
+    page = "<body>" + page.format(a="long text " * 40, b="some more " * 10) + "</body>"
+    assert html.scored(page)[0][0] == path
+
+
 def pipeline_by_definition(spark, sf_dir):
     """The stages with their tested parts, one document at a time."""
     from test_documents import components_by_definition, contaminated_by_definition, dedup_by_definition, simhash_by_definition

@@ -20,7 +20,14 @@ DAY_FIRST = r"(?<![0-9])[0-9]{2}(?:/[0-9]{2}/|\.[0-9]{2}\.|-[0-9]{2}-)(?:18|19|2
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 IP = rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])"
 SOCIAL = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
-NUMBER = r"(?<![0-9A-Za-z])\+?\(?[0-9](?:[ ().-]{0,2}[0-9]){6,18}(?![0-9A-Za-z])"
+# A whole run of numbers, at least seven digits; ``parts_of`` finds the values in it.
+NUMBER = (
+    r"(?<![0-9A-Za-z])\+?\(?(?=[0-9](?:[ ().-]{0,2}[0-9]){6})"
+    r"[0-9]++(?![A-Za-z])(?:[ ().-]{1,2}[0-9]++(?![A-Za-z]))*+"
+)
+NANP = r"(?:\+?1[ .-]?)?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}"
+# Card numbers as they are printed: in one piece, or in groups with one separator.
+CARD = r"[0-9]{13,19}|[0-9]{4}([ .-])(?:[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?|[0-9]{6}\1[0-9]{4,5})"
 ANY = "|".join((EMAIL, IBAN, YEAR_FIRST, DAY_FIRST, IP, SOCIAL, NUMBER))
 
 # Between two characters.
@@ -186,7 +193,6 @@ def kind_of(m: Column) -> Column:
     digits = F.regexp_replace(m, "[^0-9]", "")
     n = F.char_length(digits)
     bare = F.replace(m, F.lit(" "), F.lit(""))
-    nanp = r"^(?:\+?1[ .-]?)?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}$"
     return (
         F.when(m.contains("@"), "email")
         .when(m.rlike(f"^(?:{IBAN})$"), F.when(mod97(bare) == 1, "iban"))
@@ -194,10 +200,87 @@ def kind_of(m: Column) -> Column:
         .when(m.rlike(f"^(?:{IP})$"), "ip")
         .when(m.rlike(f"^(?:{SOCIAL})$"), "social")
         .when(n.between(13, 19) & ~m.contains("+") & (luhn_sum(digits, 0) % 10 == 0), "card")
-        .when(m.rlike(nanp) | (m.startswith("+") & n.between(8, 15)), "phone")
+        .when(m.rlike(f"^(?:{NANP})$") | (m.startswith("+") & n.between(8, 15)), "phone")
     )
 
 
+def strict_kind_of(m: Column, before: Column, after: Column) -> Column:
+    """The kind of some numbers of a run by their spelling, or NULL; ``before``
+    and ``after`` are what lies beside them."""
+    digits = F.regexp_replace(m, "[^0-9]", "")
+    return (
+        F.when(m.rlike(f"^(?:{YEAR_FIRST}|{DAY_FIRST})$"), F.when(day_of(m).isNotNull(), "date"))
+        .when(m.rlike(f"^(?:{IP})$") & ~before.endswith(".") & ~after.rlike(r"^\.[0-9]"), "ip")
+        .when(m.rlike(f"^(?:{SOCIAL})$") & ~before.endswith("-") & ~after.startswith("-"), "social")
+        .when(m.rlike(f"^(?:{NANP})$"), "phone")
+        .when(m.rlike(f"^(?:{CARD})$"), F.when(luhn_sum(digits, 0) % 10 == 0, "card"))
+    )
+
+
+def parts_of(m: Column) -> Column:
+    """A match cut into plain pieces (``k`` is NULL) and values of a kind ``k``.
+
+    In a run of numbers the values that are known by their spelling come first,
+    from the left; what lies between them is validated as a whole, or piece by
+    piece if it has more digits than a number can have.
+    """
+    part = lambda s, k: F.struct(s.alias("s"), k.alias("k"))
+    none = F.lit(None).cast("string")
+    lead = lambda s: F.regexp_extract(s, "^[^0-9+]*", 0)
+    bare = lambda s: F.regexp_replace(s, "^[^0-9+]+", "")
+    n_digits = lambda s: F.char_length(F.regexp_replace(s, "[^0-9]", ""))
+
+    def values(numbers: Column) -> Column:
+        def value_at(i: Column) -> Column:
+            def tried(n: Column) -> Column:
+                whole = F.array_join(F.slice(numbers, i + 1, n), "")
+                after = F.coalesce(F.get(numbers, i + n), F.lit(""))
+                kind = let(whole, lambda w: F.when(n_digits(w) >= 7, strict_kind_of(bare(w), lead(w), after)))
+                return F.struct(n.alias("n"), F.when(i + n <= F.size(numbers), kind).alias("k"))
+
+            # 16 digits come before 19, so a code behind a card stays apart
+            sizes = F.array(*[F.lit(n) for n in (4, 5, 3, 2, 1)])
+            return F.get(F.filter(F.transform(sizes, tried), lambda x: x["k"].isNotNull()), F.lit(0))
+
+        return F.transform(F.sequence(F.lit(0), F.size(numbers) - 1), value_at)
+
+    def cut(numbers: Column, found: Column) -> Column:
+        """Pieces, those between the values marked as open."""
+
+        def add(state: Column, i: Column) -> Column:
+            value, text = F.get(found, i), F.get(numbers, i)
+            most = F.when(state["open"].startswith("+"), 15).otherwise(19)
+            full = n_digits(F.concat(state["open"], text)) > most
+            closed = F.when(state["open"] != "", F.array_append(state["out"], part(state["open"], F.lit("open")))).otherwise(
+                state["out"]
+            )
+            whole = F.array_join(F.slice(numbers, i + 1, value["n"]), "")
+            new = lambda out, rest, skip: F.struct(out.alias("out"), rest.alias("open"), skip.alias("skip"))
+            return (
+                F.when(i < state["skip"], state)
+                .when(value.isNotNull(), new(F.array_append(closed, part(whole, value["k"])), F.lit(""), i + value["n"]))
+                .when(full, new(closed, text, state["skip"]))
+                .otherwise(new(state["out"], F.concat(state["open"], text), state["skip"]))
+            )
+
+        start = F.struct(
+            F.array().cast("array<struct<s:string,k:string>>").alias("out"), F.lit("").alias("open"), F.lit(0).alias("skip")
+        )
+        end = lambda s: F.when(s["open"] != "", F.array_append(s["out"], part(s["open"], F.lit("open")))).otherwise(s["out"])
+        return F.aggregate(F.sequence(F.lit(0), F.size(numbers) - 1), start, add, end)
+
+    def named(x: Column) -> Column:
+        kind = F.when(x["k"] == "open", kind_of(bare(x["s"]))).otherwise(x["k"])
+        return F.array(part(lead(x["s"]), none), part(bare(x["s"]), kind))
+
+    def run(numbers: Column) -> Column:
+        pieces = let(values(numbers), lambda found: cut(numbers, found))
+        return F.flatten(F.transform(pieces, named))
+
+    numbers = F.regexp_extract_all(m, F.lit("[^0-9]*[0-9]+"), F.lit(0))
+    return F.when(m.rlike(r"^[0-9+() .-]+$"), let(numbers, run)).otherwise(F.array(part(m, kind_of(m))))
+
+
 def pseudonym(m: Column, kind: Column, key: str) -> Column:
     """The match under the permutation of its kind."""
     digits = F.regexp_replace(m, "[^0-9]", "")
@@ -276,18 +359,16 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     value replaced, ``n_replaced`` and ``n_<kind>`` for each kind.
 
     Values that fail validation (check digit, calendar, ranges) stay as they
-    are. A value keeps its separators, so the same number in two spellings gets
+    are; numbers beside a value do not hide it. A value keeps its separators, so the same number in two spellings gets
     the same digits. NULL texts stay NULL with zero counts, texts are processed
     whole, and other columns are not read.
     """
     # every pattern holds a digit or an @, which most texts have not
     matches = F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
     found = docs.select("doc_id", "text", F.coalesce(matches, F.array().cast("array<string>")).alias("_m"))
-    kinds = found.withColumn("_k", F.transform("_m", lambda m: kind_of(m)))
-    new = kinds.withColumn(
-        "_n",
-        F.zip_with("_m", "_k", lambda m, k: F.when(k.isNotNull(), pseudonym(m, k, key)).otherwise(m)),
-    )
+    cut = found.withColumn("_p", F.transform("_m", parts_of)).withColumn("_k", F.transform(F.flatten("_p"), lambda x: x["k"]))
+    renamed = lambda x: F.when(x["k"].isNotNull(), pseudonym(x["s"], x["k"], key)).otherwise(x["s"])
+    new = cut.withColumn("_n", F.transform("_p", lambda p: F.array_join(F.transform(p, renamed), "")))
     gaps = new.withColumn("_g", F.when(F.size("_m") > 0, F.split("text", ANY, -1)))
     whole = F.array_join(F.zip_with("_g", "_n", lambda g, n: F.concat(g, F.coalesce(n, F.lit("")))), "")
     count = lambda k: F.size(F.filter("_k", lambda x: x == k)).cast("long").alias(f"n_{k}")

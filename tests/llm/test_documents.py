@@ -160,6 +160,25 @@ def test_pseudonyms_leave_the_rest(make):
     assert [r.text for r in got] == plain and not any(r.n_replaced for r in got)
 
 
+def test_pseudonyms_beside_other_numbers(make):
+    """A value has the same pseudonym whatever numbers stand beside it."""
+    values = ["4111 1111 1111 1111", "4111111111111111", "3782 822463 10005", "212-555-0123", "+1 (648) 555-6701"]
+    values += ["2023-05-01", "29.02.2024", "192.168.0.1", "123-45-6789", "+49 30 901820"]
+    alone = [r.text for r in sorted(pseudonyms.pseudonymise(make(values), "k").collect(), key=lambda r: r.doc_id)]
+    assert not set(alone) & set(values)
+    frames = ["{} 12/27", "item 2 {} x", "0 {}", "page 3 {}", "1 22 333 {}", "Call {}. 24 hours", "({}) 12 3.", "{} 312-555-0199", "{} 4th"]
+    frames += ["{} 999999", "10.0.0.1 {}", "7 7 7 7 7 7 7 7 7 7 7 7 7 7 7 7 7 7 7 7 7 {}"]
+    open_ended = ("{} 12/27", "({}) 12 3.", "Call {}. 24 hours", "{} 312-555-0199", "{} 999999")  # a number abroad may go on
+    rows = [(f, v, a) for f in frames for v, a in zip(values, alone) if not (v.startswith("+49") and f in open_ended)]
+    got = sorted(pseudonyms.pseudonymise(make([f.format(v) for f, v, _ in rows]), "k").collect(), key=lambda r: r.doc_id)
+    for row, (frame, value, new) in zip(got, rows):
+        assert new in row.text and value not in row.text, (frame, value, row.text)
+        if "-0199" not in frame and "10.0" not in frame:
+            assert row.text == frame.format(new) and row.n_replaced == 1, (frame, value, row.text)
+    both = pseudonyms.pseudonymise(make(["212-555-0123 312-555-0199", "9" * 60_000, "1 " * 2_000]), "k").collect()
+    assert [(r.n_phone, r.n_replaced) for r in sorted(both, key=lambda r: r.doc_id)][:2] == [(2, 2), (0, 0)]
+
+
 def test_pseudonyms_in_documents(spark):
     found = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r.doc_id: r.text for r in pseudonyms.pseudonymise(found, "k").collect()}

@@ -56,6 +56,11 @@ NAMES = re.compile(
     r"newsletter|subscribe|subscription|signup|share|sharing|social|related|recommended|recirculation|pagination|pager|"
     r"copyright|legal|skip|search|login|meta|tags|hidden)(?:$|[-_ ])"
 )
+# Names of these never surround an article: a page with more of such text than of its own is common.
+NEVER = re.compile(
+    r"(?:^|[-_ ])(?:comment|comments|respond|reply|replies|disqus|cookie|cookies|consent|gdpr|notice|alert|popup|modal|overlay|"
+    r"newsletter|subscribe|subscription|signup|related|recommended|recirculation|footer|foot|copyright|legal|hidden)(?:$|[-_ ])"
+)
 SITE_HEADER = re.compile(r"(?:^| )(?:site-|page-|main-|top-)?header(?:$| )")
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
@@ -67,10 +72,11 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"
 
 
 class Node:
-    __slots__ = ("tag", "name", "dropped", "parent", "path", "own", "linked", "held", "held_links", "score", "at")
+    __slots__ = ("tag", "name", "named", "dropped", "parent", "path", "own", "linked", "held", "held_links", "score", "at")
 
     def __init__(self, tag: str, name: str, dropped: bool, parent: Node | None, path: str, at: int):
         self.tag, self.name, self.dropped, self.parent, self.path, self.at = tag, name, dropped, parent, path, at
+        self.named = False  # dropped for its name or as a form, which ``spared`` may take back
         self.own = self.linked = self.held = self.held_links = 0
         self.score = 0.0
 
@@ -172,18 +178,86 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
         name, hidden = attributes(found[3])
         above = stack[-1]
         in_article = any(x.tag in ("article", "main") for x in stack)
-        dropped = hidden or (tag in DROPPED and not (tag in KEPT_IN_ARTICLE and in_article))
-        dropped = dropped or (tag not in ("html", "body", "article", "main") and bool(name) and bool(NAMES.search(name)))
-        dropped = dropped or (not in_article and bool(name) and bool(SITE_HEADER.search(name)))
+        dropped = hidden or (tag in DROPPED and tag != "form" and not (tag in KEPT_IN_ARTICLE and in_article))
+        named = tag not in ("html", "body", "article", "main") and bool(name) and bool(NAMES.search(name))
+        named = named or tag == "form" or (not in_article and bool(name) and bool(SITE_HEADER.search(name)))
         if found[3].rstrip().endswith("/") and tag not in BLOCK:
             continue
         where = above.path if tag in FORMATTING else f"{above.path}>{step(tag, name)}"
-        node = Node(tag, name, above.dropped or dropped, above, where, len(events))
+        node = Node(tag, name, dropped, above, where, len(events))
+        node.named = named and not dropped
         nodes.append(node)
         stack.append(node)
+    spared(nodes, events)
+    for node in nodes[1:]:  # parents come before their children
+        node.dropped |= node.named or node.parent.dropped
     return nodes, events
 
 
+def spared(nodes: list[Node], events: list[tuple[Node, str | None]]) -> None:
+    """Takes back drops by name or as a form, from the outside in, where they
+    would take the article.
+
+    That is, while no article or main element keeps text, for an element that
+    holds a main element with text or more text outside links than is kept, and
+    later for one with ten times the text in such elements that they keep; one
+    named for what never surrounds an article only if nothing is kept at all.
+    """
+    if not any(x.named for x in nodes):
+        return
+    inside: dict[int, Node | None] = {}  # the nearest element dropped by name
+    gone, linked, article = set(), set(), set()
+    for node in nodes:
+        up = node.parent
+        inside[id(node)] = node if node.named else inside[id(up)] if up is not None else None
+        for found, own in ((gone, node.dropped), (linked, node.tag == "a"), (article, node.tag in ("article", "main"))):
+            if own or (up is not None and id(up) in found):
+                found.add(id(node))
+    sizes: dict[int, int] = {}
+    clean: dict[int, int] = {}  # text with that element as the nearest one dropped by name
+    holds: dict[int, int] = {}  # the same, for text of an article or main element
+    articles: dict[int, int] = {}
+    mains: set[int] = set()
+    for node, piece in events:
+        if piece is None or id(node) in gone or id(node) in linked or not (size := len(piece.strip())):
+            continue
+        at = id(inside[id(node)])
+        clean[at] = clean.get(at, 0) + size
+        sizes[id(node)] = sizes.get(id(node), 0) + size
+        if id(node) in article:
+            holds[at] = holds.get(at, 0) + size
+            articles[id(node)] = articles.get(id(node), 0) + size
+            up = node
+            while up is not None and not up.named:
+                if up.tag == "main":
+                    mains.add(id(node))
+                up = up.parent
+    for node in reversed(nodes[1:]):
+        for sums in (sizes, articles):
+            if id(node) in sums:
+                sums[id(node.parent)] = sums.get(id(node.parent), 0) + sums[id(node)]
+        if id(node) in mains:
+            mains.add(id(node.parent))
+    nothing = id(None)
+    kept, found, lost = clean.get(nothing, 0), holds.get(nothing, 0), set()
+    for node in nodes[1:]:
+        if id(node.parent) in lost or node.dropped:
+            lost.add(id(node))
+        elif node.named:
+            size = sizes.get(id(node), 0)
+            if NEVER.search(node.name):
+                spare = not kept
+            elif found:
+                spare = articles.get(id(node), 0) > 10 * found
+            else:
+                spare = size > kept or id(node) in mains
+            if size and spare:
+                node.named = False
+                kept, found = kept + clean.get(id(node), 0), found + holds.get(id(node), 0)
+            else:
+                lost.add(id(node))
+
+
 CONTAINERS = {"article", "main", "section", "div", "body", "td", "center", "blockquote", "html", ""}
 
 

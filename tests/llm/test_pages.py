@@ -133,6 +133,25 @@ def test_html_whole_article(page, path):
     assert html.scored(page)[0][0] == path
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div id=content-sidebar-wrap><article><p>{a}</p></article><div class=sidebar>{b}</div></div>", "{a}"),
+        ("<div class=has-sidebar><main><p>{a}</p></main></div><div class=x>{b}{b}</div>", "{a}"),
+        ("<div class='layout no-sidebar'><div class=post><p>{a}</p></div><div class=widget>{b}</div></div><p>{b}</p>", "{a}"),
+        ("<form action=x><div class=with-rail><div class=post><p>{a}</p></div></div></form>", "{a}"),
+        ("<div class=has-sidebar><article>{a}</article></div><article>x</article>", "{a}"),
+        ("<div class=ad>{a}</div>", "{a}"),
+        ("<article><p>{b}</p></article><form>{a}</form><div class=ad>{a}</div>", "{b}"),
+        ("<div class=post><p>{b}</p></div><div class=comments><article>{a}</article></div>", "{b}"),
+        ("<div class=has-sidebar hidden><article>{a}</article></div><p>{b}</p>", "{b}"),
+    ],
+)
+def test_html_names_spare_the_article(page, text):
+    a, b = ("long text " * 40).strip(), ("some more " * 10).strip()
+    assert html.extracted("<body>" + page.format(a=a, b=b) + "</body>", []) == text.format(a=a, b=b)
+
+
 def pipeline_by_definition(spark, sf_dir):
     """The stages with their tested parts, one document at a time."""
     from test_documents import components_by_definition, contaminated_by_definition, dedup_by_definition, simhash_by_definition

@@ -42,9 +42,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    clean = found.where("NOT contaminated").select(F.col("doc_id").alias("_clean")).distinct()
-    return docs.join(clean, F.col("doc_id").eqNullSafe(F.col("_clean")), "left_semi")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"), keyed=True)
+    id_, th = free_name(docs, "_clean_id"), free_name(docs, "_clean_th")
+    clean = found.where("NOT contaminated").select(F.col("doc_id").alias(id_), F.col("_th").alias(th)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(th))
+    return docs.join(clean, same, "left_semi")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -135,7 +135,13 @@ def hits(train: DataFrame, test: DataFrame, k: int, window: int, max_broadcast:
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, *, window: int = 10, k: int = 6, max_broadcast: int = 100_000
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    window: int = 10,
+    k: int = 6,
+    max_broadcast: int = 100_000,
+    keyed: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_words``, ``n_hit`` (words in
     an occurrence of a window of an item), ``n_items``, ``items_sha256`` and
@@ -147,7 +153,8 @@ def decontaminate(
     otherwise the join shuffles narrow rows. NULL and empty texts have no words.
     Items that repeat an id are one item, items with a NULL id hit words but are
     not listed. Rows that repeat id and text get the same answer; columns other
-    than ``doc_id``, ``text`` and ``item_id`` are not read.
+    than ``doc_id``, ``text`` and ``item_id`` are not read. ``keyed`` adds ``_th``,
+    the text's hash, which with the id tells whose answer a row is.
     """
     key = row_key("doc_id", "text")
     items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
@@ -209,4 +216,5 @@ def decontaminate(
         F.size(listed).cast("long").alias("n_items"),
         F.sha2(listed_text, 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
+        *([F.col("_th")] if keyed else []),
     )

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import free_name, rekeyed, staged
+from tablewright.llm.common import free_name, rekeyed, row_key, staged
 from tablewright.llm.components import connected_components
 
 SEED = 42
@@ -126,6 +126,21 @@ def links(prints: DataFrame, max_bits: int, pair_limit: int) -> DataFrame:
     return paired.unionByName(through).distinct()
 
 
+def rows_with_root(docs: DataFrame, shingle: int, max_bits: int, pair_limit: int) -> DataFrame:
+    """One row per row of ``docs``: its key ``_id`` and ``_th``, ``fp``,
+    ``root`` (the component's least fingerprint) and ``component_id``."""
+    marked = staged(docs.select(*row_key("doc_id", "text"), fingerprint_column(F.col("text"), shingle).alias("fp")), "prints")
+    classes = staged(marked.groupBy("fp").agg(F.min("_id").alias("least")), "classes")
+    roots = connected_components(links(classes.select("fp"), max_bits, pair_limit))
+    joined = classes.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
+    joined = staged(joined.select("fp", "least", "root"), "roots")
+    ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = ids.select(rekeyed(F.col("root")).alias("r_root"), "component_id")
+    named = joined.join(ids, F.col("root") == F.col("r_root")).select(F.col("fp").alias("c_fp"), "root", "component_id")
+    named = staged(named, "components")
+    return marked.join(named, F.col("fp") == F.col("c_fp")).drop("c_fp")
+
+
 def near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2, pair_limit: int = 64) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``fingerprint`` (16 hex digits),
     ``component_id`` (least ``doc_id`` reachable over links of at most
@@ -136,29 +151,25 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2, pai
     Rows that repeat an id each get a row; NULL ids count as no id when the
     least is sought, so a component of NULL ids only has a NULL id.
     """
-    marked = staged(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "prints")
-    classes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = connected_components(links(classes.select("fp"), max_bits, pair_limit))
-    joined = classes.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
-    joined = staged(joined.select("fp", "least", "root"), "roots")
-    ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = ids.select(rekeyed(F.col("root")).alias("r_root"), "component_id")
-    named = joined.join(ids, F.col("root") == F.col("r_root")).select(F.col("fp").alias("c_fp"), "component_id")
-    named = staged(named, "components")
-    return marked.join(named, F.col("fp") == F.col("c_fp")).select(
-        "doc_id",
+    return rows_with_root(docs, shingle, max_bits, pair_limit).select(
+        F.col("_id").alias("doc_id"),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
         F.col("fp").alias("_fp"),
     )
 
 
-def keep_one(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """``docs`` with one row of each component: its least id. Of rows that
-    repeat that id, the one with the least text hash stays; of equal rows, one."""
-    found = near_duplicates(docs, shingle=shingle, max_bits=max_bits)
-    keep = found.select(F.col("component_id").alias("_keep")).distinct()
-    rank = free_name(docs, "_rank")
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return kept.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
+def keep_one(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2, pair_limit: int = 64) -> DataFrame:
+    """``docs`` with one row of each component: its least id. Of rows of the
+    component that repeat that id, the one with the least text hash stays; of
+    equal rows, one. NULL ids come last, and a component of NULL ids only keeps
+    the least text hash."""
+    found = rows_with_root(docs, shingle, max_bits, pair_limit)
+    least = found.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_th")).alias("k"))
+    keep = staged(least.select("k._id", "k._th"), "kept")
+    id_, th, rank = free_name(docs, "_keep_id"), free_name(docs, "_keep_th"), free_name(docs, "_rank")
+    keep = keep.select(F.col("_id").alias(id_ + "r"), F.col("_th").alias(th + "r"))
+    keyed = docs.select("*", F.col("doc_id").alias(id_), F.xxhash64("text").alias(th))
+    kept = keyed.join(keep, F.col(id_).eqNullSafe(F.col(id_ + "r")) & (F.col(th) == F.col(th + "r")), "left_semi")
+    order = Window.partitionBy(id_, th).orderBy(F.xxhash64("text"))
+    return kept.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank, id_, th)

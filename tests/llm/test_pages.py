@@ -189,6 +189,22 @@ def test_pipeline_stages_keep_columns(spark, sf_dir, make):
         assert stage(spark, docs, sf_dir).columns == docs.columns, name
 
 
+def test_pipeline_stages_tell_rows_of_one_id_apart(spark, sf_dir, make):
+    """Near-dedup and decontamination go by row, also where an id repeats or is missing."""
+    rng = random.Random(5)
+    one, two, three, four = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(4))
+    docs = make([one, one, two, three, four, four, three, None, None], [3, 5, 5, None, None, 7, None, None, None])
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns
+    rows = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    assert rows == sorted([(3, one), (5, two), (7, four), (None, three), (None, None)], key=repr)
+    item = max((r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()), key=len)
+    docs = make([one, item, two, item, item, None], [5, 5, None, None, 6, 6])
+    got = corpus_pipeline.benchmark(spark, docs, sf_dir)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted([(5, one), (None, two), (6, None)], key=repr)
+
+
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_oracles(spark, sf_dir, name):
     assert difference(entry.queries()[name](spark, sf_dir), connect(sf_dir), entry.oracle_sql()[name]) is None

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import rekeyed, small, staged
@@ -354,56 +354,65 @@ def scored(html: str) -> list[tuple[str, float]]:
     return order
 
 
-def extracted(html: str, paths: list[str]) -> str:
-    """The text of the elements on the first of ``paths`` that holds any, or of
-    the page's own best container."""
+def extracted(html: str, paths: list[str], votes: list[int] | None = None) -> str:
+    """The text of the elements on one path: of ``paths`` and the path of the
+    page's own best container, the one with the largest product of votes and
+    characters. The own best has one vote unless ``votes`` gives it another
+    number; paths with none come last."""
     nodes, events = parse(html)
-
-    def tried() -> Iterator[str]:
-        yield from paths
-        yield from (p for p, _ in scored(html)[:1])
-        yield ""
-
-    for path in tried():
-        roots = {id(x) for x in nodes if x.path == path and x.tag not in FORMATTING and not x.dropped}
-        if not roots:
-            continue
-        inside = {}
-        for node in nodes:  # parents come before their children
-            inside[id(node)] = not node.dropped and (id(node) in roots or (node.parent is not None and inside[id(node.parent)]))
-        blocks, now = [], []
-        for node, piece in events:
-            if piece is None:
-                blocks.append("".join(now))
-                now = []
-            elif inside[id(node)]:
-                now.append(piece)
-        blocks.append("".join(now))
-        lines = [" ".join(b.split()) for b in blocks]
-        out = "\n".join(x for x in lines if x)
-        if out:
-            return out
-    return ""
-
-
-def host_paths(pages: DataFrame, per_host: int = 3) -> DataFrame:
-    """``host`` and ``paths``: the up to ``per_host`` paths with most votes, the
-    best first. A page votes with its best container, once."""
-
-    @F.pandas_udf("path string, score double")
-    def best(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    weights = dict(zip(paths, votes if votes is not None else [2] * len(paths)))
+    own = [p for p, _ in scored(html)[:1]]
+    here = {x.path for x in nodes}
+    tried = list(dict.fromkeys([p for p in paths if p in here and weights[p] > 0] + own))
+    texts = {p: text_on(p, nodes, events) for p in tried}
+    chosen = max(tried, key=lambda p: weights.get(p, 1) * len(texts[p]), default=None)
+    if chosen is not None and weights.get(chosen, 1) and texts[chosen]:
+        return texts[chosen]
+    return next((texts[p] for p in tried if texts[p]), "") or text_on("", nodes, events)
+
+
+def text_on(path: str, nodes: list[Node], events: list[tuple[Node, str | None]]) -> str:
+    """The text of the elements on ``path``."""
+    roots = {id(x) for x in nodes if x.path == path and x.tag not in FORMATTING and not x.dropped}
+    if not roots:
+        return ""
+    inside = {}
+    for node in nodes:  # parents come before their children
+        inside[id(node)] = not node.dropped and (id(node) in roots or (node.parent is not None and inside[id(node.parent)]))
+    blocks, now = [], []
+    for node, piece in events:
+        if piece is None:
+            blocks.append("".join(now))
+            now = []
+        elif inside[id(node)]:
+            now.append(piece)
+    blocks.append("".join(now))
+    lines = [" ".join(b.split()) for b in blocks]
+    return "\n".join(x for x in lines if x)
+
+
+def host_paths(pages: DataFrame) -> DataFrame:
+    """``host``, ``paths`` and ``votes``, without the empty host. A page votes
+    with its best container, once. Listed are paths that at least two pages, and
+    half of those that hold text on them, voted for, and with no votes the paths
+    that fewer than half voted for."""
+
+    @F.pandas_udf("array<string>")
+    def containers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for htmls in batches:
-            tops = [next(iter(scored(h)), (None, 0.0)) if h else (None, 0.0) for h in htmls]
-            yield pd.DataFrame(tops, columns=["path", "score"], index=htmls.index)
+            yield pd.Series([[p for p, _ in scored(h)] if h else [] for h in htmls], index=htmls.index, dtype=object)
 
-    votes = pages.select(host_of(F.coalesce("url", F.lit(""))).alias("host"), best("html").alias("b"))
-    tally = votes.groupBy("host", F.col("b.path").alias("path"))
-    tally = tally.agg(F.count(F.lit(1)).alias("votes"), F.sum("b.score").alias("score"))
-    # pages without container sort last; a filter on them further up would score every page twice
-    rank = Window.partitionBy("host").orderBy(F.col("path").isNull(), F.desc("votes"), F.desc("score"), "path")
-    top = tally.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= per_host).where("path IS NOT NULL")
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("rank", "path"))), lambda x: x["path"])
-    return staged(top.groupBy("host").agg(ordered.alias("paths")), "host-paths")
+    found = pages.select(host_of(F.coalesce("url", F.lit(""))).alias("host"), "html").where("host != ''")
+    seen = found.select("host", F.posexplode(containers("html")).alias("at", "path"))
+    tally = seen.groupBy("host", "path").agg(F.sum((F.col("at") == 0).cast("long")).alias("n"), F.count(F.lit(1)).alias("held"))
+    sure = 2 * F.col("n") >= F.col("held")
+    listed = tally.where((F.col("n") > 0) & (~sure | (F.col("n") > 1)))
+    listed = listed.select("host", "path", F.when(sure, F.col("n")).otherwise(0).alias("n"))
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), "path")))
+    host = listed.groupBy("host").agg(ordered.alias("o"))
+    return staged(
+        host.select("host", F.col("o.path").alias("paths"), F.transform("o.less", lambda x: -x).alias("votes")), "host-paths"
+    )
 
 
 def extract_pages(pages: DataFrame, *, max_broadcast: int = 100_000) -> DataFrame:
@@ -411,9 +420,9 @@ def extract_pages(pages: DataFrame, *, max_broadcast: int = 100_000) -> DataFram
 
     Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
     and comments are left out; character references are decoded, white space in
-    a block becomes one space, blocks are joined by a line end in page order. A
-    host's winning paths come first, then the page's own best container. Pages
-    without URL share the empty host; NULL and empty html give an empty text;
+    a block becomes one space, blocks are joined by a line end in page order. Of a
+    host's winning paths and the page's own best container, that with most votes
+    times text is taken. Pages without URL or host go by their own best alone; NULL and empty html give an empty text;
     texts are never cut; pages that repeat each get a row; other columns are not
     read. Winning paths are broadcast if a count finds at most
     ``max_broadcast`` hosts, and joined by host otherwise.
@@ -421,15 +430,17 @@ def extract_pages(pages: DataFrame, *, max_broadcast: int = 100_000) -> DataFram
     paths = host_paths(pages)
     if small(paths, max_broadcast):
         paths = F.broadcast(paths)
-    paths = paths.select(rekeyed(F.col("host"), "string").alias("p_host"), "paths")
+    paths = paths.select(rekeyed(F.col("host"), "string").alias("p_host"), "paths", "votes")
 
     @F.pandas_udf("string")
-    def main_text(htmls: pd.Series, chosen: pd.Series) -> pd.Series:
+    def main_text(htmls: pd.Series, chosen: pd.Series, votes: pd.Series) -> pd.Series:
+        rows = zip(htmls, chosen, votes)
         return pd.Series(
-            [extracted(h, list(p) if p is not None else []) if h else "" for h, p in zip(htmls, chosen)], dtype=object
+            [extracted(h, *((list(p), list(v)) if p is not None else ([], None))) if h else "" for h, p, v in rows],
+            dtype=object,
         )
 
     hosted = pages.select("page_id", "url", "html", host_of(F.coalesce("url", F.lit(""))).alias("host"))
     joined = hosted.join(paths, F.col("host") == F.col("p_host"), "left")
-    text = joined.select("page_id", "url", main_text("html", "paths").alias("text"))
+    text = joined.select("page_id", "url", main_text("html", "paths", "votes").alias("text"))
     return text.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -152,6 +152,20 @@ def test_html_names_spare_the_article(page, text):
     assert html.extracted("<body>" + page.format(a=a, b=b) + "</body>", []) == text.format(a=a, b=b)
 
 
+def test_html_layouts_of_one_host(spark):
+    """A teaser on one layout's path does not replace the article of another, however rare."""
+    a, b = ("long text " * 40).strip(), "only five words of teaser"
+    rows = [(i, "http://h/x", f"<body><div class=content><p>{a}</p></div></body>") for i in range(12)]
+    for n, tag in enumerate(["main", "div class=p", "div class=q", "div class=r", "div class=s"]):
+        page = f"<body><div class=content>{b}</div><{tag}><p>{a} {n}</p></{tag.split()[0]}></body>"
+        rows += [(100 + 10 * n + i, "http://h/y", page) for i in range(6 - n)]
+        rows += [(200 + n, None, page)]
+    rows += [(300 + i, None, f"<body><div class=content>{a}</div></body>") for i in range(9)]
+    got = {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = {i: f"{a} {(i % 100) // 10}" if 100 <= i < 200 else f"{a} {i - 200}" if 200 <= i < 300 else a for i, _, _ in rows}
+    assert got == want
+
+
 def pipeline_by_definition(spark, sf_dir):
     """The stages with their tested parts, one document at a time."""
     from test_documents import components_by_definition, contaminated_by_definition, dedup_by_definition, simhash_by_definition

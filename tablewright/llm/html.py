@@ -70,6 +70,9 @@ TOKEN = re.compile(
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.DOTALL)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.IGNORECASE)
 
+NESTED = {"svg", "template"}
+RAW_TAGS = {tag: re.compile(rf"<(/?){tag}(?![^\s/>])([^>]*)(?:>|$)", re.IGNORECASE) for tag in RAW}
+
 
 class Node:
     __slots__ = ("tag", "name", "named", "dropped", "parent", "path", "own", "linked", "held", "held_links", "score", "at")
@@ -105,6 +108,21 @@ def step(tag: str, name: str) -> str:
     return tag + "".join(f".{c}" for c in classes)
 
 
+def raw_end(html: str, tag: str, at: int) -> int:
+    """Where the raw element that begins before ``at`` ends. Drawings and
+    templates may hold others of their kind; the rest, and those whose tags do
+    not pair, end at the first end tag. A drawing without one is only its tag."""
+    depth, first = 1, None
+    for found in RAW_TAGS[tag].finditer(html, at):
+        if found[1]:
+            depth, first = depth - 1, first or found.end()
+        elif tag in NESTED and not (tag == "svg" and found[2].rstrip().endswith("/")):
+            depth += 1
+        if not depth:
+            return found.end()
+    return first or (at if tag == "svg" else len(html))
+
+
 def parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
     """The elements, and the page as events: text of a node, or None for a
     block border. Unclosed and stray tags are mended; a page that breaks off
@@ -172,8 +190,9 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
         if tag in VOID:
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|$)", re.IGNORECASE).search(html, at)
-            at = end.end() if end else n
+            if tag == "svg" and found[3].rstrip().endswith("/"):
+                continue  # only markup of other kinds knows empty elements by the slash
+            at = raw_end(html, tag, at)
             continue
         name, hidden = attributes(found[3])
         above = stack[-1]

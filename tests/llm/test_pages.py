@@ -166,6 +166,21 @@ def test_html_layouts_of_one_host(spark):
     assert got == want
 
 
+@pytest.mark.parametrize(
+    ("inside", "text"),
+    [
+        ("<p>a</p><svg/><p>b</p>", "a\nb"),
+        ("<svg class='icon' /><p>b</p><svg><text>x</text></svg>c", "b\nc"),
+        ("a<svg><svg viewBox=0><path/></svg><svg/><text>x</text></svg>b", "ab"),
+        ("a<template><p>x</p><template>y</template>z</template>b", "ab"),
+        ("a<script><script>x</script>b<svg><p>never closed</p>", "ab\nnever closed"),
+        ("a<svg><svg>x</svg>b<p>c</p>", "ab\nc"),
+    ],
+)
+def test_html_text_behind_drawings(inside, text):
+    assert html.extracted(f"<article>{inside}</article>", [">article"]) == text
+
+
 def pipeline_by_definition(spark, sf_dir):
     """The stages with their tested parts, one document at a time."""
     from test_documents import components_by_definition, contaminated_by_definition, dedup_by_definition, simhash_by_definition

@@ -1,11 +1,11 @@
-"""Line deduplication by winnowing over line hashes.
+"""Line deduplication over all shortest windows of lines.
 
 A window is the shortest stretch of lines, from a line onward or up to a line,
-that holds ``min_words`` words. Its fingerprint is the least of its line hashes;
-windows with equal fingerprints are joined on the hash of the whole stretch. Any
-run of lines with that many words contains such windows at both of its ends and
-from each of its lines that still has room, so the windows that match extend
-over the whole run, both ways, and no run is missed.
+that holds ``min_words`` words. None is selected and no match is extended: all
+windows are matched by the hash of the whole stretch, and the least line hash
+beside it follows from the stretch. Any run of lines with that many words
+contains such windows at both of its ends and from each of its lines that still
+has room, so the windows that match cover the whole run, and no run is missed.
 """
 
 from __future__ import annotations

@@ -31,8 +31,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
-
-
-def rows(df):
-    """All rows as tuples, sorted with NULL first."""
-    return sorted(map(tuple, df.collect()), key=repr)

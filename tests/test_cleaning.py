@@ -1,7 +1,7 @@
 import pytest
 from pyspark.errors import PySparkException
 
-from conftest import rows
+from support import rows
 from tablewright.catalog.fixture import raw
 from tablewright.operators import cleaning as C
 from tablewright.plans import customer

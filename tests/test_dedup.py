@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import rows
+from support import rows
 from tablewright.operators import dedup as D
 
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import rows
+from support import rows
 from tablewright.catalog.fixture import raw
 from tablewright.operators.quality import GateFailed
 from tablewright.plans import customer, jobs

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from tablewright.operators import serving as V
 from tablewright.operators import views as W
 

@@ -2,7 +2,7 @@ import zipfile
 
 import pytest
 
-from conftest import rows
+from support import rows
 from tablewright import session
 from tablewright.catalog.fixture import raw
 from tablewright.sources.tables import instant

@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta
 
-from conftest import rows
+from support import rows
 from tablewright.operators import views as W
 from tablewright.operators.serving import materialize_latest
 from tablewright.sources import current_snapshot

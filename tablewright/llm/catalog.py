@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tablewright.llm.centroids import cluster
 from tablewright.llm.common import table
 from tablewright.llm.decontamination import decontaminate
 from tablewright.llm.html import extract_pages
 from tablewright.llm.lines import dedup_lines
+from tablewright.llm.middle import transformed
 from tablewright.llm.pieces import encode_documents, read_model
+from tablewright.llm.positive import quality_scores
 from tablewright.llm.pseudonyms import pseudonymise
 from tablewright.llm.quality import quality_rules
 from tablewright.llm.secrets import scan_secrets
@@ -79,6 +82,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, seed=2)
+    return out.drop("n_exact")
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transformed(table(spark, sf_dir, "documents"), seed=1)
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 QUERIES = {
     "op1_quality_rules": op1,
     "op2_sharding": op2,
@@ -90,9 +106,54 @@ QUERIES = {
     "op8_url_filters": op8,
     "op9_simhash": op9,
     "op10_html_extraction": op10,
+    "op11_centroid_clustering": op11,
+    "op12_fill_in_middle": op12,
+    "op13_quality_classifier": op13,
     "pipeline": corpus_pipeline.run,
 }
 
+
+def centroid_sql(k: int = 40, rounds: int = 5) -> str:
+    """Each round assigns every vector to every centroid's nearest; all sums stay
+    below 2**53, so doubles hold them exactly."""
+    parts = [
+        """v AS (
+            SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS q FROM embeddings
+            WHERE len(embedding) = 64 AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+        )""",
+        f"""c0 AS (
+            SELECT (row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), q) - 1)::INT AS cluster, q
+            FROM v ORDER BY cluster LIMIT {k}
+        )""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS MATERIALIZED (
+            SELECT vec_id, v.q, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d FROM (
+                SELECT v.vec_id, v.q, c.cluster,
+                       list_inner_product(v.q, v.q) + list_inner_product(c.q, c.q) - 2 * list_inner_product(v.q, c.q) AS d
+                FROM v, c{i} c
+            ) v GROUP BY vec_id, v.q
+        )"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""m{i} AS (
+            SELECT cluster, list(mean ORDER BY pos) AS q FROM (
+                SELECT cluster, pos, floor(sum(x) / count(*)) AS mean
+                FROM (SELECT cluster, unnest(range(64)) AS pos, unnest(q) AS x FROM a{i}) GROUP BY cluster, pos
+            ) GROUP BY cluster
+        ), c{i + 1} AS MATERIALIZED (
+            SELECT cluster, coalesce(m.q, c.q) AS q FROM c{i} c LEFT JOIN m{i} m USING (cluster)
+        )"""
+            )
+    return f"""WITH {", ".join(parts)}
+        SELECT vec_id, cluster, d::BIGINT AS distance,
+               (sum(d) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+               sha256(array_to_string([x::BIGINT FOR x IN c.q], ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} c USING (cluster)"""
+
+
 ORACLES = {
     "op4_line_dedup": r"""
         WITH raw AS (
@@ -183,4 +244,28 @@ ORACLES = {
                CASE WHEN rule IS NULL THEN 'default' ELSE 'rule' END AS via
         FROM p LEFT JOIN fit USING (page_id)
     """,
+    "op11_centroid_clustering": centroid_sql(),
+    "op12_fill_in_middle": r"""
+        WITH unit AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h,
+                   regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS t FROM documents
+        ), drawn AS (
+            SELECT *, len(t) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+                   ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM unit
+        ), cut AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                   CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                             OR h3 % 100 >= 90 THEN 'plain'
+                        WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+        ), part AS (
+            SELECT *, array_to_string(t[1:a], '') AS p, array_to_string(t[a + 1:b], '') AS m,
+                   array_to_string(t[b + 1:], '') AS s FROM cut
+        )
+        SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM part
+    """,
 }

@@ -272,6 +272,44 @@ ORACLES["vector_to_array"] = over(
         f"SELECT p_partkey, '{c}' AS col, {c} AS label FROM part" for c in ("p_brand", "p_type")
     ),
 )
+ORACLES["one_hot_sparse"] = ORACLES["one_hot"]
+ORACLES["encode_many_vector"] = ORACLES["encode_many"]
+ORACLES["encode_many_sparse"] = over(
+    "SELECT customer_id, concat(col, '_vec') AS \"column\", k + 1 AS size, slot, "
+    "CAST(1 AS DOUBLE) AS value FROM slotted"
+)
+ORACLES["encode_many_pairs"] = """
+WITH l AS (
+  SELECT o_orderkey, 'price_band' AS col, CAST(CAST(floor(o_totalprice / 50) AS BIGINT) AS VARCHAR) AS label
+  FROM orders UNION ALL SELECT o_orderkey, 'o_custkey', CAST(o_custkey AS VARCHAR) FROM orders),
+v AS (SELECT col, label, row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, label) - 1 AS slot
+      FROM l WHERE o_orderkey % 3 > 0 AND label IS NOT NULL GROUP BY col, label),
+k AS (SELECT col, count(*) AS k FROM v GROUP BY col)
+SELECT o_orderkey, concat(l.col, '_vec') AS "column", k + 1 AS size, coalesce(slot, k) AS slot,
+       CAST(1 AS DOUBLE) AS value
+FROM l JOIN k USING (col) LEFT JOIN v ON l.col = v.col AND l.label = v.label
+"""
+GROWN = """
+WITH l AS (
+  SELECT 'o_custkey' AS col, CAST(o_custkey AS VARCHAR) AS label, o_totalprice, o_orderpriority FROM orders
+  UNION ALL SELECT 'o_orderpriority', o_orderpriority, o_totalprice, o_orderpriority FROM orders),
+v AS (SELECT col, label, row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, label) - 1 AS slot
+      FROM l WHERE o_totalprice < 200000 AND o_orderpriority <> '1-URGENT' GROUP BY col, label)
+"""
+ORACLES["extend_vocab"] = f"""{GROWN}
+SELECT col AS "column", label, slot FROM v
+UNION ALL
+SELECT col, label, (SELECT count(*) FROM v WHERE v.col = n.col)
+       + row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, label) - 1
+FROM l n WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.col = n.col AND v.label = n.label) GROUP BY col, label
+"""
+ORACLES["vocab_changes"] = f"""{GROWN},
+d AS (SELECT col, label, count(*) AS n FROM l WHERE o_totalprice >= 200000 GROUP BY col, label)
+SELECT coalesce(v.col, d.col) AS "column", coalesce(v.label, d.label) AS label,
+       CASE WHEN v.col IS NULL THEN 'new' WHEN d.col IS NULL THEN 'retired' ELSE 'kept' END AS status,
+       coalesce(n, 0) AS n
+FROM v FULL JOIN d ON v.col = d.col AND v.label = d.label
+"""
 
 
 def _hot(shift: int) -> str:
@@ -330,6 +368,10 @@ LINEITEM = (
     ("l_linestatus", "string"),
     ("l_shipdate", "timestamp_ntz"),
 )
+ORACLES["row_count_footers"] = ORACLES["row_count"]
+ORACLES["null_profile_footers"] = (
+    "SELECT " + ", ".join(f"count(*) - count({c}) AS {c}" for c, _ in LINEITEM) + " FROM lineitem"
+)
 ORACLES["schema_profile"] = " UNION ALL ".join(
     f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS \"column\", '{t}' AS type, "
     f"count({c}) AS non_null FROM lineitem"
@@ -464,6 +506,46 @@ ORACLES["bronze_silver_checks_faulty"] = over(
     )
 )
 
+ORACLES["coercion_gate"] = over(
+    _gate(
+        [
+            ("min_rows_1", "volume", "error", "greatest(1 - count(*), 0)", "raw"),
+            *[
+                (f"few_coerced_{c}", "coercion", "error", "count(*) * 0", "raw")
+                for c in ("churn", "dependents", "paperless_billing", "phone_service")
+            ],
+            (
+                "few_coerced_partner",
+                "coercion",
+                "error",
+                "greatest(count(*) FILTER (WHERE tenure % 7 = 3) - 10, 0)",
+                "raw",
+            ),
+            (
+                "few_coerced_total_charges",
+                "coercion",
+                "error",
+                "greatest(count(*) FILTER (WHERE tenure % 9 = 5) - 10, 0)",
+                "raw",
+            ),
+        ]
+    )
+)
+ORACLES["src_tabular_kept"] = f"SELECT * FROM ({fixture.RAW_SQL}) WHERE tenure % 10 NOT IN (3, 6, 8)"
+ORACLES["src_tabular_quarantined"] = f"""
+SELECT "customerID" AS customer_id,
+       CAST(CASE tenure % 10 WHEN 3 THEN 2 WHEN 6 THEN 22 ELSE 21 END AS INTEGER) AS n_cells
+FROM ({fixture.RAW_SQL}) WHERE tenure % 10 IN (3, 6, 8)
+"""
+ORACLES["volume_gate_footers"] = _gate(
+    [
+        ("min_rows_1000", "volume", "error", "greatest(1000 - count(*), 0)", "events"),
+        ("not_null_event_id", "completeness", "error", "count(*) - count(event_id)", "events"),
+        ("not_null_ts", "completeness", "error", "count(*) - count(ts)", "events"),
+        ("has_column_value", "schema", "error", "count(*) * 0", "events"),
+    ]
+)
+
 SQL_TYPES = {"float": "FLOAT", "bigint": "BIGINT"}
 ORACLES["feature_view_project"] = _wide(
     "d.customer_id, "
@@ -582,6 +664,46 @@ ORACLES["point_in_time_join_hot_many"] = _as_of(
     "CASE WHEN event_id % 7 < 5 THEN -1 - dayofyear(ts) % 5 ELSE user_id END AS user_id FROM events"
 )
 
+
+
+def _as_of_views(events: str) -> str:
+    def last(kind: str, key: str) -> str:
+        return (
+            f"(SELECT {key}, ts AS at, event_id AS {kind}_id, value AS {kind}_value "
+            f"FROM e WHERE event_type = '{kind}')"
+        )
+
+    return f"""
+    WITH e AS (SELECT *, user_id % 10 AS cell FROM ({events})),
+    bought AS (SELECT event_id, user_id, cell, ts FROM e WHERE event_type = 'purchase')
+    SELECT b.event_id, b.user_id, b.cell, b.ts,
+           CASE WHEN v.at >= b.ts - INTERVAL 7 DAY THEN v.view_id END AS view_id,
+           CASE WHEN v.at >= b.ts - INTERVAL 7 DAY THEN v.view_value END AS view_value,
+           c.click_id, c.click_value, c.at AS clicked,
+           CASE WHEN r.at >= b.ts - INTERVAL 1 HOUR THEN r.error_id END AS error_id,
+           CASE WHEN r.at >= b.ts - INTERVAL 1 HOUR THEN r.error_value END AS error_value
+    FROM bought b
+    ASOF LEFT JOIN {last("view", "user_id")} v ON b.user_id = v.user_id AND b.ts >= v.at
+    ASOF LEFT JOIN {last("click", "user_id")} c ON b.user_id = c.user_id AND b.ts >= c.at
+    ASOF LEFT JOIN {last("error", "cell")} r ON b.cell = r.cell AND b.ts >= r.at
+    """
+
+
+ORACLES["point_in_time_join_views"] = _as_of_views("SELECT event_id, ts, event_type, value, user_id FROM events")
+ORACLES["point_in_time_join_views_hot"] = _as_of_views(
+    "SELECT event_id, ts, event_type, value, "
+    "CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id FROM events"
+)
+
+ARRIVING = _latest(f"day <= TIMESTAMP '{UNTIL}'").replace(
+    "ts AS created", "CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 30 DAY ELSE ts END AS created"
+)
+ORACLES["refresh_store"] = ARRIVING
+ORACLES["lookup_store"] = f"""
+SELECT c.c_custkey AS user_id, s.event_type, s.value, s.day
+FROM customer c LEFT JOIN ({ARRIVING}) s ON c.c_custkey = s.user_id WHERE c.c_custkey % 20 = 0
+"""
+
 ORACLES["src_tabular"] = fixture.RAW_SQL
 ORACLES["src_bronze"] = fixture.RAW_SQL
 ORACLES["src_silver"] = over("SELECT * FROM silver")
@@ -589,6 +711,11 @@ ORACLES["src_gold"] = ORACLES["gold"]
 ORACLES["src_feature"] = HISTORY
 ORACLES["sink_table"] = over("SELECT * FROM snake")
 ORACLES["sink_gold"] = ORACLES["gold"]
+ORACLES["sink_dated"] = """
+SELECT event_id, user_id, ts, CASE WHEN day(ts) <= 15 THEN -value ELSE value END AS value,
+       CAST(ts AS DATE) AS event_date FROM events
+"""
+ORACLES["materialize_dated"] = _latest(f"day > TIMESTAMP '{SINCE}' AND day <= TIMESTAMP '{UNTIL}'")
 ORACLES["raw_file_audit"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '50415231' AS header_hex, FALSE AS is_zip" for t in TABLES
 )
@@ -599,3 +726,11 @@ SELECT count(*) FILTER (NOT test) AS n_train, count(*) FILTER (test) AS n_test,
        0::BIGINT AS n_skipped, TRUE AS above_half
 FROM (SELECT ('0x' || substr(md5(c_name), 1, 8))::BIGINT % 100 < 20 AS test FROM customer)
 """
+
+# The model separates the classes, so what it predicts is the label.
+ORACLES["cross_validate"] = """
+SELECT CAST(('0x' || substr(md5(c_name), 1, 8))::BIGINT % 5 AS INTEGER) AS fold,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, label AS predicted,
+       count(*) AS n
+FROM customer GROUP BY ALL
+"""

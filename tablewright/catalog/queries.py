@@ -4,9 +4,10 @@ the folder of the tables and returns a DataFrame with named scalar columns."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.catalog import fixture
@@ -20,16 +21,24 @@ from tablewright.operators import quality as Q
 from tablewright.operators import serving as V
 from tablewright.operators import views as W
 from tablewright.operators.quantiles import quantiles
+from tablewright.operators.refresh import lookup_buckets, refresh_buckets, store_of
+from tablewright.operators.training import confusion
+from tablewright.operators.training import cross_validate as cross_validated
 from tablewright.operators.training import train_eval as fit_and_score
 from tablewright.plans import customer, jobs, layers
 from tablewright.session import scratch_path
 from tablewright.sources import (
     current_snapshot,
+    ingest_quarantined,
     publish_snapshot,
+    read_statistics,
     read_table,
     read_tabular,
+    write_dated,
     write_table,
 )
+from tablewright.sources.buckets import BucketStore
+from tablewright.sources.files import kept_rows, quarantined_rows
 from tablewright.sources.files import raw_file_audit as audit_files
 from tablewright.streaming.materialize import read_history, stream_materialize
 
@@ -314,20 +323,93 @@ def encode_many(spark, sf_dir):
     return slots(E.encode_many(source, vocab, customer.CATEGORIES), ["customer_id"])
 
 
+def sparse_slots(df: DataFrame, keys: list[str]) -> DataFrame:
+    """All sparse vector columns as (key, column, size, slot, value)."""
+    vecs = S.columns_with_suffix(df)
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in vecs])
+    return (
+        df.select(*keys, F.inline(rows))
+        .select(*keys, "column", F.col("v.size").alias("size"), F.expr("inline(arrays_zip(v.indices, v.values))"))
+        .withColumnsRenamed({"indices": "slot", "values": "value"})
+    )
+
+
+@query
+def one_hot_sparse(spark, sf_dir):
+    """The same vectors as ``one_hot``, sparse and then made dense."""
+    some = snake(spark, sf_dir).select(
+        "customer_id", F.nullif("internet_service", F.lit("No")).alias("internet_service")
+    )
+    labels = E.collect_vocab(E.fit_vocab(some, ["internet_service"]), ["internet_service"])
+    indexed = E.string_index(some, labels, ["internet_service"])
+    sizes = {"internet_service_idx": len(labels["internet_service"]) + 1}
+    return slots(E.sparse_to_dense(E.one_hot(indexed, sizes, form=E.SPARSE)), ["customer_id"])
+
+
+@query
+def encode_many_sparse(spark, sf_dir):
+    """Every column as its length and its only entry."""
+    source = snake(spark, sf_dir).select("customer_id", *customer.CATEGORIES)
+    vocab = E.fit_vocab(source, customer.CATEGORIES)
+    out = E.encode_many(source, vocab, customer.CATEGORIES, form=E.SPARSE)
+    return sparse_slots(out, ["customer_id"])
+
+
+@query
+def encode_many_vector(spark, sf_dir):
+    """Vectors of ``pyspark.ml``, without a pass over the data for them."""
+    source = snake(spark, sf_dir).select("customer_id", *customer.CATEGORIES)
+    vocab = E.fit_vocab(source, customer.CATEGORIES)
+    out = E.encode_many(source, vocab, customer.CATEGORIES, form=E.VECTOR)
+    return slots(E.vector_to_array(out), ["customer_id"])
+
+
+def price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    band = F.floor(F.col("o_totalprice") / 50).cast("long").alias("price_band")
+    return table(spark, sf_dir, "orders").select("o_orderkey", band, "o_custkey")
+
+
 @query
 def encode_many_wide(spark, sf_dir):
     """Thousands of labels; every vector as its length and its hot slot."""
-    band = F.floor(F.col("o_totalprice") / 50).cast("long").alias("price_band")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", band)
-    out = E.encode_many(orders, E.fit_vocab(orders, ["price_band"]), ["price_band"])
+    orders = price_bands(spark, sf_dir).drop("o_custkey")
+    out = E.encode_many(orders, E.fit_vocab(orders, ["price_band"]), ["price_band"], form=E.SPARSE)
+    vec = F.col("price_band_vec")
     return out.select(
         "o_orderkey",
-        F.size("price_band_vec").cast("long").alias("length"),
-        (F.array_position("price_band_vec", 1.0) - 1).alias("slot"),
-        F.size(F.array_remove("price_band_vec", 0.0)).cast("long").alias("n_nonzero"),
+        vec.size.alias("length"),
+        vec.indices[0].alias("slot"),
+        F.size(F.array_remove(vec["values"], 0.0)).cast("long").alias("n_nonzero"),
     )
 
 
+@query
+def encode_many_pairs(spark, sf_dir):
+    """Two wide columns whose vocabularies are shuffled, in one join for both."""
+    orders, cols = price_bands(spark, sf_dir), ["price_band", "o_custkey"]
+    vocab = E.fit_vocab(orders.where("o_orderkey % 3 > 0"), cols)
+    out = E.encode_many(orders, vocab, cols, form=E.SPARSE, broadcast_labels=0)
+    return sparse_slots(out, ["o_orderkey"])
+
+
+@query
+def extend_vocab(spark, sf_dir):
+    """Labels of the cheaper orders, then those that all orders add."""
+    cols = ["o_custkey", "o_orderpriority"]
+    orders = table(spark, sf_dir, "orders").select(*cols, "o_totalprice")
+    first = E.fit_vocab(orders.where("o_totalprice < 200000 AND o_orderpriority <> '1-URGENT'"), cols)
+    return E.extend_vocab(first, orders, cols, window_labels=50)
+
+
+@query
+def vocab_changes(spark, sf_dir):
+    """What the dearer orders change in the labels of the cheaper ones."""
+    cols = ["o_custkey", "o_orderpriority"]
+    orders = table(spark, sf_dir, "orders").select(*cols, "o_totalprice")
+    first = E.fit_vocab(orders.where("o_totalprice < 200000 AND o_orderpriority <> '1-URGENT'"), cols)
+    return E.vocab_changes(first, orders.where("o_totalprice >= 200000"), cols)
+
+
 @query
 def vector_to_array(spark, sf_dir):
     """The ML stages, whose vectors become arrays, on the same input."""
@@ -477,6 +559,57 @@ def bronze_silver_checks_faulty(spark, sf_dir):
     return report.unionByName(Q.run_gate(silver, customer.silver_rules()))
 
 
+# --- lost and malformed values ---------------------------------------------
+
+
+@query
+def coercion_gate(spark, sf_dir):
+    """Charges with a unit and flags that are no flags, counted by the write."""
+    bronze = raw(spark, sf_dir).withColumns(
+        {
+            "TotalCharges": F.expr("CASE WHEN tenure % 9 = 5 THEN concat(TotalCharges, ' EUR') ELSE TotalCharges END"),
+            "Partner": F.expr("CASE WHEN tenure % 7 = 3 THEN 'maybe' ELSE Partner END"),
+        }
+    )
+    spec, lost, path = replace(customer.CLEAN, on_error="null"), Observation(), scratch_path(spark, "silver")
+    write_table(D.dedup_by_key(C.standardise(bronze, spec, lost), spec.keys, spec.order_by), path)
+    rules = [Q.MinRows(n=1), *Q.coercion_rules(lost.get, allowed=10)]
+    return Q.run_gate(read_table(spark, path), rules)
+
+
+def malformed(spark: SparkSession, sf_dir: str) -> str:
+    """The raw file sorted out, with charges that are no numbers and rows that
+    break off."""
+    path, target = scratch_path(spark, "raw-csv"), scratch_path(spark, "landing")
+    bronze = raw(spark, sf_dir)
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in bronze.columns]
+    line = F.concat_ws(",", *cells)
+    faulty = (
+        F.when(F.col("tenure") % 10 == 3, F.concat_ws(",", F.col("customerID"), F.lit("Male")))
+        .when(F.col("tenure") % 10 == 6, F.concat(line, F.lit(",one more")))
+        .when(F.col("tenure") % 10 == 8, F.regexp_replace(line, r"^([^,]*),([^,]*),[01],", "$1,$2,neither,"))
+        .otherwise(line)
+    )
+    bronze.select(faulty.alias("value")).write.text(path)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in bronze.schema)
+    ingest_quarantined(spark, path, target, schema=schema, options={"header": "false"})
+    return target
+
+
+@query
+def src_tabular_kept(spark, sf_dir):
+    """The rows that fit."""
+    return kept_rows(spark, malformed(spark, sf_dir))
+
+
+@query
+def src_tabular_quarantined(spark, sf_dir):
+    """Key and number of cells of each row that does not fit."""
+    cells = F.split("corrupt_record", ",")
+    bad = quarantined_rows(spark, malformed(spark, sf_dir))
+    return bad.select(cells[0].alias("customer_id"), F.size(cells).alias("n_cells"))
+
+
 # --- feature view ----------------------------------------------------------
 
 
@@ -521,12 +654,12 @@ def history_view(ttl: timedelta | None = None) -> W.FeatureView:
     )
 
 
-def as_history(events: DataFrame) -> DataFrame:
+def as_history(events: DataFrame, created: str = "ts") -> DataFrame:
     """Events by day, so many share an event time and the created time decides."""
     return events.select(
         "user_id",
         F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"),
-        F.col("ts").alias("created"),
+        F.expr(created).alias("created"),
         "event_type",
         "value",
     )
@@ -656,6 +789,84 @@ def point_in_time_join_hot_many(spark, sf_dir):
     return views_as_of(events, V.Skew(min_rows=100, slice_rows=50))
 
 
+def event_view(
+    kind: str, key: str = "user_id", ttl: timedelta | None = None
+) -> W.FeatureView:
+    return W.FeatureView(
+        name=f"last_{kind}",
+        entities=(W.Entity(key, "bigint"),),
+        fields=(W.Field(f"{kind}_id", "bigint"), W.Field(f"{kind}_value", "double")),
+        source=W.FeatureSource(event_timestamp="at", created_timestamp=None),
+        ttl=ttl,
+    )
+
+
+def purchases_with_views(events: DataFrame, skew: V.Skew) -> DataFrame:
+    """For each purchase the user's last view within a week, the user's last
+    click ever, and the last error within an hour in the user's cell."""
+
+    def history(kind: str, key: str) -> DataFrame:
+        names = [F.col("event_id").alias(f"{kind}_id"), F.col("value").alias(f"{kind}_value")]
+        return events.where(F.col("event_type") == kind).select(key, F.col("ts").alias("at"), *names)
+
+    events = events.withColumn("cell", F.col("user_id") % 10)
+    bought = events.where("event_type = 'purchase'").select("event_id", "user_id", "cell", "ts")
+    views = [
+        event_view("view", ttl=timedelta(days=7)),
+        event_view("click"),
+        event_view("error", "cell", timedelta(hours=1)),
+    ]
+    sources = [(history(v.name.removeprefix("last_"), v.keys[0]), v) for v in views]
+    return V.point_in_time_joins(bought, sources, "ts", event_as={"last_click": "clicked"}, skew=skew)
+
+
+@query
+def point_in_time_join_views(spark, sf_dir):
+    return purchases_with_views(table(spark, sf_dir, "events"), V.Skew())
+
+
+@query
+def point_in_time_join_views_hot(spark, sf_dir):
+    """A third of all events belong to one user, whose time line is cut up."""
+    events = table(spark, sf_dir, "events").withColumn(
+        "user_id", F.expr("CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END")
+    )
+    return purchases_with_views(events, V.Skew(min_rows=100, slice_rows=50))
+
+
+# --- bucketed store --------------------------------------------------------
+
+
+def arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history with a third of its rows created a month after their event."""
+    late = "CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 30 DAYS ELSE ts END"
+    return as_history(table(spark, sf_dir, "events"), late)
+
+
+def refreshed(spark: SparkSession, sf_dir: str) -> BucketStore:
+    """Published from what was there by then, twice, and then with what came late."""
+    view, history = history_view(), arriving(spark, sf_dir)
+    store = store_of(scratch_path(spark, "buckets"), view, buckets=16)
+    there = F.col("created") <= F.lit(UNTIL).cast("timestamp_ntz")
+    for rows, until in ((history.where(there), SINCE), (history.where(there), UNTIL), (history, UNTIL)):
+        refresh_buckets(store, rows, view, until)
+    return store
+
+
+@query
+def refresh_store(spark, sf_dir):
+    store = refreshed(spark, sf_dir)
+    return store.read(spark, store.current(spark))
+
+
+@query
+def lookup_store(spark, sf_dir):
+    """Every twentieth customer, known or not, against the whole store."""
+    customers = table(spark, sf_dir, "customer").where("c_custkey % 20 = 0")
+    keys = customers.select(F.col("c_custkey").alias("user_id"))
+    return lookup_buckets(keys, refreshed(spark, sf_dir), history_view(), event_as="day")
+
+
 # --- sources and sinks -----------------------------------------------------
 
 
@@ -714,6 +925,46 @@ def sink_gold(spark, sf_dir):
     return in_full(read_table(spark, path))
 
 
+@query
+def sink_dated(spark, sf_dir):
+    """Events by day, written whole, then again the first half of the month with
+    other values: those days are replaced, the others stay."""
+    path = scratch_path(spark, "dated")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    write_dated(events, path, "ts")
+    early = events.where("day(ts) <= 15").withColumn("value", -F.col("value"))
+    for _ in range(2):
+        write_dated(early, path, "ts")
+    return read_table(spark, path)
+
+
+@query
+def materialize_dated(spark, sf_dir):
+    """From a history that is stored by day; days outside the bounds stay shut."""
+    path = scratch_path(spark, "dated")
+    write_dated(as_history(table(spark, sf_dir, "events")), path, "day")
+    view = history_view()
+    view = replace(view, source=replace(view.source, path=path, date_partition="event_date"))
+    return V.materialize_latest(W.conform(view.source.read(spark), view), view, UNTIL, SINCE)
+
+
+@query
+def row_count_footers(spark, sf_dir):
+    return P.row_count(read_statistics(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet"))
+
+
+@query
+def null_profile_footers(spark, sf_dir):
+    return P.null_profile(read_statistics(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet"))
+
+
+@query
+def volume_gate_footers(spark, sf_dir):
+    """Number of rows, and keys and times that must be there, without a scan."""
+    rules = [Q.MinRows(n=1000), Q.NotNull(col="event_id"), Q.NotNull(col="ts"), Q.HasColumn(col="value")]
+    return Q.run_gate(read_statistics(spark, f"{sf_dir.rstrip('/')}/events.parquet"), rules)
+
+
 @query
 def raw_file_audit(spark, sf_dir):
     """Every table file is Parquet and none is a workbook."""
@@ -733,3 +984,18 @@ def train_eval(spark, sf_dir):
     inputs = [c for c, _ in customer.VIEW_FIELDS if c != "churn"]
     score = fit_and_score(served, "churn", [customer.KEY], inputs)[1]
     return score.select("n_train", "n_test", "n_skipped", (F.col("accuracy") > 0.5).alias("above_half"))
+
+
+@query
+def cross_validate(spark, sf_dir):
+    """Five folds by key; the label is one of the payment methods, which the
+    vector of payment methods tells exactly. Counts of all cells."""
+    served = W.conform(golden(spark, sf_dir), customer.feature_view())
+    building = table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("customer_id"), (F.col("c_mktsegment") == "BUILDING").cast("int").alias("builds")
+    )
+    inputs = ["payment_method_vec", "tenure", "monthly_charges", "contract_vec"]
+    predictions = cross_validated(
+        served.join(building, "customer_id"), "builds", [customer.KEY], inputs, reg=0.001
+    )
+    return confusion(predictions)

@@ -93,3 +93,19 @@ def one_hot_array(slot: str, size: int) -> str:
         return f"element_at(array({table}), CAST({slot} AS INT) + 1)"
     at = f"CAST({slot} AS INT)"
     return f"concat(array_repeat(0D, {at}), array(1D), array_repeat(0D, {size - 1} - {at}))"
+
+
+def one_hot_sparse(slot: str, size: int) -> str:
+    """The vector of ``size`` with 1.0 at ``slot`` as a struct (size, indices,
+    values) of sorted slots and their values; its width does not grow with
+    ``size``."""
+    at = f"array(CAST({slot} AS BIGINT))"
+    return f"named_struct('size', {size}L, 'indices', {at}, 'values', array(1D))"
+
+
+def dense_of(sparse: str) -> str:
+    """A sparse struct as a dense double array."""
+    at = f"array_position({sparse}.indices, i)"
+    value = f"coalesce(element_at({sparse}.values, CAST(nullif({at}, 0) AS INT)), 0D)"
+    every = f"CASE WHEN {sparse}.size > 0 THEN sequence(0L, {sparse}.size - 1) ELSE array() END"
+    return f"CASE WHEN {sparse} IS NOT NULL THEN transform({every}, i -> {value}) END"

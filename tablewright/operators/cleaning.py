@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,6 +93,10 @@ def fill_null(df: DataFrame, cols: Iterable[str], value: float = 0.0) -> DataFra
     return df.fillna(value, subset=list(cols))
 
 
+# The number of rows in an observation of lost values; no snake-case name has it.
+ROWS_READ = "ROWS READ"
+
+
 @dataclass(frozen=True)
 class CleanSpec:
     """What to clean; names are the snake-case ones after ``fixes``."""
@@ -109,9 +113,29 @@ class CleanSpec:
     on_error: str = X.RAISE
 
 
-def standardise(df: DataFrame, spec: CleanSpec) -> DataFrame:
-    """All per-row cleaning of ``spec``: one projection, no shuffle."""
+def coercions(schema: T.StructType, spec: CleanSpec) -> dict[str, str]:
+    """For each text column of ``spec`` the SQL aggregate that counts its lost
+    values: filled, and NULL after cleaning. Blank numbers were empty before, so
+    they are not lost."""
+    flags = _flag_exprs(schema, spec.yes_no, spec.yes, spec.no)
+    numbers = _number_exprs(schema, spec.numbers, None, X.NULL)
+    lost = {
+        **{c: f"{quoted(c)} IS NOT NULL AND ({e}) IS NULL" for c, e in flags.items()},
+        **{c: f"nullif(trim({quoted(c)}), '') IS NOT NULL AND ({e}) IS NULL" for c, e in numbers.items()},
+    }
+    return {c: f"count_if({e})" for c, e in lost.items() if isinstance(schema[c].dataType, T.StringType)}
+
+
+def standardise(df: DataFrame, spec: CleanSpec, lost: Observation | None = None) -> DataFrame:
+    """All per-row cleaning of ``spec``: one projection, no shuffle. With
+    ``lost``, the number of values of each column that became NULL is observed
+    by whatever runs the result, without another scan; read it as
+    ``lost.get`` afterwards. Rows count before duplicates go; a stage that runs
+    again after a lost executor counts its rows again."""
     df = snake_case_columns(df, spec.fixes)
+    if lost is not None:
+        counts = coercions(df.schema, spec)
+        df = df.observe(lost, F.count(F.lit(1)).alias(ROWS_READ), *[F.expr(e).alias(c) for c, e in counts.items()])
     return _replace(
         df,
         {

@@ -40,8 +40,10 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """One row: the number of NULLs in every column, under its own name."""
-    return df.agg(*[F.expr(f"count_if({q} IS NULL) AS {q}") for q in map(quoted, df.columns)])
+    """One row: the number of NULLs in every column, under its own name. A
+    difference of counts, which file footers can answer (see
+    :func:`tablewright.sources.read_statistics`)."""
+    return df.agg(*[F.expr(f"count(1) - count({q}) AS {q}") for q in map(quoted, df.columns)])
 
 
 def schema_profile(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ scan, whatever the number of rules.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.naming import quoted, rows_of, text
+from tablewright.operators.cleaning import ROWS_READ
 from tablewright.operators.columns import columns_with_suffix, out_of_range
 from tablewright.operators.profiling import distinct_expr
 
@@ -80,7 +81,8 @@ class NotNull(_OnColumn):
         return f"not_null_{self.col}"
 
     def violations(self, df: DataFrame) -> Column:
-        return F.count_if(self.ref.isNull())
+        # a difference of counts, which file footers can answer (see read_statistics)
+        return F.count(F.lit(1)) - F.count(self.ref)
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -199,6 +201,34 @@ class NoColumnContaining(Rule):
         return F.lit(sum(self.text in c for c in df.columns))
 
 
+@dataclass(frozen=True, kw_only=True)
+class FewCoerced(Rule):
+    """At most ``allowed`` values of a column became NULL when it was cleaned.
+    ``seen`` is their number, counted by the write of the cleaned table (see
+    :func:`tablewright.operators.cleaning.standardise`). Violations: the excess."""
+
+    col: str = ""
+    seen: int = 0
+    allowed: int = 0
+    kind = "coercion"
+
+    @property
+    def name(self) -> str:
+        return f"few_coerced_{self.col}"
+
+    def violations(self, df: DataFrame) -> Column:
+        return F.lit(max(self.seen - self.allowed, 0))
+
+
+def coercion_rules(lost: Mapping[str, int], allowed: int = 0, severity: str = ERROR) -> list[Rule]:
+    """A rule for each column of an observation of lost values."""
+    return [
+        FewCoerced(col=c, seen=n, allowed=allowed, severity=severity)
+        for c, n in sorted(lost.items())
+        if c != ROWS_READ
+    ]
+
+
 def run_gate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(rule, kind, severity, violations, passed), one row per rule."""
     present = set(df.columns)

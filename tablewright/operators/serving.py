@@ -9,7 +9,7 @@ task should take are cut into slices (see :class:`Skew`).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -43,10 +43,16 @@ def _dated(
     until: str | datetime | None,
 ) -> DataFrame:
     """View columns of rows with a key and ``since < event <= until``. The
-    bounds are constants of the column's type and reach the scan."""
-    event = view.source.event_timestamp
+    bounds are constants of the column's type and reach the scan; if the table is
+    stored by day, so do their days, and other days are not opened."""
+    event, day = view.source.event_timestamp, view.source.date_partition
     col, dtype = F.col(quoted(event)), df.schema[event].dataType
-    rows = df.select(*map(quoted, view.columns)).where(col.isNotNull())
+    rows = df
+    if day in df.columns:
+        for bound, within in ((since, F.col(quoted(day)).__ge__), (until, F.col(quoted(day)).__le__)):
+            if bound is not None:
+                rows = rows.where(within(moment(bound, dtype).cast("date")))
+    rows = rows.select(*map(quoted, view.columns)).where(col.isNotNull())
     for key in view.keys:
         rows = rows.where(F.col(quoted(key)).isNotNull())
     if since is not None:
@@ -152,8 +158,8 @@ class Skew:
     oversample: int = 32
 
 
-# Columns of the merged time line.
-T_, SIDE, FEATURE, SLICE = "__t", "__side", "__f", "__slice"
+# Columns of the merged time line; the features of the i-th view are in ``__f<i>``.
+T_, SIDE, SLICE = "__t", "__side", "__slice"
 # Columns that place a row in the slices of its key.
 HASH, CUT, CUTS, BLOCK, WIDTH, STARTS, INSIDE = (
     "__h", "__cut", "__cuts", "__block", "__width", "__starts", "__inside"
@@ -194,53 +200,108 @@ def point_in_time_join(
     and time slice instead, with the last feature before each slice added to
     it; how that is done never changes the result.
     """
-    keys, event = view.keys, view.source.event_timestamp
-    created = view.source.created_timestamp
+    names = {view.name: event_as} if event_as else {}
+    return point_in_time_joins(spine, [(features, view)], ts, event_as=names, skew=skew)
+
+
+def point_in_time_joins(
+    spine: DataFrame,
+    sources: Sequence[tuple[DataFrame, FeatureView]],
+    ts: str,
+    *,
+    event_as: Mapping[str, str] | None = None,
+    skew: Skew | None = Skew(),
+) -> DataFrame:
+    """The features of several views as of each spine row's time: what a chain of
+    :func:`point_in_time_join` gives, with each view's own ``ttl``. Views with the
+    same keys are merged with the spine into one time line, shuffled and sorted
+    once, along which the last feature of every view runs; only another set of
+    keys takes another shuffle. ``event_as`` names a column for the event time of
+    the match, by name of the view."""
+    event_as = event_as or {}
+    added = [c for _, v in sources for c in [*v.features, *filter(None, [event_as.get(v.name)])]]
     taken = {c.lower() for c in spine.columns}
-    added = [*view.features, *([event_as] if event_as else [])]
     clash = [c for c in added if c.lower() in taken]
     if clash:
         raise ValueError(f"spine already has columns {clash}")
-
-    parts = [event, *([created] if created else []), *view.features]
-    facts = _dated(features, view, None, None).select(
-        *map(quoted, keys),
-        F.col(quoted(event)).alias(T_),
-        F.struct(*map(quoted, parts)).alias(FEATURE),
-    )
+    twice = sorted({c for c in added if [a.lower() for a in added].count(c.lower()) > 1})
+    if twice:
+        raise ValueError(f"more than one view has columns {twice}")
+    by_keys: dict[tuple[str, ...], list[tuple[DataFrame, FeatureView]]] = {}
+    for features, view in sources:
+        by_keys.setdefault(tuple(view.keys), []).append((features, view))
+    names, out = spine.columns, spine
+    for number, (keys, group) in enumerate(by_keys.items()):
+        nullable = [c for c in [*keys, ts] if spine.schema[c].nullable]
+        if number and nullable:
+            # rows without key are set apart, so the next merge reads its spine twice
+            out = through_storage(out, "joined-views")
+        out = _merged(out, group, ts, event_as, skew, nullable)
+    return out.select(*map(quoted, [*names, *added]))
+
+
+def _merged(
+    spine: DataFrame,
+    sources: Sequence[tuple[DataFrame, FeatureView]],
+    ts: str,
+    event_as: Mapping[str, str],
+    skew: Skew | None,
+    nullable: Sequence[str],
+) -> DataFrame:
+    """The spine with the features of views that share their keys; ``nullable``
+    are those of its keys and time that may be NULL."""
+    keys = sources[0][1].keys
+    columns = {f"__f{i}": view for i, (_, view) in enumerate(sources)}
+    dated = []
+    for (features, view), column in zip(sources, columns):
+        event, created = view.source.event_timestamp, view.source.created_timestamp
+        parts = [event, *([created] if created else []), *view.features]
+        dated.append(
+            _dated(features, view, None, None).select(
+                *map(quoted, keys),
+                F.col(quoted(event)).alias(T_),
+                F.struct(*map(quoted, parts)).alias(column),
+            )
+        )
     # Keys and time travel once; the other spine columns go along as they are,
     # so those that nobody reads are pruned at the scan.
     others = [c for c in spine.columns if c not in keys and c != ts]
     absent = F.lit(False)
-    for c in [*keys, ts]:
-        if spine.schema[c].nullable:
-            absent = absent | F.col(quoted(c)).isNull()
+    for c in nullable:
+        absent = absent | F.col(quoted(c)).isNull()
     asks = spine.where(~absent).select(
         *map(quoted, keys), F.col(quoted(ts)).alias(T_), *map(quoted, others)
     )
-    facts, asks = _same_types(facts, asks, [*keys, T_])
+    *dated, asks = _same_types([*dated, asks], [*keys, T_])
+    facts = dated[0]
+    for one in dated[1:]:
+        facts = facts.unionByName(one, allowMissingColumns=True)
 
     hot = through_storage(hot_keys([facts, asks], keys, skew), "hot-keys") if skew else None
     if hot is not None and not hot.isEmpty():
-        answered = _as_of_sliced(facts, asks, keys, others, hot, skew)
+        answered = _as_of_sliced(facts, asks, keys, others, list(columns), hot, skew)
     else:
-        answered = _as_of(facts, asks, keys, others)
+        answered = _as_of(facts, asks, keys, others, list(columns))
 
-    matched_at = F.col(f"{FEATURE}.{quoted(event)}")
-    fresh = matched_at.isNotNull()
-    if view.ttl is not None:
-        fresh = matched_at >= F.col(T_) - F.lit(view.ttl)
     own = {
         **{c: F.col(quoted(c)).cast(spine.schema[c].dataType) for c in keys},
         ts: F.col(T_).cast(spine.schema[ts].dataType),
     }
-    picked = [F.when(fresh, F.col(f"{FEATURE}.{quoted(c)}")).alias(c) for c in view.features]
-    if event_as:
-        picked.append(F.when(fresh, matched_at).alias(event_as))
+    picked, added = [], []
+    for column, view in columns.items():
+        matched_at = F.col(f"{column}.{quoted(view.source.event_timestamp)}")
+        fresh = matched_at.isNotNull()
+        if view.ttl is not None:
+            fresh = matched_at >= F.col(T_) - F.lit(view.ttl)
+        picked += [F.when(fresh, F.col(f"{column}.{quoted(c)}")).alias(c) for c in view.features]
+        added += view.features
+        if event_as.get(view.name):
+            picked.append(F.when(fresh, matched_at).alias(event_as[view.name]))
+            added.append(event_as[view.name])
     matched = answered.select(
         *[own.get(c, F.col(quoted(c))).alias(c) for c in spine.columns], *picked
     )
-    if not any(spine.schema[c].nullable for c in [*keys, ts]):
+    if not nullable:
         return matched
 
     # Rows without key or time match nothing; they never enter the shuffle.
@@ -251,42 +312,52 @@ def point_in_time_join(
     return matched.unionAll(rest)
 
 
-def _same_types(
-    left: DataFrame, right: DataFrame, cols: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """Both sides with the shared columns in their common type, so that equal
+def _same_types(frames: Sequence[DataFrame], cols: Sequence[str]) -> list[DataFrame]:
+    """All frames with the shared columns in their common type, so that equal
     values also hash alike."""
-    cols = list(cols)
-    wide = left.select(*map(quoted, cols)).unionAll(right.select(*map(quoted, cols))).schema
-    casts = {c: F.col(quoted(c)).cast(wide[c].dataType) for c in cols}
-    return left.withColumns(casts), right.withColumns(casts)
-
-
-def _running_last(timeline: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Give every spine entry the last feature at or before it. Features sort
-    before spine entries of the same time, and among each other by struct."""
-    tie = F.col(FEATURE)
-    if not orderable(timeline.schema[FEATURE].dataType):
-        tie = F.xxhash64(F.to_json(F.struct(FEATURE)))
-    order = Window.partitionBy(*map(quoted, groups)).orderBy(T_, SIDE, tie)
+    shared = list(map(quoted, cols))
+    wide = frames[0].select(*shared)
+    for frame in frames[1:]:
+        wide = wide.unionAll(frame.select(*shared))
+    casts = {c: F.col(quoted(c)).cast(wide.schema[c].dataType) for c in cols}
+    return [frame.withColumns(casts) for frame in frames]
+
+
+def _rank(df: DataFrame, column: str) -> Column:
+    """What decides between features of one time: the struct itself, or, if a
+    type in it has no order, the hash of its text."""
+    if orderable(df.schema[column].dataType):
+        return F.col(column)
+    return F.xxhash64(F.to_json(F.struct(column)))
+
+
+def _running_last(timeline: DataFrame, groups: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Give every spine entry the last feature of each view at or before it.
+    Features sort before spine entries of the same time, and among each other
+    by struct."""
+    ties = [_rank(timeline, c) for c in columns]
+    order = Window.partitionBy(*map(quoted, groups)).orderBy(T_, SIDE, *ties)
     seen = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return timeline.withColumn(FEATURE, F.last(FEATURE, ignorenulls=True).over(seen)).where(
-        F.col(SIDE) == 1
-    )
+    lasts = {c: F.last(c, ignorenulls=True).over(seen) for c in columns}
+    return timeline.withColumns(lasts).where(F.col(SIDE) == 1)
 
 
 def _as_of(
-    facts: DataFrame, asks: DataFrame, groups: Sequence[str], others: Sequence[str]
+    facts: DataFrame,
+    asks: DataFrame,
+    groups: Sequence[str],
+    others: Sequence[str],
+    columns: Sequence[str],
 ) -> DataFrame:
-    """Spine rows with the feature struct, by one shuffle on ``groups``."""
+    """Spine rows with the feature structs, by one shuffle on ``groups``."""
     types = {c: asks.schema[c].dataType for c in others}
     left = facts.withColumns(
         {SIDE: F.lit(0), **{c: F.lit(None).cast(types[c]) for c in others}}
     )
     right = asks.withColumns(
-        {SIDE: F.lit(1), FEATURE: F.lit(None).cast(facts.schema[FEATURE].dataType)}
+        {SIDE: F.lit(1), **{c: F.lit(None).cast(facts.schema[c].dataType) for c in columns}}
     )
-    return _running_last(left.unionByName(right), groups).drop(SIDE)
+    return _running_last(left.unionByName(right), groups, columns).drop(SIDE)
 
 
 def _as_of_sliced(
@@ -294,18 +365,20 @@ def _as_of_sliced(
     asks: DataFrame,
     keys: Sequence[str],
     others: Sequence[str],
+    columns: Sequence[str],
     hot: DataFrame,
     skew: Skew,
 ) -> DataFrame:
     """The same, with hot keys in groups of bounded size.
 
     Each hot time line is cut at quantiles of its own times, and every cut
-    point is a slice of its own. The last feature of each slice, an aggregate
-    reduced on the map side, gives the state of a key after each slice: at most
+    point is a slice of its own. The last features of each slice, an aggregate
+    reduced on the map side, give the state of a key after each slice: at most
     one row per hot key and slice. The state before a slice joins the rows of
-    that slice as one more feature. Rows at a hot instant, of which there may
-    be any number, skip the shuffle: features there are in the state already,
-    and spine rows take the state after their instant by a plain join.
+    that slice as one more row of features, ahead of all times. Rows at a hot
+    instant, of which there may be any number, skip the shuffle: features there
+    are in the state already, and spine rows take the state after their instant
+    by a plain join.
     """
     ks = list(map(quoted, keys))
     facts = facts.withColumn(HASH, _key_hash(keys))
@@ -315,15 +388,18 @@ def _as_of_sliced(
     facts, asks = in_slices(facts, cuts), in_slices(asks, cuts)
 
     lasts = facts.where(F.col(CUTS).isNotNull()).groupBy(*ks, CUTS, SLICE)
-    lasts = lasts.agg(_greatest(facts).alias(FEATURE))
-    following = F.lead(SLICE).over(Window.partitionBy(*ks).orderBy(SLICE))
+    lasts = lasts.agg(*[_greatest(facts, c).alias(c) for c in columns])
+    in_order = Window.partitionBy(*ks).orderBy(SLICE)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lasts = lasts.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
     # 2 CUTS is the slice after the last cut point
-    filled = lasts.withColumn("__upto", F.coalesce(following - 1, 2 * F.col(CUTS))).select(
-        *ks, F.explode(F.sequence(F.col(SLICE), F.col("__upto"))).alias(SLICE), FEATURE
+    upto = F.coalesce(F.lead(SLICE).over(in_order) - 1, 2 * F.col(CUTS))
+    filled = lasts.withColumn("__upto", upto).select(
+        *ks, F.explode(F.sequence(F.col(SLICE), F.col("__upto"))).alias(SLICE), *columns
     )
     state = through_storage(filled, "hot-states")
-    event = F.col(f"{FEATURE}.{quoted(facts.schema[FEATURE].dataType.names[0])}")
-    carried = state.select(*ks, event.alias(T_), FEATURE, (F.col(SLICE) + 1).alias(SLICE))
+    first = F.lit(None).cast(facts.schema[T_].dataType)  # sorts before all times
+    carried = state.select(*ks, first.alias(T_), *columns, (F.col(SLICE) + 1).alias(SLICE))
 
     pins = cuts.where("__pinned").select(HASH, (2 * F.col(CUT) - 1).alias(SLICE))
     pinned, rest = None, asks
@@ -333,10 +409,11 @@ def _as_of_sliced(
         rest = asks.join(pins, [HASH, SLICE], "left_anti")
     asked = [*ks, T_, *map(quoted, others), SLICE]
     answered = _as_of(
-        facts.select(*ks, T_, FEATURE, SLICE).unionByName(carried),
+        facts.select(*ks, T_, *columns, SLICE).unionByName(carried),
         rest.select(*asked),
         [*keys, SLICE],
         others,
+        columns,
     ).drop(SLICE)
     if pinned is None:
         return answered
@@ -344,11 +421,12 @@ def _as_of_sliced(
     return answered.unionByName(there.drop(SLICE))
 
 
-def _greatest(facts: DataFrame) -> Column:
+def _greatest(facts: DataFrame, column: str) -> Column:
     """The latest feature struct of a group, by the order of ``_running_last``."""
-    if orderable(facts.schema[FEATURE].dataType):
-        return F.max(FEATURE)
-    return F.max_by(FEATURE, F.struct(F.col(T_), F.xxhash64(F.to_json(F.struct(FEATURE)))))
+    if orderable(facts.schema[column].dataType):
+        return F.max(column)
+    place = F.struct(F.col(T_), _rank(facts, column))
+    return F.max_by(column, F.when(F.col(column).isNotNull(), place))
 
 
 def cut_points(times: DataFrame, skew: Skew) -> DataFrame:

@@ -24,13 +24,16 @@ class Entity:
 
 @dataclass(frozen=True)
 class FeatureSource:
-    """Where feature rows are stored, and which columns date them."""
+    """Where feature rows are stored, and which columns date them. A table that
+    is stored by the day of the event time names that column as
+    ``date_partition``; bounds on the event time then skip whole days."""
 
     path: str = ""
     event_timestamp: str = "event_timestamp"
     created_timestamp: str | None = "created_timestamp"
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
+    date_partition: str | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.format(self.format).options(**self.options).load(self.path)
@@ -83,13 +86,15 @@ class FeatureView:
 
 
 def conform(df: DataFrame, view: FeatureView) -> DataFrame:
-    """Exactly the columns of the view, cast to its types. Timestamps keep
-    the type they have. A missing column is an error."""
-    missing = [c for c in view.columns if c not in df.columns]
+    """Exactly the columns of the view, cast to its types, and the day by which
+    its source is stored, if any. Timestamps keep the type they have. A missing
+    column is an error."""
+    day = [view.source.date_partition] if view.source.date_partition else []
+    missing = [c for c in [*view.columns, *day] if c not in df.columns]
     if missing:
         raise ValueError(f"view {view.name} lacks columns {missing}")
     typed = [F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in view.schema.fields]
-    return df.select(*typed, *map(quoted, view.timestamps))
+    return df.select(*typed, *map(quoted, [*view.timestamps, *day]))
 
 
 def _is_lost(col: str, have: T.DataType, want: T.DataType) -> str:

@@ -29,10 +29,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.naming import quoted
-from tablewright.operators.cleaning import standardise
+from tablewright.operators.cleaning import ROWS_READ, standardise
 from tablewright.operators.dedup import dedup_by_key, dedup_rare
-from tablewright.operators.encoding import fit_vocab
-from tablewright.operators.quality import GateFailed, enforce_gate, run_gate
+from tablewright.operators.encoding import extend_vocab, fit_vocab
+from tablewright.operators.quality import GateFailed, coercion_rules, enforce_gate, run_gate
+from tablewright.operators.refresh import refresh_buckets, store_of
 from tablewright.operators.serving import (
     materialize_incremental,
     materialize_latest,
@@ -44,12 +45,14 @@ from tablewright.plans import customer, layers
 from tablewright.session import build_session, sizing_conf, through_storage
 from tablewright.sources import (
     current_snapshot,
+    ingest_quarantined,
     publish_snapshot,
     read_table,
     read_tabular,
     write_counted,
     write_table,
 )
+from tablewright.sources.files import kept_rows
 
 log = logging.getLogger("tablewright")
 
@@ -70,6 +73,28 @@ def ingest(
     return rows
 
 
+def ingest_sorted(
+    spark: SparkSession,
+    raw: str,
+    landing: str,
+    bronze: str,
+    *,
+    raw_format="csv",
+    schema: str | None = None,
+    table_format="parquet",
+    max_quarantined: int | None = None,
+) -> dict[str, int]:
+    """Raw file to bronze, with rows that do not fit the schema set aside under
+    ``landing``; types come from the first lines unless a ``schema`` is given.
+    More than ``max_quarantined`` such rows fail the job before bronze is written."""
+    counts = ingest_quarantined(spark, raw, landing, raw_format, schema, table_format=table_format)
+    log.info("landing: %(read)d rows read, %(kept)d kept, %(quarantined)d quarantined", counts)
+    if max_quarantined is not None and counts["quarantined"] > max_quarantined:
+        raise GateFailed([f"quarantine: {counts['quarantined']} rows do not fit the schema"])
+    write_table(kept_rows(spark, landing, table_format), bronze, table_format)
+    return counts
+
+
 def clean(
     spark: SparkSession,
     bronze: str,
@@ -78,23 +103,33 @@ def clean(
     *,
     table_format="parquet",
     few_duplicates: bool = False,
+    max_coerced: int | None = None,
 ) -> tuple[int | None, int]:
     """Bronze to silver in one write; returns rows read and rows kept.
     ``few_duplicates`` picks the dedup that shuffles only repeated keys; it
-    reads bronze more than once, so the rows read are not counted."""
+    reads bronze more than once, so neither the rows read nor the values lost are
+    counted. With ``max_coerced`` the job fails if cleaning turned more values of
+    a column into NULL; they are counted by the write itself."""
     before, after = Observation(), Observation()
     counter = F.count(F.lit(1)).alias("n")
     source = read_table(spark, bronze, table_format)
+    if few_duplicates and max_coerced is not None:
+        raise ValueError("lost values are not counted with few_duplicates")
     if few_duplicates:
         kept = dedup_rare(standardise(source, spec), spec.keys, spec.order_by)
         rows = write_counted(kept, silver, table_format)
         log.info("silver: %d rows", rows)
         return None, rows
-    rows = standardise(source, spec).observe(before, counter)
-    kept = dedup_by_key(rows, spec.keys, spec.order_by).observe(after, counter)
+    kept = dedup_by_key(standardise(source, spec, before), spec.keys, spec.order_by).observe(after, counter)
     write_table(kept, silver, table_format)
-    read, written = before.get["n"], after.get["n"]
+    lost, written = dict(before.get), after.get["n"]
+    read = lost.pop(ROWS_READ)
     log.info("silver: %d rows, %d duplicates removed", written, read - written)
+    for column, n in lost.items():
+        if n:
+            log.warning("%d values of %s became NULL", n, column)
+    if max_coerced is not None:
+        enforce_gate(run_gate(source.limit(0), coercion_rules(lost, max_coerced)))
     return read, written
 
 
@@ -106,15 +141,21 @@ def features(
     *,
     vocab: str | None = None,
     relearn: bool = True,
+    extend: str | None = None,
     as_of=None,
     table_format="parquet",
 ) -> int:
     """Silver to gold Parquet. With a ``vocab`` path the labels are saved
-    there, or taken from there if not to be learned again."""
+    there, or taken from there if not to be learned again. With the path of an
+    earlier vocabulary in ``extend`` its slots stay and only new labels are
+    added; the result is saved under ``vocab``."""
     source = read_table(spark, silver, table_format)
     labels = None
     if vocab is not None:
-        if relearn:
+        if extend is not None:
+            earlier = read_table(spark, extend)
+            write_table(extend_vocab(earlier, source, spec.categories), vocab)
+        elif relearn:
             write_table(fit_vocab(source, spec.categories, spec.max_labels), vocab)
         labels = read_table(spark, vocab)
     rows = write_counted(layers.gold(source, spec, vocab=labels, as_of=as_of), gold)
@@ -145,16 +186,28 @@ def apply(spark: SparkSession, gold: str, view=None) -> None:
 
 
 def materialize(
-    spark: SparkSession, gold: str, online: str, until, view=None, *, incremental: bool = False
+    spark: SparkSession,
+    gold: str,
+    online: str,
+    until,
+    view=None,
+    *,
+    incremental: bool = False,
+    buckets: int | None = None,
 ) -> str:
     """Publish the latest row per key up to ``until``. The whole table is read,
     so rewritten values and rows that came late are served. ``incremental``
     reads only event times after the last publication: right for a history to
-    which rows are added in the order of their event time, and only there."""
+    which rows are added in the order of their event time, and only there. With
+    ``buckets`` the snapshot is a bucketed store (see
+    :mod:`tablewright.operators.refresh`): rows are read by event and created
+    time, so late ones are served, and only buckets that change are written."""
     view = view or customer.feature_view(gold)
     if not view.online:
         raise ValueError(f"view {view.name} is not served online")
     source = conform(read_table(spark, gold), view)
+    if buckets is not None:
+        return refresh_buckets(store_of(online, view, buckets), source, view, until).name
     last = current_snapshot(spark, online) if incremental else None
     if last is None:
         table = materialize_latest(source, view, until)
@@ -237,6 +290,10 @@ def main(argv: list[str] | None = None) -> int:
     for step in ("ingest", "all"):
         sub[step].add_argument("--raw-format", default="csv")
     sub["ingest"].add_argument("--schema")
+    sub["ingest"].add_argument("--landing")
+    sub["ingest"].add_argument("--max-quarantined", type=int)
+    sub["clean"].add_argument("--max-coerced", type=int)
+    sub["materialize"].add_argument("--buckets", type=int)
     for step in ("gate", "all"):
         sub[step].add_argument("--min-rows", type=int, default=customer.MIN_ROWS)
     for step in ("materialize", "all"):
@@ -246,6 +303,7 @@ def main(argv: list[str] | None = None) -> int:
     sub["clean"].add_argument("--few-duplicates", action="store_true")
     sub["features"].add_argument("--vocab")
     sub["features"].add_argument("--keep-vocab", action="store_true")
+    sub["features"].add_argument("--extend-vocab")
     sub["features"].add_argument("--as-of")
     args = parser.parse_args(argv)
 
@@ -253,7 +311,18 @@ def main(argv: list[str] | None = None) -> int:
     sizes = sizing_conf(args.input_bytes) if args.input_bytes else {}
     spark = build_session({**sizes, **dict(c.split("=", 1) for c in args.conf)})
     try:
-        if args.step == "ingest":
+        if args.step == "ingest" and args.landing:
+            ingest_sorted(
+                spark,
+                args.raw,
+                args.landing,
+                args.bronze,
+                raw_format=args.raw_format,
+                schema=args.schema,
+                table_format=args.table_format,
+                max_quarantined=args.max_quarantined,
+            )
+        elif args.step == "ingest":
             ingest(
                 spark,
                 args.raw,
@@ -269,6 +338,7 @@ def main(argv: list[str] | None = None) -> int:
                 args.silver,
                 table_format=args.table_format,
                 few_duplicates=args.few_duplicates,
+                max_coerced=args.max_coerced,
             )
         elif args.step == "features":
             features(
@@ -277,6 +347,7 @@ def main(argv: list[str] | None = None) -> int:
                 args.gold,
                 vocab=args.vocab,
                 relearn=not args.keep_vocab,
+                extend=args.extend_vocab,
                 as_of=args.as_of,
                 table_format=args.table_format,
             )
@@ -289,7 +360,14 @@ def main(argv: list[str] | None = None) -> int:
         else:
             until = args.until or datetime.now(timezone.utc).replace(tzinfo=None)
             if args.step == "materialize":
-                materialize(spark, args.gold, args.online, until, incremental=args.incremental)
+                materialize(
+                    spark,
+                    args.gold,
+                    args.online,
+                    until,
+                    incremental=args.incremental,
+                    buckets=args.buckets,
+                )
             else:
                 run_all(
                     spark,

@@ -1,9 +1,11 @@
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 
 from support import rows
 from tablewright.catalog.fixture import raw
 from tablewright.operators import cleaning as C
+from tablewright.operators import dedup as D
 from tablewright.plans import customer
 
 
@@ -89,3 +91,27 @@ def test_clean_twice_changes_nothing(spark, sf_dir):
 def test_clean_removes_a_second_ingestion(spark, sf_dir):
     df = raw(spark, sf_dir)
     assert rows(C.clean(df.unionAll(df), customer.CLEAN)) == rows(C.clean(df, customer.CLEAN))
+
+
+def test_lost_values_are_counted_by_the_write(spark, tmp_path):
+    spec = C.CleanSpec(keys=("k",), yes_no=("flag", "number_flag"), numbers=("n", "d"), on_error="null", order_by=("k",))
+    rows_in = [
+        (1, "Yes", 1, "1.5", 1.0),
+        (2, "perhaps", 0, "60s", None),
+        (3, None, 1, " ", 2.0),
+        (3, "No", 1, "x", 2.0),
+        (4, "no", 0, None, 2.0),
+    ]
+    df = spark.createDataFrame(rows_in, "k int, flag string, numberFlag int, n string, d double")
+    lost = Observation()
+    D.dedup_by_key(C.standardise(df, spec, lost), spec.keys, spec.order_by).write.parquet(str(tmp_path / "t"))
+    # flags and numbers that were numbers already lose nothing; blanks were empty
+    assert lost.get == {C.ROWS_READ: 5, "n": 2, "flag": 2}
+
+
+def test_a_column_named_like_the_count(spark):
+    spec = C.CleanSpec(keys=("k",), numbers=("n",), on_error="null")
+    df = spark.createDataFrame([(1, "x"), (2, "3")], "k int, n string")
+    lost = Observation()
+    C.standardise(df, spec, lost).collect()
+    assert lost.get["n"] == 1 and lost.get[C.ROWS_READ] == 2

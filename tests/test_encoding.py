@@ -122,3 +122,50 @@ def test_saved_vocabulary_keeps_slots(spark, tmp_path):
     later = frame(spark, list("bbbca"))
     index = E.string_index(later, spark.read.parquet(path), ["c"]).orderBy("i")
     assert [r["c_idx"] for r in index.collect()] == [1.0, 1.0, 1.0, 2.0, 0.0]
+
+
+@pytest.mark.parametrize("broadcast_labels", [0, 100])
+def test_all_forms_hold_the_same_vectors(spark, broadcast_labels):
+    values = ["b", None, "a", "new", "b", "it's"]
+    df = spark.createDataFrame([(i, v, None if v is None else v * 2) for i, v in enumerate(values)], "i int, c string, d string")
+    vocab = E.fit_vocab(df.where("i <> 3"), ["c", "d"])
+    how = {"literal_labels": 1, "broadcast_labels": broadcast_labels}
+    dense = E.encode_many(df, vocab, ["c", "d"], **how)
+    sparse = E.encode_many(df, vocab, ["c", "d"], form=E.SPARSE, **how)
+    ml = E.encode_many(df, vocab, ["c", "d"], form=E.VECTOR, **how)
+    assert dense.columns == sparse.columns == ml.columns == ["i", "c_vec", "d_vec"]
+    assert rows(dense) == rows(E.sparse_to_dense(sparse)) == rows(E.vector_to_array(ml))
+    assert sparse.first()["c_vec"].size == 4
+    assert rows(E.encode_many(df, vocab, ["c", "d"])) == rows(dense)
+
+
+def test_sparse_is_no_wider_for_more_labels(spark):
+    one = spark.range(1).selectExpr("CAST(id AS DOUBLE) AS c_idx")
+    wide = E.one_hot(one, {"c_idx": 3_000_000_000}, form=E.SPARSE).first()["c_vec"]
+    assert (wide.size, wide.indices, wide["values"]) == (3_000_000_000, [0], [1.0])
+    with pytest.raises(ValueError, match="form must be"):
+        E.one_hot(one, {"c_idx": 3}, form="thin")
+
+
+def test_empty_sparse_vectors_and_null_are_dense_too(spark):
+    kind = "v struct<size: bigint, indices: array<bigint>, values: array<double>>"
+    df = spark.createDataFrame([((0, [], []),), ((3, [0, 2], [1.5, -1.0]),), (None,)], kind)
+    assert [r["v"] for r in E.sparse_to_dense(df, ["v"]).collect()] == [[], [1.5, 0.0, -1.0], None]
+
+
+@pytest.mark.parametrize("window_labels", [0, 100])
+def test_slots_stay_when_a_vocabulary_grows(spark, window_labels):
+    first = E.fit_vocab(frame(spark, list("bbbaac")), ["c"])
+    grown = E.extend_vocab(first, frame(spark, ["a", "y", "x", "y", None, "z"]), ["c"], window_labels=window_labels)
+    slots = {r["label"]: r["slot"] for r in grown.collect()}
+    assert slots == {"b": 0, "a": 1, "c": 2, "y": 3, "x": 4, "z": 5}
+    again = E.extend_vocab(grown, frame(spark, ["z", "b"]), ["c"])
+    assert {r["label"]: r["slot"] for r in again.collect()} == slots
+    from_nothing = E.extend_vocab(first.limit(0), frame(spark, list("abb")), ["c"])
+    assert {r["label"]: r["slot"] for r in from_nothing.collect()} == {"b": 0, "a": 1}
+
+
+def test_changes_of_a_vocabulary(spark):
+    first = E.fit_vocab(frame(spark, list("bba")), ["c"])
+    found = E.vocab_changes(first, frame(spark, ["b", "n", "n", None]), ["c"])
+    assert {tuple(r) for r in found.collect()} == {("c", "b", "kept", 1), ("c", "a", "retired", 0), ("c", "n", "new", 2)}

@@ -1,10 +1,14 @@
 """The steps in order, over files, as a scheduler would run them."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from support import rows
 from tablewright.catalog.fixture import raw
+from tablewright.operators.encoding import encode_many, fit_vocab
 from tablewright.operators.quality import GateFailed
+from tablewright.operators.refresh import store_of
+from tablewright.operators.training import confusion, cross_validate, scores, train_eval
 from tablewright.plans import customer, jobs
 from tablewright.sources import current_snapshot, read_table
 
@@ -160,3 +164,75 @@ def test_model_counts_what_it_cannot_use(spark):
     df = spark.createDataFrame(rows, "k string, y int, a double, b double")
     row = train_eval(df, "y", ["k"], ["a", "b"], max_iter=5)[1].first()
     assert row["n_skipped"] == 100 and row["n_train"] + row["n_test"] == 300
+
+
+def test_a_vocabulary_grows_between_snapshots(spark, layers, tmp_path):
+    silver, gold, vocab = (str(tmp_path / n) for n in ("silver", "gold", "vocab"))
+    newer = read_table(spark, layers["silver"]).withColumn("contract", F.concat("contract", F.lit("!")))
+    newer.write.parquet(silver)
+    jobs.features(spark, silver, gold, vocab=vocab, extend=layers["vocab"], as_of="2024-07-01")
+    old = {(r["column"], r["label"]): r["slot"] for r in read_table(spark, layers["vocab"]).collect()}
+    new = {(r["column"], r["label"]): r["slot"] for r in read_table(spark, vocab).collect()}
+    assert old.items() <= new.items() and len(new) == len(old) + 3
+    assert {len(r["contract_vec"]) for r in read_table(spark, gold).select("contract_vec").collect()} == {7}
+
+
+def test_lost_values_fail_the_job_if_asked(spark, layers, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    broken = F.when(F.col("tenure") == 5, "unknown").otherwise(F.col("Partner"))
+    read_table(spark, layers["bronze"]).withColumn("Partner", broken).write.parquet(bronze)
+    lost = read_table(spark, bronze).where("Partner = 'unknown'").count()
+    assert lost > 0
+    assert jobs.clean(spark, bronze, str(tmp_path / "a"), max_coerced=lost) == (1540, 1500)
+    with pytest.raises(GateFailed, match=f"few_coerced_partner \\({lost}\\)"):
+        jobs.clean(spark, bronze, str(tmp_path / "b"), max_coerced=0)
+    with pytest.raises(ValueError, match="not counted"):
+        jobs.clean(spark, bronze, str(tmp_path / "c"), max_coerced=0, few_duplicates=True)
+
+
+def test_malformed_rows_stop_before_bronze_if_asked(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text("a,b\n1,x\ny,2\n")
+    raw_file, bronze = str(tmp_path / "raw.csv"), str(tmp_path / "bronze")
+    with pytest.raises(GateFailed, match="1 rows do not fit"):
+        jobs.ingest_sorted(spark, raw_file, str(tmp_path / "l1"), bronze, schema="a int, b string", max_quarantined=0)
+    assert not (tmp_path / "bronze").exists()
+    counts = jobs.ingest_sorted(spark, raw_file, str(tmp_path / "l2"), bronze, schema="a int, b string")
+    assert counts["kept"] == 1 and rows(read_table(spark, bronze)) == [(1, "x")]
+
+
+def test_buckets_serve_what_a_snapshot_does(spark, layers, tmp_path):
+    root = str(tmp_path / "store")
+    for _ in range(2):
+        jobs.materialize(spark, layers["gold"], root, "2024-06-01", buckets=8)
+    view = customer.feature_view()
+    store = store_of(root, view, 8)
+    served = store.read(spark, store.current(spark))
+    jobs.materialize(spark, layers["gold"], str(tmp_path / "plain"), "2024-06-01")
+    plain = current_snapshot(spark, str(tmp_path / "plain"))[0]
+    assert rows(served) == rows(plain.select(*served.columns))
+
+
+def test_folds_are_whole_and_told_apart(spark):
+    df = spark.range(400).selectExpr(
+        "concat('k', id) AS k", "CAST(id % 2 AS DOUBLE) AS x", "CAST(id % 3 AS DOUBLE) AS z", "CAST(id % 2 AS INT) AS y"
+    )
+    df = df.withColumn("x", F.expr("CASE WHEN k = 'k7' THEN NULL ELSE x END"))
+    found = cross_validate(df, "y", ["k"], ["x", "z"], folds=4, reg=0.001)
+    assert found.count() == 399 and found.select("k").distinct().count() == 399
+    cells = confusion(found).collect()
+    assert sum(r["n"] for r in cells) == 399 and all(r["label"] == r["predicted"] for r in cells)
+    assert {r["fold"] for r in cells} == {0, 1, 2, 3}
+    (row,) = scores(found).collect()
+    assert (row["accuracy"], row["precision"], row["recall"]) == (1.0, 1.0, 1.0)
+    assert rows(cross_validate(df, "y", ["k"], ["x", "z"], folds=4, reg=0.001)) == rows(found)
+    alone = cross_validate(df.limit(1).where("x IS NOT NULL"), "y", ["k"], ["x", "z"], folds=2)
+    assert [r["predicted"] for r in alone.collect()] == [None]
+
+
+def test_sparse_vectors_train_like_dense_ones(spark):
+    df = spark.range(300).selectExpr("id AS k", "concat('c', id % 5) AS c", "CAST(id % 5 = 2 AS INT) AS y")
+    vocab = fit_vocab(df, ["c"])
+    dense = encode_many(df, vocab, ["c"])
+    sparse = encode_many(df, vocab, ["c"], form="vector")
+    results = [train_eval(t, "y", ["k"], ["c_vec"], reg=0.001)[1].first() for t in (dense, sparse)]
+    assert results[0] == results[1] and results[0]["accuracy"] == 1.0

@@ -12,6 +12,7 @@ from tablewright.operators import quality as Q
 from tablewright.operators import serving as V
 from tablewright.operators import views as W
 from tablewright.plans import customer, layers
+from tablewright.sources import read_statistics, write_dated
 
 
 def plan(df):
@@ -123,3 +124,53 @@ def events_key():
     from pyspark.sql import functions as F
 
     return F.expr("CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END")
+
+
+def test_wide_vocabularies_move_the_table_once(spark):
+    df = spark.range(1000).selectExpr("id", "id % 300 AS a", "id % 400 AS b", "id % 500 AS c", "repeat('x', 9) AS wide")
+    cols = ["a", "b", "c"]
+    vocab = E.fit_vocab(df, cols)
+    small = plan(E.encode_many(df, vocab, cols, form=E.SPARSE))
+    assert "SortMergeJoin" not in small and small.count("BroadcastHashJoin") == 3
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = plan(E.encode_many(df, vocab, cols, form=E.SPARSE, broadcast_labels=0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the rows, the pairs and the vocabulary; slots by row arrive dealt by row
+    assert large.count("SortMergeJoin") == 2
+    moved = [line for line in large.splitlines() if "Exchange hashpartitioning(__row" in line]
+    assert len(moved) == 2
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id", "nullif(id % 7, 3) AS v", "repeat('x', 50) AS wide").write.parquet(path)
+    table = read_statistics(spark, path)
+    gate = [Q.MinRows(n=10), Q.NotNull(col="v")]
+    for df in (P.row_count(table), P.null_profile(table), P.schema_profile(table), Q.run_gate(table, gate)):
+        assert re.search(r"PushedAggregation: \[(COUNT|count)", plan(df)), plan(df)
+    assert P.row_count(table).first()["n"] == 1000
+    assert P.null_profile(table).first().asDict() == {"id": 0, "v": 143, "wide": 0}
+    assert [r["violations"] for r in Q.run_gate(table, gate).collect()] == [0, 143]
+    # the session that reads in the usual way keeps doing so
+    assert "FileScan parquet" in plan(P.row_count(spark.read.parquet(path)))
+    assert table.where("v = 5").count() == 143
+
+
+def test_time_bounds_open_only_their_days(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    rows = spark.range(240).selectExpr("id % 9 AS k", "timestamp_ntz'2024-01-01' + make_dt_interval(0, id) AS t", "id AS v")
+    write_dated(rows, path, "t")
+    view = W.FeatureView(
+        name="v",
+        entities=(W.Entity("k", "bigint"),),
+        fields=(W.Field("v", "bigint"),),
+        source=W.FeatureSource(path=path, event_timestamp="t", created_timestamp=None, date_partition="event_date"),
+    )
+    stored = W.conform(view.source.read(spark), view)
+    out = V.materialize_latest(stored, view, "2024-01-04 12:00:00", "2024-01-03 06:00:00")
+    pruned = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(out)).group(1)
+    assert "event_date" in pruned and "2024-01-03" in pruned and "2024-01-04" in pruned
+    assert sorted(r["v"] for r in out.collect()) == list(range(76, 85))
+    assert rows.count() == spark.read.parquet(path).count()

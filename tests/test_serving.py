@@ -211,3 +211,62 @@ def test_lookup_serves_nothing_beyond_the_ttl(spark):
     assert rows(out) == sorted([("a", None, None), ("b", 2, START + timedelta(days=2))], key=repr)
     endless = replace(view(), ttl=None)
     assert rows(V.online_lookup(asked, snapshot, endless, as_of=at)) == [("a", 1), ("b", 2)]
+
+
+def several_views(seed, n=200):
+    """Three views, one of them of other keys, and a spine with both keys."""
+    rng = random.Random(seed)
+    key = lambda: rng.choice(["hot", "hot", "hot", "a", "b", None])
+    place = lambda: rng.choice([0, 0, 1, None])
+    time = lambda: rng.choice([None, *[START + timedelta(hours=rng.randrange(300))] * 9])
+    tables = []
+    for name, keys, draw, ttl in (("x", "k string", key, 2 * DAY), ("y", "k string", key, None), ("z", "p int", place, DAY)):
+        schema = f"{keys}, event timestamp_ntz, created timestamp_ntz, {name} int"
+        history = [(draw(), time(), START + timedelta(hours=rng.randrange(9)), i) for i in range(n)]
+        contract = W.FeatureView(
+            name=name,
+            entities=(W.Entity(*keys.split()),),
+            fields=(W.Field(name, "int"),),
+            source=W.FeatureSource(event_timestamp="event", created_timestamp="created"),
+            ttl=ttl,
+        )
+        tables.append((schema, history, contract))
+    return [(i, key(), place(), time()) for i in range(n)], tables
+
+
+@pytest.mark.parametrize("skew", [None, V.Skew(), HOT, MANY_CUTS, FEW_SAMPLES])
+def test_several_views_equal_a_chain_of_joins(spark, skew):
+    spine, tables = several_views(11)
+    spine = spark.createDataFrame(spine, "id int, k string, p int, ts timestamp_ntz")
+    sources = [(spark.createDataFrame(history, schema), contract) for schema, history, contract in tables]
+    names = {"x": "x_at", "z": "z_at"}
+    out = V.point_in_time_joins(spine, sources, "ts", event_as=names, skew=skew)
+    chain = spine
+    for features, contract in sources:
+        chain = V.point_in_time_join(chain, features, contract, "ts", event_as=names.get(contract.name), skew=None)
+    assert out.columns == ["id", "k", "p", "ts", "x", "x_at", "y", "z", "z_at"]
+    assert rows(out) == rows(chain)
+
+
+def test_views_of_one_key_take_one_shuffle(spark):
+    spine, tables = several_views(3)
+    spine = spark.createDataFrame(spine, "id int, k string, p int, ts timestamp_ntz")
+    sources = [(spark.createDataFrame(history, schema), contract) for schema, history, contract in tables]
+    text = V.point_in_time_joins(spine, sources[:2], "ts", skew=None)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("Window [") + text.count("Window (") >= 1
+    whole = spine.where("k IS NOT NULL AND p IS NOT NULL AND ts IS NOT NULL").selectExpr(
+        "id", "coalesce(k, '') AS k", "coalesce(p, 0) AS p", "coalesce(ts, timestamp_ntz'2024-01-01') AS ts"
+    )
+    text = V.point_in_time_joins(whole, sources, "ts", skew=None)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_views_must_not_share_names(spark):
+    spine, tables = several_views(3)
+    spine = spark.createDataFrame(spine, "id int, k string, p int, ts timestamp_ntz")
+    schema, history, contract = tables[0]
+    features = spark.createDataFrame(history, schema)
+    with pytest.raises(ValueError, match="more than one view"):
+        V.point_in_time_joins(spine, [(features, contract), (features, contract)], "ts")
+    with pytest.raises(ValueError, match="already has"):
+        V.point_in_time_joins(spine.withColumnRenamed("id", "X"), [(features, contract)], "ts")

@@ -5,16 +5,22 @@ import pytest
 from support import rows
 from tablewright import session
 from tablewright.catalog.fixture import raw
+from tablewright.sources import prefix
 from tablewright.sources.tables import instant
 from tablewright.sources import (
     current_snapshot,
+    infer_schema,
+    ingest_quarantined,
     publish_snapshot,
+    quarantined,
     raw_file_audit,
     read_table,
     read_tabular,
     write_counted,
+    write_dated,
     write_table,
 )
+from tablewright.sources.files import kept_rows, quarantined_rows
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
@@ -50,19 +56,101 @@ def test_partitioned_write(spark, tmp_path):
     assert (tmp_path / "t" / "part=1").is_dir()
 
 
+def test_dated_write_replaces_the_days_it_has(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    df = spark.range(96).selectExpr("timestamp_ntz'2024-01-01' + make_dt_interval(0, id) AS t", "id AS v")
+    df = df.unionAll(spark.sql("SELECT CAST(NULL AS TIMESTAMP_NTZ), -1L"))
+    write_dated(df, path, "t")
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "dated").rglob("*.parquet")}
+    again = df.where("t >= timestamp_ntz'2024-01-03' AND t < timestamp_ntz'2024-01-04'").selectExpr("t", "v + 1000 AS v")
+    for _ in range(2):
+        write_dated(again, path, "t")
+    back = spark.read.parquet(path)
+    assert back.count() == 97 and back.where("v >= 1000").count() == 24
+    other = [p for p in before if "event_date=2024-01-03" not in str(p)]
+    assert len(other) < len(before) and all(p.stat().st_mtime_ns == before[p] for p in other)
+    with pytest.raises(ValueError, match="only_partitions"):
+        write_table(df, path, only_partitions=True)
+
+
+BAD_CSV = "a,b,c\n1,x,2.5\ntwo,y,3\n3,z\n4,w,1,more\n5,,\n"
+
+
+def test_malformed_rows_are_set_aside_and_counted(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(BAD_CSV)
+    target = str(tmp_path / "landing")
+    counts = ingest_quarantined(spark, str(tmp_path / "in.csv"), target, schema="a int, b string, c double")
+    assert counts == {"read": 5, "kept": 2, "quarantined": 3}
+    assert rows(kept_rows(spark, target)) == rows(spark.createDataFrame([(1, "x", 2.5), (5, None, None)], "a int, b string, c double"))
+    bad = quarantined_rows(spark, target).collect()
+    assert sorted(r["corrupt_record"] for r in bad) == ["3,z", "4,w,1,more", "two,y,3"]
+    assert all(r["source_file"].endswith("in.csv") for r in bad)
+    # few columns are read, but rows are judged by all
+    assert kept_rows(spark, target).select("b").count() == 2
+
+
+def test_a_file_without_bad_rows_and_json(spark, tmp_path):
+    (tmp_path / "in.json").write_text('{"a": 1}\n{"a": 2, "b": "x"}\n{"a": \n')
+    target = str(tmp_path / "landing")
+    counts = ingest_quarantined(spark, str(tmp_path / "in.json"), target, "json", "a int, b string")
+    assert counts == {"read": 3, "kept": 2, "quarantined": 1}
+    (tmp_path / "good.csv").write_text("a\n1\n2\n")
+    counts = ingest_quarantined(spark, str(tmp_path / "good.csv"), target + "2")
+    assert counts == {"read": 2, "kept": 2, "quarantined": 0}
+    assert kept_rows(spark, target + "2").dtypes == [("a", "int")]
+    assert quarantined_rows(spark, target + "2").collect() == []
+    with pytest.raises(ValueError, match="no rows that can fail"):
+        quarantined(spark, target, "parquet", "a int")
+    with pytest.raises(ValueError, match="of its own"):
+        quarantined(spark, target, "csv", "a int, Corrupt_Record string")
+
+
+def test_types_come_from_the_first_lines(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("k,v\n" + "".join(f"{i},{i}\n" for i in range(50)) + "late,1.5\n")
+    found = infer_schema(spark, str(tmp_path / "in.csv"), sample_lines=20)
+    assert [f.dataType.simpleString() for f in found] == ["int", "int"]
+    counts = ingest_quarantined(spark, str(tmp_path / "in.csv"), str(tmp_path / "landing"), schema=found)
+    assert counts == {"read": 51, "kept": 50, "quarantined": 1}
+
+
 def test_file_audit(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "book.xlsx", "w") as book:
         book.writestr("x", "y" * 50)
     (tmp_path / "fake.xlsx").write_text("customerID,gender")
-    (tmp_path / "empty.xlsx").write_bytes(b"")  # Spark's file sources skip empty files
-    (tmp_path / "large.xlsx").write_bytes(b"PK\x03\x04" + b"0" * 1000)
-    audit = raw_file_audit(spark, str(tmp_path), "*.xlsx", max_bytes=500)
-    got = {r["path"].rsplit("/", 1)[1]: (r["header_hex"], r["is_zip"]) for r in audit.collect()}
+    (tmp_path / "empty.xlsx").write_bytes(b"")
+    (tmp_path / "short.xlsx").write_bytes(b"PK")
+    (tmp_path / "other.csv").write_text("a,b")
+    (tmp_path / "_started.xlsx").write_text("hidden")
+    inside = tmp_path / "with space" / "below"
+    inside.mkdir(parents=True)
+    (inside / "deep.xlsx").write_bytes(b"PK\x03\x04...")
+    audit = raw_file_audit(spark, str(tmp_path), "*.xlsx")
+    got = {r["path"].removeprefix(str(tmp_path)): tuple(r)[1:] for r in audit.collect()}
+    size = (tmp_path / "book.xlsx").stat().st_size
     assert got == {
-        "book.xlsx": ("504B0304", True),
-        "fake.xlsx": ("63757374", False),
-        "large.xlsx": ("504B0304", True),
+        "/book.xlsx": (size, "504B0304", True),
+        "/fake.xlsx": (17, "63757374", False),
+        "/empty.xlsx": (0, "", False),
+        "/short.xlsx": (2, "504B", False),
+        "/with space/below/deep.xlsx": (7, "504B0304", True),
     }
+    assert raw_file_audit(spark, str(inside / "deep.xlsx")).count() == 1
+    assert raw_file_audit(spark, str(tmp_path), "*.none").collect() == []
+
+
+def test_file_audit_reads_four_bytes_of_any_size(spark, tmp_path):
+    with open(tmp_path / "huge.xlsx", "wb") as out:  # 3 GB, most of it a hole
+        out.write(b"PK\x03\x04")
+        out.truncate(3 << 30)
+    (row,) = raw_file_audit(spark, str(tmp_path)).collect()
+    assert (row["length"], row["is_zip"]) == (3 << 30, True)
+
+
+def test_stores_that_only_spark_opens(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.xlsx").write_bytes(b"PK\x03\x04")
+    monkeypatch.setattr(prefix, "KNOWN_STORES", ())
+    (row,) = raw_file_audit(spark, str(tmp_path)).collect()
+    assert row["is_zip"]
 
 
 def test_snapshots(spark, tmp_path):

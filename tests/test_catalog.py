@@ -1,5 +1,7 @@
 """All registered queries against their SQL, and their plans."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry

@@ -80,3 +80,45 @@ def constant(values: list, kind: str) -> Column:
     """A constant array, folded when the query is planned; one expression,
     however many entries."""
     return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used.
+    Inside lambdas the engine shares no common parts by itself."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def scanned(items: Column, zero: Column, step, out_type: str, block: int = 400) -> Column:
+    """The list of what ``step`` makes of each item, from left to right.
+    ``step(state, item)`` gives a struct of the next ``state`` and of ``out``.
+
+    The engine copies what a fold has gathered at each of its steps, which is
+    quadratic in the items. So items are folded in blocks, and the blocks'
+    results in a fold over blocks: only the short list of a block is copied at
+    each item, and the long one once a block. In a block, what a step makes is
+    added by the next one, so that each step is computed once.
+    """
+    none, nothing = F.array().cast(f"array<{out_type}>"), F.lit(None).cast(out_type)
+
+    def gathered(acc: Column) -> Column:
+        return F.when(acc["n"] > 0, F.array_append(acc["now"], acc["made"]["out"])).otherwise(acc["now"])
+
+    def add(acc: Column, item: Column) -> Column:
+        made = step(acc["made"]["state"], item).alias("made")
+        return F.struct(made, (acc["n"] + 1).alias("n"), gathered(acc).alias("now"))
+
+    def add_block(acc: Column, part: Column) -> Column:
+        first = F.struct(acc["state"].alias("state"), nothing.alias("out")).alias("made")
+        end = lambda x: F.struct(x["made"]["state"].alias("state"), gathered(x).alias("now"))
+        folded = F.aggregate(part, F.struct(first, F.lit(0).alias("n"), none.alias("now")), add, end)
+        more = lambda x: F.struct(x["state"].alias("state"), F.array_append(acc["done"], x["now"]).alias("done"))
+        return let(folded, more)
+
+    def in_blocks(every: Column) -> Column:
+        last = F.floor((F.size(every) - 1) / block).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(every, b * block + 1, F.lit(block)))
+        start = F.struct(zero.alias("state"), F.array().cast(f"array<array<{out_type}>>").alias("done"))
+        folded = F.aggregate(parts, start, add_block, lambda acc: F.flatten(acc["done"]))
+        return F.when(F.size(every) > 0, folded).otherwise(none)
+
+    return let(items, in_blocks)

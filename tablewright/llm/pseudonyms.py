@@ -11,12 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm.common import let, scanned
+
 ROUNDS = 8
 # Fixed patterns. Each starts where no longer candidate could have started.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# Possessive, so the engine repeats them without a call for each repetition.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-YEAR_FIRST = r"(?<![0-9])(?:18|19|20|21)[0-9]{2}(?:-[0-9]{2}-|/[0-9]{2}/|\.[0-9]{2}\.)[0-9]{2}(?![0-9])"
-DAY_FIRST = r"(?<![0-9])[0-9]{2}(?:/[0-9]{2}/|\.[0-9]{2}\.|-[0-9]{2}-)(?:18|19|20|21)[0-9]{2}(?![0-9])"
+YEAR_FIRST = r"(?<![0-9])(?:18|19|20|21)[0-9]{2}(?:-[0-9]{1,2}-|/[0-9]{1,2}/|\.[0-9]{1,2}\.)[0-9]{1,2}(?![0-9])"
+YEAR_LAST = r"(?<![0-9])[0-9]{1,2}(?:/[0-9]{1,2}/|\.[0-9]{1,2}\.|-[0-9]{1,2}-)(?:18|19|20|21)[0-9]{2}(?![0-9])"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 IP = rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])"
 SOCIAL = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
@@ -28,18 +31,15 @@ NUMBER = (
 NANP = r"(?:\+?1[ .-]?)?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}"
 # Card numbers as they are printed: in one piece, or in groups with one separator.
 CARD = r"[0-9]{13,19}|[0-9]{4}([ .-])(?:[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?|[0-9]{6}\1[0-9]{4,5})"
-ANY = "|".join((EMAIL, IBAN, YEAR_FIRST, DAY_FIRST, IP, SOCIAL, NUMBER))
+ANY = "|".join((EMAIL, IBAN, YEAR_FIRST, YEAR_LAST, IP, SOCIAL, NUMBER))
 
 # Between two characters.
 BETWEEN = "(?s)(?<=.)(?=.)"
 
-KINDS = ("email", "iban", "date", "ip", "social", "card", "phone")
-
+# A piece of a match and its kind.
+PIECE = "struct<s:string,k:string>"
 
-def let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, however often it is used.
-    Inside lambdas the engine shares no common parts by itself."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+KINDS = ("email", "iban", "date", "ip", "social", "card", "phone")
 
 
 def prf(key: str, kind: str, turn: Column, value: Column) -> Column:
@@ -179,13 +179,29 @@ def mod97(text: Column) -> Column:
     return F.aggregate(F.split(turned, BETWEEN), F.lit(0), add)
 
 
+def date_parts(m: Column) -> Column:
+    """The three numbers of a date as they are written."""
+    return F.split(m, "[-/.]")
+
+
+def date_from(year: Column, month: Column, day: Column) -> Column:
+    text = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+    return F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")
+
+
 def day_of(m: Column) -> Column:
-    """The date a match names, or NULL."""
-    year_first = m.rlike("^[0-9]{4}")
-    iso = F.when(year_first, F.translate(m, "/.", "--")).otherwise(
-        F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2))
-    )
-    return F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("date")
+    """The date a match names, or NULL. With the year last the day comes first,
+    unless only the month can."""
+    p = date_parts(m)
+    a, b, c = F.get(p, F.lit(0)), F.get(p, F.lit(1)), F.get(p, F.lit(2))
+    return F.when(F.char_length(a) == 4, date_from(a, b, c)).otherwise(F.coalesce(date_from(c, b, a), date_from(c, a, b)))
+
+
+def month_first(m: Column) -> Column:
+    """Whether a valid date with the year last has its month first: its second
+    number is no month."""
+    p = date_parts(m)
+    return (F.char_length(F.get(p, F.lit(0))) < 3) & (F.get(p, F.lit(1)).cast("int") > 12)
 
 
 def kind_of(m: Column) -> Column:
@@ -196,7 +212,7 @@ def kind_of(m: Column) -> Column:
     return (
         F.when(m.contains("@"), "email")
         .when(m.rlike(f"^(?:{IBAN})$"), F.when(mod97(bare) == 1, "iban"))
-        .when(m.rlike(f"^(?:{YEAR_FIRST}|{DAY_FIRST})$"), F.when(day_of(m).isNotNull(), "date"))
+        .when(m.rlike(f"^(?:{YEAR_FIRST}|{YEAR_LAST})$"), F.when(day_of(m).isNotNull(), "date"))
         .when(m.rlike(f"^(?:{IP})$"), "ip")
         .when(m.rlike(f"^(?:{SOCIAL})$"), "social")
         .when(n.between(13, 19) & ~m.contains("+") & (luhn_sum(digits, 0) % 10 == 0), "card")
@@ -209,7 +225,7 @@ def strict_kind_of(m: Column, before: Column, after: Column) -> Column:
     and ``after`` are what lies beside them."""
     digits = F.regexp_replace(m, "[^0-9]", "")
     return (
-        F.when(m.rlike(f"^(?:{YEAR_FIRST}|{DAY_FIRST})$"), F.when(day_of(m).isNotNull(), "date"))
+        F.when(m.rlike(f"^(?:{YEAR_FIRST}|{YEAR_LAST})$"), F.when(day_of(m).isNotNull(), "date"))
         .when(m.rlike(f"^(?:{IP})$") & ~before.endswith(".") & ~after.rlike(r"^\.[0-9]"), "ip")
         .when(m.rlike(f"^(?:{SOCIAL})$") & ~before.endswith("-") & ~after.startswith("-"), "social")
         .when(m.rlike(f"^(?:{NANP})$"), "phone")
@@ -235,7 +251,7 @@ def parts_of(m: Column) -> Column:
             def tried(n: Column) -> Column:
                 whole = F.array_join(F.slice(numbers, i + 1, n), "")
                 after = F.coalesce(F.get(numbers, i + n), F.lit(""))
-                kind = let(whole, lambda w: F.when(n_digits(w) >= 7, strict_kind_of(bare(w), lead(w), after)))
+                kind = let(whole, lambda w: F.when(n_digits(w) >= 6, strict_kind_of(bare(w), lead(w), after)))
                 return F.struct(n.alias("n"), F.when(i + n <= F.size(numbers), kind).alias("k"))
 
             # 16 digits come before 19, so a code behind a card stays apart
@@ -247,27 +263,28 @@ def parts_of(m: Column) -> Column:
     def cut(numbers: Column, found: Column) -> Column:
         """Pieces, those between the values marked as open."""
 
+        none = F.array().cast(f"array<{PIECE}>")
+
         def add(state: Column, i: Column) -> Column:
             value, text = F.get(found, i), F.get(numbers, i)
             most = F.when(state["open"].startswith("+"), 15).otherwise(19)
             full = n_digits(F.concat(state["open"], text)) > most
-            closed = F.when(state["open"] != "", F.array_append(state["out"], part(state["open"], F.lit("open")))).otherwise(
-                state["out"]
-            )
+            closed = F.when(state["open"] != "", F.array(part(state["open"], F.lit("open")))).otherwise(none)
             whole = F.array_join(F.slice(numbers, i + 1, value["n"]), "")
-            new = lambda out, rest, skip: F.struct(out.alias("out"), rest.alias("open"), skip.alias("skip"))
+            made = lambda open_, skip, out: F.struct(
+                F.struct(open_.alias("open"), skip.alias("skip")).alias("state"), out.alias("out")
+            )
             return (
-                F.when(i < state["skip"], state)
-                .when(value.isNotNull(), new(F.array_append(closed, part(whole, value["k"])), F.lit(""), i + value["n"]))
-                .when(full, new(closed, text, state["skip"]))
-                .otherwise(new(state["out"], F.concat(state["open"], text), state["skip"]))
+                F.when(i < state["skip"], made(state["open"], state["skip"], none))
+                .when(i >= F.size(numbers), made(F.lit(""), state["skip"], closed))
+                .when(value.isNotNull(), made(F.lit(""), i + value["n"], F.concat(closed, F.array(part(whole, value["k"])))))
+                .when(full, made(text, state["skip"], closed))
+                .otherwise(made(F.concat(state["open"], text), state["skip"], none))
             )
 
-        start = F.struct(
-            F.array().cast("array<struct<s:string,k:string>>").alias("out"), F.lit("").alias("open"), F.lit(0).alias("skip")
-        )
-        end = lambda s: F.when(s["open"] != "", F.array_append(s["out"], part(s["open"], F.lit("open")))).otherwise(s["out"])
-        return F.aggregate(F.sequence(F.lit(0), F.size(numbers) - 1), start, add, end)
+        start = F.struct(F.lit("").alias("open"), F.lit(0).alias("skip"))
+        # one step behind the last number closes what is open
+        return F.flatten(scanned(F.sequence(F.lit(0), F.size(numbers)), start, add, f"array<{PIECE}>"))
 
     def named(x: Column) -> Column:
         kind = F.when(x["k"] == "open", kind_of(bare(x["s"]))).otherwise(x["k"])
@@ -297,9 +314,30 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     # 1800-01-01 to 2199-12-31: one full cycle of the calendar, 146,097 days
     first = F.lit("1800-01-01").cast("date")
     days = F.datediff(day_of(m), first).cast("long")
-    day = F.date_add(first, feistel(days, 189, 773, key, "date").cast("int"))
-    spelt = F.when(m.rlike("^[0-9]{4}"), F.date_format(day, "yyyyMMdd")).otherwise(F.date_format(day, "ddMMyyyy"))
-    date = refilled(m, spelt, "[0-9]")
+    other_day = lambda d: feistel(d, 189, 773, key, "date")
+
+    def walk(d: Column, _: Column) -> Column:
+        """On to the next day of the cycle, until one that can only be read with
+        its month first, as the first one was; two of five steps go on."""
+        return F.when(F.dayofmonth(F.date_add(first, d.cast("int"))) > 12, d).otherwise(other_day(d))
+
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(64)), other_day(days), walk)
+    new_days = F.when(month_first(m), walked).otherwise(other_day(days))
+
+    def spelt_date(number: Column) -> Column:
+        """In the order, with the separators and the padding of the match."""
+        day, p = F.date_add(first, number.cast("int")), date_parts(m)
+        year, month, of_month = F.date_format(day, "yyyy"), F.date_format(day, "M"), F.date_format(day, "d")
+        short = F.exists(p, lambda x: F.char_length(x) == 1)
+        two = lambda x: F.when(short, x).otherwise(F.lpad(x, 2, "0"))
+        mark = F.regexp_extract(m, "[-/.]", 0)
+        return (
+            F.when(F.char_length(F.get(p, F.lit(0))) == 4, F.concat(year, mark, two(month), mark, two(of_month)))
+            .when(month_first(m), F.concat(two(month), mark, two(of_month), mark, year))
+            .otherwise(F.concat(two(of_month), mark, two(month), mark, year))
+        )
+
+    date = let(new_days, spelt_date)
 
     octets = F.transform(F.split(m, r"\."), lambda o: o.cast("long"))
     word = lambda i: F.get(octets, i) * 256 + F.get(octets, i + 1)
@@ -359,9 +397,13 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     value replaced, ``n_replaced`` and ``n_<kind>`` for each kind.
 
     Values that fail validation (check digit, calendar, ranges) stay as they
-    are; numbers beside a value do not hide it. A value keeps its separators, so the same number in two spellings gets
-    the same digits. NULL texts stay NULL with zero counts, texts are processed
-    whole, and other columns are not read.
+    are; numbers beside a value do not hide it. A value keeps its separators, so
+    the same number in two spellings gets the same digits. Dates have the year
+    first or last, one or two digits for day and month, and, with the year last,
+    the day first unless only the month can be; a date goes to one of the same
+    spelling. NULL texts stay NULL with zero counts, texts are processed whole in
+    time that grows with their length, rows that repeat are each rewritten, an
+    empty table gives none, and other columns are not read.
     """
     # every pattern holds a digit or an @, which most texts have not
     matches = F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))

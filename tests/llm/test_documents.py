@@ -179,6 +179,43 @@ def test_pseudonyms_beside_other_numbers(make):
     assert [(r.n_phone, r.n_replaced) for r in sorted(both, key=lambda r: r.doc_id)][:2] == [(2, 2), (0, 0)]
 
 
+def test_dates_of_all_spellings(make):
+    spelt = ["12/25/2023", "5/1/2023", "05/01/2023", "2023-5-1", "2023-05-01", "25.12.2023", "13/13/2023", "31/4/2023", "0/1/2023"]
+    got = [r.text for r in pseudonyms.pseudonymise(make([f"on {d}." for d in spelt]), "k").orderBy("doc_id").collect()]
+    new = [t[3:-1] for t in got]
+    assert all(a != b for a, b in zip(spelt[:6], new[:6])) and new[6:] == spelt[6:]
+    day, month, _ = map(int, new[0].split("/")[1::-1] + ["0"])
+    assert day > 12 and month <= 12  # still one that has its month first
+
+    def named(text, parts):
+        numbers = dict(zip(parts, map(int, re.split("[-/.]", text))))
+        return numbers["y"], numbers["m"], numbers["d"]
+
+    # the same day in two spellings
+    assert named(new[1], "dmy") == named(new[2], "dmy") and named(new[3], "ymd") == named(new[4], "ymd")
+    assert re.fullmatch(r"\d\d/\d\d/\d{4}", new[2]) and re.fullmatch(r"\d{4}-\d\d-\d\d", new[4])
+    assert "." in new[5]
+
+
+def test_month_first_dates_stay_one_to_one(spark):
+    days = spark.range(0, 146_097, 37).selectExpr("date_add(date'1800-01-01', CAST(id AS INT)) AS d").where("day(d) > 12")
+    docs = days.selectExpr("1L AS doc_id", "date_format(d, 'MM/dd/yyyy') AS text", "'' AS lang")
+    out = pseudonyms.pseudonymise(docs, "k")
+    assert out.select("text").distinct().count() == docs.count()
+    assert out.where("CAST(substr(text, 4, 2) AS INT) > 12 AND n_date = 1").count() == docs.count()
+
+
+@pytest.mark.parametrize("text", ["x@" + "a." * 500_000 + "b", "a." * 500_000 + "@b", "12345 " * 60_000, "1" * 500_000, "1.2.3.4." * 10_000])
+def test_pseudonyms_of_very_long_texts(spark, make, text):
+    import time
+
+    start = time.time()
+    (row,) = pseudonyms.pseudonymise(make([text]), "k").collect()
+    assert len(row.text) == len(text) or row.n_replaced
+    assert time.time() - start < 60
+    assert spark.range(3).count() == 3
+
+
 def test_pseudonyms_in_documents(spark):
     found = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r.doc_id: r.text for r in pseudonyms.pseudonymise(found, "k").collect()}
@@ -318,7 +355,11 @@ def contaminated_by_definition(docs, items, window=10):
 @pytest.mark.parametrize("seed", range(3))
 def test_decontamination(spark, make, seed):
     rng = random.Random(seed)
-    pick = lambda n: " ".join(rng.choice("abcÄé") for _ in range(n))
+    def pick(n):
+        """Words, some of them in Greek capitals, between all kinds of marks."""
+        words = [rng.choice(["a", "b", "c", "Ä", "é", "ΟΔΟΣ", "Σ", "οδος", "İK"]) for _ in range(n)]
+        return "".join(w + rng.choice([" ", ".", " -- ", "\n", "'"]) for w in words)
+
     items = [(i, pick(rng.choice([2, 4, 9, 10, 11, 25]))) for i in range(8)] + [(3, "a b"), (None, "x y z"), (9, None), (10, "")]
     texts = EDGE + [pick(rng.randrange(60)) for _ in range(30)] + [f"q {t} q" for _, t in items] + ["X! y z"]
     docs = make(texts, [None if i == 3 else i // 2 for i in range(len(texts))])
@@ -331,6 +372,14 @@ def test_decontamination(spark, make, seed):
     assert sorted(map(tuple, got), key=repr) == want
 
 
+def test_sigma_before_any_mark(spark, make):
+    words = ["ΟΔΟΣ", "ΛΟΓΟΣ", "ΦΩΣ", "ΜΥΘΟΣ", "ΝΟΜΟΣ", "ΧΡΟΝΟΣ", "ΤΟΠΟΣ", "ΗΛΙΟΣ", "ΚΟΣΜΟΣ", "ΒΙΟΣ"]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = make([" ".join(words), ".".join(words), "x\n".join(words), "'".join(words) + "'"])
+    got = {r.doc_id: r.n_hit for r in decontamination.decontaminate(docs, bench).collect()}
+    assert got == {0: 10, 1: 10, 2: 0, 3: 10}
+
+
 def test_decontamination_without_benchmark(spark, make):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.n_hit for r in decontamination.decontaminate(make(["a b"]), none).collect()] == [0]
@@ -376,6 +425,30 @@ def test_secrets_base(spark, make):
     assert seen > 20
 
 
+def test_secrets_of_very_long_texts(make):
+    import time
+
+    text = "token=abcdef0 " * 60_000 + "login=abc " * 5_000
+    start = time.time()
+    (row,) = secrets.scan_secrets(make([text])).collect()
+    assert row.n_assign == 60_000 and time.time() - start < 60
+    assert row.base_sha256 == hashlib.sha256(",".join(base_spans(text)).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_spans_apart(spark, seed):
+    rng = random.Random(seed)
+
+    def spans(kind, n):
+        return [(a, kind, a + rng.randrange(1, 9)) for a in (rng.randrange(200) for _ in range(n))]
+
+    rows = [(spans(3, rng.randrange(30)), spans(0, rng.randrange(12))) for _ in range(40)] + [([], []), (spans(4, 600), spans(1, 3))]
+    df = spark.createDataFrame(rows, f"weak {secrets.PART}, strong {secrets.PART}")
+    got = [sorted(map(tuple, r[0])) for r in df.select(secrets.apart(F.col("weak"), F.col("strong"))).collect()]
+    want = [sorted(w for w in weak if not any(b[0] < w[2] and b[2] > w[0] for b in strong)) for weak, strong in rows]
+    assert got == want
+
+
 def test_secrets_linking(make):
     key = "wJalrXUtnFEMI1K7MDENGbPxRfiCYEXAMPLEKEY9"
     far = " filler" * 60

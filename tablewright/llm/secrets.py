@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import join_keyed, row_key, staged
+from tablewright.llm.common import join_keyed, row_key, scanned, staged
 
 # Fixed patterns of the base kinds; least lengths stand beside them.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -32,7 +32,8 @@ ENDPOINT = (
 )
 
 KINDS = ("assign", "access", "hex", "ident", "blob", "endpoint")
-PART = "array<struct<start:long,kind:int,end:long>>"
+SPAN = "struct<start:long,kind:int,end:long>"
+PART = f"array<{SPAN}>"
 
 
 def spans_of(text: str, pattern: str, kind: str, keep=None, needs: str = "") -> Column:
@@ -45,21 +46,46 @@ def spans_of(text: str, pattern: str, kind: str, keep=None, needs: str = "") ->
     group = F.regexp_extract_all(text, F.lit(pattern), F.lit(1)) if keep else whole
     number = F.lit(KINDS.index(kind))
 
-    def add(state: Column, m: Column) -> Column:
-        start = state["at"] + F.char_length(m["gaps"])
+    def add(at: Column, m: Column) -> Column:
+        start = at + F.char_length(m["gaps"])
         end = start + F.char_length(m["whole"])
         span = F.struct(start.cast("long").alias("start"), number.alias("kind"), end.cast("long").alias("end"))
-        more = F.concat(state["out"], F.array(span))
         ok = keep(m["group"]) if keep else F.lit(True)
-        return F.struct(end.alias("at"), F.when(m["whole"].isNotNull() & ok, more).otherwise(state["out"]).alias("out"))
+        return F.struct(end.alias("state"), F.when(m["whole"].isNotNull() & ok, span).alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(PART).alias("out"))
     zipped = F.arrays_zip(gaps.alias("gaps"), whole.alias("whole"), group.alias("group"))
-    listed = F.aggregate(F.slice(zipped, F.lit(1), F.size(whole)), zero, add, lambda s: s["out"])
+    listed = scanned(F.slice(zipped, F.lit(1), F.size(whole)), F.lit(0), add, SPAN)
+    listed = F.filter(listed, lambda s: s.isNotNull())
     here = F.col(text).rlike(needs) & F.col(text).rlike(pattern) if needs else F.col(text).rlike(pattern)
     return F.when(here, listed).otherwise(F.array().cast(PART))
 
 
+def apart(weak: Column, strong: Column) -> Column:
+    """The spans of ``weak`` that overlap none of ``strong``. Both are walked
+    together in order, once to each side: a span overlaps one that starts before
+    it if that reaches it, and one that starts behind it if that starts in it."""
+    item = "struct<span:struct<start:long,kind:int,end:long>,strong:boolean,hit:boolean>"
+    marked = lambda spans, is_strong: F.transform(
+        spans, lambda s: F.struct(s.alias("span"), F.lit(is_strong).alias("strong"), F.lit(False).alias("hit"))
+    )
+    far = F.lit((1 << 62)).cast("long")
+
+    def from_left(reach: Column, x: Column) -> Column:
+        hit = x["hit"] | (~x["strong"] & (reach > x["span"]["start"]))
+        new = F.when(x["strong"], F.greatest(reach, x["span"]["end"])).otherwise(reach)
+        return F.struct(new.alias("state"), F.struct(x["span"].alias("span"), x["strong"].alias("strong"), hit.alias("hit")).alias("out"))
+
+    def from_right(least: Column, x: Column) -> Column:
+        hit = x["hit"] | (~x["strong"] & (least < x["span"]["end"]))
+        new = F.when(x["strong"], F.least(least, x["span"]["start"])).otherwise(least)
+        return F.struct(new.alias("state"), F.struct(x["span"].alias("span"), x["strong"].alias("strong"), hit.alias("hit")).alias("out"))
+
+    in_order = F.array_sort(F.concat(marked(weak, False), marked(strong, True)))
+    left = scanned(in_order, F.lit(-1).cast("long"), from_left, item)
+    both = F.reverse(scanned(F.reverse(left), far, from_right, item))
+    return F.transform(F.filter(both, lambda x: ~x["strong"] & ~x["hit"]), lambda x: x["span"])
+
+
 def as_text(spans: Column) -> Column:
     """``kind:start:end`` by start, then kind as listed, comma-joined."""
     names = F.array(*map(F.lit, KINDS))
@@ -140,10 +166,8 @@ def scan_secrets(docs: DataFrame, *, scope: int = 200) -> DataFrame:
     )
     found = text.select("_id", "_th", *[c.alias(n) for n, c in base.items()], weak.alias("weak"))
     strong = F.concat("assign", "access", "hex")
-    apart = F.filter(
-        "weak", lambda w: ~F.exists("strong", lambda b: (b["start"] < w["end"]) & (b["end"] > w["start"]))
-    )
-    found = found.withColumn("strong", strong).withColumn("weak", apart)
+    alone = F.when((F.size("weak") > 0) & (F.size("strong") > 0), apart(F.col("weak"), F.col("strong")))
+    found = found.withColumn("strong", strong).withColumn("weak", F.coalesce(alone, F.col("weak")))
     spans = staged(found, "secret-spans")
     # a single part has nothing to be linked with
     several = spans.where((F.size("weak") > 0) & (F.size("weak") + F.size("strong") > 1))

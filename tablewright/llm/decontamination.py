@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import ascii_lower, join_keyed, row_key, small, staged
+from tablewright.llm.common import ascii_lower, join_keyed, row_key, staged
+from tablewright.session import fits_broadcast
 
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -23,8 +24,11 @@ def words_of(text: Column) -> Column:
 
 def loose_words(text: Column) -> Column:
     """As many words as ``words_of`` has, with all letters in lower case and not
-    only A-Z. Faster, and texts that share words there share them here."""
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), NO_WORD), "")
+    only A-Z. Faster, and texts that share words there share them here: the one
+    letter whose lower case depends on its neighbours, a sigma at the end of a
+    word, is made the same everywhere."""
+    lower = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("\u03c2"), F.lit("\u03c3"))
+    return F.array_remove(F.split(lower, NO_WORD), "")
 
 
 def at_each(n: Column, make) -> Column:
@@ -112,7 +116,7 @@ def hits(train: DataFrame, test: DataFrame, k: int, window: int, max_broadcast:
         .groupBy("fp", F.col("left").alias("b_left"), F.col("around").alias("b_around"))
         .agg(F.collect_set("item_id").alias("items"))  # at most every item of the benchmark
     )
-    if small(probe, max_broadcast):
+    if fits_broadcast(probe, max_broadcast):
         probe = F.broadcast(probe)
     found = fingerprints(train, "words", k, window).join(probe, "fp")
     left, b_left = F.col("left"), F.col("b_left")
@@ -149,8 +153,10 @@ def decontaminate(
 
     A window is ``window`` consecutive words of an item; a shorter item is one
     window, found through all its k-grams of that length. Fingerprints of the
-    benchmark are broadcast if a count finds at most ``max_broadcast``;
-    otherwise the join shuffles narrow rows. NULL and empty texts have no words.
+    benchmark are broadcast if at most ``max_broadcast`` of 64 MB in all are
+    measured; otherwise the join shuffles narrow rows. Of k-grams with the same
+    least hash in a window all are kept. NULL and empty texts have no words; an
+    empty benchmark hits nothing and an empty table gives no rows.
     Items that repeat an id are one item, items with a NULL id hit words but are
     not listed. Rows that repeat id and text get the same answer; columns other
     than ``doc_id``, ``text`` and ``item_id`` are not read. ``keyed`` adds ``_th``,
@@ -166,7 +172,7 @@ def decontaminate(
     loose = benchmark.select(loose_words(F.col("text")).alias("words"))
     known = minima(loose, "words", lengths).select(F.explode_outer("minima").alias("fp")).distinct()
     known = known.where("fp IS NOT NULL").withColumn("known", F.lit(1))
-    if small(known, max_broadcast):
+    if fits_broadcast(known, max_broadcast):
         known = F.broadcast(known)
     looked = minima(docs.select(*key, loose_words(F.col("text")).alias("words")), "words", lengths)
     seen = looked.select("_id", "_th", F.size("words").cast("long").alias("n_words"), F.explode_outer("minima").alias("fp"))

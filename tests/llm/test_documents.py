@@ -266,6 +266,29 @@ def test_lines_against_all_stretches(make, seed):
     assert {d: bare(t) for d, t in got.items()} == {d: bare(t) for d, t in full.items()}
 
 
+def test_texts_behind_a_common_line(make):
+    """The same line with the least hash everywhere, before texts of which each has
+    a few copies; the first place explains hardly any of them."""
+    rng = random.Random(9)
+    common = "all rights of this text are kept by those who wrote it"
+    bodies = ["\n".join(" ".join(f"w{rng.randrange(99)}" for _ in range(14)) for _ in range(6)) for _ in range(20)]
+    texts = [f"{rng.choice(bodies)}\n{common}\n{rng.choice(bodies)}" for _ in range(120)]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(make(texts)).collect()}
+    assert got == dedup_by_definition(list(enumerate(texts)), 50, shortest=True)
+    assert sum(len(text) < len(texts[i]) for i, text in got.items()) > 80
+
+
+def test_selected_lines_are_few_and_in_every_window():
+    rng = random.Random(3)
+    text = "\n".join(" ".join(f"w{rng.randrange(999)}" for _ in range(rng.randrange(1, 9))) for _ in range(400))
+    found = lines.fingerprints(text, 50)
+    sums = [0]
+    for line in text.split("\n"):
+        sums.append(sums[-1] + len(line.split()))
+    windows = lines.windows_of(sums, 50)
+    assert sum(len(f["windows"]) // 2 for f in found) == len(windows) > 300 and len(found) < len(windows) / 3
+
+
 def test_lines_keep_columns_nulls_and_repeats(make):
     long = " ".join(f"w{i}" for i in range(60))
     docs = make([None, long, long, "short", f"x\n{long}\ny", long], [None, 1, 2, 2, 3, 1])

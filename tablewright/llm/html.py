@@ -18,8 +18,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import rekeyed, small, staged
+from tablewright.llm.common import rekeyed, row_key, staged
 from tablewright.llm.urls import host_of
+from tablewright.session import fits_broadcast
 
 # What the markup language says about its elements.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -49,13 +50,31 @@ DROPPED = {
     "canvas", "object", "audio", "video", "map", "datalist", "output", "search",
 }
 KEPT_IN_ARTICLE = {"header"}  # a heading block of the article itself holds its title
-NAMES = re.compile(
-    r"(?:^|[-_ ])(?:ad|ads|adv|advert|adverts|advertisement|advertising|banner|promo|promotion|sponsor|sponsored|nav|navbar|"
-    r"navigation|menu|menubar|breadcrumb|breadcrumbs|sidebar|side|rail|widget|footer|foot|masthead|topbar|toolbar|"
-    r"comment|comments|respond|reply|replies|disqus|cookie|cookies|consent|gdpr|notice|alert|popup|modal|overlay|"
-    r"newsletter|subscribe|subscription|signup|share|sharing|social|related|recommended|recirculation|pagination|pager|"
-    r"copyright|legal|skip|search|login|meta|tags|hidden)(?:$|[-_ ])"
-)
+# Parts of names that stand for what surrounds an article.
+SURROUNDINGS = {
+    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "promo", "promotion", "sponsor",
+    "sponsored", "nav", "navbar", "navigation", "menu", "menubar", "breadcrumb", "breadcrumbs", "sidebar", "side", "rail",
+    "widget", "footer", "foot", "masthead", "topbar", "toolbar", "comment", "comments", "respond", "reply", "replies",
+    "disqus", "cookie", "cookies", "consent", "gdpr", "notice", "alert", "popup", "modal", "overlay", "newsletter",
+    "subscribe", "subscription", "signup", "share", "sharing", "social", "related", "recommended", "recirculation",
+    "pagination", "pager", "copyright", "legal", "skip", "search", "login", "meta", "tags", "hidden",
+}
+# Parts that say nothing of their own beside those.
+LAYOUT = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "card", "col", "column", "container", "content",
+    "count", "fixed", "form", "full", "global", "group", "has", "header", "icon", "icons", "inline", "inner", "is", "item",
+    "items", "large", "layout", "left", "link", "links", "list", "main", "mobile", "module", "no", "outer", "page", "panel",
+    "post", "posts", "primary", "reader", "right", "row", "secondary", "section", "site", "slot", "small", "sticky", "thread",
+    "top", "unit", "user", "with", "wrap", "wrapper", "zone", "articles", "stories",
+}
+# End of fixed values.
+# Elements of running text: their id is mostly made from what they say.
+TEXTUAL = {
+    "article", "blockquote", "caption", "dd", "dl", "dt", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "li",
+    "main", "ol", "p", "pre", "section", "table", "tbody", "td", "th", "thead", "tr", "ul",
+}
+LISTS = {"ul", "ol", "dl", "table"}
+CONTROLS = {"input", "button", "select", "textarea"}
 # Names of these never surround an article: a page with more of such text than of its own is common.
 NEVER = re.compile(
     r"(?:^|[-_ ])(?:comment|comments|respond|reply|replies|disqus|cookie|cookies|consent|gdpr|notice|alert|popup|modal|overlay|"
@@ -64,42 +83,99 @@ NEVER = re.compile(
 SITE_HEADER = re.compile(r"(?:^| )(?:site-|page-|main-|top-)?header(?:$| )")
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
+# A quote opens a value only behind an equals sign; elsewhere it is a character.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.DOTALL
+    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)(?:>|$)", re.DOTALL
 )
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.DOTALL)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s=/>][^\s=/>]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 
 NESTED = {"svg", "template"}
 RAW_TAGS = {tag: re.compile(rf"<(/?){tag}(?![^\s/>])([^>]*)(?:>|$)", re.IGNORECASE) for tag in RAW}
 
 
 class Node:
-    __slots__ = ("tag", "name", "named", "dropped", "parent", "path", "own", "linked", "held", "held_links", "score", "at")
+    __slots__ = (
+        "tag", "name", "named", "doubtful", "dropped", "parent", "path", "own", "linked", "held", "held_links", "score", "at"
+    )
 
     def __init__(self, tag: str, name: str, dropped: bool, parent: Node | None, path: str, at: int):
         self.tag, self.name, self.dropped, self.parent, self.path, self.at = tag, name, dropped, parent, path, at
         self.named = False  # dropped for its name or as a form, which ``spared`` may take back
+        self.doubtful = False  # its name may stand for surroundings; ``weighed`` decides by what it holds
         self.own = self.linked = self.held = self.held_links = 0
         self.score = 0.0
 
 
-def attributes(text: str) -> tuple[str, bool]:
-    """Class and id in one string, and whether the element is hidden or plays a dropped role."""
+def attributes(text: str) -> tuple[str, str, bool]:
+    """Classes, the id, and whether the element is hidden or plays a dropped role."""
     if not text or text.isspace():
-        return "", False
-    names, dropped = [], False
+        return "", "", False
+    classes, id_, dropped = [], "", False
     for key, value in ATTRIBUTE.findall(text):
-        key, value = key.lower(), value.strip("\"'").lower()
-        if key in ("class", "id"):
-            names.append(value)
+        key = key.lower()
+        if key not in ("class", "id", "role", "hidden", "aria-hidden", "style"):
+            continue
+        value = (value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] else value).lower()
+        if key == "class":
+            classes.append(value)
+        elif key == "id":
+            id_ = value
         elif key == "role":
             dropped |= value in ROLES
         elif key == "hidden" or (key == "aria-hidden" and value == "true"):
             dropped = True
         elif key == "style" and "display:none" in value.replace(" ", ""):
             dropped = True
-    return " ".join(names), dropped
+    return " ".join(classes), id_, dropped
+
+
+def named_for(tag: str, classes: str, id_: str) -> tuple[bool, bool]:
+    """Whether a name says that the element surrounds an article, and whether it
+    may say so.
+
+    It does if all parts of one of its names stand for surroundings or for
+    nothing; one such part beside others, as in ``side-by-side`` or
+    ``related-work``, may. The id of an element of running text is no name, and
+    a list is never judged by its name alone.
+    """
+    sure = maybe = False
+    for name in (classes if tag in TEXTUAL else f"{classes} {id_}").split():
+        parts = [p for p in re.split(r"[-_]+", name) if p and not p.isdigit()]
+        some = any(p in SURROUNDINGS for p in parts)
+        maybe |= some
+        sure |= some and all(p in SURROUNDINGS or p in LAYOUT for p in parts)
+    return sure and tag not in LISTS, maybe
+
+
+def weighed(nodes: list[Node], events: list[tuple[Node, str | None]], controls: set[int]) -> None:
+    """Drops elements whose name may stand for surroundings if they hold what
+    surroundings hold: links for half of their text, or fields to fill in and
+    little text."""
+    if not any(x.doubtful for x in nodes):
+        return
+    sizes: dict[int, int] = {}
+    links: dict[int, int] = {}
+    in_link = set()
+    for node in nodes:
+        if node.tag == "a" or (node.parent is not None and id(node.parent) in in_link):
+            in_link.add(id(node))
+    for node, piece in events:
+        if piece is not None and (size := len(piece.strip())):
+            sizes[id(node)] = sizes.get(id(node), 0) + size
+            if id(node) in in_link:
+                links[id(node)] = links.get(id(node), 0) + size
+    fields = set(controls)
+    for node in reversed(nodes[1:]):  # children come after their parents
+        up = id(node.parent)
+        sizes[up] = sizes.get(up, 0) + sizes.get(id(node), 0)
+        links[up] = links.get(up, 0) + links.get(id(node), 0)
+        if id(node) in fields:
+            fields.add(up)
+    for node in nodes:
+        size = sizes.get(id(node), 0)
+        if node.doubtful and size and (2 * links.get(id(node), 0) >= size or (id(node) in fields and size < 400)):
+            node.named = True
 
 
 def step(tag: str, name: str) -> str:
@@ -129,6 +205,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
     keeps what came before."""
     root = Node("", "", False, None, "", 0)
     nodes, events, stack = [root], [], [root]
+    controls: set[int] = set()
     at, n = 0, len(html)
 
     def text(piece: str) -> None:
@@ -187,6 +264,8 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
                     break
         if tag in BLOCK:
             events.append((stack[-1], None))
+        if tag in CONTROLS:
+            controls.add(id(stack[-1]))
         if tag in VOID:
             continue
         if tag in RAW:
@@ -194,19 +273,24 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
                 continue  # only markup of other kinds knows empty elements by the slash
             at = raw_end(html, tag, at)
             continue
-        name, hidden = attributes(found[3])
+        classes, id_, hidden = attributes(found[3])
+        name = f"{classes} {id_}".strip()
         above = stack[-1]
         in_article = any(x.tag in ("article", "main") for x in stack)
         dropped = hidden or (tag in DROPPED and tag != "form" and not (tag in KEPT_IN_ARTICLE and in_article))
-        named = tag not in ("html", "body", "article", "main") and bool(name) and bool(NAMES.search(name))
+        named = doubtful = False
+        if tag not in ("html", "body", "article", "main") and name:
+            named, doubtful = named_for(tag, classes, id_)
         named = named or tag == "form" or (not in_article and bool(name) and bool(SITE_HEADER.search(name)))
         if found[3].rstrip().endswith("/") and tag not in BLOCK:
             continue
         where = above.path if tag in FORMATTING else f"{above.path}>{step(tag, name)}"
         node = Node(tag, name, dropped, above, where, len(events))
         node.named = named and not dropped
+        node.doubtful = doubtful and not named and not dropped
         nodes.append(node)
         stack.append(node)
+    weighed(nodes, events, controls)
     spared(nodes, events)
     for node in nodes[1:]:  # parents come before their children
         node.dropped |= node.named or node.parent.dropped
@@ -320,14 +404,18 @@ def climbed(node: Node, headed: dict[int, int], parts: dict[int, list[Node]]) ->
 
 
 def scored(html: str) -> list[tuple[str, float]]:
-    """Paths and scores of a page's containers, the best first.
+    """Paths and scores of a page's containers, the best first."""
+    return ranked(*parse(html))
+
+
+def ranked(nodes: list[Node], events: list[tuple[Node, str | None]]) -> list[tuple[str, float]]:
+    """The same of a parsed page.
 
     The characters outside links that lie in a container with no container
     between, half of what its direct children hold, and a bonus for elements
     that name an article find where the text is densest; from there ``climbed``
     leads to the container of the whole article. The others follow by score.
     """
-    nodes, events = parse(html)
     headed: dict[int, int] = {}
     for at, (node, piece) in enumerate(events):
         if piece is None or node.dropped or not piece.strip():
@@ -380,7 +468,7 @@ def extracted(html: str, paths: list[str], votes: list[int] | None = None) -> st
     number; paths with none come last."""
     nodes, events = parse(html)
     weights = dict(zip(paths, votes if votes is not None else [2] * len(paths)))
-    own = [p for p, _ in scored(html)[:1]]
+    own = [p for p, _ in ranked(nodes, events)[:1]]
     here = {x.path for x in nodes}
     tried = list(dict.fromkeys([p for p in paths if p in here and weights[p] > 0] + own))
     texts = {p: text_on(p, nodes, events) for p in tried}
@@ -410,46 +498,73 @@ def text_on(path: str, nodes: list[Node], events: list[tuple[Node, str | None]])
     return "\n".join(x for x in lines if x)
 
 
-def host_paths(pages: DataFrame) -> DataFrame:
-    """``host``, ``paths`` and ``votes``, without the empty host. A page votes
-    with its best container, once. Listed are paths that at least two pages, and
-    half of those that hold text on them, voted for, and with no votes the paths
-    that fewer than half voted for."""
+def candidates(pages: DataFrame) -> DataFrame:
+    """``host``, row key and ``found``, the paths of the page's containers with
+    the best first, of all pages with a host."""
 
     @F.pandas_udf("array<string>")
     def containers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for htmls in batches:
             yield pd.Series([[p for p, _ in scored(h)] if h else [] for h in htmls], index=htmls.index, dtype=object)
 
-    found = pages.select(host_of(F.coalesce("url", F.lit(""))).alias("host"), "html").where("host != ''")
-    seen = found.select("host", F.posexplode(containers("html")).alias("at", "path"))
+    hosted = pages.select(host_of(F.coalesce("url", F.lit(""))).alias("host"), *row_key("page_id", "html"), "html")
+    return hosted.where("host != ''").select("host", "_id", "_th", containers("html").alias("found"))
+
+
+def elected(found: DataFrame) -> DataFrame:
+    """``host``, ``path`` and votes ``n``. A page votes with its best container,
+    once. Listed are paths that at least two pages, and half of those that hold
+    text on them, voted for, and with no votes the paths that fewer than half
+    voted for."""
+    seen = found.select("host", F.posexplode("found").alias("at", "path"))
     tally = seen.groupBy("host", "path").agg(F.sum((F.col("at") == 0).cast("long")).alias("n"), F.count(F.lit(1)).alias("held"))
     sure = 2 * F.col("n") >= F.col("held")
     listed = tally.where((F.col("n") > 0) & (~sure | (F.col("n") > 1)))
-    listed = listed.select("host", "path", F.when(sure, F.col("n")).otherwise(0).alias("n"))
+    return listed.select("host", "path", F.when(sure, F.col("n")).otherwise(0).alias("n"))
+
+
+def in_order(listed: DataFrame, *keys: str) -> DataFrame:
+    """``paths`` and ``votes`` of each key, most votes first."""
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), "path")))
-    host = listed.groupBy("host").agg(ordered.alias("o"))
-    return staged(
-        host.select("host", F.col("o.path").alias("paths"), F.transform("o.less", lambda x: -x).alias("votes")), "host-paths"
-    )
+    grouped = listed.groupBy(*keys).agg(ordered.alias("o"))
+    return grouped.select(*keys, F.col("o.path").alias("paths"), F.transform("o.less", lambda x: -x).alias("votes"))
 
 
 def extract_pages(pages: DataFrame, *, max_broadcast: int = 100_000) -> DataFrame:
     """One row per page: ``page_id``, ``url``, ``text`` and ``n_chars``.
 
     Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-    and comments are left out; character references are decoded, white space in
-    a block becomes one space, blocks are joined by a line end in page order. Of a
-    host's winning paths and the page's own best container, that with most votes
-    times text is taken. Pages without URL or host go by their own best alone; NULL and empty html give an empty text;
-    texts are never cut; pages that repeat each get a row; other columns are not
-    read. Winning paths are broadcast if a count finds at most
-    ``max_broadcast`` hosts, and joined by host otherwise.
+    and comments are left out: by their element, by a class or id all of whose
+    parts say so, or by one of which some part does if what the element holds
+    agrees (links for half of its text, or fields to fill in). Character
+    references are decoded, white space in a block becomes one space, blocks are
+    joined by a line end in page order. Of a host's winning paths and the page's
+    own best container, that with most votes times text is taken; of equals the
+    host's first. Pages without URL or host go by their own best alone; NULL and
+    empty html give an empty text; texts are never cut; pages that repeat each
+    get a row; an empty table gives none; other columns are not read.
+
+    Winning paths are broadcast, by host, if at most ``max_broadcast`` of 64 MB
+    in all are measured. Otherwise each page is joined with the votes of its own
+    containers, so nothing is gathered that grows with a host.
     """
-    paths = host_paths(pages)
-    if small(paths, max_broadcast):
-        paths = F.broadcast(paths)
-    paths = paths.select(rekeyed(F.col("host"), "string").alias("p_host"), "paths", "votes")
+    found = staged(candidates(pages), "page-containers")
+    listed = staged(elected(found), "host-paths")
+    hosted = pages.select("page_id", "url", "html", host_of(F.coalesce("url", F.lit(""))).alias("host"))
+    if fits_broadcast(listed, max_broadcast):
+        paths = F.broadcast(in_order(listed, "host"))
+        paths = paths.select(rekeyed(F.col("host"), "string").alias("p_host"), "paths", "votes")
+        joined = hosted.join(paths, F.col("host") == F.col("p_host"), "left")
+    else:
+        own = found.select("host", "_id", "_th", F.explode(F.array_distinct("found")).alias("path")).distinct()
+        mine = in_order(own.join(listed, ["host", "path"]), "host", "_id", "_th")
+        keyed = hosted.select("page_id", "url", "html", "host", *row_key("page_id", "html"))
+        mine = mine.withColumnsRenamed({"host": "_rhost"})
+        joined = keyed.join(
+            mine.withColumnsRenamed({"_id": "_rid", "_th": "_rth"}),
+            F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")) & (F.col("host") == F.col("_rhost")),
+            "left",
+        )
 
     @F.pandas_udf("string")
     def main_text(htmls: pd.Series, chosen: pd.Series, votes: pd.Series) -> pd.Series:
@@ -459,7 +574,5 @@ def extract_pages(pages: DataFrame, *, max_broadcast: int = 100_000) -> DataFram
             dtype=object,
         )
 
-    hosted = pages.select("page_id", "url", "html", host_of(F.coalesce("url", F.lit(""))).alias("host"))
-    joined = hosted.join(paths, F.col("host") == F.col("p_host"), "left")
     text = joined.select("page_id", "url", main_text("html", "paths", "votes").alias("text"))
     return text.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -12,6 +12,8 @@ from oracle import connect, difference
 from tablewright.llm import catalog, decontamination, html, lines, pieces, quality, simhash, urls
 from tablewright.llm.components import connected_components
 
+SF_PAGES = "/root/testdata/sf0.01"
+
 
 @pytest.mark.parametrize("kind", ["long", "string"])
 def test_components(spark, kind):
@@ -152,6 +154,91 @@ def test_html_names_spare_the_article(page, text):
     assert html.extracted("<body>" + page.format(a=a, b=b) + "</body>", []) == text.format(a=a, b=b)
 
 
+WORDS = "the article speaks of many things and goes on for a while so that it has some length"
+
+
+def article_of(inside):
+    return html.extracted(f"<body><article><p>{WORDS}</p>{inside}<p>{WORDS} end</p></article></body>", [])
+
+
+@pytest.mark.parametrize(
+    "inside, text",
+    [
+        ("<p title='Bob's day'>one two</p><p>don't stop</p><p>three</p>", "one two\ndon't stop\nthree"),
+        ("<p title=it's>one</p><p>two</p>", "one\ntwo"),
+        ("<img alt='Bob's cat'>after<p>it's</p>", "after\nit's"),
+        ('<p title="a > b" data-x = \'c > d\'>one</p>', "one"),
+        ('<p title="hidden" alt="role" data-id="nav" data-class="ad">one</p>', "one"),
+        ("<h2 id='related-work'>Related work</h2>", "Related work"),
+        ("<section id='legal-basis'><p>The basis</p></section>", "The basis"),
+        ("<div class='side-by-side'><p>left</p><p>right</p></div>", "left\nright"),
+        ("<h2 id='search'>Search</h2>", "Search"),
+        ("<h2 id='social-impact'>Impact</h2>", "Impact"),
+        ("<p id='notice-period'>Three months</p>", "Three months"),
+        ("<h3 class='share-price'>Price</h3>", "Price"),
+        ("<ul class='menu-items'><li>soup</li><li>fish</li></ul>", "soup\nfish"),
+        ("<div id='comment-on-method'><p>We remark</p></div>", "We remark"),
+    ],
+)
+def test_html_keeps_what_the_article_says(inside, text):
+    assert article_of(inside) == f"{WORDS}\n{text}\n{WORDS} end"
+
+
+@pytest.mark.parametrize(
+    "inside",
+    [
+        "<div class='ad'>Buy this</div>",
+        "<p class='advert'>Buy this</p>",
+        "<div class='ad-slot-3'>Buy this</div>",
+        "<section class='comments'><p>First!</p><p>I do not agree at all</p></section>",
+        "<div id='comments'><p>First!</p></div>",
+        "<ol class='comment-list'><li><a href='/u'>Ann says hello there</a></li></ol>",
+        "<div class='cookie-banner'>We use cookies</div>",
+        "<div class='related-reading-now'><a href='/x'>Read this too</a></div>",
+        "<div class='newsletter-today'>Stay in touch <input name=mail> <button>Go</button></div>",
+        "<ul class='share-buttons'><li><a href='/s'>Send</a></li></ul>",
+        "<aside>By the way</aside><nav>Home</nav><form>Name <input></form>",
+        "<div role='complementary'>More</div><div hidden>x</div><div style='display: none'>y</div>",
+    ],
+)
+def test_html_drops_what_surrounds_it(inside):
+    assert article_of(inside) == f"{WORDS}\n{WORDS} end"
+
+
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_html_hosts_without_article_elements(spark, limit):
+    """Three hosts with layouts of their own; boilerplate outweighs some articles."""
+    rng = random.Random(4)
+    layouts = {
+        "a.org": "<div class='page'><div class='sidebar'>{menu}</div><div class='story-text'>{body}</div></div>",
+        "b.org": "<table><tr><td class='nav'>{menu}</td><td class='txt'>{body}</td></tr></table>",
+        "c.org": "<div id='top'>{menu}</div><div id='content-{n}'><div class='inner'>{body}</div></div><div class='footer'>{menu}</div>",
+    }
+    rows, want = [], {}
+    for n in range(60):
+        host = rng.choice(list(layouts))
+        blocks = [" ".join(rng.choice("alpha beta gamma delta eps".split()) for _ in range(rng.randrange(8, 60))) for _ in range(rng.randrange(1, 6))]
+        menu = "".join(f"<a href='/{i}'>entry number {i}</a> " for i in range(rng.randrange(3, 30)))
+        body = "".join(f"<p>{b}</p>" for b in blocks)
+        rows.append((n, f"https://{host}/{n}", layouts[host].format(menu=menu, body=body, n=n), "x"))
+        want[n] = "\n".join(blocks)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+    got = {r.page_id: r.text for r in html.extract_pages(df, max_broadcast=limit).collect()}
+    assert got == want
+
+
+def test_html_both_ways_agree(spark):
+    df = spark.read.parquet(f"{SF_PAGES}/pages.parquet").limit(200)
+    df = df.unionAll(df.limit(5)).unionAll(df.limit(3).selectExpr("page_id", "NULL", "html")).unionAll(df.limit(3).selectExpr("page_id", "url", "NULL"))
+    few, many = (sorted(map(tuple, html.extract_pages(df, max_broadcast=n).collect()), key=repr) for n in (100_000, 0))
+    assert few == many and len(few) == df.count()
+
+
+def test_html_of_a_very_long_page():
+    page = "<article>" + "<p title='it's' class=x>word &amp; word</p>" * 50_000 + "<div class='" + "a" * 1_000_000
+    assert html.extracted(page, []).count("\n") == 49_999
+
+
 def test_html_layouts_of_one_host(spark):
     """A teaser on one layout's path does not replace the article of another, however rare."""
     a, b = ("long text " * 40).strip(), "only five words of teaser"

@@ -3,7 +3,8 @@
 Draw a size-weighted sample of keys, take its quantiles as boundaries, put each
 record into the range of its key, subdivide ranges that came out overfull, and
 cut the key order into shards of near equal bytes. Built-in functions only; the
-driver sees the sample, the boundaries and one line per range.
+driver sees the sample, the boundaries and one line per range: their number is
+bounded, so all three are, whatever the table's size.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import constant, staged
 
 ROWS_PER_RANGE = 200_000
+# Of a table so large that this many ranges are not enough, ranges hold more rows:
+# each is still a narrow sort of a small part of the table, which can spill.
+MAX_RANGES = 4_096
 
 
 def range_of(key: Column, bounds: list[tuple]) -> Column:
@@ -34,14 +38,24 @@ def range_of(key: Column, bounds: list[tuple]) -> Column:
     return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), move)
 
 
-def shard_by_size(docs: DataFrame, *, shards: int = 8, oversample: int = 16, rounds: int = 4, seed: int = 11) -> DataFrame:
+def shard_by_size(
+    docs: DataFrame,
+    *,
+    shards: int = 8,
+    oversample: int = 16,
+    rounds: int = 4,
+    seed: int = 11,
+    max_ranges: int = MAX_RANGES,
+) -> DataFrame:
     """Every row of ``docs`` with its shard and its slot in that shard.
 
     The key is (hash of the text, ``doc_id``, row number), so equal texts lie
-    side by side, and a group of equal texts that is larger than a range is
-    cut between its ids. Shard ``s`` takes the rows whose middle byte falls in
+    side by side; a group of equal texts that lies across the end of a shard is
+    cut there, between its rows. Shard ``s`` takes the rows whose middle byte falls in
     the s-th part of all bytes in key order: sizes differ from the mean by
-    less than the size of one row. Returns ``doc_id``, ``size`` (UTF-8 bytes
+    less than the size of one row. About ``oversample`` keys for each of at most
+    ``max_ranges`` ranges are drawn in a round, by size; how the ranges fall
+    changes no result. Returns ``doc_id``, ``size`` (UTF-8 bytes
     plus 1), ``text_crc32``, ``law``, ``shard``, ``slot`` (gapless from 0 in
     key order) and ``grown_shard`` (NULL under this law).
 
@@ -63,7 +77,7 @@ def shard_by_size(docs: DataFrame, *, shards: int = 8, oversample: int = 16, rou
     key = F.struct(F.col("hash").alias("a"), F.col("doc_id").cast("long").alias("b"), F.col("row").alias("c"))
     whole = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
     total = whole["bytes"]
-    wanted = max(64 * shards, -(-whole["n"] // ROWS_PER_RANGE))
+    wanted = max(8 * shards, min(max_ranges, max(64 * shards, -(-whole["n"] // ROWS_PER_RANGE))))
     bounds: list = []
     sizes = {0: total}
     for turn in range(rounds):

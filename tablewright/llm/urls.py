@@ -13,10 +13,24 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import ASCII_UPPER, rekeyed, staged
 from tablewright.llm.components import connected_components
 
-CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?\s*canonical\b[^>]*>"""
+# The word may stand anywhere in the list of relations.
+CANONICAL = (
+    r"""(?is)<link\b[^>]*\brel\s*=\s*(?:"(?:[^"]*\s)?canonical(?:\s[^"]*)?"|'(?:[^']*\s)?canonical(?:\s[^']*)?'"""
+    r"""|canonical(?=[\s/>]))[^>]*>"""
+)
 REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?\s*refresh\b[^>]*>"""
 HREF = r"""(?is)\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
-REFRESH_URL = r"""(?is)\burl\s*=\s*["']?\s*([^"'\s>;]+)"""
+REFRESH_URL = r"""(?is)\burl\s*=\s*["']?\s*([^"'\s>;]+(?:;[^"'\s>;]+)*)"""
+# What no reader of a page takes for markup.
+UNREAD = r"(?is)<!--.*?(?:-->|$)|<script\b.*?(?:</script\s*>|$)"
+
+REFERENCE = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]{2,8});"
+# The characters that addresses are written with, by their names.
+NAMED = {
+    "amp": "&", "apos": "'", "ast": "*", "colon": ":", "comma": ",", "commat": "@", "dollar": "$", "equals": "=",
+    "excl": "!", "gt": ">", "lowbar": "_", "lpar": "(", "lt": "<", "num": "#", "percnt": "%", "period": ".", "plus": "+",
+    "quest": "?", "quot": '"', "rpar": ")", "semi": ";", "sol": "/",
+}
 
 
 def host_of(url: Column) -> Column:
@@ -41,17 +55,59 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
     return out
 
 
+def referenced(text: Column) -> Column:
+    """The text with its character references decoded: all by number, and those
+    by name that addresses are written with; others stay as they are."""
+
+    def char(ref: Column) -> Column:
+        inner = F.substring(ref, F.lit(2), F.char_length(ref) - 2)
+        digits = F.when(inner.rlike("^#[xX]"), F.substring(inner, F.lit(3), F.char_length(inner))).otherwise(
+            F.conv(F.substring(inner, F.lit(2), F.char_length(inner)), 10, 16)
+        )
+        point = F.conv(digits, 16, 10).cast("long")
+        valid = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+        by_number = F.when(valid, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))
+        named = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+        return F.coalesce(F.when(inner.startswith("#"), by_number).otherwise(F.get(F.array(named[inner]), F.lit(0))), ref)
+
+    refs = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
+    gaps = F.split(text, REFERENCE, -1)
+    whole = F.array_join(F.zip_with(gaps, F.transform(refs, char), lambda g, r: F.concat(g, F.coalesce(r, F.lit("")))), "")
+    return F.when(text.rlike(REFERENCE), whole).otherwise(text)
+
+
+def without_dots(path: Column) -> Column:
+    """A path with ``.`` and ``..`` resolved; ``..`` does not lead above the root."""
+    parts = F.split(F.substring(path, F.lit(2), F.char_length(path)), "/", -1)
+
+    def add(seen: Column, part: Column) -> Column:
+        return (
+            F.when(part == ".", seen)
+            .when(part == "..", F.slice(seen, F.lit(1), F.greatest(F.size(seen) - 1, F.lit(0))))
+            .otherwise(F.array_append(seen, part))
+        )
+
+    kept = F.aggregate(parts, F.array().cast("array<string>"), add)
+    folder = F.when(path.rlike(r"/\.\.?$") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"), folder)).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
-    """The URL as a node: no fragment, host in lower case."""
+    """The URL as a node: no fragment, scheme and host in lower case, no port
+    that its scheme has anyway, at least ``/`` as path, dots resolved."""
     bare = F.regexp_extract(url, r"(?s)^([^#]*)", 1)
-    start = F.regexp_extract(bare, r"(?s)^(.*?://)", 1)
-    rest = F.substring(bare, F.char_length(start) + F.char_length(host_of(bare)) + 1, F.char_length(bare))
-    return F.when(bare.contains("://"), F.concat(start, host_of(bare), rest)).otherwise(bare)
+    start = F.lower(F.regexp_extract(bare, r"(?s)^(.*?://)", 1))
+    host = host_of(bare)
+    known = F.when(start == "http://", F.regexp_replace(host, ":80$", "")).when(
+        start == "https://", F.regexp_replace(host, ":443$", "")
+    )
+    path, query = path_of(bare), F.regexp_extract(bare, r"(?s)^[^?]*(\?.*)$", 1)
+    rooted = F.when(path == "", F.lit("/")).otherwise(without_dots(path))
+    return F.when(bare.contains("://"), F.concat(start, F.coalesce(known, host), rooted, query)).otherwise(bare)
 
 
 def target_of(link: Column, url: Column) -> Column:
     """A link as a node, seen from ``url``; empty links are NULL."""
-    link = F.replace(link, F.lit("&amp;"), F.lit("&"))
     origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
     whole = (
@@ -59,19 +115,23 @@ def target_of(link: Column, url: Column) -> Column:
         .when(link.startswith("//"), F.concat(F.regexp_extract(url, r"(?s)^(.*?:)//", 1), link))
         .when(link.startswith("/"), F.concat(origin, link))
         .when(link.startswith("?"), F.concat(F.regexp_extract(url, r"(?s)^([^?#]*)", 1), link))
+        .when(link.startswith("#"), url)
         .otherwise(F.concat(folder, F.when(folder.endswith("/"), F.lit("")).otherwise(F.lit("/")), link))
     )
     return F.when(link != "", node_of(whole))
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
-    """One edge ``a``, ``b`` per redirect or canonical link of a page."""
+    """One edge ``a``, ``b`` per redirect or canonical link of a page. Comments and
+    scripts hold no links."""
     tags = F.concat(
         F.transform(F.regexp_extract_all("html", F.lit(CANONICAL), F.lit(0)), lambda t: F.regexp_extract(t, HREF, 1)),
         F.transform(F.regexp_extract_all("html", F.lit(REFRESH), F.lit(0)), lambda t: F.regexp_extract(t, REFRESH_URL, 1)),
     )
     linked = pages.where(F.col("html").rlike(CANONICAL) | F.col("html").rlike(REFRESH))
+    linked = linked.select("url", F.regexp_replace("html", UNREAD, " ").alias("html"))
     found = linked.select("url", F.explode_outer(tags).alias("link"))
+    found = found.where("link IS NOT NULL").select("url", referenced(F.col("link")).alias("link"))
     return found.select(node_of(F.col("url")).alias("a"), target_of(F.col("link"), F.col("url")).alias("b")).where(
         "a IS NOT NULL AND b IS NOT NULL"
     )

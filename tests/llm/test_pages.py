@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -72,6 +73,85 @@ def test_urls(spark):
     assert urls.filter_urls(df.limit(0), rules).count() == 0
 
 
+@pytest.mark.parametrize(
+    "url, node",
+    [
+        ("https://h.org", "https://h.org/"),
+        ("HTTPS://H.org:443/a/./b/../c?x=/../y#f", "https://h.org/a/c?x=/../y"),
+        ("http://h.org:80?q", "http://h.org/?q"),
+        ("http://h.org:8080/..", "http://h.org:8080/"),
+        ("http://h.org/a/..", "http://h.org/"),
+        ("http://h.org/a/b/..", "http://h.org/a/"),
+        ("http://h.org/a/.", "http://h.org/a/"),
+        ("http://h.org/../../x//y/", "http://h.org/x//y/"),
+        ("http://h.org/a..b/.c", "http://h.org/a..b/.c"),
+        ("no scheme/./x", "no scheme/./x"),
+    ],
+)
+def test_url_nodes(spark, url, node):
+    df = spark.createDataFrame([(url,)], "url string")
+    assert df.select(urls.node_of(F.col("url"))).first()[0] == node
+
+
+def test_references_in_links(spark):
+    cases = ["a&amp;b&#38;c&#x26;d", "&#47;x&sol;y", "&#128512;&#xe9;", "&unknown; & &amp", "&#0;&#xD800;&#9999999;", "", "plain"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, t string")
+    got = [r[0] for r in df.select(urls.referenced(F.col("t"))).collect()]
+    assert got == ["a&b&c&d", "/x/y", "😀é", "&unknown; & &amp", "&#0;&#xD800;&#9999999;", "", "plain"]
+
+
+def nodes_by_definition(pages):
+    """Verdicts over links of all spellings, by plain search from page to page."""
+    from urllib.parse import urljoin, urlsplit
+
+    def node(url):
+        parts = urlsplit(urljoin(url, url))
+        path = urlsplit(urljoin(url, parts.path or "/")).path or "/"
+        return f"{parts.scheme}://{parts.netloc.lower()}{path}" + (f"?{parts.query}" if parts.query else "")
+
+    near = {}
+    for _, url, page in pages:
+        a = node(url)
+        near.setdefault(a, set())
+        for link in re.findall(r"<link[^>]*rel=[\"'][^\"']*canonical[^>]*href='([^']*)'", re.sub("(?s)<!--.*?-->", "", page)):
+            b = node(urljoin(url, markup.unescape(link)))
+            near[a].add(b)
+            near.setdefault(b, set()).add(a)
+    out = {}
+    for i, url, _ in pages:
+        seen, todo = set(), [node(url)]
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                todo += near[x]
+        out[i] = any("//bad.net/" in x for x in seen)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_links_of_all_spellings(spark, seed):
+    rng = random.Random(seed)
+    hosts = ["a.org", "b.org", "c.org"]
+    pages = []
+    for i in range(60):
+        host, name = rng.choice(hosts), rng.randrange(12)
+        url = rng.choice([f"https://{host}/d/{name}", f"https://{host.upper()}/d/./{name}", f"https://{host}/d/e/../{name}#x"])
+        to = rng.randrange(12)
+        other = rng.choice(hosts)
+        link = rng.choice(
+            [f"https://{other}/d/{to}", f"//{other}/d/{to}", f"/d/{to}", f"{to}", f"./{to}", f"../d/{to}", f"&#47;d&sol;{to}", f"https://{other}"]
+        )
+        if rng.random() < 0.06:
+            link = f"https://bad.net/{to}?a=1&amp;b=2"
+        rel = rng.choice(["canonical", "alternate canonical", "canonical x"])
+        tag = f"<link rel='{rel}' href='{link}'>"
+        pages.append((i, url, rng.choice([tag, tag, f"<!-- {tag} -->", f"<!-- x -->{tag}", f"<link rel='noncanonical' title=x href='{link}'>".replace("noncanonical", "next")])))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict == "block" for r in urls.filter_urls(df, [("block", "bad.net", "/")]).collect()}
+    assert got == nodes_by_definition(pages)
+
+
 def article_by_definition(page):
     found = re.search(r"<article>(.*?)(?:</article>|$)", page or "", re.S)
     blocks = re.split(r"</?(?:p|h1|br)>", found[1]) if found else []

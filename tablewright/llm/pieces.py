@@ -14,6 +14,8 @@ can cross are cut beforehand, so this changes no result.
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 import re
 import struct
 from collections.abc import Iterator
@@ -23,7 +25,9 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Fixed values of the model file format.
 UNIGRAM, BPE = 1, 2
@@ -315,6 +319,22 @@ class Coder:
 
 OUT = "doc_id long, token_ids array<int>, n_tokens long, round_trip boolean"
 
+# The coder of the model in use, which a Python worker makes once for all its tasks.
+_CODERS: dict[str, Coder] = {}
+
+
+def shared(spark: SparkSession, model: Model) -> tuple[Broadcast, str]:
+    """The model as a broadcast, which is as large as its file, and its name."""
+    name = hashlib.sha256(pickle.dumps(model)).hexdigest()
+    return spark.sparkContext.broadcast(model), name
+
+
+def coder_of(model: Broadcast, name: str) -> Coder:
+    if name not in _CODERS:
+        _CODERS.clear()  # one at a time, so memory stays bounded
+        _CODERS[name] = Coder(model.value)
+    return _CODERS[name]
+
 
 def encode_documents(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``token_ids``, ``n_tokens`` and
@@ -322,12 +342,14 @@ def encode_documents(docs: DataFrame, model: Model) -> DataFrame:
 
     NULL texts have NULL ids, empty ones none; both count as round trips. Texts
     are encoded whole, whatever their length; rows that repeat are each encoded;
-    no other column is read. The model travels with the job.
+    an empty table gives no rows; no other column is read. The model is broadcast
+    and each Python worker builds its automaton once.
     """
+    known, name = shared(docs.sparkSession, model)
+    lead = 1 if model.dummy_prefix else 0
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(model)
-        lead = 1 if model.dummy_prefix else 0
+        coder = coder_of(known, name)
         for batch in batches:
             for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
                 ids, offsets, trips = [], [0], []
@@ -353,3 +375,35 @@ def encode_documents(docs: DataFrame, model: Model) -> DataFrame:
                 )
 
     return docs.select("doc_id", "text").mapInArrow(encode, OUT)
+
+
+def decode_documents(encoded: DataFrame, model: Model) -> DataFrame:
+    """One row per row of ``encoded``: ``doc_id`` and ``text``, the text that its
+    ``token_ids`` spell.
+
+    Bytes that are no character by themselves become replacement characters,
+    ids that are NULL or not in the vocabulary the mark of an unknown piece. NULL
+    ids give NULL, no ids the empty text. Lists of any length are decoded whole,
+    rows that repeat are each decoded, an empty table gives no rows, and no other
+    column is read. What encoding loses, white space that the model squeezes or
+    characters that it maps, does not come back.
+    """
+    known, name = shared(encoded.sparkSession, model)
+    unknown = model.types.index(UNKNOWN) if UNKNOWN in model.types else 0
+    size = len(model.pieces)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = coder_of(known, name)
+        for batch in batches:
+            for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
+                texts = []
+                for ids in part.column("token_ids").to_pylist():
+                    if ids is not None and not all(x is not None and 0 <= x < size for x in ids):
+                        ids = [x if x is not None and 0 <= x < size else unknown for x in ids]
+                    texts.append(None if ids is None else coder.decode(ids))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"]
+                )
+
+    ids = F.col("token_ids").cast("array<int>")
+    return encoded.select(F.col("doc_id").cast("long"), ids.alias("token_ids")).mapInArrow(decode, "doc_id long, text string")

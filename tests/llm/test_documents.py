@@ -103,6 +103,12 @@ def test_sharding(spark, make, hot):
     assert {r.law for r in got} == {"bytes"} and {r.grown_shard for r in got} == {None}
 
 
+def test_ranges_change_no_result(make):
+    docs = make([f"text {i % 50} " * (i % 9 + 1) for i in range(400)])
+    few, many = (sorted(map(tuple, sharding.shard_by_size(docs, shards=3, max_ranges=n).collect()), key=repr) for n in (1, 4096))
+    assert few == many
+
+
 def test_sharding_small(spark, make):
     assert sharding.shard_by_size(make([]), shards=8).count() == 0
     assert [(r.shard, r.slot) for r in sharding.shard_by_size(make(["a"]), shards=2).collect()] in ([(0, 0)], [(1, 0)])
@@ -340,6 +346,26 @@ def test_unigram_viterbi_is_best():
         assert total == pytest.approx(best_ways(shown, scores, coder.lowest))
 
 
+def test_decoding_a_table(spark, make):
+    model = pieces.read_model(MODEL)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    encoded = pieces.encode_documents(docs, model)
+    got = {r.doc_id: r.text for r in pieces.decode_documents(encoded, model).collect()}
+    assert got == dict(texts_of(spark))
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rng = random.Random(6)
+    cases = [[rng.randrange(len(model.pieces)) for _ in range(rng.randrange(40))] for _ in range(200)]
+    rows = [(i, c, "x") for i, c in enumerate(cases)] + [(900, None, "x"), (901, [], "x"), (902, [-1, 10**6, None], "x"), (901, [], "x")]
+    df = spark.createDataFrame(rows, "doc_id long, token_ids array<int>, text string")
+    out = pieces.decode_documents(df, model).collect()
+    by_id = {r.doc_id: r.text for r in out}
+    assert [by_id[i] for i in range(200)] == [library.decode(c) for c in cases]
+    assert by_id[900] is None and by_id[901] == "" and by_id[902].count("⁇") == 3 and len(out) == len(rows)
+    assert pieces.decode_documents(df.limit(0), model).collect() == []
+
+
 def test_encode_documents(make):
     docs = make(EDGE, [None, 0, 0, 1, 1, 2, 3, 4])
     got = pieces.encode_documents(docs, pieces.read_model(MODEL)).collect()

@@ -71,11 +71,6 @@ def rekeyed(key: Column, kind: str = "long") -> Column:
     return key.bitwiseXOR(F.lit(0).cast("long")) if kind == "long" else F.concat(key, F.lit(""))
 
 
-def small(df: DataFrame, max_rows: int) -> bool:
-    """Whether a side has at most so many rows, by counting them all."""
-    return df.count() <= max_rows
-
-
 def constant(values: list, kind: str) -> Column:
     """A constant array, folded when the query is planned; one expression,
     however many entries."""

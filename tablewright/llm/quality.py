@@ -220,8 +220,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, seed: int =
             yield stats_frame(texts)[list(FEATURES)]
 
     found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    # repeated ids may bring more rows than labels; the bound holds for rows too
-    return found.select(features("text").alias("f"), "y").select("f.*", "y").limit(max_rows).toPandas()
+    # repeated ids may bring more rows than labels; the bound holds for rows too, in a fixed order
+    drawn = found.select("doc_id", F.xxhash64("text").alias("th"), features("text").alias("f"), "y")
+    kept = drawn.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", "th").limit(max_rows)
+    return kept.select("f.*", "y").toPandas()
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000) -> FlatTrees:
@@ -259,8 +261,9 @@ def verdict(text: Column, trees: FlatTrees, *, threshold: float = 0.5, min_words
 
 def quality_rules(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, threshold: float = 0.5) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, base counts, ``score``,
-    ``base_failed`` and ``kept``. Rows that repeat an id are each judged; no
-    other column of ``docs`` is read, so their names may clash with these."""
+    ``base_failed`` and ``kept``. Rows that repeat an id are each judged; an empty
+    table gives no rows, and without labels every text has one score; no other
+    column of ``docs`` is read, so their names may clash with these."""
     trees = fit_quality(docs, labels, max_rows=max_rows)
     judged = docs.select("doc_id", verdict(F.col("text"), trees, threshold=threshold).alias("v"))
     return judged.select("doc_id", "v.*")

@@ -149,8 +149,9 @@ def scan_secrets(docs: DataFrame, *, scope: int = 200) -> DataFrame:
     weak parts reported by linking) and ``n_linked``.
 
     Weak parts that overlap a base span are part of it and dropped. NULL texts
-    count as empty and have no spans; texts are scanned whole; rows that repeat
-    id and text get the same answer; no other column is read.
+    count as empty and have no spans; texts are scanned whole, in time that grows
+    with their length; rows that repeat id and text get the same answer; an empty
+    table gives no rows; no other column is read.
     """
     text = docs.select(*row_key("doc_id", "text"), F.coalesce("text", F.lit("")).alias("t"))
     base = {

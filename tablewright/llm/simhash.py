@@ -149,7 +149,10 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2, pai
     Equal fingerprints are one class before any candidate is sought. Texts
     without words (NULL, empty) have fingerprint zero and link like any other.
     Rows that repeat an id each get a row; NULL ids count as no id when the
-    least is sought, so a component of NULL ids only has a NULL id.
+    least is sought, so a component of NULL ids only has a NULL id. An empty
+    table gives no rows. Lists of postings with more than ``pair_limit`` entries
+    are not paired and tallied but linked through the values between two
+    fingerprints; both give the same links.
     """
     return rows_with_root(docs, shingle, max_bits, pair_limit).select(
         F.col("_id").alias("doc_id"),

@@ -20,7 +20,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
+    """Documents that the rules reject go; each row is judged by its own text."""
     trees = fit_quality(docs, table(spark, sf_dir, "labels"))
     mark = free_name(docs, "_verdict")
     return docs.withColumn(mark, verdict(F.col("text"), trees)).where(f"`{mark}`.kept").drop(mark)
@@ -41,7 +41,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go, each row by its id and
+    text; an empty benchmark lets all stay."""
     found = decontaminate(docs, table(spark, sf_dir, "benchmark"), keyed=True)
     id_, th = free_name(docs, "_clean_id"), free_name(docs, "_clean_th")
     clean = found.where("NOT contaminated").select(F.col("doc_id").alias(id_), F.col("_th").alias(th)).distinct()
@@ -67,7 +68,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written before the next reads it."""
+    """All stages over ``documents``; each is written before the next reads it.
+    Rows without words (NULL or empty texts) fail the first stage, and an empty
+    table passes through all of them as one. Rows that repeat id and text are told
+    apart by no stage: the third keeps one of them. Ties go as each stage says."""
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -14,8 +14,6 @@ can cross are cut beforehand, so this changes no result.
 
 from __future__ import annotations
 
-import hashlib
-import pickle
 import re
 import struct
 from collections.abc import Iterator
@@ -25,8 +23,7 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the model file format.
@@ -319,22 +316,6 @@ class Coder:
 
 OUT = "doc_id long, token_ids array<int>, n_tokens long, round_trip boolean"
 
-# The coder of the model in use, which a Python worker makes once for all its tasks.
-_CODERS: dict[str, Coder] = {}
-
-
-def shared(spark: SparkSession, model: Model) -> tuple[Broadcast, str]:
-    """The model as a broadcast, which is as large as its file, and its name."""
-    name = hashlib.sha256(pickle.dumps(model)).hexdigest()
-    return spark.sparkContext.broadcast(model), name
-
-
-def coder_of(model: Broadcast, name: str) -> Coder:
-    if name not in _CODERS:
-        _CODERS.clear()  # one at a time, so memory stays bounded
-        _CODERS[name] = Coder(model.value)
-    return _CODERS[name]
-
 
 def encode_documents(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``token_ids``, ``n_tokens`` and
@@ -342,14 +323,15 @@ def encode_documents(docs: DataFrame, model: Model) -> DataFrame:
 
     NULL texts have NULL ids, empty ones none; both count as round trips. Texts
     are encoded whole, whatever their length; rows that repeat are each encoded;
-    an empty table gives no rows; no other column is read. The model is broadcast
-    and each Python worker builds its automaton once.
+    an empty table gives no rows; no other column is read. The model is broadcast;
+    each task builds its automaton, since one that outlived it would hold its
+    caches while other stages run.
     """
-    known, name = shared(docs.sparkSession, model)
+    known = docs.sparkSession.sparkContext.broadcast(model)
     lead = 1 if model.dummy_prefix else 0
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = coder_of(known, name)
+        coder = Coder(known.value)
         for batch in batches:
             for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
                 ids, offsets, trips = [], [0], []
@@ -388,12 +370,12 @@ def decode_documents(encoded: DataFrame, model: Model) -> DataFrame:
     column is read. What encoding loses, white space that the model squeezes or
     characters that it maps, does not come back.
     """
-    known, name = shared(encoded.sparkSession, model)
+    known = encoded.sparkSession.sparkContext.broadcast(model)
     unknown = model.types.index(UNKNOWN) if UNKNOWN in model.types else 0
     size = len(model.pieces)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = coder_of(known, name)
+        coder = Coder(known.value)
         for batch in batches:
             for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
                 texts = []

@@ -26,7 +26,7 @@ from tablewright.operators.training import confusion
 from tablewright.operators.training import cross_validate as cross_validated
 from tablewright.operators.training import train_eval as fit_and_score
 from tablewright.plans import customer, jobs, layers
-from tablewright.session import scratch_path
+from tablewright.session import scratch_path, through_storage
 from tablewright.sources import (
     current_snapshot,
     ingest_quarantined,
@@ -77,7 +77,10 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def golden(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers.gold(cleaned(spark, sf_dir), customer.FEATURES, as_of=AS_OF)
+    """Gold from stored silver, as the job makes it: labels are learned from the
+    same rows without cleaning them again."""
+    silver_rows = through_storage(cleaned(spark, sf_dir), "silver")
+    return layers.gold(silver_rows, customer.FEATURES, as_of=AS_OF)
 
 
 def ntz(name: str) -> Column:

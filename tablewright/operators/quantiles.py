@@ -24,6 +24,10 @@ from tablewright.functions.naming import quoted, rows_of, text
 # kept apart in the first level.
 ACCURACY, GRID, BUCKETS = 10_000, 2_000, 256
 
+# A table up to so many rows has few enough partitions that the sketches of all
+# of them can meet in one task; a larger one takes two levels.
+ONE_LEVEL_ROWS = 500_000_000
+
 
 @dataclass
 class _Bracket:
@@ -81,6 +85,8 @@ def quantiles(
     cols: Sequence[str],
     probs: Sequence[float] = (0.25, 0.5, 0.75),
     max_rows: int = 1_000_000,
+    *,
+    one_level_rows: int = ONE_LEVEL_ROWS,
 ) -> DataFrame:
     """(column, prob, value) with linear interpolation between the two nearest
     rows. NULL and NaN do not count; a column without values gives NULL. ``df``
@@ -94,7 +100,8 @@ def quantiles(
         wide = [b for b in brackets if b.narrowing and b.inside > max_rows and b.low < b.high]
         if not wide:
             break
-        guesses = _sketch(df, wide)
+        few = max(totals) <= one_level_rows
+        guesses = _sketch_at_once(df, wide) if few else _sketch(df, wide)
         counts = []
         for i, b in enumerate(wide):
             low, high = guesses[i]
@@ -109,6 +116,25 @@ def quantiles(
     return _rank(df, brackets, cols, probs)
 
 
+def _sketch_at_once(df: DataFrame, brackets: Sequence[_Bracket]) -> list[tuple[float, float]]:
+    """Two sketched values per bracket, in one aggregation; equal brackets share
+    a sketch."""
+    groups: dict[tuple, list[int]] = {}
+    for i, b in enumerate(brackets):
+        groups.setdefault((b.column, b.low, b.high), []).append(i)
+    sketched = []
+    for members in groups.values():
+        first = brackets[members[0]]
+        probs = ", ".join(f"{p!r}D" for i in members for p in brackets[i].guesses())
+        inside = f"IF({first.holds}, {first.value}, NULL)"
+        sketched.append(F.expr(f"percentile_approx({inside}, array({probs}), {ACCURACY})"))
+    found: list[tuple[float, float]] = [(-math.inf, math.inf)] * len(brackets)
+    for members, values in zip(groups.values(), df.agg(*sketched).first()):
+        for n, i in enumerate(members):
+            found[i] = (values[2 * n], values[2 * n + 1])
+    return found
+
+
 def _sketch(df: DataFrame, brackets: Sequence[_Bracket]) -> list[tuple[float, float]]:
     """Two sketched values per bracket; equal brackets share a sketch.
 

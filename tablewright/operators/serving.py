@@ -170,14 +170,32 @@ def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*map(quoted, keys))
 
 
+# A hot key has so many rows in the sample that finds its like.
+SAMPLED = 64
+
+
 def hot_keys(frames: Sequence[DataFrame], keys: Sequence[str], skew: Skew) -> DataFrame:
-    """The hash of each key with more than ``min_rows`` rows, by exact counts
-    that are added up in the map tasks; at most one row per ``min_rows`` rows."""
+    """The hash of each key with more than ``min_rows`` rows, as a stored table
+    of at most one row per ``min_rows`` rows.
+
+    A sample in which such a key has 64 rows on average names the candidates,
+    those with 16 or more; only their rows are counted exactly, in the map tasks
+    first. So what is shuffled is a small sample of the hashes, and nothing more
+    if no key is hot. A key that the sample missed, one of some 10**12, would be
+    joined like any other."""
     hashes = frames[0].select(_key_hash(keys).alias(HASH))
     for frame in frames[1:]:
         hashes = hashes.unionAll(frame.select(_key_hash(keys).alias(HASH)))
-    counts = hashes.groupBy(HASH).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.where(F.col("__n") > skew.min_rows).select(HASH)
+    rows = F.count(F.lit(1)).alias("__n")
+    rate = SAMPLED / max(skew.min_rows, 1)
+    if rate < 1:
+        drawn = hashes.where(F.rand(5) < rate).groupBy(HASH).agg(rows)
+        likely = through_storage(drawn.where(F.col("__n") >= SAMPLED // 4).select(HASH), "likely-hot")
+        if likely.isEmpty():
+            return likely
+        hashes = hashes.join(likely, HASH, "left_semi")
+    counts = hashes.groupBy(HASH).agg(rows)
+    return through_storage(counts.where(F.col("__n") > skew.min_rows).select(HASH), "hot-keys")
 
 
 def point_in_time_join(
@@ -277,7 +295,7 @@ def _merged(
     for one in dated[1:]:
         facts = facts.unionByName(one, allowMissingColumns=True)
 
-    hot = through_storage(hot_keys([facts, asks], keys, skew), "hot-keys") if skew else None
+    hot = hot_keys([facts, asks], keys, skew) if skew else None
     if hot is not None and not hot.isEmpty():
         answered = _as_of_sliced(facts, asks, keys, others, list(columns), hot, skew)
     else:

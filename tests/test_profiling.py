@@ -57,8 +57,9 @@ def test_peek(spark):
     assert P.peek(df, 4).count() == 4
 
 
+@pytest.mark.parametrize("one_level_rows", [0, 10**9])
 @pytest.mark.parametrize("max_rows", [1, 50, 10**6])
-def test_quantiles_equal_pandas(spark, max_rows):
+def test_quantiles_equal_pandas(spark, max_rows, one_level_rows):
     df = spark.range(4000).selectExpr(
         "CAST(pmod(hash(id), 1000003) AS DOUBLE) / 7 AS spread",
         "CASE WHEN id % 3 = 0 THEN 5 ELSE id % 11 END AS ties",
@@ -68,7 +69,7 @@ def test_quantiles_equal_pandas(spark, max_rows):
     )
     probs = (0.0, 0.25, 0.5, 0.75, 0.999, 1.0)
     want = df.toPandas().quantile(list(probs))
-    for r in quantiles(df, df.columns, probs, max_rows).collect():
+    for r in quantiles(df, df.columns, probs, max_rows, one_level_rows=one_level_rows).collect():
         if r["column"] == "empty":
             assert r["value"] is None
         else:

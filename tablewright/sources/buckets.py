@@ -138,3 +138,29 @@ class BucketStore:
         )
         line.write.mode("append").json(self._at(LOG))
         return Version(name, instant(until), seen, schema, dict(paths))
+
+    def drop_unused(self, spark: SparkSession, keep: int = 2) -> list[str]:
+        """Delete the folders of buckets that none of the newest ``keep`` versions
+        refers to, and return them. Readers of older versions must be done, and no
+        refresh may be running: what it wrote is not published yet."""
+        if keep < 1:
+            raise ValueError("the current version must be kept")
+        if not path_exists(spark, self._at(LOG)):
+            return []
+        lines = spark.read.schema("version string, published timestamp").json(self._at(LOG))
+        names = [r["version"] for r in lines.orderBy(F.desc("published"), F.desc("version")).head(keep)]
+        manifests = [self._at(MANIFESTS, f"v-{name}") for name in names]
+        rows = spark.read.schema("bucket int, path string").json(manifests)
+        # One row per bucket and kept version.
+        used = {r["path"] for r in rows.where("path IS NOT NULL").distinct().collect()}
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self._at(DATA))
+        files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        dropped = []
+        for version in files.listStatus(root) if files.exists(root) else []:
+            for folder in files.listStatus(version.getPath()):
+                path = f"{DATA}/{version.getPath().getName()}/{folder.getPath().getName()}"
+                if folder.isDirectory() and path not in used:
+                    files.delete(folder.getPath(), True)
+                    dropped.append(path)
+        return sorted(dropped)

@@ -140,3 +140,20 @@ def test_key_types_of_both_sides_meet(spark, tmp_path):
     R.refresh_buckets(store, spark.createDataFrame([(i, START, START, i) for i in range(50)], FEATURES), view(), START)
     keys = spark.range(50).selectExpr("CAST(id AS INT) AS k")  # another width
     assert R.lookup_buckets(keys, store, view()).where("v = k").count() == 50
+
+
+def test_unused_folders_go(spark, tmp_path):
+    store = R.store_of(str(tmp_path), view(), buckets=4)
+    assert store.drop_unused(spark) == []
+    history = [(k, START + k * HOUR, START + k * HOUR, k) for k in range(40)]
+    for step in range(1, 4):
+        late = [(5, START + step * HOUR, START + (100 + step) * HOUR, 500 + step)]
+        history += late
+        R.refresh_buckets(store, spark.createDataFrame(history, FEATURES), view(), START + (100 + step) * HOUR)
+    before = rows(store.read(spark, store.current(spark)))
+    dropped = store.drop_unused(spark, keep=1)
+    assert len(dropped) == 2  # the bucket of key 5 was written three times
+    assert rows(store.read(spark, store.current(spark))) == before
+    assert len(files(tmp_path)) == 4 and store.drop_unused(spark, keep=1) == []
+    with pytest.raises(ValueError, match="must be kept"):
+        store.drop_unused(spark, keep=0)

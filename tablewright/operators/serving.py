@@ -190,10 +190,9 @@ def hot_keys(frames: Sequence[DataFrame], keys: Sequence[str], skew: Skew) -> Da
     rate = SAMPLED / max(skew.min_rows, 1)
     if rate < 1:
         drawn = hashes.where(F.rand(5) < rate).groupBy(HASH).agg(rows)
-        likely = through_storage(drawn.where(F.col("__n") >= SAMPLED // 4).select(HASH), "likely-hot")
-        if likely.isEmpty():
-            return likely
-        hashes = hashes.join(likely, HASH, "left_semi")
+        # of 16 sampled rows each, so four hashes for every ``min_rows`` rows at most
+        likely = drawn.where(F.col("__n") >= SAMPLED // 4).select(HASH)
+        hashes = hashes.join(F.broadcast(likely), HASH, "left_semi")
     counts = hashes.groupBy(HASH).agg(rows)
     return through_storage(counts.where(F.col("__n") > skew.min_rows).select(HASH), "hot-keys")
 
